@@ -83,7 +83,7 @@ def word_count(c: str | Column) -> Column:
 
 
 def word_count_sql(expr: str) -> str:
-    return f"CAST(len(list_filter(regexp_split_to_array({expr}, '\\s+'), t -> t <> '')) AS DOUBLE)"
+    return f"CAST(len(list_filter(regexp_split_to_array({expr}, '\\s+'), lambda t: t <> '')) AS DOUBLE)"
 
 
 def line_count(c: str | Column) -> Column:

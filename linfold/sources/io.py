@@ -28,13 +28,17 @@ PANDAS_TRUE_VALUES = ("True", "TRUE", "true")
 PANDAS_FALSE_VALUES = ("False", "FALSE", "false")
 
 
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file://")
+def _local_path(path: str) -> str | None:
+    """The file-system path for local paths (plain or ``file:`` URIs), else None."""
+    if path.startswith("file:"):
+        rest = path[len("file:"):]
+        return "/" + rest.lstrip("/") if rest.startswith("//") else rest
+    return None if "://" in path else path
 
 
 def _check_exists(path: str) -> None:
-    local = path[len("file://"):] if path.startswith("file://") else path
-    if _is_local(path) and not any(ch in local for ch in "*?[") and not os.path.exists(local):
+    local = _local_path(path)
+    if local is not None and not any(ch in local for ch in "*?[") and not os.path.exists(local):
         raise FileNotFoundError(f"Input file not found: {path}. Pass a valid data path.")
 
 
@@ -43,8 +47,8 @@ def _detect_format(path: str) -> str:
     for ext in ("parquet", "csv", "json", "orc"):
         if lower.endswith("." + ext):
             return ext
-    local = path[len("file://"):] if path.startswith("file://") else path
-    if os.path.isdir(local):
+    local = _local_path(path)
+    if local is not None and os.path.isdir(local):
         names = [n for n in os.listdir(local) if not n.startswith((".", "_"))]
         for ext in ("parquet", "csv", "json", "orc"):
             if any(ext in n for n in names):
