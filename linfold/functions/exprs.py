@@ -60,11 +60,16 @@ def linear_combination(intercept: float, weights: Sequence[float],
     return expr
 
 
+# Absolute noise floor of the comparison rounding: magnitudes below it are round-off of
+# sums whose true value is zero (e.g. a coefficient of an exactly collinear feature).
+NOISE_FLOOR = 1e-12
+
+
 def round_sig(c: str | Column, digits: int = 6) -> Column:
     """Round to ``digits`` significant decimal digits (engine-independent value hashes)."""
     col = _as_col(c).cast("double")
     scale = F.pow(F.lit(10.0), F.lit(float(digits - 1)) - F.floor(F.log10(F.abs(col))))
-    return (F.when(col == 0, F.lit(0.0))
+    return (F.when(F.abs(col) < F.lit(NOISE_FLOOR), F.lit(0.0))
             .when(F.isnan(col) | F.abs(col).isin(float("inf")), col)
             .otherwise(F.round(col * scale) / scale))
 
@@ -73,7 +78,8 @@ def round_sig_sql(expr: str, digits: int = 6) -> str:
     """The SQL text of ``round_sig`` for the DuckDB oracle."""
     e = f"({expr})"
     scale = f"pow(10.0, {float(digits - 1)} - floor(log10(abs({e}))))"
-    return f"(CASE WHEN {e} = 0 THEN 0.0 ELSE round({e} * {scale}) / {scale} END)"
+    return (f"(CASE WHEN abs({e}) < CAST({NOISE_FLOOR!r} AS DOUBLE) THEN CAST(0.0 AS DOUBLE) "
+            f"ELSE round({e} * {scale}) / {scale} END)")
 
 
 def word_count(c: str | Column) -> Column:
