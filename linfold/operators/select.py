@@ -4,16 +4,19 @@ Spark's exact ``percentile``/``median`` keeps a value->count map per group and m
 one task, which does not survive billions of distinct values. This operator gets the
 exact answer with bounded state instead:
 
-1. one pass counts the non-NULL values per (group, column) and fixes the wanted ranks;
-2. while a candidate interval holds more than ``EXACT_LIMIT`` rows, one pass computes
-   ``percentile_approx`` on a fixed grid *inside* the interval together with exact counts
-   below/inside it; the grid brackets the wanted rank, shrinking the interval about
-   ``GRID_POINTS`` times per pass (a wrong bracket is detected by the exact counts and
-   widened, so the result never depends on the sketch being right);
-3. a last pass counts the distinct candidate values (``groupBy`` with map-side combine,
-   so a hot value costs nothing) and picks the value whose running count crosses the rank.
-
-Small inputs (the tests) finish after two passes. The caller should persist ``df`` when it
+1. one pass counts the non-NULL values per (group, column), estimates their distinct
+   count (HyperLogLog) and fixes the wanted ranks;
+2. while a candidate interval holds more than ``EXACT_LIMIT`` rows *and* many distinct
+   values, one pass computes ``percentile_approx`` on a fixed grid *inside* the interval
+   together with exact counts below/inside it; the grid brackets the wanted rank,
+   shrinking the interval about ``GRID_POINTS`` times per pass;
+3. a last pass counts the rows below the interval and every distinct value inside it
+   (``groupBy`` with map-side combine, so a hot value costs nothing -- its size is bounded
+   by distinct values, not rows) and picks the value whose running count crosses the
+   rank. A bracket that missed the rank is detected by these exact counts and widened,
+   so the result never depends on the sketch being right.
+
+Small or low-cardinality inputs finish after two passes. The caller should persist ``df`` when it
 is expensive to recompute, as each pass scans it.
 """
 
@@ -42,14 +45,23 @@ class _Slot:
     k: int                      # wanted 0-based rank among the non-NULL values
     lo: float | None = None     # candidate interval, inclusive; None = unbounded
     hi: float | None = None
-    below: int = 0              # exact count of values < lo
-    m: int = 0                  # exact count of values inside [lo, hi]
-    checked: bool = True        # below/m are known for the current interval
-    parent: tuple | None = None
+    m: int = 0                  # rows inside [lo, hi]: exact when `checked`, else an upper estimate
+    checked: bool = True
+    distinct: float = float("inf")   # estimated distinct values inside the interval
+    parent: tuple | None = None      # last interval with exact counts: (lo, hi, m)
     margin: float = 1.5
     value: float | None = None
     done: bool = False
 
+    @property
+    def finishable(self) -> bool:
+        return self.m <= EXACT_LIMIT or self.distinct <= EXACT_LIMIT / 2
+
+    def revert(self) -> None:
+        """The sketch bracket missed the rank: go back to the parent interval, wider."""
+        self.lo, self.hi, self.m = self.parent
+        self.checked, self.distinct, self.margin = True, float("inf"), self.margin * 4
+
 
 def _in_interval(x: Column, lo: Column, hi: Column) -> Column:
     return x.isNotNull() & (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
@@ -76,13 +88,13 @@ class _Plan:
     def with_state(self, slots: list[_Slot], fields: dict[str, callable]):
         """Return (frame, accessor) where accessor(slot_id, field) gives a Column."""
         slot_ids = sorted({s.slot for s in slots})
+        types = {"on": T.BooleanType(), "k": T.LongType()}
         if not self.gcols:
             by_id = {s.slot: s for s in slots}
 
             def lit_of(slot_id: int, field: str) -> Column:
                 value = fields[field](by_id[slot_id])
-                dtype = "boolean" if field == "on" else ("bigint" if field == "kr" else "double")
-                return F.lit(value).cast(dtype)
+                return F.lit(value).cast(types.get(field, T.DoubleType()))
             return self.data, lit_of
         # grouped: one row per group, one column per (slot, field); proven small
         table: dict[tuple, dict] = {}
@@ -92,9 +104,7 @@ class _Plan:
                 row[f"_{field}{s.slot}"] = fn(s)
         schema = T.StructType(
             [T.StructField(f"_s{g}", t, True) for g, t in zip(self.gcols, self.key_types)]
-            + [T.StructField(f"_{field}{sid}",
-                             T.BooleanType() if field == "on" else (
-                                 T.LongType() if field == "kr" else T.DoubleType()), True)
+            + [T.StructField(f"_{field}{sid}", types.get(field, T.DoubleType()), True)
                for sid in slot_ids for field in fields])
         rows = []
         for group, vals in table.items():
@@ -121,11 +131,25 @@ def _rank_pair(n: int, q: float) -> tuple[int, int, float]:
 
 
 def _refine(plan: _Plan, slots: list[_Slot]) -> None:
+    """One pass: exact counts below/inside each slot's interval and a quantile grid of the
+    values inside it. Slots of one column sharing an interval share one sketch."""
     grid = [i / GRID_POINTS for i in range(GRID_POINTS + 1)]
+    # the two rank slots of a column usually share their interval (always on the first
+    # pass); a column whose slots agree in every group gets one sketch, led by slot 2c
+    by_column: dict[int, dict[tuple, set]] = {}
+    for s in slots:
+        by_column.setdefault(s.slot // 2, {}).setdefault(s.group, set()).add((s.lo, s.hi))
+    shared = {c for c, groups in by_column.items() if all(len(iv) == 1 for iv in groups.values())}
+    lead_of = {s.slot: (s.slot // 2) * 2 if s.slot // 2 in shared else s.slot for s in slots}
+    leads = sorted(set(lead_of.values()))
+    state_slots: dict[tuple, _Slot] = {}
+    for s in slots:
+        state_slots.setdefault((s.group, lead_of[s.slot]),
+                               _Slot(group=s.group, slot=lead_of[s.slot], k=s.k, lo=s.lo, hi=s.hi))
     fields = {"lo": lambda s: s.lo, "hi": lambda s: s.hi, "on": lambda s: True}
-    frame, st = plan.with_state(slots, fields)
+    frame, st = plan.with_state(list(state_slots.values()), fields)
     aggs = []
-    for sid in sorted({s.slot for s in slots}):
+    for sid in leads:
         x = F.col(plan.xcols[sid // 2])
         lo, hi, on = st(sid, "lo"), st(sid, "hi"), st(sid, "on")
         inside = on & _in_interval(x, lo, hi)
@@ -138,16 +162,17 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
     by_key = {(tuple(r[g] for g in plan.gcols)): r for r in result}
     for s in slots:
         row = by_key.get(s.group)
-        below = row[f"b{s.slot}"] if row else 0
-        m = row[f"m{s.slot}"] if row else 0
-        grid_vals = row[f"q{s.slot}"] if row else None
+        sid = lead_of[s.slot]
+        below = row[f"b{sid}"] if row else 0
+        m = row[f"m{sid}"] if row else 0
+        grid_vals = row[f"q{sid}"] if row else None
         r = s.k - below
         if not (0 <= r < m):
-            # the sketch bracket missed the rank: go back to the parent interval, wider
-            s.lo, s.hi, s.below, s.m = s.parent
-            s.checked, s.margin = True, s.margin * 4
+            if s.parent is None:
+                raise RuntimeError("exact selection lost a rank inside a verified interval")
+            s.revert()
             continue
-        s.below, s.m, s.checked = below, m, True
+        s.m, s.checked = m, True
         if s.lo is not None and s.lo == s.hi:
             s.value, s.done = s.lo, True
             continue
@@ -161,32 +186,46 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
         if (new_lo, new_hi) == (s.lo, s.hi):
             s.margin = max(s.margin / 2, 0.5)
             continue
-        s.parent = (s.lo, s.hi, s.below, s.m)
+        s.parent = (s.lo, s.hi, m)
+        span = (min(i_hi, GRID_POINTS) - max(i_lo, 0)) / GRID_POINTS + 2 * eps
         s.lo, s.hi, s.checked = new_lo, new_hi, False
+        s.m = int(math.ceil(span * m)) + 1
 
 
 def _finish(plan: _Plan, slots: list[_Slot]) -> None:
+    """One pass: per slot, count the values below the interval (one NULL bucket) and each
+    distinct value inside it; the running count in value order gives exact global ranks.
+    A slot whose rank is not inside its interval goes back to the parent interval."""
     fields = {"lo": lambda s: s.lo, "hi": lambda s: s.hi, "on": lambda s: True,
-              "kr": lambda s: s.k - s.below}
+              "k": lambda s: s.k}
     frame, st = plan.with_state(slots, fields)
     entries = []
     for sid in sorted({s.slot for s in slots}):
         x = F.col(plan.xcols[sid // 2])
-        inside = st(sid, "on") & _in_interval(x, st(sid, "lo"), st(sid, "hi"))
-        entries.append(F.when(inside, F.struct(F.lit(sid).alias("slot"),
-                                               st(sid, "kr").alias("kr"), x.alias("v"))))
+        lo, hi, on = st(sid, "lo"), st(sid, "hi"), st(sid, "on")
+        below = on & x.isNotNull() & lo.isNotNull() & (x < lo)
+        inside = on & _in_interval(x, lo, hi)
+        entry = F.struct(F.lit(sid).alias("slot"), st(sid, "k").alias("k"),
+                         F.when(inside, x).alias("v"))
+        entries.append(F.when(inside | below, entry))
     stacked = frame.select(*plan.gcols, F.explode(
         F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
     counted = stacked.groupBy(*plan.gcols, F.col("e.slot").alias("slot"),
-                              F.col("e.kr").alias("kr"), F.col("e.v").alias("v")).count()
-    w = Window.partitionBy(*plan.gcols, "slot").orderBy("v")
+                              F.col("e.k").alias("k"), F.col("e.v").alias("v")).count()
+    w = Window.partitionBy(*plan.gcols, "slot").orderBy(F.col("v").asc_nulls_first())
     hits = (counted.withColumn("cum", F.sum("count").over(w))
-            .filter((F.col("cum") > F.col("kr")) & (F.col("cum") - F.col("count") <= F.col("kr")))
+            .filter(F.col("v").isNotNull() & (F.col("cum") > F.col("k"))
+                    & (F.col("cum") - F.col("count") <= F.col("k")))
             .select(*plan.gcols, "slot", "v").collect())
     found = {(tuple(r[g] for g in plan.gcols), r["slot"]): r["v"] for r in hits}
     for s in slots:
-        s.value = found.get((s.group, s.slot))
-        s.done = True
+        key = (s.group, s.slot)
+        if key in found:
+            s.value, s.done = found[key], True
+        elif s.parent is not None and not s.checked:
+            s.revert()
+        else:
+            raise RuntimeError("exact selection lost a rank inside a verified interval")
 
 
 def _select(plan: _Plan, slots: list[_Slot]) -> None:
@@ -194,10 +233,10 @@ def _select(plan: _Plan, slots: list[_Slot]) -> None:
         pending = [s for s in slots if not s.done]
         if not pending:
             return
-        ready = [s for s in pending if s.checked and s.m <= EXACT_LIMIT]
+        ready = [s for s in pending if s.finishable]
         if ready:
             _finish(plan, ready)
-        rest = [s for s in pending if not (s.checked and s.m <= EXACT_LIMIT)]
+        rest = [s for s in pending if not s.finishable and not s.done]
         if rest:
             _refine(plan, rest)
     pending = [s for s in slots if not s.done]
@@ -222,7 +261,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
     columns = list(columns)
     plan = _Plan(df, columns, by)
     counts = plan.grouped(plan.data).agg(
-        *[F.count(x).alias(f"n{i}") for i, x in enumerate(plan.xcols)]
+        *[F.count(x).alias(f"n{i}") for i, x in enumerate(plan.xcols)],
+        *[F.approx_count_distinct(x, 0.05).alias(f"d{i}") for i, x in enumerate(plan.xcols)]
     ).limit(MAX_GROUPS + 1).collect()
     if len(counts) > MAX_GROUPS:
         return df.groupBy(*[quote(b) for b in by]).agg(
@@ -238,8 +278,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
                 continue
             k_lo, k_hi, frac = _rank_pair(n, q)
             fracs[(group, i)] = frac
-            slots.append(_Slot(group=group, slot=2 * i, k=k_lo, m=n))
-            slots.append(_Slot(group=group, slot=2 * i + 1, k=k_hi, m=n))
+            d = float(row[f"d{i}"])
+            slots.append(_Slot(group=group, slot=2 * i, k=k_lo, m=n, distinct=d))
+            slots.append(_Slot(group=group, slot=2 * i + 1, k=k_hi, m=n, distinct=d))
     _select(plan, slots)
     values = {(s.group, s.slot): s.value for s in slots}
 
@@ -267,9 +308,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
 def kth_smallest(df: DataFrame, column: str, k: int) -> float | None:
     """Exact k-th smallest non-NULL value (0-based) of one column, or None."""
     plan = _Plan(df, [column], [])
-    n = plan.data.agg(F.count(plan.xcols[0]).alias("n")).collect()[0]["n"]
+    row = plan.data.agg(F.count(plan.xcols[0]).alias("n"),
+                        F.approx_count_distinct(plan.xcols[0], 0.05).alias("d")).collect()[0]
+    n = row["n"]
     if k < 0 or k >= n:
         return None
-    slot = _Slot(group=(), slot=0, k=k, m=n)
+    slot = _Slot(group=(), slot=0, k=k, m=n, distinct=float(row["d"]))
     _select(plan, [slot])
     return slot.value
