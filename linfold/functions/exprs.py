@@ -83,9 +83,9 @@ def round_sig_sql(expr: str, digits: int = 6) -> str:
 
 
 def word_count(c: str | Column) -> Column:
-    """Number of whitespace-separated tokens of a text column (whole text)."""
-    tokens = F.split(_as_col(c), r"\s+")
-    return F.size(F.filter(tokens, lambda t: t != F.lit(""))).cast("double")
+    """Number of whitespace-separated tokens of a text column (whole text); a regex match
+    count, so it stays inside whole-stage codegen (no lambda)."""
+    return F.regexp_count(_as_col(c), F.lit(r"\S+")).cast("double")
 
 
 def word_count_sql(expr: str) -> str:

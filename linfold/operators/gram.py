@@ -10,7 +10,8 @@ d+2 or (d+2)^2 numbers per partition cross the shuffle; the driver receives only
   on the driver.
 
 Small d: plain SQL sums (Catalyst, whole-stage codegen). Wide d: ``mapInArrow`` with a
-NumPy block product per Arrow batch, combined with ``posexplode -> groupBy(pos) -> sum``.
+NumPy block product per Arrow batch; the per-partition partial vectors are cut into
+fixed-size blocks and summed per block with ``Summarizer.sum`` (parallel across blocks).
 """
 
 from __future__ import annotations
@@ -38,6 +39,44 @@ def _check_weights(features: list[str], weights) -> np.ndarray:
     return w
 
 
+BLOCK = 16_384
+
+
+def vector_blocks(vec: np.ndarray) -> pa.RecordBatch:
+    """A partition's partial vector as rows (blk, vals) of at most ``BLOCK`` numbers."""
+    ids, vals = [], []
+    for blk, start in enumerate(range(0, max(len(vec), 1), BLOCK)):
+        ids.append(blk)
+        vals.append(vec[start:start + BLOCK].tolist())
+    return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()),
+                                       pa.array(vals, pa.list_(pa.float64()))],
+                                      names=["blk", "vals"])
+
+
+BLOCK_SCHEMA = "blk int, vals array<double>"
+
+
+def sum_blocks(parts: DataFrame, width: int) -> np.ndarray:
+    """Element-wise sum of the partial vectors of all partitions.
+
+    Each partition contributes ``width / BLOCK`` rows; the blocks are summed with
+    ``Summarizer.sum`` per block id (partial per task, then one merge per block, in
+    parallel), so no task ever holds more than one block per partition and the driver
+    receives ``width`` numbers.
+    """
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    rows = (parts.groupBy("blk")
+            .agg(Summarizer.sum(array_to_vector(F.col("vals"))).alias("s")).collect())
+    out = np.zeros(width)
+    for r in rows:
+        start = r["blk"] * BLOCK
+        block = r["s"].toArray()
+        out[start:start + len(block)] = block
+    return out
+
+
 def _arrow_sum(df: DataFrame, columns: list[str], kernel, width: int) -> np.ndarray:
     """Sum ``kernel(block)`` (a vector of ``width``) over all rows, per partition in Arrow."""
 
@@ -53,17 +92,11 @@ def _arrow_sum(df: DataFrame, columns: list[str], kernel, width: int) -> np.ndar
             acc += kernel(block)
             seen = True
         if seen:
-            yield pa.RecordBatch.from_arrays([pa.array([acc.tolist()], pa.list_(pa.float64()))],
-                                             names=["v"])
+            yield vector_blocks(acc)
 
     parts = df.select(*[_x(c).alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(
-        run, "v array<double>")
-    rows = (parts.select(F.posexplode("v").alias("pos", "val"))
-            .groupBy("pos").agg(F.sum("val").alias("s")).collect())
-    out = np.zeros(width)
-    for r in rows:
-        out[r["pos"]] = r["s"]
-    return out
+        run, BLOCK_SCHEMA)
+    return sum_blocks(parts, width)
 
 
 @dataclass(frozen=True)

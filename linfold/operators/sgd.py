@@ -11,13 +11,13 @@ neighbourhood as the row-sequential baseline, so it is checked with a tolerance.
 from __future__ import annotations
 
 import numpy as np
-import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import quote
 from linfold.operators.gd import TrainingResult, validate_training
+from linfold.operators.gram import BLOCK_SCHEMA, sum_blocks, vector_blocks
 
 
 def _local_pass(w: np.ndarray, x: np.ndarray, y: np.ndarray, lr: float, alpha: float,
@@ -66,16 +66,13 @@ def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
                     cur = _local_pass(cur, x, cols[d], learning_rate, alpha, rng)
                     n += batch.num_rows
                 if n:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([n], pa.int64()), pa.array([cur.tolist()], pa.list_(pa.float64()))],
-                        names=["n", "w"])
+                    # row-weighted: this partition contributes n * w and n
+                    yield vector_blocks(np.concatenate([[n], n * cur]))
 
-            parts = frame.mapInArrow(run, "n bigint, w array<double>")
-            row = parts.agg(F.sum("n").alias("n"), *[
-                F.sum(F.col("n") * F.col("w")[j]).alias(f"w{j}") for j in range(d + 1)]).collect()[0]
-            if not row["n"]:
+            total = sum_blocks(frame.mapInArrow(run, BLOCK_SCHEMA), d + 2)
+            if not total[0]:
                 raise ValueError("At least one training row is required.")
-            w = np.array([row[f"w{j}"] / row["n"] for j in range(d + 1)])
+            w = total[1:] / total[0]
     finally:
         frame.unpersist()
     return TrainingResult(w, [], epochs, tuple(features), not bool(np.all(np.isfinite(w))))

@@ -96,3 +96,14 @@ def test_errors(spark):
         compute_gradient(df.limit(0), feats, "y", [0.0, 1.0, 2.0])
     with pytest.raises(ValueError):
         chunk(df, 0)
+
+
+def test_wide_gram_spans_several_blocks(spark):
+    rng = np.random.default_rng(9)
+    X = rng.normal(size=(300, 130))
+    y = X @ rng.normal(size=130) + 0.5
+    df, feats = _frame(spark, X, y, 3)
+    st = gram_stats(df, feats, "y")            # (131)^2 + ... numbers: more than one block
+    Xc = X - X.mean(axis=0)
+    np.testing.assert_allclose(st.cxx, Xc.T @ Xc, rtol=1e-9, atol=1e-9)
+    np.testing.assert_allclose(st.cxy, Xc.T @ (y - y.mean()), rtol=1e-9, atol=1e-9)
