@@ -33,8 +33,8 @@ def run_stats(log: DataFrame, keys: tuple[str, ...] | list[str] = RUN_KEYS,
     for k in keys:
         c = basic[quote(k)].eqNullSafe(med[quote(k)])
         cond = c if cond is None else cond & c
-    # `med` has one row per group and at most MAX_GROUPS rows (size checked in select.py)
-    joined = basic.join(F.broadcast(med), cond, "inner")
+    # both sides hold one row per run; AQE picks the join strategy from their real size
+    joined = basic.join(med, cond, "inner")
     return joined.select(*[basic[quote(k)] for k in keys],
                          med["median_time"].alias("training_time"), med["median_time"],
                          "min_time", "max_time", "std_time")

@@ -244,6 +244,63 @@ def _select(plan: _Plan, slots: list[_Slot]) -> None:
         raise RuntimeError("exact selection did not converge; the candidate set stays too large")
 
 
+def _interpolate(a, b, frac: float):
+    if a is None:
+        return None
+    if frac == 0.0 or a == b:
+        return a
+    if frac == 0.5:
+        return (a + b) / 2.0
+    return a + (b - a) * frac
+
+
+def _interpolate_col(a: Column, b: Column, frac: Column) -> Column:
+    return (F.when((frac == 0) | (a == b), a)
+            .when(frac == 0.5, (a + b) / F.lit(2.0))
+            .otherwise(a + (b - a) * frac))
+
+
+def _slots_for(group: tuple, i: int, n: int, d: float, q: float) -> tuple[list[_Slot], float]:
+    k_lo, k_hi, frac = _rank_pair(n, q)
+    return [_Slot(group=group, slot=2 * i, k=k_lo, m=n, distinct=d),
+            _Slot(group=group, slot=2 * i + 1, k=k_hi, m=n, distinct=d)], frac
+
+
+def _small_group_quantiles(plan: _Plan, q: float, big: list[tuple]) -> DataFrame:
+    """Exact quantiles of every (group, column) whose distinct values are few: one
+    ``groupBy(group, column, value)`` with map-side combine, then a window per
+    (group, column) -- its size is the number of distinct values, bounded by the caller."""
+    stacked = plan.data.select(*plan.gcols, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("c"), F.col(x).alias("v")) for i, x in enumerate(plan.xcols)
+    ])).alias("e")).select(*plan.gcols, "e.c", "e.v").filter(F.col("v").isNotNull())
+    if big:
+        # leave the (group, column) pairs handled by the bounded refinement out
+        schema = T.StructType(
+            [T.StructField(f"_b{g}", t, True) for g, t in zip(plan.gcols, plan.key_types)]
+            + [T.StructField("_bc", T.IntegerType(), False)])
+        big_df = plan.spark.createDataFrame(big, schema)
+        cond = F.col("c") == F.col("_bc")
+        for g in plan.gcols:
+            cond = cond & F.col(g).eqNullSafe(F.col(f"_b{g}"))
+        stacked = stacked.join(F.broadcast(big_df), cond, "left_anti")
+    counted = stacked.groupBy(*plan.gcols, "c", "v").count()
+    part = Window.partitionBy(*plan.gcols, "c")
+    ranked = (counted.withColumn("cum", F.sum("count").over(part.orderBy("v")))
+              .withColumn("n", F.sum("count").over(part)))
+    pos = F.lit(float(q)) * (F.col("n") - 1).cast("double")
+    k_lo, k_hi = F.floor(pos), F.least(F.ceil(pos), F.col("n") - 1)
+    start = F.col("cum") - F.col("count")
+
+    def hit(k):
+        return F.when((F.col("cum") > k) & (start <= k), F.col("v"))
+
+    per = ranked.groupBy(*plan.gcols, "c").agg(
+        F.max(hit(k_lo)).alias("a"), F.max(hit(k_hi)).alias("b"),
+        F.max(pos - F.floor(pos)).alias("frac"))
+    return per.select(*plan.gcols, "c",
+                      _interpolate_col(F.col("a"), F.col("b"), F.col("frac")).alias("value"))
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
                     by: list[str] | None = None):
     """Exact quantile (linear interpolation between order statistics, as numpy/DuckDB).
@@ -252,57 +309,69 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
     NULL and NaN are ignored; a column without values gives None.
 
     Without ``by``: returns ``{column: value}``. With ``by``: a DataFrame with the group
-    keys and one column per input column. More than ``MAX_GROUPS`` groups fall back to
-    Spark's exact grouped ``percentile`` (then each group is typically small).
+    keys and one column per input column, for any number of groups. (group, column) pairs
+    with few distinct values are solved in one windowed pass; the few with many rows and
+    many distinct values (at most n / EXACT_LIMIT of them, checked against ``MAX_GROUPS``)
+    go through the bounded refinement, so a group holding a third of the rows is fine.
     """
     if not 0.0 <= q <= 1.0:
         raise ValueError("q must lie in [0, 1].")
     by = list(by or [])
     columns = list(columns)
     plan = _Plan(df, columns, by)
-    counts = plan.grouped(plan.data).agg(
+    sizes = plan.grouped(plan.data).agg(
         *[F.count(x).alias(f"n{i}") for i, x in enumerate(plan.xcols)],
-        *[F.approx_count_distinct(x, 0.05).alias(f"d{i}") for i, x in enumerate(plan.xcols)]
-    ).limit(MAX_GROUPS + 1).collect()
-    if len(counts) > MAX_GROUPS:
-        return df.groupBy(*[quote(b) for b in by]).agg(
-            *[F.percentile(nan_to_null(F.col(quote(c)).cast("double")), q).alias(c)
-              for c in columns])
-    slots: list[_Slot] = []
-    fracs: dict[tuple, float] = {}
-    for row in counts:
+        *[F.approx_count_distinct(x, 0.05).alias(f"d{i}") for i, x in enumerate(plan.xcols)])
+    if not by:
+        row = sizes.collect()[0]
+        slots, fracs = [], {}
+        for i in range(len(columns)):
+            if row[f"n{i}"]:
+                pair, fracs[i] = _slots_for((), i, row[f"n{i}"], float(row[f"d{i}"]), q)
+                slots += pair
+        _select(plan, slots)
+        values = {s.slot: s.value for s in slots}
+        return {c: (_interpolate(values[2 * i], values[2 * i + 1], fracs[i]) if i in fracs else None)
+                for i, c in enumerate(columns)}
+
+    big_cond = F.lit(False)
+    for i in range(len(columns)):
+        big_cond = big_cond | ((F.col(f"n{i}") > EXACT_LIMIT)
+                               & (F.col(f"d{i}") > EXACT_LIMIT / 2))
+    big_rows = sizes.filter(big_cond).limit(MAX_GROUPS + 1).collect()
+    if len(big_rows) > MAX_GROUPS:
+        raise ValueError(f"More than {MAX_GROUPS} groups hold over {EXACT_LIMIT} distinct values.")
+    slots, fracs, big = [], {}, []
+    for row in big_rows:
         group = tuple(row[g] for g in plan.gcols)
         for i in range(len(columns)):
-            n = row[f"n{i}"]
-            if not n:
-                continue
-            k_lo, k_hi, frac = _rank_pair(n, q)
-            fracs[(group, i)] = frac
-            d = float(row[f"d{i}"])
-            slots.append(_Slot(group=group, slot=2 * i, k=k_lo, m=n, distinct=d))
-            slots.append(_Slot(group=group, slot=2 * i + 1, k=k_hi, m=n, distinct=d))
-    _select(plan, slots)
-    values = {(s.group, s.slot): s.value for s in slots}
-
-    def combine(group: tuple, i: int):
-        if (group, i) not in fracs:
-            return None
-        a, b = values[(group, 2 * i)], values[(group, 2 * i + 1)]
-        frac = fracs[(group, i)]
-        if frac == 0.0 or a == b:
-            return a
-        if frac == 0.5:
-            return (a + b) / 2.0
-        return a + (b - a) * frac
-
-    if not by:
-        return {c: combine((), i) for i, c in enumerate(columns)}
-    groups = [tuple(r[g] for g in plan.gcols) for r in counts]
-    schema = T.StructType(
-        [T.StructField(b, t, True) for b, t in zip(by, plan.key_types)]
-        + [T.StructField(c, T.DoubleType(), True) for c in columns])
-    rows = [tuple(g) + tuple(combine(g, i) for i in range(len(columns))) for g in groups]
-    return df.sparkSession.createDataFrame(rows, schema)
+            n, d = row[f"n{i}"], float(row[f"d{i}"])
+            if n > EXACT_LIMIT and d > EXACT_LIMIT / 2:
+                pair, fracs[(group, i)] = _slots_for(group, i, n, d, q)
+                slots += pair
+                big.append(group + (i,))
+    long = _small_group_quantiles(plan, q, big)
+    if slots:
+        _select(plan, slots)
+        values = {(s.group, s.slot): s.value for s in slots}
+        rows = [g + (i, _interpolate(values[(g, 2 * i)], values[(g, 2 * i + 1)], frac))
+                for (g, i), frac in fracs.items()]
+        schema = T.StructType(
+            [T.StructField(g, t, True) for g, t in zip(plan.gcols, plan.key_types)]
+            + [T.StructField("c", T.IntegerType(), False),
+               T.StructField("value", T.DoubleType(), True)])
+        long = long.unionByName(plan.spark.createDataFrame(rows, schema))
+    groups = sizes.select(*plan.gcols)
+    wide = long.groupBy(*plan.gcols).agg(
+        *[F.max(F.when(F.col("c") == i, F.col("value"))).alias(f"_v{i}")
+          for i in range(len(columns))])
+    cond = None
+    for g in plan.gcols:
+        c = groups[g].eqNullSafe(wide[g])
+        cond = c if cond is None else cond & c
+    out = groups.join(wide, cond, "left")
+    return out.select(*[groups[g].alias(b) for g, b in zip(plan.gcols, by)],
+                      *[F.col(f"_v{i}").alias(c) for i, c in enumerate(columns)])
 
 
 def kth_smallest(df: DataFrame, column: str, k: int) -> float | None:

@@ -84,3 +84,23 @@ def test_split_errors(spark):
         split_flag(df, 1.5)
     with pytest.raises(ValueError):
         split_flag(df, 0.2, key="missing")
+
+
+def test_grouped_median_mixes_windowed_and_refined_groups(spark, small_limits):
+    rng = np.random.default_rng(3)
+    hot = pd.DataFrame({"g": "hot", "v": rng.normal(size=600), "w": 1.0})
+    small = pd.DataFrame({"g": rng.choice([f"s{i}" for i in range(30)], 300),
+                          "v": rng.integers(0, 5, 300).astype(float), "w": np.nan})
+    pdf = pd.concat([hot, small], ignore_index=True)
+    df = spark.createDataFrame(pdf)
+    got = {r.g: (r.v, r.w) for r in exact_quantiles(df, ["v", "w"], 0.5, by=["g"]).collect()}
+    assert len(got) == pdf["g"].nunique()
+    for key, grp in pdf.groupby("g"):
+        assert got[key][0] == np.median(grp["v"])
+        assert got[key][1] == (1.0 if key == "hot" else None)
+
+
+def test_grouped_median_default_limits_null_key(spark):
+    pdf = pd.DataFrame({"g": ["a", "a", None, None, None, "b"], "v": [1.0, 2.0, 5.0, 1.0, 3.0, 7.0]})
+    got = {r.g: r.v for r in exact_quantiles(spark.createDataFrame(pdf), ["v"], 0.5, by=["g"]).collect()}
+    assert got == {"a": 1.5, None: 3.0, "b": 7.0}
