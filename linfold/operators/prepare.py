@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from linfold.operators.preprocess import MAX_CATEGORIES, Preprocessor, PreprocessorModel
 from linfold.operators.split import train_test_split
 from linfold.operators.target import TARGET_SCALE, split_target
+from linfold.session import materialize as keep_for_passes
 
 
 @dataclass(frozen=True)
@@ -32,10 +32,13 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
                             target_scale: float = TARGET_SCALE, spark: SparkSession | None = None,
                             id_columns: tuple[str, ...] | list[str] = (),
                             split_key: str | list[str] | None = None, split_mode: str = "hash",
-                            max_categories: int = MAX_CATEGORIES) -> PreparedData:
+                            max_categories: int = MAX_CATEGORIES,
+                            materialize: str = "persist") -> PreparedData:
     """Split first, then fit the preprocessing on the train split only.
 
     ``split_key`` defaults to the id columns, or to every column when there are none.
+    ``materialize`` keeps the raw train split for the fit passes and the training that
+    follows: ``persist`` (cache) or ``checkpoint`` (shared folder, lineage cut).
     """
     if isinstance(source, DataFrame):
         df = source
@@ -49,7 +52,7 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
     frame, features = split_target(df, target_column, target_scale, id_columns)
     key = split_key if split_key is not None else (list(id_columns) or None)
     raw_train, raw_test = train_test_split(frame, test_size, random_state, key=key, mode=split_mode)
-    raw_train = raw_train.persist(StorageLevel.MEMORY_AND_DISK)
+    raw_train = keep_for_passes(raw_train, materialize)
     model = Preprocessor(features, max_categories).fit(raw_train)
     keep = list(id_columns) + [target_column]
     train = model.transform(raw_train, keep)

@@ -11,7 +11,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.ui.enabled": "false",
@@ -59,3 +60,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df: DataFrame, how: str = "persist") -> DataFrame:
+    """Keep ``df`` for repeated passes.
+
+    ``persist``: MEMORY_AND_DISK cache; a lost executor recomputes its partitions from
+    lineage. ``checkpoint``: written to the shared checkpoint folder with the lineage cut,
+    so a lost executor re-reads instead of recomputing (for long iterative jobs).
+    ``none``: leave as is.
+    """
+    if how == "persist":
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if how == "checkpoint":
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if how == "none":
+        return df
+    raise ValueError("how must be 'persist', 'checkpoint' or 'none'.")
