@@ -107,3 +107,22 @@ def test_wide_gram_spans_several_blocks(spark):
     Xc = X - X.mean(axis=0)
     np.testing.assert_allclose(st.cxx, Xc.T @ Xc, rtol=1e-9, atol=1e-9)
     np.testing.assert_allclose(st.cxy, Xc.T @ (y - y.mean()), rtol=1e-9, atol=1e-9)
+
+
+def test_reference_names(spark):
+    from linfold import compat
+    rng = np.random.default_rng(7)
+    X, y, w = rng.normal(size=(11, 3)), rng.normal(size=11), rng.normal(size=4)
+    df, feats = _frame(spark, X, y, 4)
+    serial = compat.compute_gradient_serial(df, feats, "y", w)
+    parts = [compat.compute_gradient_chunk(df.filter(f"x0 {op} 0"), feats, "y", w)
+             for op in ("<", ">=")]
+    np.testing.assert_allclose(compat.aggregate_chunk_gradients(parts), serial, rtol=1e-12, atol=1e-12)
+    for p in (1, 2, 4):
+        np.testing.assert_allclose(compat.compute_parallel_gradient(df, feats, "y", w, p), serial,
+                                   rtol=1e-12, atol=1e-12)
+    a = compat.train_serial_gradient_descent(df, feats, "y", epochs=20, random_state=1)
+    b = compat.train_parallel_gradient_descent(df, feats, "y", epochs=20, num_processes=3, random_state=1)
+    np.testing.assert_allclose(a.weights, b.weights, rtol=1e-10, atol=1e-10)
+    with pytest.raises(ValueError):
+        compat.aggregate_chunk_gradients([(np.zeros(4), 0)])
