@@ -5,9 +5,11 @@ Categorical branch: most-frequent imputation -> one-hot, one column per train ca
 unseen categories map to all zeros. Numeric block first, then categorical; every other
 column is dropped unless passed through explicitly.
 
-Fit cost: three aggregate passes over ``train`` (medians via the exact bounded selection,
-mean/std of the filled columns, one stacked ``groupBy(column, value)`` for modes and
-category lists); only per-column statistics reach the driver. Transform is a single
+Fit cost: one aggregate pass for counts/mean/variance/distinct estimates of the numeric
+columns, the exact medians (one more pass for low-cardinality columns, see ``select.py``;
+the median-filled mean/std follow by exact pooling), and one stacked
+``groupBy(column, value)`` for modes and category lists. Only per-column statistics reach
+the driver. Transform is a single
 narrow ``select`` -- no shuffle, fused into whole-stage codegen.
 """
 
@@ -89,22 +91,34 @@ class Preprocessor:
         means: dict[str, float] = {}
         scales: dict[str, float] = {}
         if numeric:
-            med = exact_quantiles(train, numeric, 0.5)
-            kept = [c for c in numeric if med[c] is not None]
-            dropped += [c for c in numeric if med[c] is None]
-            medians = {c: float(med[c]) for c in kept}
-            aggs = []
-            for i, c in enumerate(kept):
-                filled = F.coalesce(nan_to_null(F.col(quote(c)).cast("double")), F.lit(medians[c]))
-                aggs += [F.avg(filled).alias(f"m{i}"), F.var_pop(filled).alias(f"v{i}")]
-            if aggs:
-                row = train.agg(F.count(F.lit(1)).alias("n"), *aggs).collect()[0]
-                n = row["n"]
-                for i, c in enumerate(kept):
-                    mean, var = float(row[f"m{i}"]), float(row[f"v{i}"])
-                    means[c] = mean
-                    scales[c] = 1.0 if _is_constant(var, mean, n) else float(np.sqrt(var))
-            numeric = kept
+            # one pass: counts, mean, variance and distinct estimate of the raw values; the
+            # exact medians reuse the counts, and the statistics of the median-filled column
+            # follow exactly from pooling the values with their NULLs set to the median
+            aggs = [F.count(F.lit(1)).alias("rows")]
+            for i, c in enumerate(numeric):
+                x = nan_to_null(F.col(quote(c)).cast("double"))
+                aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                         F.var_pop(x).alias(f"v{i}"),
+                         F.approx_count_distinct(x, 0.05).alias(f"d{i}")]
+            row = train.agg(*aggs).collect()[0]
+            total = row["rows"]
+            present = [c for i, c in enumerate(numeric) if row[f"n{i}"]]
+            dropped += [c for c in numeric if c not in present]
+            stats = {c: (row[f"n{i}"], float(row[f"d{i}"] or 0), row[f"m{i}"], row[f"v{i}"])
+                     for i, c in enumerate(numeric) if c in present}
+            med = exact_quantiles(train, present, 0.5,
+                                  sizes={c: stats[c][:2] for c in present}) if present else {}
+            for c in present:
+                m, _, mu, var = stats[c]
+                medians[c] = float(med[c])
+                fill = total - m
+                mean = (m * mu + fill * medians[c]) / total if fill else float(mu)
+                if fill:
+                    var = (m * var + m * (mu - mean) ** 2
+                           + fill * (medians[c] - mean) ** 2) / total
+                means[c] = float(mean)
+                scales[c] = 1.0 if _is_constant(float(var), mean, total) else float(np.sqrt(var))
+            numeric = present
 
         modes: dict[str, str] = {}
         categories: dict[str, tuple[str, ...]] = {}

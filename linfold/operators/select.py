@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -88,7 +89,8 @@ class _Plan:
     def with_state(self, slots: list[_Slot], fields: dict[str, callable]):
         """Return (frame, accessor) where accessor(slot_id, field) gives a Column."""
         slot_ids = sorted({s.slot for s in slots})
-        types = {"on": T.BooleanType(), "k": T.LongType()}
+        types = {"on": T.BooleanType(), "k": T.LongType(), "ka": T.LongType(),
+                 "kb": T.LongType()}
         if not self.gcols:
             by_id = {s.slot: s for s in slots}
 
@@ -134,13 +136,7 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
     """One pass: exact counts below/inside each slot's interval and a quantile grid of the
     values inside it. Slots of one column sharing an interval share one sketch."""
     grid = [i / GRID_POINTS for i in range(GRID_POINTS + 1)]
-    # the two rank slots of a column usually share their interval (always on the first
-    # pass); a column whose slots agree in every group gets one sketch, led by slot 2c
-    by_column: dict[int, dict[tuple, set]] = {}
-    for s in slots:
-        by_column.setdefault(s.slot // 2, {}).setdefault(s.group, set()).add((s.lo, s.hi))
-    shared = {c for c, groups in by_column.items() if all(len(iv) == 1 for iv in groups.values())}
-    lead_of = {s.slot: (s.slot // 2) * 2 if s.slot // 2 in shared else s.slot for s in slots}
+    lead_of = _leaders(slots)
     leads = sorted(set(lead_of.values()))
     state_slots: dict[tuple, _Slot] = {}
     for s in slots:
@@ -192,34 +188,67 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
         s.m = int(math.ceil(span * m)) + 1
 
 
+def _leaders(slots: list[_Slot]) -> dict[int, int]:
+    """The two rank slots (2c, 2c+1) of a column usually share their interval (always at
+    first); when they do in every group, slot 2c leads both and one entry/sketch serves
+    them. Returns slot id -> leading slot id."""
+    by_column: dict[int, dict[tuple, set]] = {}
+    for s in slots:
+        by_column.setdefault(s.slot // 2, {}).setdefault(s.group, set()).add((s.lo, s.hi))
+    shared = {c for c, groups in by_column.items() if all(len(iv) == 1 for iv in groups.values())}
+    return {s.slot: (s.slot // 2) * 2 if s.slot // 2 in shared else s.slot for s in slots}
+
+
 def _finish(plan: _Plan, slots: list[_Slot]) -> None:
-    """One pass: per slot, count the values below the interval (one NULL bucket) and each
+    """One pass: per interval, count the values below it (one NULL bucket) and each
     distinct value inside it; the running count in value order gives exact global ranks.
     A slot whose rank is not inside its interval goes back to the parent interval."""
+    lead_of = _leaders(slots)
+    state: dict[tuple, SimpleNamespace] = {}
+    for s in slots:
+        lead = lead_of[s.slot]
+        st_ = state.setdefault((s.group, lead), SimpleNamespace(
+            group=s.group, slot=lead, lo=s.lo, hi=s.hi, ka=s.k, kb=s.k))
+        if s.slot != lead:
+            st_.kb = s.k
+        elif s.slot == lead and s.slot % 2 == 0:
+            st_.ka = s.k
     fields = {"lo": lambda s: s.lo, "hi": lambda s: s.hi, "on": lambda s: True,
-              "k": lambda s: s.k}
-    frame, st = plan.with_state(slots, fields)
+              "ka": lambda s: s.ka, "kb": lambda s: s.kb}
+    frame, st = plan.with_state(list(state.values()), fields)
     entries = []
-    for sid in sorted({s.slot for s in slots}):
+    for sid in sorted({v.slot for v in state.values()}):
         x = F.col(plan.xcols[sid // 2])
         lo, hi, on = st(sid, "lo"), st(sid, "hi"), st(sid, "on")
         below = on & x.isNotNull() & lo.isNotNull() & (x < lo)
         inside = on & _in_interval(x, lo, hi)
-        entry = F.struct(F.lit(sid).alias("slot"), st(sid, "k").alias("k"),
-                         F.when(inside, x).alias("v"))
+        entry = F.struct(F.lit(sid).alias("slot"), st(sid, "ka").alias("ka"),
+                         st(sid, "kb").alias("kb"), F.when(inside, x).alias("v"))
         entries.append(F.when(inside | below, entry))
     stacked = frame.select(*plan.gcols, F.explode(
         F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
-    counted = stacked.groupBy(*plan.gcols, F.col("e.slot").alias("slot"),
-                              F.col("e.k").alias("k"), F.col("e.v").alias("v")).count()
+    counted = stacked.groupBy(*plan.gcols, F.col("e.slot").alias("slot"), F.col("e.ka").alias("ka"),
+                              F.col("e.kb").alias("kb"), F.col("e.v").alias("v")).count()
     w = Window.partitionBy(*plan.gcols, "slot").orderBy(F.col("v").asc_nulls_first())
+    cum, start = F.col("cum"), F.col("cum") - F.col("count")
+
+    def crosses(k):
+        return (cum > F.col(k)) & (start <= F.col(k))
+
     hits = (counted.withColumn("cum", F.sum("count").over(w))
-            .filter(F.col("v").isNotNull() & (F.col("cum") > F.col("k"))
-                    & (F.col("cum") - F.col("count") <= F.col("k")))
-            .select(*plan.gcols, "slot", "v").collect())
-    found = {(tuple(r[g] for g in plan.gcols), r["slot"]): r["v"] for r in hits}
+            .filter(F.col("v").isNotNull() & (crosses("ka") | crosses("kb")))
+            .select(*plan.gcols, "slot", "v", crosses("ka").alias("is_a"),
+                    crosses("kb").alias("is_b")).collect())
+    found: dict[tuple, float] = {}
+    for r in hits:
+        key = tuple(r[g] for g in plan.gcols)
+        if r["is_a"]:
+            found[(key, r["slot"], "a")] = r["v"]
+        if r["is_b"]:
+            found[(key, r["slot"], "b")] = r["v"]
     for s in slots:
-        key = (s.group, s.slot)
+        lead = lead_of[s.slot]
+        key = (s.group, lead, "b" if s.slot != lead else "a")
         if key in found:
             s.value, s.done = found[key], True
         elif s.parent is not None and not s.checked:
@@ -302,14 +331,17 @@ def _small_group_quantiles(plan: _Plan, q: float, big: list[tuple]) -> DataFrame
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
-                    by: list[str] | None = None):
+                    by: list[str] | None = None,
+                    sizes: dict[str, tuple[int, float]] | None = None):
     """Exact quantile (linear interpolation between order statistics, as numpy/DuckDB).
 
     ``q = 0.5`` is the median: the middle value, or the mean of the two middle values.
     NULL and NaN are ignored; a column without values gives None.
 
     Without ``by``: returns ``{column: value}``. With ``by``: a DataFrame with the group
-    keys and one column per input column, for any number of groups. (group, column) pairs
+    keys and one column per input column, for any number of groups. ``sizes`` (global
+    only): precomputed ``{column: (non-NULL count, approx distinct count)}`` from a pass the
+    caller runs anyway, saving the counting pass. (group, column) pairs
     with few distinct values are solved in one windowed pass; the few with many rows and
     many distinct values (at most n / EXACT_LIMIT of them, checked against ``MAX_GROUPS``)
     go through the bounded refinement, so a group holding a third of the rows is fine.
@@ -319,11 +351,16 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
     by = list(by or [])
     columns = list(columns)
     plan = _Plan(df, columns, by)
+    known = sizes
     sizes = plan.grouped(plan.data).agg(
         *[F.count(x).alias(f"n{i}") for i, x in enumerate(plan.xcols)],
         *[F.approx_count_distinct(x, 0.05).alias(f"d{i}") for i, x in enumerate(plan.xcols)])
     if not by:
-        row = sizes.collect()[0]
+        if known is not None:
+            row = {**{f"n{i}": known[c][0] for i, c in enumerate(columns)},
+                   **{f"d{i}": known[c][1] for i, c in enumerate(columns)}}
+        else:
+            row = sizes.collect()[0]
         slots, fracs = [], {}
         for i in range(len(columns)):
             if row[f"n{i}"]:

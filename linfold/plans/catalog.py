@@ -31,7 +31,7 @@ from linfold.operators.select import exact_quantiles
 from linfold.operators.sgd import fit_sgd
 from linfold.operators.split import hash_test_flag, split_flag
 from linfold.operators.target import TARGET_SCALE, split_target
-from linfold.session import scratch_path
+from linfold.session import materialize, scratch_path
 from linfold.sources.io import load_table, save_processed_splits, write_results, write_table
 from linfold.sources.synth import synthetic_frame
 
@@ -237,7 +237,7 @@ def q_scale(spark, sf):
                                              "l_extendedprice")
     feats = LI_FEATURES + ["l_extendedprice"]
     train = li.filter(~hash_test_flag(SEED, ["l_orderkey", "l_linenumber"], TEST_SIZE))
-    model = Preprocessor(feats).fit(train)
+    model = Preprocessor(feats).fit(materialize(train.select(*feats)))
     return _rounded(model.transform(li, ["l_orderkey", "l_linenumber"]),
                     ["l_orderkey", "l_linenumber"])
 
