@@ -53,6 +53,8 @@ class _Slot:
     margin: float = 1.5
     value: float | None = None
     done: bool = False
+    less: int | None = None     # rows below the selected value (set by the finish pass)
+    equal: int | None = None    # rows equal to it
 
     @property
     def finishable(self) -> bool:
@@ -170,7 +172,7 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
             continue
         s.m, s.checked = m, True
         if s.lo is not None and s.lo == s.hi:
-            s.value, s.done = s.lo, True
+            s.value, s.less, s.equal, s.done = s.lo, below, m, True
             continue
         if m <= EXACT_LIMIT or not grid_vals:
             continue
@@ -237,20 +239,22 @@ def _finish(plan: _Plan, slots: list[_Slot]) -> None:
 
     hits = (counted.withColumn("cum", F.sum("count").over(w))
             .filter(F.col("v").isNotNull() & (crosses("ka") | crosses("kb")))
-            .select(*plan.gcols, "slot", "v", crosses("ka").alias("is_a"),
+            .select(*plan.gcols, "slot", "v", "cum", "count", crosses("ka").alias("is_a"),
                     crosses("kb").alias("is_b")).collect())
-    found: dict[tuple, float] = {}
+    found: dict[tuple, tuple] = {}
     for r in hits:
         key = tuple(r[g] for g in plan.gcols)
+        hit = (r["v"], r["cum"] - r["count"], r["count"])
         if r["is_a"]:
-            found[(key, r["slot"], "a")] = r["v"]
+            found[(key, r["slot"], "a")] = hit
         if r["is_b"]:
-            found[(key, r["slot"], "b")] = r["v"]
+            found[(key, r["slot"], "b")] = hit
     for s in slots:
         lead = lead_of[s.slot]
         key = (s.group, lead, "b" if s.slot != lead else "a")
         if key in found:
-            s.value, s.done = found[key], True
+            s.value, s.less, s.equal = found[key]
+            s.done = True
         elif s.parent is not None and not s.checked:
             s.revert()
         else:
@@ -411,14 +415,25 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
                       *[F.col(f"_v{i}").alias(c) for i, c in enumerate(columns)])
 
 
-def kth_smallest(df: DataFrame, column: str, k: int) -> float | None:
+def kth_smallest(df: DataFrame, column: str, k: int,
+                 sizes: tuple[int, float] | None = None) -> float | None:
     """Exact k-th smallest non-NULL value (0-based) of one column, or None."""
+    found = kth_smallest_with_counts(df, column, k, sizes)
+    return None if found is None else found[0]
+
+
+def kth_smallest_with_counts(df: DataFrame, column: str, k: int,
+                             sizes: tuple[int, float] | None = None):
+    """``(value, rows below it, rows equal to it)`` for the k-th smallest (0-based), or None.
+    ``sizes`` = (non-NULL count, approx distinct count) when the caller already has them."""
     plan = _Plan(df, [column], [])
-    row = plan.data.agg(F.count(plan.xcols[0]).alias("n"),
-                        F.approx_count_distinct(plan.xcols[0], 0.05).alias("d")).collect()[0]
-    n = row["n"]
+    if sizes is None:
+        row = plan.data.agg(F.count(plan.xcols[0]).alias("n"),
+                            F.approx_count_distinct(plan.xcols[0], 0.05).alias("d")).collect()[0]
+        sizes = (row["n"], float(row["d"]))
+    n, d = sizes
     if k < 0 or k >= n:
         return None
-    slot = _Slot(group=(), slot=0, k=k, m=n, distinct=float(row["d"]))
+    slot = _Slot(group=(), slot=0, k=k, m=n, distinct=float(d))
     _select(plan, [slot])
-    return slot.value
+    return slot.value, slot.less, slot.equal

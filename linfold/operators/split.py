@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import TWO_POW_52, hash52, quote
-from linfold.operators.select import kth_smallest
+from linfold.operators.select import kth_smallest, kth_smallest_with_counts
 
 _H = "__split_hash"
 _RID = "__split_rowid"
@@ -65,13 +65,14 @@ def split_flag(df: DataFrame, test_size: float | int = 0.2, seed: int = 42,
     if mode != "exact":
         raise ValueError("mode must be 'hash' or 'exact'.")
     base = df.withColumn(_H, hash52(seed, *keys))
-    n = base.count()
+    sizes = base.agg(F.count(F.lit(1)).alias("n"),
+                     F.approx_count_distinct(_H, 0.05).alias("d")).collect()[0]
+    n = sizes["n"]
     n_test = _test_count(n, test_size)
-    threshold = kth_smallest(base, _H, n_test - 1)
-    counts = base.agg(F.count(F.when(F.col(_H) < threshold, 1)).alias("lt"),
-                      F.count(F.when(F.col(_H) == threshold, 1)).alias("eq")).collect()[0]
-    need = n_test - counts["lt"]
-    if need == counts["eq"]:
+    threshold, less, equal = kth_smallest_with_counts(base, _H, n_test - 1,
+                                                      (n, float(sizes["d"])))
+    need = n_test - less
+    if need == equal:
         flag = F.col(_H) <= F.lit(threshold)
         out = base
     else:
