@@ -90,18 +90,28 @@ class Preprocessor:
         medians: dict[str, float] = {}
         means: dict[str, float] = {}
         scales: dict[str, float] = {}
+        # one pass: counts, mean, variance and distinct estimate of the numeric columns, and
+        # a distinct estimate of the categorical ones (so a column with too many categories
+        # fails before the category aggregation runs)
+        aggs = [F.count(F.lit(1)).alias("rows")]
+        for i, c in enumerate(numeric):
+            x = nan_to_null(F.col(quote(c)).cast("double"))
+            aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
+                     F.var_pop(x).alias(f"v{i}"),
+                     F.approx_count_distinct(x, 0.05).alias(f"d{i}")]
+        for i, c in enumerate(categorical):
+            aggs.append(F.approx_count_distinct(F.col(quote(c)), 0.05).alias(f"cd{i}"))
+        row = train.agg(*aggs).collect()[0]
+        total = row["rows"]
+        if total == 0:
+            raise ValueError("At least one training row is required for preprocessing.")
+        for i, c in enumerate(categorical):
+            if row[f"cd{i}"] > 1.2 * self.max_categories:
+                raise ValueError(f"Column {c} has about {row[f'cd{i}']} categories, more than "
+                                 f"{self.max_categories}; raise max_categories or encode differently.")
         if numeric:
-            # one pass: counts, mean, variance and distinct estimate of the raw values; the
-            # exact medians reuse the counts, and the statistics of the median-filled column
+            # the exact medians reuse the counts; the statistics of the median-filled column
             # follow exactly from pooling the values with their NULLs set to the median
-            aggs = [F.count(F.lit(1)).alias("rows")]
-            for i, c in enumerate(numeric):
-                x = nan_to_null(F.col(quote(c)).cast("double"))
-                aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                         F.var_pop(x).alias(f"v{i}"),
-                         F.approx_count_distinct(x, 0.05).alias(f"d{i}")]
-            row = train.agg(*aggs).collect()[0]
-            total = row["rows"]
             present = [c for i, c in enumerate(numeric) if row[f"n{i}"]]
             dropped += [c for c in numeric if c not in present]
             stats = {c: (row[f"n{i}"], float(row[f"d{i}"] or 0), row[f"m{i}"], row[f"v{i}"])
