@@ -20,6 +20,7 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linfold.functions.exprs import nan_to_null, quote
 from linfold.operators.select import exact_quantiles
@@ -53,8 +54,9 @@ class PreprocessorModel:
         filled = F.coalesce(nan_to_null(F.col(quote(c)).cast("double")), F.lit(self.medians[c]))
         return (filled - F.lit(self.means[c])) / F.lit(self.scales[c])
 
-    def category_exprs(self, c: str) -> list[Column]:
-        value = F.coalesce(F.col(quote(c)).cast("string"), F.lit(self.modes[c]))
+    def category_exprs(self, c: str, dtype: T.DataType | None = None) -> list[Column]:
+        raw = category_value(c, dtype) if dtype is not None else F.col(quote(c)).cast("string")
+        value = F.coalesce(raw, F.lit(self.modes[c]))
         return [F.when(value == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{v}")
                 for v in self.categories[c]]
 
@@ -63,12 +65,20 @@ class PreprocessorModel:
         names = self.feature_names
         exprs: list[Column] = [self.numeric_expr(c).alias(c) for c in self.numeric]
         for c in self.categorical:
-            exprs += self.category_exprs(c)
+            exprs += self.category_exprs(c, df.schema[c].dataType)
         out = df.select(*exprs, *[quote(p) for p in passthrough])
         assert out.columns[:len(names)] == names
         return out
 
 
+def category_value(c: str, dtype: T.DataType) -> Column:
+    """A categorical column as strings; booleans spelled as pandas prints them."""
+    col = F.col(quote(c))
+    if isinstance(dtype, T.BooleanType):
+        return F.when(col, F.lit("True")).when(~col, F.lit("False"))
+    return col.cast("string")
+
+
 def _is_constant(var: float, mean: float, n: int) -> bool:
     # a numerically constant column is scaled by 1, like a zero-variance one
     upper = n * _EPS * var + (n * mean * _EPS) ** 2
@@ -134,7 +144,7 @@ class Preprocessor:
         categories: dict[str, tuple[str, ...]] = {}
         if categorical:
             stacked = train.select(F.explode(F.array(*[
-                F.struct(F.lit(i).alias("c"), F.col(quote(c)).cast("string").alias("v"))
+                F.struct(F.lit(i).alias("c"), category_value(c, train.schema[c].dataType).alias("v"))
                 for i, c in enumerate(categorical)])).alias("e")).filter(F.col("e.v").isNotNull())
             limit = self.max_categories * len(categorical) + 1
             rows = (stacked.groupBy(F.col("e.c").alias("c"), F.col("e.v").alias("v"))

@@ -51,7 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="linfold-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach; "
+                               "a machine-local temporary folder does not work on a cluster.")
+        configured = tempfile.mkdtemp(prefix="linfold-ckpt-")   # local runs and tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
