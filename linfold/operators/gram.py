@@ -61,14 +61,27 @@ def vector_blocks(vec: np.ndarray) -> pa.RecordBatch:
 BLOCK_SCHEMA = "blk int, vals array<double>"
 
 
-def sum_blocks(parts: DataFrame, width: int) -> np.ndarray:
+# Partial vectors are merged on the driver (like RDD.aggregate) while partitions x width
+# stays below this many numbers (32 MB); beyond it, in parallel per block on the executors.
+DRIVER_MERGE_LIMIT = 4_000_000
+
+
+def sum_blocks(parts: DataFrame, width: int, partitions: int | None = None) -> np.ndarray:
     """Element-wise sum of the partial vectors of all partitions.
 
-    Each partition contributes ``width / BLOCK`` rows; the blocks are summed with
-    ``Summarizer.sum`` per block id (partial per task, then one merge per block, in
-    parallel), so no task ever holds more than one block per partition and the driver
-    receives ``width`` numbers.
+    Small results (``partitions * width <= DRIVER_MERGE_LIMIT``) are merged on the driver
+    in one stage. Otherwise each partition contributes ``width / BLOCK`` rows and the
+    blocks are summed with ``Summarizer.sum`` per block id (partial per task, then one
+    merge per block, in parallel), so no task holds more than one block per partition and
+    the driver receives ``width`` numbers.
     """
+    if partitions is not None and partitions * width <= DRIVER_MERGE_LIMIT:
+        out = np.zeros(width)
+        for r in parts.collect():
+            start = r["blk"] * BLOCK
+            block = np.asarray(r["vals"], dtype=float)
+            out[start:start + len(block)] += block
+        return out
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
@@ -99,9 +112,9 @@ def _arrow_sum(df: DataFrame, columns: list[str], kernel, width: int) -> np.ndar
         if seen:
             yield vector_blocks(acc)
 
-    parts = df.select(*[_x(c).alias(f"c{i}") for i, c in enumerate(columns)]).mapInArrow(
-        run, BLOCK_SCHEMA)
-    return sum_blocks(parts, width)
+    frame = df.select(*[_x(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    parts = frame.mapInArrow(run, BLOCK_SCHEMA)
+    return sum_blocks(parts, width, frame.rdd.getNumPartitions())
 
 
 @dataclass(frozen=True)

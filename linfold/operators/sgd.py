@@ -47,6 +47,7 @@ def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
     if num_partitions:
         frame = frame.repartition(num_partitions)
     frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    partitions = frame.rdd.getNumPartitions()
     w = np.zeros(d + 1)
     try:
         for epoch in range(epochs):
@@ -69,7 +70,7 @@ def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
                     # row-weighted: this partition contributes n * w and n
                     yield vector_blocks(np.concatenate([[n], n * cur]))
 
-            total = sum_blocks(frame.mapInArrow(run, BLOCK_SCHEMA), d + 2)
+            total = sum_blocks(frame.mapInArrow(run, BLOCK_SCHEMA), d + 2, partitions)
             if not total[0]:
                 raise ValueError("At least one training row is required.")
             w = total[1:] / total[0]
