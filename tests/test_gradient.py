@@ -98,7 +98,10 @@ def test_errors(spark):
         chunk(df, 0)
 
 
-def test_wide_gram_spans_several_blocks(spark):
+@pytest.mark.parametrize("merge_limit", [0, 10 ** 9])   # per-block Summarizer / driver merge
+def test_wide_gram_spans_several_blocks(spark, monkeypatch, merge_limit):
+    import linfold.operators.gram as G
+    monkeypatch.setattr(G, "DRIVER_MERGE_LIMIT", merge_limit)
     rng = np.random.default_rng(9)
     X = rng.normal(size=(300, 130))
     y = X @ rng.normal(size=130) + 0.5
