@@ -37,8 +37,13 @@ def _local_pass(w: np.ndarray, x: np.ndarray, y: np.ndarray, lr: float, alpha: f
 
 def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
             learning_rate: float = 0.01, alpha: float = 0.0, random_state: int = 42,
-            num_partitions: int | None = None) -> TrainingResult:
+            num_partitions: int | None = None, sync_every: int = 1) -> TrainingResult:
+    """``epochs`` passes over the data; the partition models are averaged every
+    ``sync_every`` passes (1 = after every pass; on one partition the value does not
+    matter). Each averaging round is one Spark job."""
     validate_training(epochs, learning_rate, alpha)
+    if sync_every < 1:
+        raise ValueError("sync_every must be at least 1.")
     features = list(features)
     d = len(features)
     frame = df.select(*[F.col(quote(c)).cast("double").alias(f"c{i}")
@@ -50,25 +55,29 @@ def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
     partitions = frame.rdd.getNumPartitions()
     w = np.zeros(d + 1)
     try:
-        for epoch in range(epochs):
-            start = w.copy()
+        for first in range(0, epochs, sync_every):
+            local = min(sync_every, epochs - first)
 
-            def run(batches, start=start, epoch=epoch):
+            def run(batches, start=w.copy(), first=first, local=local):
                 from pyspark import TaskContext
                 ctx = TaskContext.get()
                 pid = ctx.partitionId() if ctx else 0
-                rng = np.random.default_rng([random_state, epoch, pid])
-                cur, n = start, 0
+                xs, ys = [], []
                 for batch in batches:
                     if batch.num_rows == 0:
                         continue
                     cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(d + 1)]
-                    x = np.column_stack(cols[:d]) if d else np.zeros((batch.num_rows, 0))
-                    cur = _local_pass(cur, x, cols[d], learning_rate, alpha, rng)
-                    n += batch.num_rows
-                if n:
-                    # row-weighted: this partition contributes n * w and n
-                    yield vector_blocks(np.concatenate([[n], n * cur]))
+                    xs.append(np.column_stack(cols[:d]) if d else np.zeros((batch.num_rows, 0)))
+                    ys.append(cols[d])
+                if not ys:
+                    return
+                x, y = np.concatenate(xs), np.concatenate(ys)
+                cur = start
+                for epoch in range(first, first + local):
+                    rng = np.random.default_rng([random_state, epoch, pid])
+                    cur = _local_pass(cur, x, y, learning_rate, alpha, rng)
+                # row-weighted: this partition contributes n * w and n
+                yield vector_blocks(np.concatenate([[len(y)], len(y) * cur]))
 
             total = sum_blocks(frame.mapInArrow(run, BLOCK_SCHEMA), d + 2, partitions)
             if not total[0]:
