@@ -29,8 +29,10 @@ from linfold.functions.exprs import linear_combination, quote
 # spark.sql.codegen.maxFields (100), so the aggregate keeps whole-stage codegen; above it the
 # Arrow block product wins (measured: 1M rows, d=10 -> 0.69 s SQL vs 0.47 s Arrow).
 SQL_MAX_FEATURES = 8
-# the gradient partials carry only d + 3 buffers
-PARTIALS_SQL_MAX_FEATURES = 64
+# the gradient partials carry only d + 3 buffers, but literal weights mean a fresh codegen
+# compile per epoch; the Arrow pass overtakes from about d = 12 (1M rows: d=10 0.42 s SQL vs
+# 0.45 s Arrow, d=20 0.75 s vs 0.55 s)
+PARTIALS_SQL_MAX_FEATURES = 12
 
 
 def _x(c: str) -> Column:
