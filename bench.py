@@ -64,6 +64,7 @@ def main() -> None:
     _timed(q, "sgd_documents_20ep", lambda: fit_sgd(
         train, prep.feature_names, "n_chars", 20, 0.01, 0.0, 42))
     train.unpersist()
+    prep.release()
 
     # --- load workload on lineitem: Gram pass, GD 1000 epochs, per-epoch passes
     li = catalog._li_frame(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
@@ -106,7 +107,9 @@ def main() -> None:
         prep = catalog._doc_prepared(spark, sf_dir)
         results, _ = run_suite(spark, prep.train, prep.test, prep.feature_names, "n_chars",
                                epochs=20, learning_rate=0.01, partitions=[1, 2], repeats=2)
-        return results.collect()
+        out = results.collect()
+        prep.release()
+        return out
     _timed(q, "experiment_quick_check", quick_check)
 
     # --- every registered query, drained without collecting to the driver

@@ -25,6 +25,12 @@ class PreparedData:
     target_column: str
     target_scale: float
     id_columns: tuple[str, ...] = ()
+    kept: DataFrame | None = None   # the materialized raw train split behind `train`
+
+    def release(self) -> None:
+        """Drop the cached raw train split once training is done."""
+        if self.kept is not None and self.kept.is_cached:
+            self.kept.unpersist()
 
 
 def prepare_train_test_data(source: str | DataFrame, target_column: str = "median_house_value",
@@ -58,4 +64,4 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
     train = model.transform(raw_train, keep)
     test = model.transform(raw_test, keep)
     return PreparedData(train, test, model, model.feature_names, target_column, target_scale,
-                        tuple(id_columns))
+                        tuple(id_columns), raw_train)
