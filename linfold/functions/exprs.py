@@ -20,13 +20,24 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def hash52(seed: int | str, *keys: str | Column) -> Column:
-    """First 52 bits of ``md5('<seed>:<key1>:<key2>...')`` as a bigint in [0, 2^52).
+HASH_ALGORITHMS = ("md5", "xxhash64")
+
+
+def hash52(seed: int | str, *keys: str | Column, algorithm: str = "md5") -> Column:
+    """A 52-bit hash of ``seed`` and the key values as a bigint in [0, 2^52).
 
     Depends only on the key values, never on partitioning, and is exactly representable
-    as a double. The same number comes out of DuckDB with
-    ``('0x' || substr(md5(concat_ws(':', seed, key)), 1, 13))::BIGINT``.
+    as a double. ``md5`` (default) takes the first 52 bits of ``md5('<seed>:<k1>:...')``;
+    the same number comes out of DuckDB with
+    ``('0x' || substr(md5(concat_ws(':', seed, key)), 1, 13))::BIGINT``. ``xxhash64`` is
+    Spark's built-in 64-bit hash reduced mod 2^52: about ten times cheaper per row, for
+    when cross-engine reproducibility of the membership is not needed.
     """
+    if algorithm == "xxhash64":
+        return F.pmod(F.xxhash64(F.lit(str(seed)), *[_as_col(k) for k in keys]),
+                      F.lit(2 ** 52)).cast("bigint")
+    if algorithm != "md5":
+        raise ValueError(f"algorithm must be one of {HASH_ALGORITHMS}.")
     parts = [F.lit(str(seed))] + [_as_col(k).cast("string") for k in keys]
     digest = F.md5(F.concat_ws(":", *parts))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")

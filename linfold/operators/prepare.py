@@ -39,7 +39,8 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
                             id_columns: tuple[str, ...] | list[str] = (),
                             split_key: str | list[str] | None = None, split_mode: str = "hash",
                             max_categories: int = MAX_CATEGORIES,
-                            materialize: str = "persist") -> PreparedData:
+                            materialize: str = "persist",
+                            split_hash: str = "md5") -> PreparedData:
     """Split first, then fit the preprocessing on the train split only.
 
     ``split_key`` defaults to the id columns, or to every column when there are none.
@@ -57,7 +58,8 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
         df = load_table(spark, source)
     frame, features = split_target(df, target_column, target_scale, id_columns)
     key = split_key if split_key is not None else (list(id_columns) or None)
-    raw_train, raw_test = train_test_split(frame, test_size, random_state, key=key, mode=split_mode)
+    raw_train, raw_test = train_test_split(frame, test_size, random_state, key=key,
+                                           mode=split_mode, algorithm=split_hash)
     raw_train = keep_for_passes(raw_train, materialize)
     model = Preprocessor(features, max_categories).fit(raw_train)
     keep = list(id_columns) + [target_column]

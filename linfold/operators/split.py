@@ -47,24 +47,26 @@ def _test_count(n: int, test_size: float | int) -> int:
     return n_test
 
 
-def hash_test_flag(seed: int, keys: list[str], test_size: float) -> Column:
+def hash_test_flag(seed: int, keys: list[str], test_size: float,
+                   algorithm: str = "md5") -> Column:
     """True for rows of the hash-mode test set."""
     if not 0.0 < float(test_size) < 1.0:
         raise ValueError("test_size must be a fraction in (0, 1) in hash mode.")
-    return hash52(seed, *keys).cast("double") < F.lit(float(test_size) * TWO_POW_52)
+    return (hash52(seed, *keys, algorithm=algorithm).cast("double")
+            < F.lit(float(test_size) * TWO_POW_52))
 
 
 def split_flag(df: DataFrame, test_size: float | int = 0.2, seed: int = 42,
                key: str | list[str] | None = None, mode: str = "hash",
-               column: str = "split") -> DataFrame:
+               column: str = "split", algorithm: str = "md5") -> DataFrame:
     """``df`` plus a string column ``split`` with values ``'train'`` / ``'test'``."""
     keys = _key_columns(df, key)
     if mode == "hash":
-        flag = hash_test_flag(seed, keys, test_size)
+        flag = hash_test_flag(seed, keys, test_size, algorithm)
         return df.withColumn(column, F.when(flag, "test").otherwise("train"))
     if mode != "exact":
         raise ValueError("mode must be 'hash' or 'exact'.")
-    base = df.withColumn(_H, hash52(seed, *keys))
+    base = df.withColumn(_H, hash52(seed, *keys, algorithm=algorithm))
     sizes = base.agg(F.count(F.lit(1)).alias("n"),
                      F.approx_count_distinct(_H, 0.05).alias("d")).collect()[0]
     n = sizes["n"]
@@ -86,13 +88,13 @@ def split_flag(df: DataFrame, test_size: float | int = 0.2, seed: int = 42,
 
 
 def train_test_split(df: DataFrame, test_size: float | int = 0.2, seed: int = 42,
-                     key: str | list[str] | None = None,
-                     mode: str = "hash") -> tuple[DataFrame, DataFrame]:
+                     key: str | list[str] | None = None, mode: str = "hash",
+                     algorithm: str = "md5") -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into ``(train, test)`` before any statistic is fitted."""
     if mode == "hash":
-        flag = hash_test_flag(seed, _key_columns(df, key), test_size)
+        flag = hash_test_flag(seed, _key_columns(df, key), test_size, algorithm)
         return df.filter(~flag), df.filter(flag)
-    flagged = split_flag(df, test_size, seed, key, mode, column="__split")
+    flagged = split_flag(df, test_size, seed, key, mode, column="__split", algorithm=algorithm)
     return (flagged.filter(F.col("__split") == "train").drop("__split"),
             flagged.filter(F.col("__split") == "test").drop("__split"))
 

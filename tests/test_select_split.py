@@ -104,3 +104,13 @@ def test_grouped_median_default_limits_null_key(spark):
     pdf = pd.DataFrame({"g": ["a", "a", None, None, None, "b"], "v": [1.0, 2.0, 5.0, 1.0, 3.0, 7.0]})
     got = {r.g: r.v for r in exact_quantiles(spark.createDataFrame(pdf), ["v"], 0.5, by=["g"]).collect()}
     assert got == {"a": 1.5, None: 3.0, "b": 7.0}
+
+
+def test_xxhash_split_is_layout_independent_and_sized(spark):
+    df = spark.range(4000)
+    a = {r.id for r in train_test_split(df, 0.25, 5, key="id", algorithm="xxhash64")[1].collect()}
+    b = {r.id for r in train_test_split(df.repartition(6), 0.25, 5, key="id",
+                                        algorithm="xxhash64")[1].collect()}
+    assert a == b and 850 < len(a) < 1150
+    exact = split_flag(df, 0.25, 5, key="id", mode="exact", algorithm="xxhash64")
+    assert exact.filter("split = 'test'").count() == 1000
