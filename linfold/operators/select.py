@@ -227,8 +227,9 @@ def _finish(plan: _Plan, slots: list[_Slot]) -> None:
         entry = F.struct(F.lit(sid).alias("slot"), st(sid, "ka").alias("ka"),
                          st(sid, "kb").alias("kb"), F.when(inside, x).alias("v"))
         entries.append(F.when(inside | below, entry))
-    stacked = frame.select(*plan.gcols, F.explode(
-        F.filter(F.array(*entries), lambda e: e.isNotNull())).alias("e"))
+    # explode, then drop the NULL entries: no lambda, so the stage keeps whole-stage codegen
+    stacked = frame.select(*plan.gcols, F.explode(F.array(*entries)).alias("e")).filter(
+        F.col("e").isNotNull())
     counted = stacked.groupBy(*plan.gcols, F.col("e.slot").alias("slot"), F.col("e.ka").alias("ka"),
                               F.col("e.kb").alias("kb"), F.col("e.v").alias("v")).count()
     w = Window.partitionBy(*plan.gcols, "slot").orderBy(F.col("v").asc_nulls_first())
