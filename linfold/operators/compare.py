@@ -27,13 +27,15 @@ def compare_models(train: DataFrame, test: DataFrame, features: list[str], targe
                    epochs: int = 1000, learning_rate: float = 0.01, alpha: float = 0.0,
                    random_state: int | None = 42, early_stopping: bool = False,
                    tol: float = 1e-6, patience: int = 20, include_baselines: bool = True,
-                   include_sgd: bool = True, sgd_epochs: int | None = None, initial=None):
+                   include_sgd: bool = True, sgd_epochs: int | None = None, initial=None,
+                   stats=None):
     """Returns ``(metrics_frame, models)``; the frame has one row per model with
-    ``model, implementation, MSE, RMSE, MAE, R2``."""
+    ``model, implementation, MSE, RMSE, MAE, R2``. ``stats``: precomputed Gram statistics
+    of ``train`` (e.g. ``PreparedData.gram_stats()``, one-hot aware)."""
     features = list(features)
     cached = train.select(*features, target).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = gram_stats(cached, features, target)
+        stats = stats or gram_stats(cached, features, target)
         models = {GD_MODEL: fit_gd(cached, features, target, epochs, learning_rate, alpha,
                                    random_state, early_stopping, tol, patience,
                                    initial=initial, stats=stats).weights}

@@ -27,6 +27,14 @@ class PreparedData:
     id_columns: tuple[str, ...] = ()
     kept: DataFrame | None = None   # the materialized raw train split behind `train`
 
+    def gram_stats(self):
+        """Gram statistics of the prepared train split computed from grouped counts of the
+        raw columns (cost independent of the number of one-hot categories)."""
+        from linfold.operators.gram_onehot import onehot_gram_stats
+        if self.kept is None:
+            raise ValueError("the raw train split is not kept")
+        return onehot_gram_stats(self.kept, self.preprocessor, self.target_column)
+
     def release(self) -> None:
         """Drop the cached raw train split once training is done."""
         if self.kept is not None and self.kept.is_cached:
