@@ -347,17 +347,20 @@ def _li_frame(spark, sf):
 _LI_CTE = f"""li AS (SELECT l_quantity, l_discount, l_tax, l_extendedprice / {_d(TARGET_SCALE)} AS y FROM lineitem)"""
 
 
-def q_gram(spark, sf):
-    st = gram_stats(_li_frame(spark, sf), LI_FEATURES, "y")
+def _gram_rows(spark, st, y_name: str) -> DataFrame:
     g, b, c = st.raw()
-    names = ["intercept"] + LI_FEATURES
+    names = ["intercept"] + list(st.features)
     rows = [(names[i], names[j], float(g[i, j])) for i in range(len(names))
             for j in range(i, len(names))]
-    rows += [(names[i], "y", float(b[i])) for i in range(len(names))] + [("y", "y", float(c))]
+    rows += [(names[i], y_name, float(b[i])) for i in range(len(names))] + [(y_name, y_name, float(c))]
     return _rounded(spark.createDataFrame(rows, "row_name string, col_name string, value double"),
                     ["row_name", "col_name"])
 
 
+def q_gram(spark, sf):
+    return _gram_rows(spark, gram_stats(_li_frame(spark, sf), LI_FEATURES, "y"), "y")
+
+
 def _gram_sql() -> str:
     names = ["intercept"] + LI_FEATURES
     z = [_d(1.0)] + LI_FEATURES
@@ -372,6 +375,30 @@ def _gram_sql() -> str:
     return f"WITH {_LI_CTE}\n" + "\nUNION ALL ".join(parts)
 
 
+def q_gram_onehot(spark, sf):
+    prep = prepare_train_test_data(_doc_frame(spark, sf), "n_chars", TEST_SIZE, SEED, DOC_SCALE,
+                                   id_columns=["doc_id"])
+    return _gram_rows(spark, prep.gram_stats(), "y")
+
+
+def _gram_onehot_sql() -> str:
+    langs = ["de", "en", "es", "fr"]
+    feats = DOC_FEATURES + [f"lang_{v}" for v in langs]
+    onehot = ", ".join(f"CASE WHEN lang = '{v}' THEN 1.0 ELSE 0.0 END::DOUBLE AS lang_{v}" for v in langs)
+    z = [_d(1.0)] + feats
+    names = ["intercept"] + feats
+    parts = []
+    for i in range(len(z)):
+        for j in range(i, len(z)):
+            parts.append(f"SELECT '{names[i]}' AS row_name, '{names[j]}' AS col_name, "
+                         f"{_rs(f'sum({z[i]} * {z[j]})', 'value')} FROM t")
+    for i in range(len(z)):
+        parts.append(f"SELECT '{names[i]}', 'y', {round_sig_sql(f'sum({z[i]} * n_chars)')} FROM t")
+    parts.append(f"SELECT 'y', 'y', {round_sig_sql('sum(n_chars * n_chars)')} FROM t")
+    return (f"WITH {_DOC_CTE},\nt AS (SELECT words, lines, {onehot}, n_chars FROM prep "
+            f"WHERE NOT is_test)\n" + "\nUNION ALL ".join(parts))
+
+
 def _q_gradient(alpha):
     def run(spark, sf):
         out = gradient_frame(_li_frame(spark, sf), LI_FEATURES, "y", GRAD_WEIGHTS, alpha)
@@ -742,6 +769,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_preprocess": q_preprocess,
         "q_prepare": q_prepare,
         "q_gram": q_gram,
+        "q_gram_onehot": q_gram_onehot,
         "q_gradient": _q_gradient(0.0),
         "q_gradient_ridge": _q_gradient(GRAD_ALPHA),
         "q_loss": q_loss,
@@ -781,6 +809,7 @@ def oracle_sql() -> dict[str, str]:
         "q_preprocess": _preprocess_sql(),
         "q_prepare": SQL_PREPARE,
         "q_gram": _gram_sql(),
+        "q_gram_onehot": _gram_onehot_sql(),
         "q_gradient": _gradient_sql(0.0),
         "q_gradient_ridge": _gradient_sql(GRAD_ALPHA),
         "q_loss": _loss_query_sql(),
