@@ -202,17 +202,20 @@ SELECT o_orderkey, CASE WHEN rn <= ceil({_d(TEST_SIZE)} * n) THEN 'test' ELSE 't
 
 
 def q_layout(spark, sf):
+    """The gradient at 1x, 3x and 8x the session's default parallelism: identical rows.
+    (Relative counts: a fixed small count would put a whole table into a few tasks.)"""
     li = _read(spark, sf, "lineitem")
     y = (F.col("l_extendedprice") / F.lit(TARGET_SCALE)).alias("y")
+    base = max(1, spark.sparkContext.defaultParallelism)
     parts = []
-    for p in (1, 3, 8):
-        frame = li.select(*LI_FEATURES, y).repartition(p)
+    for factor in (1, 3, 8):
+        frame = li.select(*LI_FEATURES, y).repartition(factor * base)
         parts.append(gradient_frame(frame, LI_FEATURES, "y", GRAD_WEIGHTS)
-                     .withColumn("partitions", F.lit(p)))
+                     .withColumn("parallelism_factor", F.lit(factor)))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return _rounded(out, ["idx", "name", "partitions"])
+    return _rounded(out, ["idx", "name", "parallelism_factor"])
 
 
 # ----------------------------------------------------------------------------- E1-E7
@@ -421,7 +424,8 @@ def _gradient_sql(alpha: float, partitions: bool = False) -> str:
     if not partitions:
         return f"WITH {_LI_CTE}\n{body}"
     return (f"WITH {_LI_CTE}, gr AS ({body})\n"
-            "SELECT gr.*, p.partitions FROM gr CROSS JOIN (VALUES (1), (3), (8)) AS p(partitions)")
+            "SELECT gr.*, p.parallelism_factor FROM gr CROSS JOIN (VALUES (1), (3), (8)) "
+            "AS p(parallelism_factor)")
 
 
 def q_loss(spark, sf):
