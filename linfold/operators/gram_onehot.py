@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import quote
-from linfold.operators.gram import GramStats, gram_stats
+from linfold.operators.gram import GradientPartial, GramStats, gram_stats
 from linfold.operators.preprocess import PreprocessorModel, category_value
 
 
@@ -93,3 +93,38 @@ def onehot_gram_stats(raw: DataFrame, model: PreprocessorModel, target: str) ->
     cxy = sxy - sums * sy / n
     cxy[:k] = base.cxy
     return GramStats(tuple(names), n, mean_x, base.mean_y, cxx, cxy, base.cyy)
+
+
+def onehot_partials(raw: DataFrame, model: PreprocessorModel, target: str,
+                    weights) -> GradientPartial:
+    """Residual partials (n, sum e, sum e*x_j, sum e^2) at ``weights`` for the prepared
+    design, from the raw columns: the numeric part by sums, the one-hot part by one
+    stacked ``groupBy(column, value)`` of the residual. Linear in rows, independent of
+    the number of categories."""
+    names = model.feature_names
+    index = {name: i for i, name in enumerate(names)}
+    num, cats = list(model.numeric), list(model.categorical)
+    e = model.prediction_column(weights, raw.schema) - F.col(quote(target)).cast("double")
+    frame = raw.select(*[model.numeric_expr(c).alias(f"_u{j}") for j, c in enumerate(num)],
+                       *[model.filled_category(c, raw.schema[c].dataType).alias(f"_c{i}")
+                         for i, c in enumerate(cats)], e.alias("_e"))
+    row = frame.agg(F.count(F.lit(1)).alias("n"), F.sum("_e").alias("se"),
+                    F.sum(F.col("_e") * F.col("_e")).alias("sse"),
+                    *[F.sum(F.col("_e") * F.col(f"_u{j}")).alias(f"su{j}")
+                      for j in range(len(num))]).collect()[0]
+    n = int(row["n"])
+    if n == 0:
+        raise ValueError("A non-empty chunk is required to compute the gradient.")
+    sum_ex = np.zeros(len(names))
+    for j in range(len(num)):
+        sum_ex[j] = float(row[f"su{j}"])
+    if cats:
+        stacked = frame.select("_e", F.explode(F.array(*[
+            F.struct(F.lit(i).alias("s"), F.col(f"_c{i}").alias("k"))
+            for i in range(len(cats))])).alias("g"))
+        for r in stacked.groupBy(F.col("g.s").alias("s"), F.col("g.k").alias("k")).agg(
+                F.sum("_e").alias("se")).collect():
+            i = index.get(f"{cats[r['s']]}_{r['k']}")
+            if i is not None:
+                sum_ex[i] = float(r["se"])
+    return GradientPartial(n, float(row["se"]), sum_ex, float(row["sse"]))

@@ -26,6 +26,24 @@ class PreparedData:
     target_scale: float
     id_columns: tuple[str, ...] = ()
     kept: DataFrame | None = None   # the materialized raw train split behind `train`
+    raw_test: DataFrame | None = None
+
+    def fit_gd(self, **kwargs):
+        """Gradient descent on the train split. With one-hot columns the Gram statistics and
+        the residual passes come from grouped aggregates of the raw columns, so the cost
+        does not grow with the number of categories."""
+        from linfold.operators.gd import fit_gd
+        from linfold.operators.gram_onehot import onehot_partials
+        if self.preprocessor.categorical and self.kept is not None:
+            kwargs.setdefault("stats", self.gram_stats())
+            kwargs.setdefault("partials", lambda w: onehot_partials(
+                self.kept, self.preprocessor, self.target_column, w))
+        return fit_gd(self.train, self.feature_names, self.target_column, **kwargs)
+
+    def prediction_column(self, weights, on: str = "test"):
+        """Predictions as a column of ``raw_test`` (``on="test"``) or of the kept raw train."""
+        frame = self.raw_test if on == "test" else self.kept
+        return self.preprocessor.prediction_column(weights, frame.schema)
 
     def gram_stats(self):
         """Gram statistics of the prepared train split computed from grouped counts of the
@@ -74,4 +92,4 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
     train = model.transform(raw_train, keep)
     test = model.transform(raw_test, keep)
     return PreparedData(train, test, model, model.feature_names, target_column, target_scale,
-                        tuple(id_columns), raw_train)
+                        tuple(id_columns), raw_train, raw_test)

@@ -60,6 +60,30 @@ class PreprocessorModel:
         return [F.when(value == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{v}")
                 for v in self.categories[c]]
 
+    def filled_category(self, c: str, dtype: T.DataType) -> Column:
+        return F.coalesce(category_value(c, dtype), F.lit(self.modes[c]))
+
+    def prediction_column(self, weights, schema: T.StructType) -> Column:
+        """``w0 + sum_j w_j u_j + sum_c W_c[value_c]`` straight from the raw columns: one map
+        lookup per categorical column instead of one term per category (an unseen
+        category adds 0, as its all-zero one-hot row would)."""
+        w = np.asarray(weights, dtype=float).reshape(-1)
+        names = self.feature_names
+        if w.shape[0] != len(names) + 1:
+            raise ValueError("weights length must equal the number of features plus the intercept.")
+        expr: Column = F.lit(float(w[0]))
+        for j, c in enumerate(self.numeric):
+            expr = expr + F.lit(float(w[j + 1])) * self.numeric_expr(c)
+        pos = 1 + len(self.numeric)
+        for c in self.categorical:
+            cats = self.categories[c]
+            table = F.create_map(*[x for v, wt in zip(cats, w[pos:pos + len(cats)])
+                                   for x in (F.lit(v), F.lit(float(wt)))])
+            expr = expr + F.coalesce(F.try_element_at(table, self.filled_category(
+                c, schema[c].dataType)), F.lit(0.0))
+            pos += len(cats)
+        return expr
+
     def transform(self, df: DataFrame, passthrough: list[str] | tuple[str, ...] = ()) -> DataFrame:
         """Feature columns in order, then the passthrough columns (ids, target)."""
         names = self.feature_names

@@ -41,3 +41,30 @@ def test_training_on_onehot_gram_matches(prepared):
                stats=prepared.gram_stats())
     np.testing.assert_allclose(a.weights, b.weights, rtol=1e-8, atol=1e-10)
     np.testing.assert_allclose(a.loss_history, b.loss_history, rtol=1e-8)
+
+
+def test_onehot_partials_and_predictions_equal_dense(prepared):
+    from linfold import gradient_partials, predict
+    from linfold.operators.gram_onehot import onehot_partials
+    names = prepared.feature_names
+    w = np.random.default_rng(4).normal(size=len(names) + 1)
+    dense = gradient_partials(prepared.train, names, "n_chars", w)
+    grouped = onehot_partials(prepared.kept, prepared.preprocessor, "n_chars", w)
+    assert grouped.n == dense.n
+    np.testing.assert_allclose(grouped.grad_sum, dense.grad_sum, rtol=1e-9, atol=1e-9)
+    assert grouped.sse == pytest.approx(dense.sse, rel=1e-10)
+    a = predict(prepared.test, w, names).select("doc_id", "prediction").orderBy("doc_id").toPandas()
+    b = prepared.raw_test.select("doc_id", prepared.prediction_column(w).alias("prediction")) \
+        .orderBy("doc_id").toPandas()
+    np.testing.assert_allclose(a["prediction"], b["prediction"], rtol=1e-12, atol=1e-12)
+
+
+def test_prepared_fit_uses_grouped_passes(prepared):
+    names = prepared.feature_names
+    dense = fit_gd(prepared.train, names, "n_chars", epochs=100, learning_rate=0.01, random_state=2)
+    grouped = prepared.fit_gd(epochs=100, learning_rate=0.01, random_state=2)
+    np.testing.assert_allclose(grouped.weights, dense.weights, rtol=1e-8, atol=1e-10)
+    per = prepared.fit_gd(epochs=5, learning_rate=0.01, random_state=2, solver="per_epoch")
+    ref = fit_gd(prepared.train, names, "n_chars", epochs=5, learning_rate=0.01, random_state=2,
+                 solver="per_epoch")
+    np.testing.assert_allclose(per.weights, ref.weights, rtol=1e-9, atol=1e-10)
