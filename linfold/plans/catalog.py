@@ -523,6 +523,55 @@ def _pred_sql() -> str:
 SQL_PREDICT = f"WITH {_DOC_CTE}\nSELECT doc_id, {_rs(_pred_sql(), 'prediction')} FROM prep"
 
 
+LANGS = ["de", "en", "es", "fr"]
+ONEHOT_FEATURES = DOC_FEATURES + [f"lang_{v}" for v in LANGS]
+ONEHOT_PRED_WEIGHTS = (2.0, 3.0, 0.1, 0.4, -0.2, 0.3, 0.05)
+
+
+def _doc_onehot_prepared(spark, sf):
+    return prepare_train_test_data(_doc_frame(spark, sf), "n_chars", TEST_SIZE, SEED, DOC_SCALE,
+                                   id_columns=["doc_id"])
+
+
+_ONEHOT_CTE = (f"{_DOC_CTE},\nt AS (SELECT doc_id, is_test, words, lines, "
+               + ", ".join(f"CASE WHEN lang = '{v}' THEN 1.0 ELSE 0.0 END::DOUBLE AS lang_{v}"
+                           for v in LANGS)
+               + ", n_chars FROM prep)")
+
+
+def q_predict_onehot(spark, sf):
+    """Predictions of a one-hot design straight from the raw columns (map lookup)."""
+    prep = _doc_onehot_prepared(spark, sf)
+    assert prep.feature_names == ONEHOT_FEATURES
+    raw = prep.raw_test.unionByName(prep.kept)
+    out = raw.select("doc_id", prep.preprocessor.prediction_column(ONEHOT_PRED_WEIGHTS, raw.schema)
+                     .alias("prediction"))
+    return _rounded(out, ["doc_id"])
+
+
+SQL_PREDICT_ONEHOT = (f"WITH {_ONEHOT_CTE}\nSELECT doc_id, "
+                      f"{_rs(_lincomb_sql([_d(v) for v in ONEHOT_PRED_WEIGHTS], ONEHOT_FEATURES), 'prediction')} FROM t")
+
+
+def q_gd_onehot(spark, sf):
+    """GD on a one-hot design (singular with the intercept) through the grouped passes."""
+    prep = _doc_onehot_prepared(spark, sf)
+    res = prep.fit_gd(epochs=GD_EPOCHS, learning_rate=GD_LR,
+                      initial=np.zeros(len(prep.feature_names) + 1))
+    return _rounded(res.weights_frame(spark), ["idx", "name"])
+
+
+def _gd_onehot_sql() -> str:
+    k = len(ONEHOT_FEATURES) + 1
+    names = ["intercept"] + ONEHOT_FEATURES
+    sel = "\nUNION ALL ".join(
+        f"SELECT {i} AS idx, '{names[i]}' AS name, {_rs(f'w{i}', 'weight')} FROM gd WHERE epoch = {GD_EPOCHS}"
+        for i in range(k))
+    return (f"WITH RECURSIVE {_ONEHOT_CTE},\n"
+            f"{_gram_sums_sql(ONEHOT_FEATURES, 'n_chars', 't WHERE NOT is_test')},\n"
+            f"{_gd_cte(ONEHOT_FEATURES, GD_EPOCHS, GD_LR, 0.0)}\n{sel}")
+
+
 # ----------------------------------------------------------------------------- B1-B4
 def q_ols(spark, sf):
     frame, _ = split_target(_read(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice"),
@@ -781,6 +830,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_gd_history": q_gd_history,
         "q_gd_early_stop": q_gd_early_stop,
         "q_predict": q_predict,
+        "q_predict_onehot": q_predict_onehot,
+        "q_gd_onehot": q_gd_onehot,
         "q_ols": q_ols,
         "q_ridge": q_ridge,
         "q_metrics": q_metrics,
@@ -821,6 +872,8 @@ def oracle_sql() -> dict[str, str]:
         "q_gd_history": _gd_history_sql(),
         "q_gd_early_stop": _gd_early_stop_sql(),
         "q_predict": SQL_PREDICT,
+        "q_predict_onehot": SQL_PREDICT_ONEHOT,
+        "q_gd_onehot": _gd_onehot_sql(),
         "q_ols": SQL_OLS,
         "q_ridge": SQL_RIDGE,
         "q_metrics": SQL_METRICS,
