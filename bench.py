@@ -24,6 +24,7 @@ from linfold.operators.gd import fit_gd, predict  # noqa: E402
 from linfold.operators.gram import gram_stats  # noqa: E402
 from linfold.operators.linear import solve_centred  # noqa: E402
 from linfold.operators.metrics import evaluate_model  # noqa: E402
+from linfold.operators.prepare import prepare_train_test_data  # noqa: E402
 from linfold.operators.sgd import fit_sgd  # noqa: E402
 from linfold.plans import catalog  # noqa: E402
 from linfold.plans.jobs import run_suite  # noqa: E402
@@ -66,6 +67,14 @@ def main() -> None:
     train.unpersist()
     prep.release()
 
+    # --- one-hot design (part: 25 brands + 6 types): prepare, then GD on grouped counts
+    part_prep = _timed(q, "prepare_part_onehot", lambda: prepare_train_test_data(
+        spark.read.parquet(f"{sf_dir}/part.parquet").drop("p_name"), "p_retailprice", 0.2, 42,
+        1000.0, id_columns=["p_partkey"]))
+    _timed(q, "gd_part_onehot_1000ep", lambda: part_prep.fit_gd(
+        epochs=1000, learning_rate=0.01, random_state=42))
+    part_prep.release()
+
     # --- load workload on lineitem: Gram pass, GD 1000 epochs, per-epoch passes
     li = catalog._li_frame(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
     _timed(q, "gram_lineitem", lambda: gram_stats(li, catalog.LI_FEATURES, "y"))
