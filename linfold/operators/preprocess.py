@@ -84,6 +84,34 @@ class PreprocessorModel:
             pos += len(cats)
         return expr
 
+    def transform_vector(self, df: DataFrame, passthrough: list[str] | tuple[str, ...] = (),
+                         output: str = "features") -> DataFrame:
+        """The same features as one ML vector column (sparse one-hot blocks), for very
+        high-cardinality columns and for Spark ML consumers. Spark ML built-ins: a
+        ``StringIndexerModel`` over the train categories (``handleInvalid="keep"``) and a
+        ``OneHotEncoder`` with ``dropLast=True`` -- the dropped slot is the "unseen" one,
+        so an unseen category encodes as all zeros, as in the wide form."""
+        from pyspark.ml import PipelineModel
+        from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+
+        base = df.select(*[self.numeric_expr(c).alias(f"_n{j}") for j, c in enumerate(self.numeric)],
+                         *[self.filled_category(c, df.schema[c].dataType).alias(f"_c{i}")
+                           for i, c in enumerate(self.categorical)],
+                         *[F.col(quote(p)) for p in passthrough])
+        stages = [StringIndexerModel.from_labels(list(self.categories[c]), inputCol=f"_c{i}",
+                                                 outputCol=f"_i{i}", handleInvalid="keep")
+                  for i, c in enumerate(self.categorical)]
+        indexed = PipelineModel(stages).transform(base) if stages else base
+        cols = [f"_n{j}" for j in range(len(self.numeric))]
+        if self.categorical:
+            encoder = OneHotEncoder(inputCols=[f"_i{i}" for i in range(len(self.categorical))],
+                                    outputCols=[f"_o{i}" for i in range(len(self.categorical))],
+                                    dropLast=True).fit(indexed)
+            indexed = encoder.transform(indexed)
+            cols += [f"_o{i}" for i in range(len(self.categorical))]
+        out = VectorAssembler(inputCols=cols, outputCol=output).transform(indexed)
+        return out.select(output, *[quote(p) for p in passthrough])
+
     def transform(self, df: DataFrame, passthrough: list[str] | tuple[str, ...] = ()) -> DataFrame:
         """Feature columns in order, then the passthrough columns (ids, target)."""
         names = self.feature_names
