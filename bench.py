@@ -17,7 +17,6 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark import StorageLevel  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
 
 from linfold.operators.compare import compare_models  # noqa: E402
 from linfold.operators.gd import fit_gd, predict  # noqa: E402

@@ -6,7 +6,6 @@ import os
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from linfold import (add_speedup, load_table, make_synthetic_regression, report_series,
                      run_stats, write_results)
