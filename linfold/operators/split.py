@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,8 +79,10 @@ def split_flag(df: DataFrame, test_size: float | int = 0.2, seed: int = 42,
         flag = F.col(_H) <= F.lit(threshold)
         out = base
     else:
-        # rows sharing the threshold hash: take `need` of them by a row id (exact selection)
-        out = base.withColumn(_RID, F.monotonically_increasing_id())
+        # rows sharing the threshold hash: take `need` of them by a row id (exact selection);
+        # persisted so the selection and the final filter read the same ids
+        out = base.withColumn(_RID, F.monotonically_increasing_id()).persist(
+            StorageLevel.MEMORY_AND_DISK)
         ties = out.filter(F.col(_H) == F.lit(threshold))
         cut = kth_smallest(ties, _RID, need - 1)
         flag = (F.col(_H) < F.lit(threshold)) | (
