@@ -781,6 +781,27 @@ def _roundtrip(fmt):
     return run
 
 
+def q_csv_na_tokens(spark, sf):
+    """S1 with pandas NA semantics: a CSV whose missing values are written as ``NA`` is read
+    back with NULLs and numeric types (integers stay integers, a column with NA stays
+    numeric)."""
+    cust = _read(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_nationkey",
+        F.when(F.col("c_custkey") % 7 == 0, None).otherwise(F.col("c_acctbal")).alias("c_acctbal"),
+        "c_mktsegment")
+    path = scratch_path(spark, "na-tokens")
+    cust.write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
+    back = load_table(spark, path, "csv")
+    assert dict(back.dtypes) == {"c_custkey": "bigint", "c_name": "string",
+                                 "c_nationkey": "bigint", "c_acctbal": "double",
+                                 "c_mktsegment": "string"}, back.dtypes
+    return back
+
+
+SQL_CSV_NA_TOKENS = """SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey,
+  CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_acctbal END AS c_acctbal, c_mktsegment FROM customer"""
+
+
 SQL_ROUNDTRIP = ("SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
                  "p_retailprice FROM part")
 
@@ -845,6 +866,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_synth": q_synth,
         "q_roundtrip_csv": _roundtrip("csv"),
         "q_roundtrip_json": _roundtrip("json"),
+        "q_csv_na_tokens": q_csv_na_tokens,
         "q_save_splits": q_save_splits,
         "q_results_csv": _results_roundtrip("csv"),
         "q_results_json": _results_roundtrip("json"),
@@ -886,6 +908,7 @@ def oracle_sql() -> dict[str, str]:
         "q_synth": _synth_sql(),
         "q_roundtrip_csv": SQL_ROUNDTRIP,
         "q_roundtrip_json": SQL_ROUNDTRIP,
+        "q_csv_na_tokens": SQL_CSV_NA_TOKENS,
         "q_save_splits": SQL_SAVE_SPLITS,
         "q_results_csv": SQL_SPEEDUP,
         "q_results_json": SQL_SPEEDUP,
