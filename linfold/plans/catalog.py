@@ -26,7 +26,7 @@ from linfold.operators.linear import fit_ols, fit_ridge
 from linfold.operators.metrics import evaluate
 from linfold.operators.prepare import prepare_train_test_data
 from linfold.operators.preprocess import Preprocessor
-from linfold.operators.runlog import add_speedup, report_series, run_stats
+from linfold.operators.runlog import add_speedup, report_series, run_label, run_stats
 from linfold.operators.select import exact_quantiles
 from linfold.operators.sgd import fit_sgd
 from linfold.operators.split import hash_test_flag, split_flag
@@ -741,6 +741,18 @@ SQL_REPORT_SERIES = (f"WITH {_SPEEDUP_CTE}\nSELECT implementation, processes, "
                      f"{_rs('speedup', 'value')} FROM sp WHERE speedup IS NOT NULL AND processes IS NOT NULL")
 
 
+def q_report_labels(spark, sf):
+    """The table behind the training-time bar chart: every run labelled ``impl (kp)``, or
+    ``impl`` for the library baselines (processes NULL)."""
+    stats = _speedup_frame(spark, sf)
+    return _rounded(stats.select(run_label().alias("label"), "training_time"), ["label"])
+
+
+SQL_REPORT_LABELS = (f"WITH {_SPEEDUP_CTE}\nSELECT CASE WHEN processes IS NULL THEN implementation "
+                     "ELSE implementation || ' (' || CAST(processes AS VARCHAR) || 'p)' END AS label, "
+                     f"{_rs('training_time', 'training_time')} FROM sp")
+
+
 # ----------------------------------------------------------------------------- S1-S5
 def q_synth(spark, sf):
     orders = _read(spark, sf, "orders")
@@ -863,6 +875,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_run_stats": q_run_stats,
         "q_speedup": q_speedup,
         "q_report_series": q_report_series,
+        "q_report_labels": q_report_labels,
         "q_synth": q_synth,
         "q_roundtrip_csv": _roundtrip("csv"),
         "q_roundtrip_json": _roundtrip("json"),
@@ -905,6 +918,7 @@ def oracle_sql() -> dict[str, str]:
         "q_run_stats": SQL_RUN_STATS,
         "q_speedup": SQL_SPEEDUP,
         "q_report_series": SQL_REPORT_SERIES,
+        "q_report_labels": SQL_REPORT_LABELS,
         "q_synth": _synth_sql(),
         "q_roundtrip_csv": SQL_ROUNDTRIP,
         "q_roundtrip_json": SQL_ROUNDTRIP,
