@@ -155,6 +155,7 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
             F.count(F.when(on & x.isNotNull() & lo.isNotNull() & (x < lo), 1)).alias(f"b{sid}"),
             F.count(F.when(inside, 1)).alias(f"m{sid}"),
             F.percentile_approx(F.when(inside, x), grid, SKETCH_ACCURACY).alias(f"q{sid}"),
+            F.approx_count_distinct(F.when(inside, x), 0.05).alias(f"d{sid}"),
         ]
     result = plan.grouped(frame).agg(*aggs).collect()
     by_key = {(tuple(r[g] for g in plan.gcols)): r for r in result}
@@ -171,21 +172,29 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
             s.revert()
             continue
         s.m, s.checked = m, True
+        s.distinct = float(row[f"d{sid}"]) if row else 0.0
         if s.lo is not None and s.lo == s.hi:
             s.value, s.less, s.equal, s.done = s.lo, below, m, True
             continue
-        if m <= EXACT_LIMIT or not grid_vals:
+        if grid_vals and grid_vals[0] == grid_vals[-1]:
+            # the sketch sees one value in the interval: narrow to it; the finish pass
+            # confirms it with exact counts (or reverts)
+            s.parent = (s.lo, s.hi, m)
+            s.lo = s.hi = grid_vals[0]
+            s.checked, s.distinct = False, 1.0
+            continue
+        if s.finishable or not grid_vals:
             continue
         eps = s.margin / SKETCH_ACCURACY
-        i_lo = math.floor((r / m - eps) * GRID_POINTS)
-        i_hi = math.ceil(((r + 1) / m + eps) * GRID_POINTS)
-        new_lo = grid_vals[i_lo] if i_lo > 0 else s.lo
-        new_hi = grid_vals[i_hi] if i_hi < GRID_POINTS else s.hi
+        i_lo = max(math.floor((r / m - eps) * GRID_POINTS), 0)
+        i_hi = min(math.ceil(((r + 1) / m + eps) * GRID_POINTS), GRID_POINTS)
+        # clamped to the sketch's (exact) extremes; a wrong bracket is caught by the counts
+        new_lo, new_hi = grid_vals[i_lo], grid_vals[i_hi]
         if (new_lo, new_hi) == (s.lo, s.hi):
             s.margin = max(s.margin / 2, 0.5)
             continue
         s.parent = (s.lo, s.hi, m)
-        span = (min(i_hi, GRID_POINTS) - max(i_lo, 0)) / GRID_POINTS + 2 * eps
+        span = (i_hi - i_lo) / GRID_POINTS + 2 * eps
         s.lo, s.hi, s.checked = new_lo, new_hi, False
         s.m = int(math.ceil(span * m)) + 1
 
