@@ -140,3 +140,18 @@ def test_quantiles_match_numpy_on_random_shapes(spark, small_limits, seed):
             assert got[key] == pytest.approx(np.quantile(sel, q), rel=1e-12, abs=1e-12)
     k = int(rng.integers(0, n))
     assert kth_smallest(df, "v", k) == np.sort(v)[k]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_exact_split_size_on_random_duplicates(spark, seed):
+    rng = np.random.default_rng(500 + seed)
+    n = int(rng.integers(20, 600))
+    keys = rng.integers(0, int(rng.integers(1, 40)), n)
+    keys[rng.random(n) < 0.33] = 3                      # a key holding a third of the rows
+    frac = float(rng.choice([0.1, 0.2, 0.5]))
+    df = spark.createDataFrame(pd.DataFrame({"row": np.arange(n), "k": keys})) \
+        .repartition(int(rng.integers(1, 6)))
+    train, test = train_test_split(df, frac, seed, key="k", mode="exact")
+    t = {r.row for r in test.collect()}
+    tr = {r.row for r in train.collect()}
+    assert len(t) == int(np.ceil(frac * n)) and len(tr) == n - len(t) and not (t & tr)
