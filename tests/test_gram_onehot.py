@@ -68,3 +68,33 @@ def test_prepared_fit_uses_grouped_passes(prepared):
     ref = fit_gd(prepared.train, names, "n_chars", epochs=5, learning_rate=0.01, random_state=2,
                  solver="per_epoch")
     np.testing.assert_allclose(per.weights, ref.weights, rtol=1e-9, atol=1e-10)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_onehot_gram_random_two_categoricals(spark, seed):
+    import pandas as pd
+    from linfold import gradient_partials
+    from linfold.operators.gram_onehot import onehot_partials
+    rng = np.random.default_rng(900 + seed)
+    n = int(rng.integers(80, 400))
+    a = rng.choice(list("pqrst"), n).astype(object)
+    a[rng.random(n) < 0.35] = "q"                          # hot category
+    a[rng.random(n) < 0.1] = None
+    b = rng.choice(["u v", "w", "x.y"], n).astype(object)
+    b[rng.random(n) < 0.1] = None
+    x = rng.normal(size=n) * 100 + 5
+    x[rng.random(n) < 0.1] = np.nan
+    pdf = pd.DataFrame({"id": np.arange(n), "a": a, "b": b, "x": x, "z": rng.integers(0, 9, n),
+                        "y": rng.normal(size=n) * 1000 + 1e4})
+    prep = prepare_train_test_data(spark.createDataFrame(pdf), "y", 0.25, seed, 1.0,
+                                   id_columns=["id"])
+    names = prep.feature_names
+    dense = gram_stats(prep.train, names, "y")
+    grouped = prep.gram_stats()
+    np.testing.assert_allclose(grouped.cxx, dense.cxx, rtol=1e-9, atol=1e-8)
+    np.testing.assert_allclose(grouped.cxy, dense.cxy, rtol=1e-9, atol=1e-6)
+    np.testing.assert_allclose(grouped.mean_x, dense.mean_x, rtol=1e-10, atol=1e-12)
+    w = rng.normal(size=len(names) + 1)
+    p1 = gradient_partials(prep.train, names, "y", w)
+    p2 = onehot_partials(prep.kept, prep.preprocessor, "y", w)
+    np.testing.assert_allclose(p2.grad_sum, p1.grad_sum, rtol=1e-9, atol=1e-6)
