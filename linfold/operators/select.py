@@ -35,7 +35,7 @@ from linfold.functions.exprs import nan_to_null, quote
 GRID_POINTS = 500
 SKETCH_ACCURACY = 10_000
 EXACT_LIMIT = 200_000
-MAX_GROUPS = 10_000
+MAX_GROUPS = 100_000   # groups under refinement at once (broadcast state of a few MB)
 MAX_ROUNDS = 16
 
 
@@ -92,7 +92,7 @@ class _Plan:
         """Return (frame, accessor) where accessor(slot_id, field) gives a Column."""
         slot_ids = sorted({s.slot for s in slots})
         types = {"on": T.BooleanType(), "k": T.LongType(), "ka": T.LongType(),
-                 "kb": T.LongType()}
+                 "kb": T.LongType()}   # everything else (bounds, margins) is double
         if not self.gcols:
             by_id = {s.slot: s for s in slots}
 
@@ -135,18 +135,29 @@ def _rank_pair(n: int, q: float) -> tuple[int, int, float]:
 
 
 def _refine(plan: _Plan, slots: list[_Slot]) -> None:
-    """One pass: exact counts below/inside each slot's interval and a quantile grid of the
-    values inside it. Slots of one column sharing an interval share one sketch."""
+    """One pass: exact counts below/inside each slot's interval, a distinct estimate and a
+    quantile grid of the values inside it. The grid stays on the executors: the bracket
+    around each wanted rank is picked there (``try_element_at``), so the driver receives a
+    handful of numbers per (group, slot). Slots of one column sharing an interval share
+    one sketch."""
     grid = [i / GRID_POINTS for i in range(GRID_POINTS + 1)]
     lead_of = _leaders(slots)
     leads = sorted(set(lead_of.values()))
-    state_slots: dict[tuple, _Slot] = {}
+    state: dict[tuple, SimpleNamespace] = {}
     for s in slots:
-        state_slots.setdefault((s.group, lead_of[s.slot]),
-                               _Slot(group=s.group, slot=lead_of[s.slot], k=s.k, lo=s.lo, hi=s.hi))
-    fields = {"lo": lambda s: s.lo, "hi": lambda s: s.hi, "on": lambda s: True}
-    frame, st = plan.with_state(list(state_slots.values()), fields)
-    aggs = []
+        lead = lead_of[s.slot]
+        st_ = state.setdefault((s.group, lead), SimpleNamespace(
+            group=s.group, slot=lead, lo=s.lo, hi=s.hi, ka=s.k, kb=s.k,
+            ea=s.margin / SKETCH_ACCURACY, eb=s.margin / SKETCH_ACCURACY))
+        if s.slot != lead:
+            st_.kb, st_.eb = s.k, s.margin / SKETCH_ACCURACY
+        elif s.slot % 2 == 0:
+            st_.ka, st_.ea = s.k, s.margin / SKETCH_ACCURACY
+    fields = {"lo": lambda v: v.lo, "hi": lambda v: v.hi, "on": lambda v: True,
+              "ka": lambda v: v.ka, "kb": lambda v: v.kb, "ea": lambda v: v.ea,
+              "eb": lambda v: v.eb}
+    frame, st = plan.with_state(list(state.values()), fields)
+    aggs, keep = [], []
     for sid in leads:
         x = F.col(plan.xcols[sid // 2])
         lo, hi, on = st(sid, "lo"), st(sid, "hi"), st(sid, "on")
@@ -156,15 +167,31 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
             F.count(F.when(inside, 1)).alias(f"m{sid}"),
             F.percentile_approx(F.when(inside, x), grid, SKETCH_ACCURACY).alias(f"q{sid}"),
             F.approx_count_distinct(F.when(inside, x), 0.05).alias(f"d{sid}"),
+            # the rank/margin state is constant per group; carried through for the bracket
+            F.max(st(sid, "ka")).alias(f"ka{sid}"), F.max(st(sid, "kb")).alias(f"kb{sid}"),
+            F.max(st(sid, "ea")).alias(f"ea{sid}"), F.max(st(sid, "eb")).alias(f"eb{sid}"),
         ]
-    result = plan.grouped(frame).agg(*aggs).collect()
+        q, m, b = F.col(f"q{sid}"), F.col(f"m{sid}").cast("double"), F.col(f"b{sid}")
+        keep += [b, F.col(f"m{sid}"), F.col(f"d{sid}"),
+                 F.try_element_at(q, F.lit(1)).alias(f"first{sid}"),
+                 F.try_element_at(q, F.lit(GRID_POINTS + 1)).alias(f"last{sid}")]
+        for w in ("a", "b"):
+            r = (F.col(f"k{w}{sid}") - b).cast("double")
+            eps = F.col(f"e{w}{sid}")
+            i_lo = F.greatest(F.floor((F.try_divide(r, m) - eps) * GRID_POINTS), F.lit(0))
+            i_hi = F.least(F.ceil((F.try_divide(r + 1, m) + eps) * GRID_POINTS),
+                           F.lit(GRID_POINTS))
+            keep += [F.try_element_at(q, (i_lo + 1).cast("int")).alias(f"lo{w}{sid}"),
+                     F.try_element_at(q, (i_hi + 1).cast("int")).alias(f"hi{w}{sid}"),
+                     ((i_hi - i_lo) / F.lit(float(GRID_POINTS))).alias(f"span{w}{sid}")]
+    result = plan.grouped(frame).agg(*aggs).select(*plan.gcols, *keep).collect()
     by_key = {(tuple(r[g] for g in plan.gcols)): r for r in result}
     for s in slots:
         row = by_key.get(s.group)
         sid = lead_of[s.slot]
+        w = "b" if s.slot != sid else "a"
         below = row[f"b{sid}"] if row else 0
         m = row[f"m{sid}"] if row else 0
-        grid_vals = row[f"q{sid}"] if row else None
         r = s.k - below
         if not (0 <= r < m):
             if s.parent is None:
@@ -172,29 +199,27 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
             s.revert()
             continue
         s.m, s.checked = m, True
-        s.distinct = float(row[f"d{sid}"]) if row else 0.0
+        s.distinct = float(row[f"d{sid}"])
         if s.lo is not None and s.lo == s.hi:
             s.value, s.less, s.equal, s.done = s.lo, below, m, True
             continue
-        if grid_vals and grid_vals[0] == grid_vals[-1]:
+        first, last = row[f"first{sid}"], row[f"last{sid}"]
+        if first is not None and first == last:
             # the sketch sees one value in the interval: narrow to it; the finish pass
             # confirms it with exact counts (or reverts)
             s.parent = (s.lo, s.hi, m)
-            s.lo = s.hi = grid_vals[0]
+            s.lo = s.hi = first
             s.checked, s.distinct = False, 1.0
             continue
-        if s.finishable or not grid_vals:
+        if s.finishable or first is None:
             continue
-        eps = s.margin / SKETCH_ACCURACY
-        i_lo = max(math.floor((r / m - eps) * GRID_POINTS), 0)
-        i_hi = min(math.ceil(((r + 1) / m + eps) * GRID_POINTS), GRID_POINTS)
-        # clamped to the sketch's (exact) extremes; a wrong bracket is caught by the counts
-        new_lo, new_hi = grid_vals[i_lo], grid_vals[i_hi]
+        # clamped to the sketch's extremes; a wrong bracket is caught by the exact counts
+        new_lo, new_hi = row[f"lo{w}{sid}"], row[f"hi{w}{sid}"]
         if (new_lo, new_hi) == (s.lo, s.hi):
             s.margin = max(s.margin / 2, 0.5)
             continue
         s.parent = (s.lo, s.hi, m)
-        span = (i_hi - i_lo) / GRID_POINTS + 2 * eps
+        span = row[f"span{w}{sid}"] + 2 * s.margin / SKETCH_ACCURACY
         s.lo, s.hi, s.checked = new_lo, new_hi, False
         s.m = int(math.ceil(span * m)) + 1
 
