@@ -36,6 +36,7 @@ GRID_POINTS = 500
 SKETCH_ACCURACY = 10_000
 EXACT_LIMIT = 200_000
 MAX_GROUPS = 100_000   # groups under refinement at once (broadcast state of a few MB)
+MAX_BIG_GROUPS = 1_000_000   # heavy groups in all (each holds > EXACT_LIMIT rows)
 MAX_ROUNDS = 16
 
 
@@ -414,9 +415,9 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
     for i in range(len(columns)):
         big_cond = big_cond | ((F.col(f"n{i}") > EXACT_LIMIT)
                                & (F.col(f"d{i}") > EXACT_LIMIT / 2))
-    big_rows = sizes.filter(big_cond).limit(MAX_GROUPS + 1).collect()
-    if len(big_rows) > MAX_GROUPS:
-        raise ValueError(f"More than {MAX_GROUPS} groups hold over {EXACT_LIMIT} distinct values.")
+    big_rows = sizes.filter(big_cond).limit(MAX_BIG_GROUPS + 1).collect()
+    if len(big_rows) > MAX_BIG_GROUPS:
+        raise ValueError(f"More than {MAX_BIG_GROUPS} groups hold over {EXACT_LIMIT} distinct values.")
     slots, fracs, big = [], {}, []
     for row in big_rows:
         group = tuple(row[g] for g in plan.gcols)
@@ -428,7 +429,11 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
                 big.append(group + (i,))
     long = _small_group_quantiles(plan, q, big)
     if slots:
-        _select(plan, slots)
+        # refined in batches of MAX_GROUPS groups: each batch broadcasts a bounded state table
+        order = sorted({s.group for s in slots}, key=repr)
+        for start in range(0, len(order), MAX_GROUPS):
+            batch = set(order[start:start + MAX_GROUPS])
+            _select(plan, [s for s in slots if s.group in batch])
         values = {(s.group, s.slot): s.value for s in slots}
         rows = [g + (i, _interpolate(values[(g, 2 * i)], values[(g, 2 * i + 1)], frac))
                 for (g, i), frac in fracs.items()]

@@ -155,3 +155,12 @@ def test_exact_split_size_on_random_duplicates(spark, seed):
     t = {r.row for r in test.collect()}
     tr = {r.row for r in train.collect()}
     assert len(t) == int(np.ceil(frac * n)) and len(tr) == n - len(t) and not (t & tr)
+
+
+def test_heavy_groups_refined_in_batches(spark, small_limits, monkeypatch):
+    monkeypatch.setattr(S, "MAX_GROUPS", 2)                 # 3 heavy groups -> 2 batches
+    rng = np.random.default_rng(77)
+    pdf = pd.DataFrame({"g": np.repeat(["a", "b", "c"], 200), "v": rng.normal(size=600)})
+    got = {r.g: r.v for r in exact_quantiles(spark.createDataFrame(pdf), ["v"], 0.5, by=["g"]).collect()}
+    for key, grp in pdf.groupby("g"):
+        assert got[key] == np.median(grp["v"])
