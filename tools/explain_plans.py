@@ -56,6 +56,35 @@ def main():
     show("All models scored in one scan, metrics in one aggregate",
          evaluate_many(out, "n_chars", preds))
 
+    # internal passes: record the plan of every DataFrame the operators collect
+    from linfold.operators.prepare import prepare_train_test_data
+    DataFrame = type(li)          # the concrete (classic) DataFrame class
+    from linfold.operators.select import exact_quantiles
+    recorded = []
+    original = DataFrame.collect
+
+    def recording(self):
+        recorded.append(self)
+        return original(self)
+
+    DataFrame.collect = recording
+    try:
+        exact_quantiles(li, ["y", "l_quantity"], 0.5)
+        steps = list(recorded)
+        recorded.clear()
+        prep = prepare_train_test_data(docs.select("doc_id", word_count("text").alias("words"),
+                                                   "lang", "n_chars"),
+                                       "n_chars", 0.2, 42, 1000.0, id_columns=["doc_id"])
+        recorded.clear()
+        prep.gram_stats()
+        gram_steps = list(recorded)
+    finally:
+        DataFrame.collect = original
+    for i, df in enumerate(steps):
+        show(f"Exact median, pass {i + 1} of {len(steps)} (lineitem)", df)
+    for i, df in enumerate(gram_steps):
+        show(f"One-hot aware Gram, collected step {i + 1} of {len(gram_steps)} (documents, lang)", df)
+
 
 if __name__ == "__main__":
     main()
