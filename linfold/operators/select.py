@@ -37,7 +37,8 @@ SKETCH_ACCURACY = 10_000
 EXACT_LIMIT = 200_000
 MAX_GROUPS = 100_000   # groups under refinement at once (broadcast state of a few MB)
 MAX_BIG_GROUPS = 1_000_000   # heavy groups in all (each holds > EXACT_LIMIT rows)
-MAX_ROUNDS = 16
+MAX_ROUNDS = 32
+SKETCH_SAMPLE = 1_000_000   # rows fed to a sketch per pass at most (a Bernoulli sample)
 
 
 @dataclass
@@ -48,9 +49,10 @@ class _Slot:
     lo: float | None = None     # candidate interval, inclusive; None = unbounded
     hi: float | None = None
     m: int = 0                  # rows inside [lo, hi]: exact when `checked`, else an upper estimate
+    below: int = 0              # rows below lo: exact when `checked`
     checked: bool = True
     distinct: float = float("inf")   # estimated distinct values inside the interval
-    parent: tuple | None = None      # last interval with exact counts: (lo, hi, m)
+    parent: tuple | None = None      # last interval with exact counts: (lo, hi, m, below)
     margin: float = 1.5
     value: float | None = None
     done: bool = False
@@ -63,9 +65,16 @@ class _Slot:
 
     def revert(self) -> None:
         """The sketch bracket missed the rank: go back to the parent interval, wider."""
-        self.lo, self.hi, self.m = self.parent
+        if self.parent is None:
+            raise RuntimeError("exact selection lost a rank inside a verified interval")
+        self.lo, self.hi, self.m, self.below = self.parent
         self.checked, self.distinct, self.margin = True, float("inf"), self.margin * 4
 
+    def narrow(self, lo, hi, m_estimate: int, distinct: float = float("inf")) -> None:
+        """Move to a proposed (unverified) sub-interval; the parent keeps the exact counts."""
+        self.parent = (self.lo, self.hi, self.m, self.below)
+        self.lo, self.hi, self.m, self.checked, self.distinct = lo, hi, m_estimate, False, distinct
+
 
 def _in_interval(x: Column, lo: Column, hi: Column) -> Column:
     return x.isNotNull() & (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
@@ -93,7 +102,7 @@ class _Plan:
         """Return (frame, accessor) where accessor(slot_id, field) gives a Column."""
         slot_ids = sorted({s.slot for s in slots})
         types = {"on": T.BooleanType(), "k": T.LongType(), "ka": T.LongType(),
-                 "kb": T.LongType()}   # everything else (bounds, margins) is double
+                 "kb": T.LongType()}   # everything else (bounds, margins, fractions) is double
         if not self.gcols:
             by_id = {s.slot: s for s in slots}
 
@@ -144,20 +153,36 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
     grid = [i / GRID_POINTS for i in range(GRID_POINTS + 1)]
     lead_of = _leaders(slots)
     leads = sorted(set(lead_of.values()))
+    def sampled(s: _Slot) -> bool:
+        # sample the sketch's input while the interval is large -- but not after a miss
+        # (margin grown by a revert): then the sketch sees every row of the interval
+        return s.m > SKETCH_SAMPLE and s.margin <= 1.5
+
+    def margin_of(s: _Slot) -> float:
+        # sketch rank error, plus the sampling error when the sketch sees a sample only
+        err = s.margin / SKETCH_ACCURACY
+        if sampled(s):
+            err += s.margin * 2.0 / math.sqrt(SKETCH_SAMPLE)
+        return err
+
     state: dict[tuple, SimpleNamespace] = {}
     for s in slots:
         lead = lead_of[s.slot]
         st_ = state.setdefault((s.group, lead), SimpleNamespace(
-            group=s.group, slot=lead, lo=s.lo, hi=s.hi, ka=s.k, kb=s.k,
-            ea=s.margin / SKETCH_ACCURACY, eb=s.margin / SKETCH_ACCURACY))
+            group=s.group, slot=lead, lo=s.lo, hi=s.hi, ka=s.k, kb=s.k, ea=margin_of(s),
+            eb=margin_of(s),
+            sf=min(1.0, SKETCH_SAMPLE / max(float(s.m), 1.0)) if sampled(s) else 1.0))
         if s.slot != lead:
-            st_.kb, st_.eb = s.k, s.margin / SKETCH_ACCURACY
+            st_.kb, st_.eb = s.k, margin_of(s)
         elif s.slot % 2 == 0:
-            st_.ka, st_.ea = s.k, s.margin / SKETCH_ACCURACY
+            st_.ka, st_.ea = s.k, margin_of(s)
     fields = {"lo": lambda v: v.lo, "hi": lambda v: v.hi, "on": lambda v: True,
               "ka": lambda v: v.ka, "kb": lambda v: v.kb, "ea": lambda v: v.ea,
-              "eb": lambda v: v.eb}
+              "eb": lambda v: v.eb, "sf": lambda v: v.sf}
     frame, st = plan.with_state(list(state.values()), fields)
+    # the sample draw lives in a projection (aggregate arguments must be deterministic);
+    # the result never depends on it -- only the bracket proposal does
+    frame = frame.withColumn("_rnd", F.rand())
     aggs, keep = [], []
     for sid in leads:
         x = F.col(plan.xcols[sid // 2])
@@ -166,7 +191,8 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
         aggs += [
             F.count(F.when(on & x.isNotNull() & lo.isNotNull() & (x < lo), 1)).alias(f"b{sid}"),
             F.count(F.when(inside, 1)).alias(f"m{sid}"),
-            F.percentile_approx(F.when(inside, x), grid, SKETCH_ACCURACY).alias(f"q{sid}"),
+            F.percentile_approx(F.when(inside & (F.col("_rnd") < st(sid, "sf")), x), grid,
+                                SKETCH_ACCURACY).alias(f"q{sid}"),
             F.approx_count_distinct(F.when(inside, x), 0.05).alias(f"d{sid}"),
             # the rank/margin state is constant per group; carried through for the bracket
             F.max(st(sid, "ka")).alias(f"ka{sid}"), F.max(st(sid, "kb")).alias(f"kb{sid}"),
@@ -195,22 +221,18 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
         m = row[f"m{sid}"] if row else 0
         r = s.k - below
         if not (0 <= r < m):
-            if s.parent is None:
-                raise RuntimeError("exact selection lost a rank inside a verified interval")
             s.revert()
             continue
-        s.m, s.checked = m, True
+        s.m, s.below, s.checked = m, below, True
         s.distinct = float(row[f"d{sid}"])
         if s.lo is not None and s.lo == s.hi:
             s.value, s.less, s.equal, s.done = s.lo, below, m, True
             continue
         first, last = row[f"first{sid}"], row[f"last{sid}"]
         if first is not None and first == last:
-            # the sketch sees one value in the interval: narrow to it; the finish pass
+            # the sketch sees one value in the interval: narrow to it; the count check
             # confirms it with exact counts (or reverts)
-            s.parent = (s.lo, s.hi, m)
-            s.lo = s.hi = first
-            s.checked, s.distinct = False, 1.0
+            s.narrow(first, first, m, 1.0)
             continue
         if s.finishable or first is None:
             continue
@@ -219,10 +241,8 @@ def _refine(plan: _Plan, slots: list[_Slot]) -> None:
         if (new_lo, new_hi) == (s.lo, s.hi):
             s.margin = max(s.margin / 2, 0.5)
             continue
-        s.parent = (s.lo, s.hi, m)
-        span = row[f"span{w}{sid}"] + 2 * s.margin / SKETCH_ACCURACY
-        s.lo, s.hi, s.checked = new_lo, new_hi, False
-        s.m = int(math.ceil(span * m)) + 1
+        span = row[f"span{w}{sid}"] + 2 * margin_of(s)
+        s.narrow(new_lo, new_hi, int(math.ceil(span * m)) + 1)
 
 
 def _leaders(slots: list[_Slot]) -> dict[int, int]:
@@ -236,45 +256,70 @@ def _leaders(slots: list[_Slot]) -> dict[int, int]:
     return {s.slot: (s.slot // 2) * 2 if s.slot // 2 in shared else s.slot for s in slots}
 
 
+def _count_check(plan: _Plan, slots: list[_Slot]) -> None:
+    """One plain aggregate pass: exact counts below / inside each proposed interval (and a
+    distinct estimate inside). A proposal that misses the wanted rank is reverted."""
+    fields = {"lo": lambda s: s.lo, "hi": lambda s: s.hi, "on": lambda s: True}
+    frame, st = plan.with_state(slots, fields)
+    aggs = []
+    for sid in sorted({s.slot for s in slots}):
+        x = F.col(plan.xcols[sid // 2])
+        lo, hi, on = st(sid, "lo"), st(sid, "hi"), st(sid, "on")
+        inside = on & _in_interval(x, lo, hi)
+        aggs += [F.count(F.when(on & x.isNotNull() & lo.isNotNull() & (x < lo), 1)).alias(f"b{sid}"),
+                 F.count(F.when(inside, 1)).alias(f"m{sid}"),
+                 F.approx_count_distinct(F.when(inside, x), 0.05).alias(f"d{sid}")]
+    rows = plan.grouped(frame).agg(*aggs).collect()
+    by_key = {(tuple(r[g] for g in plan.gcols)): r for r in rows}
+    for s in slots:
+        row = by_key.get(s.group)
+        below = row[f"b{s.slot}"] if row else 0
+        m = row[f"m{s.slot}"] if row else 0
+        if 0 <= s.k - below < m:
+            s.below, s.m, s.checked = below, m, True
+            s.distinct = float(row[f"d{s.slot}"])
+        else:
+            s.revert()
+
+
 def _finish(plan: _Plan, slots: list[_Slot]) -> None:
-    """One pass: per interval, count the values below it (one NULL bucket) and each
-    distinct value inside it; the running count in value order gives exact global ranks.
-    A slot whose rank is not inside its interval goes back to the parent interval."""
+    """One pass over the rows inside the (verified) intervals only: count each distinct value
+    (map-side combined), then the running count in value order, offset by the exact count
+    below the interval, gives global ranks. Rows outside every interval are dropped by a
+    codegen'd filter before anything is exploded."""
     lead_of = _leaders(slots)
     state: dict[tuple, SimpleNamespace] = {}
     for s in slots:
         lead = lead_of[s.slot]
         st_ = state.setdefault((s.group, lead), SimpleNamespace(
-            group=s.group, slot=lead, lo=s.lo, hi=s.hi, ka=s.k, kb=s.k))
+            group=s.group, slot=lead, lo=s.lo, hi=s.hi, ka=s.k - s.below, kb=s.k - s.below))
         if s.slot != lead:
-            st_.kb = s.k
-        elif s.slot == lead and s.slot % 2 == 0:
-            st_.ka = s.k
+            st_.kb = s.k - s.below
+        elif s.slot % 2 == 0:
+            st_.ka = s.k - s.below
     fields = {"lo": lambda s: s.lo, "hi": lambda s: s.hi, "on": lambda s: True,
               "ka": lambda s: s.ka, "kb": lambda s: s.kb}
     frame, st = plan.with_state(list(state.values()), fields)
-    entries = []
+    entries, any_inside = [], F.lit(False)
     for sid in sorted({v.slot for v in state.values()}):
         x = F.col(plan.xcols[sid // 2])
-        lo, hi, on = st(sid, "lo"), st(sid, "hi"), st(sid, "on")
-        below = on & x.isNotNull() & lo.isNotNull() & (x < lo)
-        inside = on & _in_interval(x, lo, hi)
-        entry = F.struct(F.lit(sid).alias("slot"), st(sid, "ka").alias("ka"),
-                         st(sid, "kb").alias("kb"), F.when(inside, x).alias("v"))
-        entries.append(F.when(inside | below, entry))
-    # explode, then drop the NULL entries: no lambda, so the stage keeps whole-stage codegen
-    stacked = frame.select(*plan.gcols, F.explode(F.array(*entries)).alias("e")).filter(
-        F.col("e").isNotNull())
+        inside = st(sid, "on") & _in_interval(x, st(sid, "lo"), st(sid, "hi"))
+        any_inside = any_inside | inside
+        entries.append(F.when(inside, F.struct(F.lit(sid).alias("slot"), st(sid, "ka").alias("ka"),
+                                               st(sid, "kb").alias("kb"), x.alias("v"))))
+    stacked = (frame.filter(any_inside)
+               .select(*plan.gcols, F.explode(F.array(*entries)).alias("e"))
+               .filter(F.col("e").isNotNull()))
     counted = stacked.groupBy(*plan.gcols, F.col("e.slot").alias("slot"), F.col("e.ka").alias("ka"),
                               F.col("e.kb").alias("kb"), F.col("e.v").alias("v")).count()
-    w = Window.partitionBy(*plan.gcols, "slot").orderBy(F.col("v").asc_nulls_first())
+    w = Window.partitionBy(*plan.gcols, "slot").orderBy("v")
     cum, start = F.col("cum"), F.col("cum") - F.col("count")
 
     def crosses(k):
         return (cum > F.col(k)) & (start <= F.col(k))
 
     hits = (counted.withColumn("cum", F.sum("count").over(w))
-            .filter(F.col("v").isNotNull() & (crosses("ka") | crosses("kb")))
+            .filter(crosses("ka") | crosses("kb"))
             .select(*plan.gcols, "slot", "v", "cum", "count", crosses("ka").alias("is_a"),
                     crosses("kb").alias("is_b")).collect())
     found: dict[tuple, tuple] = {}
@@ -288,13 +333,11 @@ def _finish(plan: _Plan, slots: list[_Slot]) -> None:
     for s in slots:
         lead = lead_of[s.slot]
         key = (s.group, lead, "b" if s.slot != lead else "a")
-        if key in found:
-            s.value, s.less, s.equal = found[key]
-            s.done = True
-        elif s.parent is not None and not s.checked:
-            s.revert()
-        else:
+        if key not in found:
             raise RuntimeError("exact selection lost a rank inside a verified interval")
+        s.value, less_inside, s.equal = found[key]
+        s.less = s.below + less_inside
+        s.done = True
 
 
 def _select(plan: _Plan, slots: list[_Slot]) -> None:
@@ -303,9 +346,13 @@ def _select(plan: _Plan, slots: list[_Slot]) -> None:
         if not pending:
             return
         ready = [s for s in pending if s.finishable]
+        unchecked = [s for s in ready if not s.checked]
+        if unchecked:
+            _count_check(plan, unchecked)
+        ready = [s for s in ready if s.checked and s.finishable]
         if ready:
             _finish(plan, ready)
-        rest = [s for s in pending if not s.finishable and not s.done]
+        rest = [s for s in pending if not s.done and not (s.checked and s.finishable)]
         if rest:
             _refine(plan, rest)
     pending = [s for s in slots if not s.done]
