@@ -68,6 +68,8 @@ def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
     validate_training(epochs, learning_rate, alpha)
     if sync_every < 1:
         raise ValueError("sync_every must be at least 1.")
+    from linfold.session import ship_package
+    ship_package(df.sparkSession)
     features = list(features)
     d = len(features)
     frame = df.select(*[F.col(quote(c)).cast("double").alias(f"c{i}")

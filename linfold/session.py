@@ -35,6 +35,7 @@ def get_spark(master: str | None = None, app_name: str = "linfold",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
     checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -81,3 +82,34 @@ def materialize(df: DataFrame, how: str = "persist") -> DataFrame:
     if how == "none":
         return df
     raise ValueError("how must be 'persist', 'checkpoint' or 'none'.")
+
+
+_SHIPPED: set[str] = set()
+_ZIP: list[str] = []
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``linfold`` importable in the executors' Python workers (the Arrow kernels live
+    in it): zip the package once per process and ``addPyFile`` it once per application.
+    Spark distributes the file itself, so no shared folder is involved."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    if not _ZIP:
+        import zipfile
+
+        import linfold
+        package = os.path.dirname(os.path.abspath(linfold.__file__))
+        root = os.path.dirname(package)
+        fd, path = tempfile.mkstemp(prefix="linfold-", suffix=".zip")
+        os.close(fd)
+        with zipfile.ZipFile(path, "w") as archive:
+            for dirpath, _, files in os.walk(package):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(dirpath, name)
+                        archive.write(full, os.path.relpath(full, root))
+        _ZIP.append(path)
+    sc.addPyFile(_ZIP[0])
+    _SHIPPED.add(app)
