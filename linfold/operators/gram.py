@@ -114,11 +114,11 @@ def _arrow_sum(df: DataFrame, columns: list[str], kernel, width: int) -> np.ndar
         if seen:
             yield vector_blocks(acc)
 
-    from linfold.session import ship_package
+    from linfold.session import num_partitions, ship_package
     ship_package(df.sparkSession)
     frame = df.select(*[_x(c).alias(f"c{i}") for i, c in enumerate(columns)])
     parts = frame.mapInArrow(run, BLOCK_SCHEMA)
-    return sum_blocks(parts, width, frame.rdd.getNumPartitions())
+    return sum_blocks(parts, width, num_partitions(frame))
 
 
 @dataclass(frozen=True)

@@ -68,7 +68,7 @@ def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
     validate_training(epochs, learning_rate, alpha)
     if sync_every < 1:
         raise ValueError("sync_every must be at least 1.")
-    from linfold.session import ship_package
+    from linfold.session import num_partitions as partitions_of, ship_package
     ship_package(df.sparkSession)
     features = list(features)
     d = len(features)
@@ -78,7 +78,7 @@ def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
     if num_partitions:
         frame = frame.repartition(num_partitions)
     frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    partitions = frame.rdd.getNumPartitions()
+    partitions = partitions_of(frame)
     w = np.zeros(d + 1)
     try:
         for first in range(0, epochs, sync_every):

@@ -31,7 +31,7 @@ from linfold.operators.select import exact_quantiles
 from linfold.operators.sgd import fit_sgd
 from linfold.operators.split import hash_test_flag, split_flag
 from linfold.operators.target import TARGET_SCALE, split_target
-from linfold.session import materialize, scratch_path
+from linfold.session import default_parallelism, materialize, scratch_path
 from linfold.sources.io import load_table, save_processed_splits, write_results, write_table
 from linfold.sources.synth import synthetic_frame
 
@@ -206,7 +206,7 @@ def q_layout(spark, sf):
     (Relative counts: a fixed small count would put a whole table into a few tasks.)"""
     li = _read(spark, sf, "lineitem")
     y = (F.col("l_extendedprice") / F.lit(TARGET_SCALE)).alias("y")
-    base = max(1, spark.sparkContext.defaultParallelism)
+    base = default_parallelism(spark)
     parts = []
     for factor in (1, 3, 8):
         frame = li.select(*LI_FEATURES, y).repartition(factor * base)

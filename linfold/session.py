@@ -88,12 +88,35 @@ _SHIPPED: set[str] = set()
 _ZIP: list[str] = []
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session (which has none)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 -- Connect raises on sparkContext
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return max(1, sc.defaultParallelism)
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
+
+
+def num_partitions(df: DataFrame) -> int | None:
+    try:
+        return df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view on Spark Connect
+        return None
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make ``linfold`` importable in the executors' Python workers (the Arrow kernels live
-    in it): zip the package once per process and ``addPyFile`` it once per application.
-    Spark distributes the file itself, so no shared folder is involved."""
-    sc = spark.sparkContext
-    app = sc.applicationId
+    in it): zip the package once per process and ``addPyFile`` it once per application
+    (``addArtifacts`` on Spark Connect). Spark distributes the file itself, so no shared
+    folder is involved."""
+    sc = _context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{id(spark)}"
     if app in _SHIPPED:
         return
     if not _ZIP:
@@ -111,5 +134,8 @@ def ship_package(spark: SparkSession) -> None:
                         full = os.path.join(dirpath, name)
                         archive.write(full, os.path.relpath(full, root))
         _ZIP.append(path)
-    sc.addPyFile(_ZIP[0])
+    if sc is not None:
+        sc.addPyFile(_ZIP[0])
+    else:
+        spark.addArtifacts(_ZIP[0], pyfile=True)
     _SHIPPED.add(app)
