@@ -45,7 +45,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from the session (``spark.checkpoint.dir`` or an already registered checkpoint
     folder); a temporary folder is created only when neither is set.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:   # Spark Connect: the server-side setting is the only source
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
