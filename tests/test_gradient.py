@@ -58,9 +58,11 @@ def test_arrow_path_equals_sql_path(spark):
     b = gradient_partials(df, feats, "y", w, method="arrow")
     np.testing.assert_allclose(a.grad_sum, b.grad_sum, rtol=1e-12, atol=1e-12)
     s1 = gram_stats(df, feats, "y", method="sql")
-    s2 = gram_stats(df, feats, "y", method="arrow")
-    np.testing.assert_allclose(s1.cxx, s2.cxx, rtol=1e-12, atol=1e-12)
-    np.testing.assert_allclose(s1.cxy, s2.cxy, rtol=1e-12, atol=1e-12)
+    for other in ("arrow", "covar"):
+        s2 = gram_stats(df, feats, "y", method=other)
+        np.testing.assert_allclose(s1.cxx, s2.cxx, rtol=1e-12, atol=1e-12)
+        np.testing.assert_allclose(s1.cxy, s2.cxy, rtol=1e-12, atol=1e-12)
+        np.testing.assert_allclose(s1.mean_x, s2.mean_x, rtol=1e-12, atol=1e-12)
 
 
 def test_ridge_gradient_and_loss(spark):
