@@ -7,7 +7,7 @@ statistics -> OLS / ridge / SGD baselines -> metrics -> run reports.
 from linfold.operators.compare import compare_models
 from linfold.operators.gd import TrainingResult, fit_gd, initial_weights, predict
 from linfold.operators.gram import (GramStats, compute_gradient, compute_loss, gradient_frame,
-                                    gradient_partials, gram_stats, loss_frame)
+                                    gradient_partials, gram_stats, gram_sums_frame, loss_frame)
 from linfold.operators.linear import LinearModel, fit_ols, fit_ridge, solve_centred
 from linfold.operators.metrics import evaluate, evaluate_many, evaluate_model
 from linfold.operators.prepare import PreparedData, prepare_train_test_data
@@ -26,7 +26,7 @@ __all__ = [
     "PreprocessorModel", "TrainingResult", "add_speedup", "build_preprocessor", "checkpoint_dir",
     "chunk", "compare_models", "compute_gradient", "compute_loss", "evaluate", "evaluate_many",
     "evaluate_model", "exact_quantiles", "feature_types", "fit_gd", "fit_ols", "fit_ridge",
-    "fit_sgd", "get_spark", "gradient_frame", "gradient_partials", "gram_stats",
+    "fit_sgd", "get_spark", "gradient_frame", "gradient_partials", "gram_stats", "gram_sums_frame",
     "initial_weights", "kth_smallest", "load_table", "loss_frame", "loss_history_frame",
     "make_synthetic_regression", "predict", "prepare_train_test_data", "report_series",
     "run_stats", "save_processed_splits", "solve_centred", "split_flag", "split_target",

@@ -219,6 +219,27 @@ def gradient_frame(df: DataFrame, features: list[str], target: str, weights,
     return agg.select(F.explode(F.array(*entries)).alias("g")).select("g.*")
 
 
+def gram_sums_frame(df: DataFrame, features: list[str], target: str,
+                    y_name: str = "y") -> DataFrame:
+    """Lazy raw Gram sums as rows (row_name, col_name, value): Z^T Z (upper triangle,
+    intercept first), Z^T y and y^T y, each a plain sum of products in one aggregate -- the
+    chunk sums combined, exact whenever the products are exact (e.g. integer data).
+    Training uses the centred statistics of ``gram_stats`` instead."""
+    names = ["intercept"] + list(features)
+    z = [F.lit(1.0)] + [_x(c) for c in features]
+    y = _x(target)
+    entries = []
+    for i in range(len(z)):
+        for j in range(i, len(z)):
+            entries.append((names[i], names[j], F.sum(z[i] * z[j])))
+    entries += [(names[i], y_name, F.sum(z[i] * y)) for i in range(len(z))]
+    entries.append((y_name, y_name, F.sum(y * y)))
+    agg = df.agg(*[e[2].alias(f"s{k}") for k, e in enumerate(entries)])
+    rows = [F.struct(F.lit(r).alias("row_name"), F.lit(c).alias("col_name"),
+                     F.col(f"s{k}").alias("value")) for k, (r, c, _) in enumerate(entries)]
+    return agg.select(F.explode(F.array(*rows)).alias("g")).select("g.*")
+
+
 def loss_frame(df: DataFrame, features: list[str], target: str, weights,
                alpha: float = 0.0) -> DataFrame:
     """Lazy ``compute_loss``: one row (n, mse, penalty, loss)."""

@@ -21,7 +21,7 @@ from linfold.functions.exprs import (TWO_POW_52, line_count, line_count_sql, rou
                                      round_sig_sql, word_count, word_count_sql)
 from linfold.operators.compare import compare_models
 from linfold.operators.gd import fit_gd, predict
-from linfold.operators.gram import gradient_frame, gram_stats, loss_frame
+from linfold.operators.gram import gradient_frame, gram_sums_frame, loss_frame
 from linfold.operators.linear import fit_ols, fit_ridge
 from linfold.operators.metrics import evaluate
 from linfold.operators.prepare import prepare_train_test_data
@@ -361,7 +361,8 @@ def _gram_rows(spark, st, y_name: str) -> DataFrame:
 
 
 def q_gram(spark, sf):
-    return _gram_rows(spark, gram_stats(_li_frame(spark, sf), LI_FEATURES, "y"), "y")
+    return _rounded(gram_sums_frame(_li_frame(spark, sf), LI_FEATURES, "y"),
+                    ["row_name", "col_name"])
 
 
 def _gram_sql() -> str:
