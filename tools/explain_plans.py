@@ -36,7 +36,11 @@ def main():
     print(f"# Physical plans of the hot passes ({os.path.basename(sf)})\n")
     feats = catalog.LI_FEATURES
     z = [F.col(c) - F.lit(1.0) for c in feats + ["y"]]
-    show("Gram statistics (SQL sums, shifted): one partial/final aggregate, pruned scan",
+    cols = feats + ["y"]
+    show("Gram statistics, d <= 5 (avg / covar_pop, no shift row): one partial/final aggregate",
+         li.agg(F.count(F.lit(1)), *[F.avg(c) for c in cols],
+                *[F.covar_pop(cols[i], cols[j]) for i in range(4) for j in range(i, 4)]))
+    show("Gram statistics, d 6-8 form (sums shifted by a sample row): one partial/final aggregate",
          li.agg(F.count(F.lit(1)), *[F.sum(z[i] * z[j]) for i in range(4) for j in range(i, 4)]))
     show("Gradient partials at fixed weights (chunk gradient + row-weighted combine)",
          li.agg(*_partial_columns(feats, "y", np.array([0.1, 0.01, -0.5, 0.3]))))
