@@ -43,31 +43,31 @@ def documents(docs: DataFrame, *extra: str) -> DataFrame:
                        F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``_k`` long, doc_id, text: ``_k`` orders the rows as doc_id does (null last) and is unique.
+def keyed(docs: DataFrame, *carried: Column) -> DataFrame:
+    """``_k`` long, doc_id, text and ``carried``: ``_k`` orders the rows as doc_id does (null last)
+    and is unique.
 
     It is doc_id itself where that is unique and never null. Else the rows are numbered in the
     order of (doc_id, text); equal rows are interchangeable.
     """
-    base = documents(docs)
+    base = documents(docs, *carried)
     repeated = (base.groupBy("doc_id").count()
                 .where((F.col("count") > 1) | F.col("doc_id").isNull()).limit(1).collect())
     if not repeated:
-        return base.select(F.col("doc_id").alias("_k"), "doc_id", "text")
-    ordered = saved(base.withColumn("_null", F.col("doc_id").isNull())
-                    .repartitionByRange(shuffle_partitions(base.sparkSession), "_null", "doc_id", "text")
-                    .sortWithinPartitions("_null", "doc_id", "text")
+        return base.select(F.col("doc_id").alias("_k"), *base.columns)
+    spark = base.sparkSession
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text")]
+    ordered = saved(base.repartitionByRange(shuffle_partitions(spark), *order).sortWithinPartitions(*order)
                     .withColumn("_i", F.monotonically_increasing_id()), "keyed")
     part = F.shiftright("_i", 33)
-    sizes = ordered.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
-    before = {r._p: r._n for r in sizes.collect()}   # one number per partition
-    total, offsets = 0, []
-    for p in sorted(before):
-        offsets.append((p, total))
-        total += before[p]
-    starts = base.sparkSession.createDataFrame(offsets, "_p long, _o long")
+    sizes = ordered.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()   # a number per partition
+    offset, total = {}, 0
+    for row in sorted(sizes, key=lambda r: r.p):
+        offset[row.p] = total
+        total += row.n
+    starts = spark.createDataFrame([*offset.items()] or [(0, 0)], "_p long, _o long")
     return (ordered.withColumn("_p", part).join(F.broadcast(starts), "_p")
-            .select((F.col("_o") + F.col("_i").bitwiseAND((1 << 33) - 1)).alias("_k"), "doc_id", "text"))
+            .select((F.col("_o") + F.col("_i").bitwiseAND((1 << 33) - 1)).alias("_k"), *base.columns))
 
 
 def hex64(value: Column) -> Column:

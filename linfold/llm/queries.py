@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linfold.llm import op3_simhash
+from linfold.llm import op2_packing, op3_simhash, op4_rules, op5_substring, op6_suffix, op10_classifier
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing.query,
     "op3_simhash": op3_simhash.query,
+    "op4_rules": op4_rules.query,
+    "op5_substring": op5_substring.query,
+    "op6_suffix": op6_suffix.query,
+    "op10_classifier": op10_classifier.query,
 }
 
 ORACLE_SQL: dict[str, str] = {}
