@@ -109,6 +109,13 @@ class Encoder:
         first, *rest = text.split(" ")
         return self.at_start[first] + b"".join(map(self.after_space.__getitem__, rest))
 
+    def sizes(self) -> np.ndarray:
+        """Bytes of each token."""
+        out = np.zeros(max(self.token_bytes) + 1, dtype=np.int64)
+        for i, token in self.token_bytes.items():
+            out[i] = len(token)
+        return out
+
     def decode(self, ids: bytes) -> str:
         """The text of ids, special tokens included."""
         table = self.token_bytes

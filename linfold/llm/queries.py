@@ -6,15 +6,32 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linfold.llm import op2_packing, op3_simhash, op4_rules, op5_substring, op6_suffix, op10_classifier
+from linfold.llm import (
+    op1_fingerprint,
+    op2_packing,
+    op3_simhash,
+    op4_rules,
+    op5_substring,
+    op6_suffix,
+    op7_toxicity,
+    op8_revisits,
+    op9_bpe,
+    op10_classifier,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprint": op1_fingerprint.query,
     "op2_packing": op2_packing.query,
     "op3_simhash": op3_simhash.query,
     "op4_rules": op4_rules.query,
     "op5_substring": op5_substring.query,
     "op6_suffix": op6_suffix.query,
+    "op7_toxicity": op7_toxicity.query,
+    "op8_revisits": op8_revisits.query,
+    "op9_bpe": op9_bpe.query,
     "op10_classifier": op10_classifier.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_revisits": op8_revisits.ORACLE_SQL,
+}
