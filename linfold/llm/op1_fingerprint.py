@@ -3,11 +3,11 @@
 The shingles (``SHINGLE_WORDS`` words) of a text are hashed once. The top bits of a hash name one of
 ``BINS`` bins, and each bin keeps the smallest of the remaining bits. An empty bin takes the value of
 the first filled bin in an order of its own, fixed and random, so that every filled bin is as likely
-(optimal densification). Of each value the low ``BITS`` bits are kept, packed into a hex string.
+(optimal densification). Of each value, mixed with its bin, the low ``BITS`` bits are kept, packed into a hex string.
 Likeness is the share of equal bins, corrected for the 2**-BITS that agree by chance.
 
-Texts with fewer words have one shingle, all their words; a text without words has a fingerprint of
-zeros.
+Texts with fewer words have one shingle, all their words; a text without words has a fixed
+fingerprint.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.llm import common
-from linfold.llm.textbytes import CHUNK_BYTES, U64, Texts, chunks, shingle_hash
+from linfold.llm.textbytes import CHUNK_BYTES, U64, Texts, chunks, mix, shingle_hash
 
 SHINGLE_WORDS, BINS, BITS, SEED = 5, 512, 4, 1
 BIN_SHIFT = U64(64 - BINS.bit_length() + 1)
@@ -71,7 +71,9 @@ def fingerprints(texts: pa.Array) -> np.ndarray:
     bins = np.full(t.n * BINS, EMPTY, dtype=U64)
     place = row * BINS + (values >> BIN_SHIFT).astype(np.int64)
     np.minimum.at(bins, place, values & ((U64(1) << BIN_SHIFT) - U64(1)))
-    return (densified(bins.reshape(t.n, BINS)) & U64((1 << BITS) - 1)).astype(np.uint8)
+    # Mixed with the bin, so that a value copied to many bins does not agree by chance in all of them.
+    mixed = mix(densified(bins.reshape(t.n, BINS)) ^ mix(np.arange(BINS, dtype=U64)))
+    return (mixed & U64((1 << BITS) - 1)).astype(np.uint8)
 
 
 def packed(bits: np.ndarray) -> list[str]:
