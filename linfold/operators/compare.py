@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from linfold.functions.exprs import quote
 from linfold.operators.gd import fit_gd, prediction_column
 from linfold.operators.gram import gram_stats
 from linfold.operators.linear import solve_centred
@@ -20,20 +21,22 @@ from linfold.operators.sgd import fit_sgd
 GD_MODEL = ("Custom GD", "spark_gram")
 OLS_MODEL = ("baseline", "least_squares")
 RIDGE_MODEL = ("baseline", "ridge")
-SGD_MODEL = ("baseline", "sgd_averaged")
+SGD_MODEL = ("baseline", "sgd_batches")
 
 
 def compare_models(train: DataFrame, test: DataFrame, features: list[str], target: str,
                    epochs: int = 1000, learning_rate: float = 0.01, alpha: float = 0.0,
                    random_state: int | None = 42, early_stopping: bool = False,
                    tol: float = 1e-6, patience: int = 20, include_baselines: bool = True,
-                   include_sgd: bool = True, sgd_epochs: int | None = None, initial=None,
-                   stats=None):
+                   include_sgd: bool = True, sgd_epochs: int | None = None, sgd_batches: int = 32,
+                   sgd_key: list[str] | None = None, initial=None, stats=None):
     """Returns ``(metrics_frame, models)``; the frame has one row per model with
-    ``model, implementation, MSE, RMSE, MAE, R2``. ``stats``: precomputed Gram statistics
+    ``model, implementation, MSE, RMSE, MAE, R2``. ``sgd_key``: columns that deal rows to SGD's
+    mini-batches. ``stats``: precomputed Gram statistics
     of ``train`` (e.g. ``PreparedData.gram_stats()``, one-hot aware)."""
     features = list(features)
-    cached = train.select(*features, target).persist(StorageLevel.MEMORY_AND_DISK)
+    kept = dict.fromkeys([*features, target, *(sgd_key or [])])
+    cached = train.select(*[F.col(quote(c)) for c in kept]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = stats or gram_stats(cached, features, target)
         models = {GD_MODEL: fit_gd(cached, features, target, epochs, learning_rate, alpha,
@@ -46,7 +49,8 @@ def compare_models(train: DataFrame, test: DataFrame, features: list[str], targe
             models[RIDGE_MODEL] = solve_centred(stats, alpha).weights
             if include_sgd:
                 models[SGD_MODEL] = fit_sgd(cached, features, target, sgd_epochs or epochs,
-                                            learning_rate, alpha, random_state or 0).weights
+                                            learning_rate, alpha, random_state or 0, sgd_batches,
+                                            sgd_key).weights
     finally:
         cached.unpersist()
     preds = {f"{m}|{i}": prediction_column(w, features) for (m, i), w in models.items()}

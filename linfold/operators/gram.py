@@ -9,13 +9,15 @@ d+2 or (d+2)^2 numbers per partition cross the shuffle; the driver receives only
   shifted by one sample row, so large offsets do not cancel digits, then centred exactly
   on the driver.
 
-Small d: plain SQL sums (Catalyst, whole-stage codegen). Wide d: ``mapInArrow`` with a
-NumPy block product per Arrow batch; the per-partition partial vectors are cut into
-fixed-size blocks and summed per block with ``Summarizer.sum`` (parallel across blocks).
+Narrow designs: plain SQL sums (Catalyst, whole-stage codegen). Wide ones: ``mapInArrow`` with a
+NumPy block product per Arrow batch; the partitions' partial vectors are cut into fixed-size blocks
+and summed per block in two levels. The width decides only which is faster: both reject rows with
+NULL, NaN or infinite values by the same count and the same error.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -67,62 +69,97 @@ def vector_blocks(vec: np.ndarray) -> pa.RecordBatch:
 BLOCK_SCHEMA = "blk int, vals array<double>"
 
 
-# Partial vectors are merged on the driver (like RDD.aggregate) while partitions x width
-# stays below this many numbers (32 MB); beyond it, in parallel per block on the executors.
-DRIVER_MERGE_LIMIT = 4_000_000
+MERGE_WAYS = 32   # partial rows of a block are first summed in this many groups
 
 
-def sum_blocks(parts: DataFrame, width: int, partitions: int | None = None) -> np.ndarray:
-    """Element-wise sum of the partial vectors of all partitions.
-
-    Small results (``partitions * width <= DRIVER_MERGE_LIMIT``) are merged on the driver
-    in one stage. Otherwise each partition contributes ``width / BLOCK`` rows and the
-    blocks are summed with ``Summarizer.sum`` per block id (partial per task, then one
-    merge per block, in parallel), so no task holds more than one block per partition and
-    the driver receives ``width`` numbers.
-    """
-    if partitions is not None and partitions * width <= DRIVER_MERGE_LIMIT:
-        out = np.zeros(width)
-        for r in parts.collect():
-            start = r["blk"] * BLOCK
-            block = np.asarray(r["vals"], dtype=float)
-            out[start:start + len(block)] += block
-        return out
+def sum_blocks(parts: DataFrame, width: int) -> np.ndarray:
+    """Element-wise sum of the partial vectors of all partitions: per block and group of
+    partitions, then per block, so no task gets a block of every partition. The driver receives
+    ``width`` numbers."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    rows = (parts.groupBy("blk")
-            .agg(Summarizer.sum(array_to_vector(F.col("vals"))).alias("s")).collect())
+    salted = parts.select("blk", array_to_vector("vals").alias("v"),
+                          F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("way"))
+    rows = (salted.groupBy("blk", "way").agg(Summarizer.sum(F.col("v")).alias("v"))
+            .groupBy("blk").agg(Summarizer.sum(F.col("v")).alias("s")).collect())
     out = np.zeros(width)
     for r in rows:
-        start = r["blk"] * BLOCK
         block = r["s"].toArray()
-        out[start:start + len(block)] = block
+        out[r["blk"] * BLOCK:r["blk"] * BLOCK + len(block)] = block
     return out
 
 
+def _is_null(columns: list[str]) -> Column:
+    return functools.reduce(lambda a, b: a | b, [_x(c).isNull() for c in columns], F.lit(False))
+
+
+def _is_odd(columns: list[str]) -> Column:
+    """NaN or infinite in a column, and no NULL in any."""
+    odd = [F.isnan(_x(c)) | (F.abs(_x(c)) == F.lit(float("inf"))) for c in columns]
+    return ~_is_null(columns) & functools.reduce(lambda a, b: a | b, odd, F.lit(False))
+
+
+def _row_counts(columns: list[str]) -> list[Column]:
+    return [F.count(F.lit(1)).alias("n"), F.count_if(_is_null(columns)).alias("nulls"),
+            F.count_if(_is_odd(columns)).alias("odd")]
+
+
+def _rejected(nulls: int, odd: int) -> str:
+    return (f"{nulls} rows hold NULL and {odd} rows hold NaN or infinite values in a feature or the target.")
+
+
+def _check_rows(n: int, nulls: int, odd: int) -> None:
+    if n == 0:
+        raise ValueError("At least one row is required.")
+    if nulls or odd:
+        raise ValueError(_rejected(nulls, odd))
+
+
+def usable_rows(df: DataFrame, features: list[str], target: str, invalid: str = "error") -> DataFrame:
+    """``df``, with ``invalid="skip"`` without the rows that hold NULL, NaN or infinite values in a
+    feature or the target; with ``"error"`` these are rejected by the aggregate that meets them."""
+    if invalid not in ("error", "skip"):
+        raise ValueError("invalid must be 'error' or 'skip'.")
+    columns = [*features, target]
+    return df.where(~_is_null(columns) & ~_is_odd(columns)) if invalid == "skip" else df
+
+
+def _guarded(value: Column) -> Column:
+    """A lazily computed value that raises if the aggregate met rows that must be rejected."""
+    message = F.concat(F.col("nulls").cast("string"), F.lit(" rows hold NULL and "), F.col("odd").cast("string"),
+                       F.lit(" rows hold NaN or infinite values in a feature or the target."))
+    return (F.when(F.col("nulls") + F.col("odd") > 0, F.raise_error(message).cast("double"))
+            .when(F.col("n") == 0, F.raise_error(F.lit("At least one row is required.")).cast("double"))
+            .otherwise(value))
+
+
 def _arrow_sum(df: DataFrame, columns: list[str], kernel, width: int) -> np.ndarray:
-    """Sum ``kernel(block)`` (a vector of ``width``) over all rows, per partition in Arrow."""
+    """n, NULL rows, NaN/infinite rows and the sum of ``kernel(block)`` (``width`` numbers) over the
+    other rows, per partition in Arrow."""
 
     def run(batches):
-        acc = np.zeros(width)
-        seen = False
+        acc = np.zeros(3 + width)
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             block = np.column_stack([
                 batch.column(i).to_numpy(zero_copy_only=False).astype(float)
                 for i in range(batch.num_columns)])
-            acc += kernel(block)
-            seen = True
-        if seen:
+            null, block = block[:, -1] > 0, block[:, :-1]
+            odd = ~null & ~np.isfinite(block).all(axis=1)
+            acc[:3] += len(block), null.sum(), odd.sum()
+            acc[3:] += kernel(block[~null & ~odd])
+        if acc[0]:
             yield vector_blocks(acc)
 
-    from linfold.session import num_partitions, ship_package
+    from linfold.session import ship_package
     ship_package(df.sparkSession)
-    frame = df.select(*[_x(c).alias(f"c{i}") for i, c in enumerate(columns)])
-    parts = frame.mapInArrow(run, BLOCK_SCHEMA)
-    return sum_blocks(parts, width, num_partitions(frame))
+    frame = df.select(*[_x(c).alias(f"c{i}") for i, c in enumerate(columns)],
+                      _is_null(columns).cast("double").alias("is_null"))
+    total = sum_blocks(frame.mapInArrow(run, BLOCK_SCHEMA), 3 + width)
+    _check_rows(*[int(round(v)) for v in total[:3]])
+    return np.concatenate([total[:1], total[3:]])
 
 
 @dataclass(frozen=True)
@@ -139,9 +176,13 @@ class GradientPartial:
         return 2.0 * np.concatenate([[self.sum_e], self.sum_ex])
 
 
+def _residual(features: list[str], target: str, w: np.ndarray) -> Column:
+    return linear_combination(w[0], w[1:], [_x(c) for c in features]) - _x(target)
+
+
 def _partial_columns(features: list[str], target: str, w: np.ndarray) -> list[Column]:
-    e = linear_combination(w[0], w[1:], [_x(c) for c in features]) - _x(target)
-    return ([F.count(F.lit(1)).alias("n"), F.sum(e).alias("se")]
+    e = _residual(features, target, w)
+    return (_row_counts([*features, target]) + [F.sum(e).alias("se")]
             + [F.sum(e * _x(c)).alias(f"sx{j}") for j, c in enumerate(features)]
             + [F.sum(e * e).alias("sse")])
 
@@ -152,71 +193,77 @@ def gradient_partials(df: DataFrame, features: list[str], target: str, weights,
     d = len(features)
     if method == "sql" or (method == "auto" and d <= PARTIALS_SQL_MAX_FEATURES):
         row = df.agg(*_partial_columns(features, target, w)).collect()[0]
-        n = int(row["n"])
-        if n == 0:
-            raise ValueError("A non-empty chunk is required to compute the gradient.")
-        return GradientPartial(n, float(row["se"]),
+        _check_rows(row["n"], row["nulls"], row["odd"])
+        return GradientPartial(int(row["n"]), float(row["se"]),
                                np.array([float(row[f"sx{j}"]) for j in range(d)]),
                                float(row["sse"]))
 
     def kernel(block):
         x, y = block[:, :d], block[:, d]
         e = w[0] + x @ w[1:] - y
-        return np.concatenate([[len(e), e.sum()], x.T @ e, [e @ e]])
+        return np.concatenate([[e.sum()], x.T @ e, [e @ e]])
 
-    v = _arrow_sum(df, features + [target], kernel, d + 3)
-    if v[0] == 0:
-        raise ValueError("A non-empty chunk is required to compute the gradient.")
+    v = _arrow_sum(df, [*features, target], kernel, d + 2)
     return GradientPartial(int(round(v[0])), float(v[1]), v[2:2 + d], float(v[2 + d]))
 
 
-def ridge_gradient(weights, alpha: float) -> np.ndarray:
-    """2*alpha*w_j for j >= 1; the intercept is never penalised."""
+def penalty_diagonal(size: int, alpha: float) -> np.ndarray:
+    """The ridge term as a diagonal over the weights: alpha for each, 0 for the intercept. The term
+    is sum(diagonal * w**2), its gradient 2 * diagonal * w."""
     if alpha < 0:
         raise ValueError("alpha must not be negative.")
-    w = np.asarray(weights, dtype=float).reshape(-1)
-    out = np.zeros_like(w)
-    if alpha:
-        out[1:] = 2.0 * alpha * w[1:]
-    return out
-
-
-def ridge_penalty(weights, alpha: float) -> float:
-    w = np.asarray(weights, dtype=float).reshape(-1)
-    return float(alpha * np.sum(w[1:] ** 2))
+    return np.concatenate([[0.0], np.full(size - 1, float(alpha))])
 
 
 def compute_gradient(df: DataFrame, features: list[str], target: str, weights,
                      alpha: float = 0.0) -> np.ndarray:
     """Full-batch gradient of mean squared error (+ ridge), row-weighted over partitions."""
-    ridge = ridge_gradient(weights, alpha)
-    p = gradient_partials(df, features, target, weights)
+    w = _check_weights(features, weights)
+    ridge = 2.0 * penalty_diagonal(len(w), alpha) * w
+    p = gradient_partials(df, features, target, w)
     return p.grad_sum / p.n + ridge
 
 
 def compute_loss(df: DataFrame, features: list[str], target: str, weights,
                  alpha: float = 0.0) -> float:
     """mean((Zw - y)^2) + alpha * sum_{j>=1} w_j^2."""
-    if alpha < 0:
-        raise ValueError("alpha must not be negative.")
-    p = gradient_partials(df, features, target, weights)
-    return p.sse / p.n + ridge_penalty(weights, alpha)
+    w = _check_weights(features, weights)
+    ridge = float(penalty_diagonal(len(w), alpha) @ w ** 2)
+    p = gradient_partials(df, features, target, w)
+    return p.sse / p.n + ridge
+
+
+def chunk_gradients(df: DataFrame, features: list[str], target: str, weights, chunk: Column,
+                    invalid: str = "error") -> DataFrame:
+    """One row per chunk: chunk, n, ``g0`` .. ``gd`` (the chunk's gradient sums 2 Z'(Zw - y),
+    intercept first). ``chunk`` is any expression of the row (a hash of its key, or
+    ``spark_partition_id()``); rows are not moved, only the chunks' sums are."""
+    w = _check_weights(features, weights)
+    sums = (usable_rows(df, features, target, invalid).groupBy(chunk.alias("chunk"))
+            .agg(*_partial_columns(features, target, w)))
+    two = F.lit(2.0)
+    return sums.select("chunk", "n", _guarded(two * F.col("se")).alias("g0"),
+                       *[_guarded(two * F.col(f"sx{j}")).alias(f"g{j + 1}") for j in range(len(features))])
+
+
+def combine_chunks(chunks: DataFrame, features: list[str], weights=None, alpha: float = 0.0) -> DataFrame:
+    """The gradient (idx, name, gradient) from ``chunk_gradients`` rows, each weighted by its rows."""
+    size = len(features) + 1
+    w = np.zeros(size) if weights is None else _check_weights(features, weights)
+    ridge = 2.0 * penalty_diagonal(size, alpha) * w
+    total = chunks.agg(F.sum("n").alias("n"), *[F.sum(f"g{j}").alias(f"g{j}") for j in range(size)])
+    names = ["intercept", *features]
+    return total.select(F.explode(F.array(*[
+        F.struct(F.lit(j).alias("idx"), F.lit(names[j]).alias("name"),
+                 (F.col(f"g{j}") / F.col("n") + F.lit(float(ridge[j]))).alias("gradient"))
+        for j in range(size)])).alias("g")).select("g.*")
 
 
 def gradient_frame(df: DataFrame, features: list[str], target: str, weights,
-                   alpha: float = 0.0) -> DataFrame:
+                   alpha: float = 0.0, invalid: str = "error") -> DataFrame:
     """Lazy one-aggregate form of ``compute_gradient``: rows (idx, name, gradient)."""
-    w = _check_weights(features, weights)
-    ridge = ridge_gradient(w, alpha)
-    agg = df.agg(*_partial_columns(features, target, w))
-    n = F.col("n").cast("double")
-    entries = [F.struct(F.lit(0).alias("idx"), F.lit("intercept").alias("name"),
-                        (F.lit(2.0) * F.col("se") / n + F.lit(ridge[0])).alias("gradient"))]
-    for j, c in enumerate(features):
-        entries.append(F.struct(F.lit(j + 1).alias("idx"), F.lit(c).alias("name"),
-                                (F.lit(2.0) * F.col(f"sx{j}") / n + F.lit(float(ridge[j + 1])))
-                                .alias("gradient")))
-    return agg.select(F.explode(F.array(*entries)).alias("g")).select("g.*")
+    one = chunk_gradients(df, features, target, weights, F.lit(0), invalid)
+    return combine_chunks(one, features, weights, alpha)
 
 
 def gram_sums_frame(df: DataFrame, features: list[str], target: str,
@@ -234,22 +281,21 @@ def gram_sums_frame(df: DataFrame, features: list[str], target: str,
             entries.append((names[i], names[j], F.sum(z[i] * z[j])))
     entries += [(names[i], y_name, F.sum(z[i] * y)) for i in range(len(z))]
     entries.append((y_name, y_name, F.sum(y * y)))
-    agg = df.agg(*[e[2].alias(f"s{k}") for k, e in enumerate(entries)])
+    agg = df.agg(*_row_counts([*features, target]), *[e[2].alias(f"s{k}") for k, e in enumerate(entries)])
     rows = [F.struct(F.lit(r).alias("row_name"), F.lit(c).alias("col_name"),
-                     F.col(f"s{k}").alias("value")) for k, (r, c, _) in enumerate(entries)]
+                     _guarded(F.col(f"s{k}")).alias("value")) for k, (r, c, _) in enumerate(entries)]
     return agg.select(F.explode(F.array(*rows)).alias("g")).select("g.*")
 
 
 def loss_frame(df: DataFrame, features: list[str], target: str, weights,
-               alpha: float = 0.0) -> DataFrame:
+               alpha: float = 0.0, invalid: str = "error") -> DataFrame:
     """Lazy ``compute_loss``: one row (n, mse, penalty, loss)."""
     w = _check_weights(features, weights)
-    if alpha < 0:
-        raise ValueError("alpha must not be negative.")
-    e = linear_combination(w[0], w[1:], [_x(c) for c in features]) - _x(target)
-    pen = ridge_penalty(w, alpha)
-    return df.agg(F.count(F.lit(1)).alias("n"), F.avg(e * e).alias("mse")).select(
-        "n", "mse", F.lit(pen).alias("penalty"), (F.col("mse") + F.lit(pen)).alias("loss"))
+    ridge = float(penalty_diagonal(len(w), alpha) @ w ** 2)
+    e = _residual(features, target, w)
+    agg = usable_rows(df, features, target, invalid).agg(*_row_counts([*features, target]), F.avg(e * e).alias("mse"))
+    mse = _guarded(F.col("mse"))
+    return agg.select("n", mse.alias("mse"), F.lit(ridge).alias("penalty"), (mse + F.lit(ridge)).alias("loss"))
 
 
 @dataclass(frozen=True)
@@ -281,77 +327,53 @@ class GramStats:
 def _shift_row(df: DataFrame, columns: list[str]) -> np.ndarray:
     rows = df.select(*[_x(c) for c in columns]).limit(1).collect()
     if not rows:
-        raise ValueError("At least one training row is required.")
+        raise ValueError("At least one row is required.")
     return np.array([0.0 if (v is None or not np.isfinite(v)) else float(v) for v in rows[0]])
 
 
-def _covar_stats(df: DataFrame, features: list[str], target: str) -> GramStats:
-    cols = features + [target]
-    k = len(cols)
-    any_bad = F.lit(False)
-    for c in cols:
-        any_bad = any_bad | F.col(quote(c)).isNull() | F.isnan(_x(c))
-    aggs = [F.count(F.lit(1)).alias("n"), F.count(F.when(any_bad, 1)).alias("bad")]
-    aggs += [F.avg(_x(c)).alias(f"m{i}") for i, c in enumerate(cols)]
-    aggs += [F.covar_pop(_x(cols[i]), _x(cols[j])).alias(f"c{i}_{j}")
-             for i in range(k) for j in range(i, k)]
-    row = df.agg(*aggs).collect()[0]
-    n, bad = int(row["n"]), int(row["bad"])
-    if n == 0:
-        raise ValueError("At least one training row is required.")
-    if bad:
-        raise ValueError(f"{bad} training rows hold NULL or NaN in a feature or the target.")
-    mean = np.array([float(row[f"m{i}"]) for i in range(k)])
-    cov = np.zeros((k, k))
+def _symmetric(k: int, value) -> np.ndarray:
+    out = np.empty((k, k))
     for i in range(k):
         for j in range(i, k):
-            cov[i, j] = cov[j, i] = float(row[f"c{i}_{j}"]) * n
-    d = len(features)
-    return GramStats(tuple(features), n, mean[:d], float(mean[d]), cov[:d, :d], cov[:d, d],
-                     float(cov[d, d]))
+            out[i, j] = out[j, i] = value(i, j)
+    return out
 
 
 def gram_stats(df: DataFrame, features: list[str], target: str,
                method: str = "auto") -> GramStats:
-    """One data pass (plus a one-row peek for the shift). NULL in any column is an error."""
+    """One data pass (plus a one-row peek for the shift in all but the narrowest form). A row with
+    NULL, NaN or an infinite value in any column is an error."""
     features = list(features)
-    cols = features + [target]
-    k = len(cols)
-    if method == "covar" or (method == "auto" and len(features) <= COVAR_MAX_FEATURES):
-        return _covar_stats(df, features, target)
-    s = _shift_row(df, cols)
-    if method == "sql" or (method == "auto" and len(features) <= SQL_MAX_FEATURES):
-        z = [_x(c) - F.lit(float(s[i])) for i, c in enumerate(cols)]
-        any_null = F.lit(False)
-        for c in cols:
-            any_null = any_null | F.col(quote(c)).isNull() | F.isnan(_x(c))
-        aggs = [F.count(F.lit(1)).alias("n"), F.count(F.when(any_null, 1)).alias("bad")]
-        aggs += [F.sum(z[i]).alias(f"s{i}") for i in range(k)]
-        aggs += [F.sum(z[i] * z[j]).alias(f"p{i}_{j}") for i in range(k) for j in range(i, k)]
-        row = df.agg(*aggs).collect()[0]
-        n, bad = int(row["n"]), int(row["bad"])
-        sums = np.array([float(row[f"s{i}"] or 0.0) for i in range(k)])
-        prod = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                prod[i, j] = prod[j, i] = float(row[f"p{i}_{j}"] or 0.0)
+    cols = [*features, target]
+    k, d = len(cols), len(features)
+    if method == "auto":
+        method = "covar" if d <= COVAR_MAX_FEATURES else "sql" if d <= SQL_MAX_FEATURES else "arrow"
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    if method == "covar":
+        row = df.agg(*_row_counts(cols), *[F.avg(_x(c)).alias(f"m{i}") for i, c in enumerate(cols)],
+                     *[F.covar_pop(_x(cols[i]), _x(cols[j])).alias(f"c{i}_{j}") for i, j in pairs]).collect()[0]
+        n = row["n"]
+        _check_rows(n, row["nulls"], row["odd"])
+        mean = np.array([float(row[f"m{i}"]) for i in range(k)])
+        centred = _symmetric(k, lambda i, j: float(row[f"c{i}_{j}"]) * n)
     else:
-        def kernel(block):
-            bad_rows = ~np.isfinite(block).all(axis=1)
-            good = np.where(bad_rows[:, None], 0.0, block - s)
-            return np.concatenate([[len(block), bad_rows.sum()], good.sum(axis=0),
-                                   (good.T @ good).reshape(-1)])
-
-        v = _arrow_sum(df, cols, kernel, 2 + k + k * k)
-        n, bad = int(round(v[0])), int(round(v[1]))
-        sums = v[2:2 + k]
-        prod = v[2 + k:].reshape(k, k)
-    if n == 0:
-        raise ValueError("At least one training row is required.")
-    if bad:
-        raise ValueError(f"{bad} training rows hold NULL or NaN in a feature or the target.")
-    mean = s + sums / n
-    centred = prod - np.outer(sums, sums) / n
-    d = len(features)
-    return GramStats(tuple(features), n, mean[:d], float(mean[d]), centred[:d, :d],
+        s = _shift_row(df, cols)
+        if method == "sql":
+            z = [_x(c) - F.lit(float(s[i])) for i, c in enumerate(cols)]
+            row = df.agg(*_row_counts(cols), *[F.sum(z[i]).alias(f"s{i}") for i in range(k)],
+                         *[F.sum(z[i] * z[j]).alias(f"p{i}_{j}") for i, j in pairs]).collect()[0]
+            n = row["n"]
+            _check_rows(n, row["nulls"], row["odd"])
+            sums = np.array([float(row[f"s{i}"]) for i in range(k)])
+            prod = _symmetric(k, lambda i, j: float(row[f"p{i}_{j}"]))
+        else:
+            def kernel(block):
+                shifted = block - s
+                return np.concatenate([shifted.sum(axis=0), (shifted.T @ shifted).reshape(-1)])
+
+            v = _arrow_sum(df, cols, kernel, k + k * k)
+            n, sums, prod = int(round(v[0])), v[1:1 + k], v[1 + k:].reshape(k, k)
+        mean = s + sums / n
+        centred = prod - np.outer(sums, sums) / n
+    return GramStats(tuple(features), int(n), mean[:d], float(mean[d]), centred[:d, :d],
                      centred[:d, d], float(centred[d, d]))

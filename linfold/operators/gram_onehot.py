@@ -13,7 +13,8 @@ Pass 2 stacks every column and every column pair (``explode`` of small structs)
 ``groupBy(set, key1, key2)`` with map-side combine, so a hot category costs nothing. The
 cost is linear in rows and independent of the number of categories; the driver receives
 at most sum |V_c| + sum |V_c| * |V_c'| rows -- no more than the d x d Gram it must hold
-anyway.
+anyway. For designs too wide for that, ``fit_gd(solver="per_epoch")`` needs only ``onehot_partials``,
+d + 1 numbers a pass.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import quote
-from linfold.operators.gram import GradientPartial, GramStats, gram_stats
+from linfold.operators.gram import GradientPartial, GramStats, _check_rows, _row_counts, gram_stats
 from linfold.operators.preprocess import PreprocessorModel, category_value
 
 
@@ -31,7 +32,7 @@ def onehot_gram_stats(raw: DataFrame, model: PreprocessorModel, target: str) ->
     """GramStats over ``model.feature_names`` (intercept implicit) and ``target``, from the
     untransformed table ``raw`` (e.g. the kept raw train split of a prepare)."""
     names = model.feature_names
-    index = {name: i for i, name in enumerate(names)}
+    index = model.positions
     num = list(model.numeric)
     cats = list(model.categorical)
     d = len(names)
@@ -70,7 +71,7 @@ def onehot_gram_stats(raw: DataFrame, model: PreprocessorModel, target: str) ->
         s = r["s"]
         if s < len(cats):
             c = cats[s]
-            i = index.get(f"{c}_{r['k1']}")
+            i = index.get((c, r["k1"]))
             if i is None:
                 continue
             sums[i] = r["cnt"]
@@ -80,8 +81,7 @@ def onehot_gram_stats(raw: DataFrame, model: PreprocessorModel, target: str) ->
                 cross[i, j] = cross[j, i] = r[u]
         else:
             a, b = pairs[s - len(cats)]
-            i = index.get(f"{cats[a]}_{r['k1']}")
-            j = index.get(f"{cats[b]}_{r['k2']}")
+            i, j = index.get((cats[a], r["k1"])), index.get((cats[b], r["k2"]))
             if i is None or j is None:
                 continue
             cross[i, j] = cross[j, i] = r["cnt"]
@@ -102,19 +102,18 @@ def onehot_partials(raw: DataFrame, model: PreprocessorModel, target: str,
     stacked ``groupBy(column, value)`` of the residual. Linear in rows, independent of
     the number of categories."""
     names = model.feature_names
-    index = {name: i for i, name in enumerate(names)}
+    index = model.positions
     num, cats = list(model.numeric), list(model.categorical)
     e = model.prediction_column(weights, raw.schema) - F.col(quote(target)).cast("double")
     frame = raw.select(*[model.numeric_expr(c).alias(f"_u{j}") for j, c in enumerate(num)],
                        *[model.filled_category(c, raw.schema[c].dataType).alias(f"_c{i}")
                          for i, c in enumerate(cats)], e.alias("_e"))
-    row = frame.agg(F.count(F.lit(1)).alias("n"), F.sum("_e").alias("se"),
+    row = frame.agg(*_row_counts(["_e"]), F.sum("_e").alias("se"),
                     F.sum(F.col("_e") * F.col("_e")).alias("sse"),
                     *[F.sum(F.col("_e") * F.col(f"_u{j}")).alias(f"su{j}")
                       for j in range(len(num))]).collect()[0]
+    _check_rows(row["n"], row["nulls"], row["odd"])
     n = int(row["n"])
-    if n == 0:
-        raise ValueError("A non-empty chunk is required to compute the gradient.")
     sum_ex = np.zeros(len(names))
     for j in range(len(num)):
         sum_ex[j] = float(row[f"su{j}"])
@@ -124,7 +123,7 @@ def onehot_partials(raw: DataFrame, model: PreprocessorModel, target: str,
             for i in range(len(cats))])).alias("g"))
         for r in stacked.groupBy(F.col("g.s").alias("s"), F.col("g.k").alias("k")).agg(
                 F.sum("_e").alias("se")).collect():
-            i = index.get(f"{cats[r['s']]}_{r['k']}")
+            i = index.get((cats[r["s"]], r["k"]))
             if i is not None:
                 sum_ex[i] = float(r["se"])
     return GradientPartial(n, float(row["se"]), sum_ex, float(row["sse"]))

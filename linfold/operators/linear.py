@@ -1,10 +1,11 @@
 """Closed-form least squares (B1) and ridge (B2) from the distributed Gram statistics.
 
 Both solve the *centred* normal equations on the driver -- a (d x d) problem -- so the
-intercept is never penalised and the data is read once. OLS uses a pseudo-inverse with
-a relative eigenvalue cut, giving the minimum-norm solution for a singular design (full
-one-hot plus intercept). Ridge minimises SSE + alpha*||w||^2 (the library scale, which
-equals the gradient-descent objective MSE + alpha'*||w||^2 at alpha' = alpha / n).
+intercept is never penalised and the data is read once. Features are first brought to one scale
+(divided by the root of their own co-moment), so that the rank of a design does not depend on
+units; a design of lower rank (full one-hot plus intercept) gets the minimum-norm solution. Ridge
+minimises SSE + alpha*||w||^2 (the library scale, which equals the gradient-descent objective
+MSE + alpha'*||w||^2 at alpha' = alpha / n).
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linfold.operators.gram import GramStats, gram_stats
 
-EIGEN_CUT = 1e-10
+RANK_CUT = 1e-12   # of the correlation matrix's largest eigenvalue
 
 
 @dataclass(frozen=True)
@@ -36,29 +37,38 @@ class LinearModel:
         return spark.createDataFrame(rows, "idx int, name string, weight double")
 
 
-def pinv_solve(a: np.ndarray, b: np.ndarray, cut: float = EIGEN_CUT) -> np.ndarray:
-    """Minimum-norm solution of a symmetric positive semi-definite system."""
+def least_squares(a: np.ndarray, b: np.ndarray, cut: float = RANK_CUT) -> np.ndarray:
+    """Minimum-norm solution of a symmetric positive semi-definite system whose rank is judged
+    after scaling its diagonal to ones."""
     if a.size == 0:
         return np.zeros(0)
-    vals, vecs = np.linalg.eigh(a)
-    top = max(float(vals.max()), 0.0)
-    keep = vals > cut * top if top > 0 else np.zeros_like(vals, dtype=bool)
-    inv = np.zeros_like(vals)
-    inv[keep] = 1.0 / vals[keep]
-    return vecs @ (inv * (vecs.T @ b))
+    size = np.sqrt(np.maximum(np.diag(a), 0.0))
+    used = size > 0
+    out = np.zeros(len(b))
+    if not used.any():
+        return out
+    size = size[used]
+    scaled = a[np.ix_(used, used)] / np.outer(size, size)
+    vals, vecs = np.linalg.eigh(scaled)
+    # A null direction of m features has an eigenvalue of rounding size, about m times 1e-16.
+    keep = vals > max(cut, 8 * len(vals) * np.finfo(float).eps) * vals.max()
+    solution = vecs[:, keep] @ ((vecs[:, keep].T @ (b[used] / size)) / vals[keep]) / size
+    if not keep.all():
+        # Any solution plus the null space; the one with the least norm is orthogonal to it.
+        null = vecs[:, ~keep] / size[:, None]
+        basis, _ = np.linalg.qr(null)
+        solution = solution - basis @ (basis.T @ solution)
+    out[used] = solution
+    return out
 
 
 def solve_centred(stats: GramStats, alpha: float = 0.0) -> LinearModel:
     if alpha < 0:
         raise ValueError("alpha must not be negative.")
     if alpha == 0:
-        coef = pinv_solve(stats.cxx, stats.cxy)
+        coef = least_squares(stats.cxx, stats.cxy)
     else:
-        a = stats.cxx + alpha * np.eye(stats.d)
-        try:
-            coef = np.linalg.solve(a, stats.cxy)
-        except np.linalg.LinAlgError:
-            coef = pinv_solve(a, stats.cxy)
+        coef = np.linalg.solve(stats.cxx + alpha * np.eye(stats.d), stats.cxy)
     intercept = stats.mean_y - float(stats.mean_x @ coef) if stats.d else stats.mean_y
     return LinearModel(stats.features, float(intercept), np.asarray(coef, dtype=float))
 

@@ -29,8 +29,9 @@ def _metric_aggs(y: Column, p: Column, suffix: str = "") -> list[Column]:
 
 def _metric_values(suffix: str = "") -> list[Column]:
     bad = F.col(f"bad{suffix}")
-    mse = F.when(bad > 0, F.raise_error(F.lit("target and prediction must not hold NULL/NaN"))
-                 .cast("double")).otherwise(F.col(f"mse{suffix}"))
+    mse = (F.when(bad > 0, F.raise_error(F.lit("target and prediction must not hold NULL/NaN")).cast("double"))
+           .when(F.col(f"n{suffix}") == 0, F.raise_error(F.lit("evaluation needs at least one row")).cast("double"))
+           .otherwise(F.col(f"mse{suffix}")))
     sst = F.col(f"sst{suffix}")
     r2 = F.when(sst == 0, F.lit(0.0)).otherwise(F.lit(1.0) - F.col(f"ssr{suffix}") / sst)
     return [mse.alias("MSE"), F.sqrt(mse).alias("RMSE"), F.col(f"mae{suffix}").alias("MAE"),
@@ -44,9 +45,6 @@ def evaluate(df: DataFrame, target: str, prediction: str = "prediction",
     y, p = F.col(quote(target)).cast("double"), F.col(quote(prediction)).cast("double")
     grouped = df.groupBy(*[quote(b) for b in by]) if by else df.groupBy()
     agg = grouped.agg(*_metric_aggs(y, p))
-    if not by:
-        agg = agg.withColumn("n", F.when(F.col("n") == 0, F.raise_error(
-            F.lit("evaluation needs at least one row")).cast("long")).otherwise(F.col("n")))
     return agg.select(*[quote(b) for b in by], *_metric_values())
 
 

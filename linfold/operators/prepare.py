@@ -10,9 +10,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from linfold.operators.preprocess import MAX_CATEGORIES, Preprocessor, PreprocessorModel
+from linfold.operators.preprocess import Preprocessor, PreprocessorModel
 from linfold.operators.split import train_test_split
-from linfold.operators.target import TARGET_SCALE, split_target
+from linfold.operators.target import TARGET_SCALE, check_targets, split_target
 from linfold.session import materialize as keep_for_passes
 
 
@@ -35,7 +35,8 @@ class PreparedData:
         from linfold.operators.gd import fit_gd
         from linfold.operators.gram_onehot import onehot_partials
         if self.preprocessor.categorical and self.kept is not None:
-            kwargs.setdefault("stats", self.gram_stats())
+            if kwargs.get("solver", "gram") == "gram" and kwargs.get("stats") is None:
+                kwargs["stats"] = self.gram_stats()
             kwargs.setdefault("partials", lambda w: onehot_partials(
                 self.kept, self.preprocessor, self.target_column, w))
         return fit_gd(self.train, self.feature_names, self.target_column, **kwargs)
@@ -64,12 +65,13 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
                             target_scale: float = TARGET_SCALE, spark: SparkSession | None = None,
                             id_columns: tuple[str, ...] | list[str] = (),
                             split_key: str | list[str] | None = None, split_mode: str = "hash",
-                            max_categories: int = MAX_CATEGORIES,
+                            max_categories: int | None = None,
                             materialize: str = "persist",
-                            split_hash: str = "md5") -> PreparedData:
+                            split_hash: str = "md5", median: str = "exact") -> PreparedData:
     """Split first, then fit the preprocessing on the train split only.
 
-    ``split_key`` defaults to the id columns, or to every column when there are none.
+    ``split_key`` defaults to the id columns, or to every column when there are none. Rows without
+    a target and empty splits are errors.
     ``materialize`` keeps the raw train split for the fit passes and the training that
     follows: ``persist`` (cache) or ``checkpoint`` (shared folder, lineage cut).
     """
@@ -87,7 +89,8 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
     raw_train, raw_test = train_test_split(frame, test_size, random_state, key=key,
                                            mode=split_mode, algorithm=split_hash)
     raw_train = keep_for_passes(raw_train, materialize)
-    model = Preprocessor(features, max_categories).fit(raw_train)
+    check_targets(raw_train, raw_test, target_column)
+    model = Preprocessor(features, max_categories, median).fit(raw_train)
     keep = list(id_columns) + [target_column]
     train = model.transform(raw_train, keep)
     test = model.transform(raw_test, keep)

@@ -5,9 +5,8 @@ Categorical branch: most-frequent imputation -> one-hot, one column per train ca
 unseen categories map to all zeros. Numeric block first, then categorical; every other
 column is dropped unless passed through explicitly.
 
-Fit cost: one aggregate pass for counts/mean/variance/distinct estimates of the numeric
-columns, the exact medians (one more pass for low-cardinality columns, see ``select.py``;
-the median-filled mean/std follow by exact pooling), and one stacked
+Fit cost: one aggregate pass for counts/mean/variance of the numeric columns, the exact medians
+(counted values in range partitions, see ``select.py``; the median-filled mean/std follow by exact pooling), and one stacked
 ``groupBy(column, value)`` for modes and category lists. Only per-column statistics reach
 the driver. Transform is a single
 narrow ``select`` -- no shuffle, fused into whole-stage codegen.
@@ -15,6 +14,7 @@ narrow ``select`` -- no shuffle, fused into whole-stage codegen.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -26,7 +26,6 @@ from linfold.functions.exprs import nan_to_null, quote
 from linfold.operators.select import exact_quantiles
 from linfold.operators.target import feature_types
 
-MAX_CATEGORIES = 1_000
 _EPS = float(np.finfo(np.float64).eps)
 
 
@@ -41,14 +40,26 @@ class PreprocessorModel:
     categories: dict[str, tuple[str, ...]]
     dropped: tuple[str, ...] = field(default_factory=tuple)
 
-    @property
+    @functools.cached_property
     def feature_names(self) -> list[str]:
-        names = list(self.numeric)
-        for c in self.categorical:
-            names += [f"{c}_{v}" for v in self.categories[c]]
-        if len(set(names)) != len(names):
-            raise ValueError("Feature names are not unique after one-hot encoding.")
-        return names
+        """Numeric columns, then ``column_value`` per category. Spark does not tell names apart by
+        case, so a name that an earlier one already has gets a number (``c_a``, ``c_A__2``)."""
+        names = [*self.numeric, *[f"{c}_{v}" for c in self.categorical for v in self.categories[c]]]
+        seen: set[str] = set()
+        out = []
+        for name in names:
+            new, number = name, 2
+            while new.lower() in seen:
+                new, number = f"{name}__{number}", number + 1
+            seen.add(new.lower())
+            out.append(new)
+        return out
+
+    @functools.cached_property
+    def positions(self) -> dict[tuple[str, str], int]:
+        """Index in ``feature_names`` of each (column, category)."""
+        pairs = [(c, v) for c in self.categorical for v in self.categories[c]]
+        return {pair: len(self.numeric) + i for i, pair in enumerate(pairs)}
 
     def numeric_expr(self, c: str) -> Column:
         filled = F.coalesce(nan_to_null(F.col(quote(c)).cast("double")), F.lit(self.medians[c]))
@@ -57,7 +68,8 @@ class PreprocessorModel:
     def category_exprs(self, c: str, dtype: T.DataType | None = None) -> list[Column]:
         raw = category_value(c, dtype) if dtype is not None else F.col(quote(c)).cast("string")
         value = F.coalesce(raw, F.lit(self.modes[c]))
-        return [F.when(value == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(f"{c}_{v}")
+        names = self.feature_names
+        return [F.when(value == F.lit(v), F.lit(1.0)).otherwise(F.lit(0.0)).alias(names[self.positions[c, v]])
                 for v in self.categories[c]]
 
     def filled_category(self, c: str, dtype: T.DataType) -> Column:
@@ -123,6 +135,27 @@ class PreprocessorModel:
         return out
 
 
+def category_table(train: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, category, n): the categories of each column in ``train`` as a table, which may be
+    of any size (NULL is no category)."""
+    return (_stacked(train, columns).where("category IS NOT NULL")
+            .groupBy("column", "category").agg(F.count(F.lit(1)).alias("n")))
+
+
+def onehot_long(df: DataFrame, columns: list[str], table: DataFrame, keep: list[str]) -> DataFrame:
+    """The ones of a one-hot encoding as rows (``keep``, column, category), by a join with a
+    ``category_table``: the form for columns with too many categories for a column each. A value
+    that the table does not have, or NULL, has no row."""
+    return (_stacked(df, columns, keep).join(table.select("column", "category"), ["column", "category"], "left_semi")
+            .select(*[F.col(quote(k)) for k in keep], "column", "category"))
+
+
+def _stacked(df: DataFrame, columns: list[str], keep: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    return df.select(*[F.col(quote(k)) for k in keep], F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), category_value(c, df.schema[c].dataType).alias("category"))
+        for c in columns])).alias("e")).select(*[F.col(quote(k)) for k in keep], "e.column", "e.category")
+
+
 def category_value(c: str, dtype: T.DataType) -> Column:
     """A categorical column as strings; booleans spelled as pandas prints them."""
     col = F.col(quote(c))
@@ -140,9 +173,10 @@ def _is_constant(var: float, mean: float, n: int) -> bool:
 class Preprocessor:
     """``Preprocessor(features).fit(train) -> PreprocessorModel``."""
 
-    def __init__(self, features: list[str] | None = None, max_categories: int = MAX_CATEGORIES,
+    def __init__(self, features: list[str] | None = None, max_categories: int | None = None,
                  median: str = "exact", median_accuracy: int = 10_000):
-        """``median="approx"`` trades the exact median for one ``percentile_approx`` pass
+        """``max_categories`` (none by default) makes the fit fail where a column has more.
+        ``median="approx"`` trades the exact median for one ``percentile_approx`` pass
         (relative rank error 1 / ``median_accuracy``) on very large inputs."""
         if median not in ("exact", "approx"):
             raise ValueError("median must be 'exact' or 'approx'.")
@@ -159,31 +193,21 @@ class Preprocessor:
         medians: dict[str, float] = {}
         means: dict[str, float] = {}
         scales: dict[str, float] = {}
-        # one pass: counts, mean, variance and distinct estimate of the numeric columns, and
-        # a distinct estimate of the categorical ones (so a column with too many categories
-        # fails before the category aggregation runs)
+        # one pass: counts, mean and variance of the numeric columns
         aggs = [F.count(F.lit(1)).alias("rows")]
         for i, c in enumerate(numeric):
             x = nan_to_null(F.col(quote(c)).cast("double"))
-            aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
-                     F.var_pop(x).alias(f"v{i}"),
-                     F.approx_count_distinct(x, 0.05).alias(f"d{i}")]
-        for i, c in enumerate(categorical):
-            aggs.append(F.approx_count_distinct(F.col(quote(c)), 0.05).alias(f"cd{i}"))
+            aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"), F.var_pop(x).alias(f"v{i}")]
         row = train.agg(*aggs).collect()[0]
         total = row["rows"]
         if total == 0:
             raise ValueError("At least one training row is required for preprocessing.")
-        for i, c in enumerate(categorical):
-            if row[f"cd{i}"] > 1.2 * self.max_categories:
-                raise ValueError(f"Column {c} has about {row[f'cd{i}']} categories, more than "
-                                 f"{self.max_categories}; raise max_categories or encode differently.")
         if numeric:
             # the exact medians reuse the counts; the statistics of the median-filled column
             # follow exactly from pooling the values with their NULLs set to the median
             present = [c for i, c in enumerate(numeric) if row[f"n{i}"]]
             dropped += [c for c in numeric if c not in present]
-            stats = {c: (row[f"n{i}"], float(row[f"d{i}"] or 0), row[f"m{i}"], row[f"v{i}"])
+            stats = {c: (row[f"n{i}"], row[f"m{i}"], row[f"v{i}"])
                      for i, c in enumerate(numeric) if c in present}
             if self.median == "approx" and present:
                 r = train.agg(*[F.percentile_approx(nan_to_null(F.col(quote(c)).cast("double")),
@@ -191,10 +215,9 @@ class Preprocessor:
                                 for c in present]).collect()[0]
                 med = {c: r[c] for c in present}
             else:
-                med = exact_quantiles(train, present, 0.5,
-                                      sizes={c: stats[c][:2] for c in present}) if present else {}
+                med = exact_quantiles(train, present, 0.5) if present else {}
             for c in present:
-                m, _, mu, var = stats[c]
+                m, mu, var = stats[c]
                 medians[c] = float(med[c])
                 fill = total - m
                 mean = (m * mu + fill * medians[c]) / total if fill else float(mu)
@@ -211,12 +234,8 @@ class Preprocessor:
             stacked = train.select(F.explode(F.array(*[
                 F.struct(F.lit(i).alias("c"), category_value(c, train.schema[c].dataType).alias("v"))
                 for i, c in enumerate(categorical)])).alias("e")).filter(F.col("e.v").isNotNull())
-            limit = self.max_categories * len(categorical) + 1
-            rows = (stacked.groupBy(F.col("e.c").alias("c"), F.col("e.v").alias("v"))
-                    .count().limit(limit).collect())
-            if len(rows) >= limit:
-                raise ValueError(f"More than {self.max_categories} categories in a column; "
-                                 "raise max_categories or encode differently.")
+            # the categories are the model (one weight each), so they come to the driver
+            rows = (stacked.groupBy(F.col("e.c").alias("c"), F.col("e.v").alias("v")).count().collect())
             per_col: dict[int, list[tuple[str, int]]] = {}
             for r in rows:
                 per_col.setdefault(r["c"], []).append((r["v"], r["count"]))
@@ -226,7 +245,7 @@ class Preprocessor:
                 if not pairs:
                     dropped.append(c)
                     continue
-                if len(pairs) > self.max_categories:
+                if self.max_categories is not None and len(pairs) > self.max_categories:
                     raise ValueError(f"Column {c} has more than {self.max_categories} categories.")
                 kept_cat.append(c)
                 categories[c] = tuple(sorted(v for v, _ in pairs))
@@ -240,5 +259,5 @@ class Preprocessor:
                                  modes, categories, tuple(dropped))
 
 
-def build_preprocessor(features: list[str], max_categories: int = MAX_CATEGORIES) -> Preprocessor:
+def build_preprocessor(features: list[str], max_categories: int | None = None) -> Preprocessor:
     return Preprocessor(features, max_categories)

@@ -1,526 +1,125 @@
-"""Exact order statistics (median, quantiles, k-th smallest) that stay bounded at any size.
+"""Exact order statistics of any number of rows and groups (medians, quantiles, k-th values).
 
-Spark's exact ``percentile``/``median`` keeps a value->count map per group and merges it in
-one task, which does not survive billions of distinct values. This operator gets the
-exact answer with bounded state instead:
-
-1. one pass counts the non-NULL values per (group, column), estimates their distinct
-   count (HyperLogLog) and fixes the wanted ranks;
-2. while a candidate interval holds more than ``EXACT_LIMIT`` rows *and* many distinct
-   values, one pass computes ``percentile_approx`` on a fixed grid *inside* the interval
-   together with exact counts below/inside it; the grid brackets the wanted rank,
-   shrinking the interval about ``GRID_POINTS`` times per pass;
-3. a last pass counts the rows below the interval and every distinct value inside it
-   (``groupBy`` with map-side combine, so a hot value costs nothing -- its size is bounded
-   by distinct values, not rows) and picks the value whose running count crosses the
-   rank. A bracket that missed the rank is detected by these exact counts and widened,
-   so the result never depends on the sketch being right.
-
-Small or low-cardinality inputs finish after two passes. The caller should persist ``df`` when it
-is expensive to recompute, as each pass scans it.
+One route for all sizes. Values are counted per (group, column), the counts are range-partitioned by
+(group, column, value), and the counts of each partition's part of a column give the rank at which
+every part starts. Only the parts that hold a wanted rank are then summed up row by row. A value
+that very many rows share is one counted row; a column or group of any size is spread over the
+partitions; the driver gets one row per column (nothing per group).
 """
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
-from types import SimpleNamespace
+import functools
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from linfold.functions.exprs import nan_to_null, quote
-
-GRID_POINTS = 500
-SKETCH_ACCURACY = 10_000
-EXACT_LIMIT = 200_000
-MAX_GROUPS = 100_000   # groups under refinement at once (broadcast state of a few MB)
-MAX_BIG_GROUPS = 1_000_000   # heavy groups in all (each holds > EXACT_LIMIT rows)
-MAX_ROUNDS = 32
-SKETCH_SAMPLE = 1_000_000   # rows fed to a sketch per pass at most (a Bernoulli sample)
-
-
-@dataclass
-class _Slot:
-    group: tuple
-    slot: int
-    k: int                      # wanted 0-based rank among the non-NULL values
-    lo: float | None = None     # candidate interval, inclusive; None = unbounded
-    hi: float | None = None
-    m: int = 0                  # rows inside [lo, hi]: exact when `checked`, else an upper estimate
-    below: int = 0              # rows below lo: exact when `checked`
-    checked: bool = True
-    distinct: float = float("inf")   # estimated distinct values inside the interval
-    parent: tuple | None = None      # last interval with exact counts: (lo, hi, m, below)
-    margin: float = 1.5
-    value: float | None = None
-    done: bool = False
-    less: int | None = None     # rows below the selected value (set by the finish pass)
-    equal: int | None = None    # rows equal to it
-
-    @property
-    def finishable(self) -> bool:
-        return self.m <= EXACT_LIMIT or self.distinct <= EXACT_LIMIT / 2
-
-    def revert(self) -> None:
-        """The sketch bracket missed the rank: go back to the parent interval, wider."""
-        if self.parent is None:
-            raise RuntimeError("exact selection lost a rank inside a verified interval")
-        self.lo, self.hi, self.m, self.below = self.parent
-        self.checked, self.distinct, self.margin = True, float("inf"), self.margin * 4
-
-    def narrow(self, lo, hi, m_estimate: int, distinct: float = float("inf")) -> None:
-        """Move to a proposed (unverified) sub-interval; the parent keeps the exact counts."""
-        self.parent = (self.lo, self.hi, self.m, self.below)
-        self.lo, self.hi, self.m, self.checked, self.distinct = lo, hi, m_estimate, False, distinct
-
-
-def _in_interval(x: Column, lo: Column, hi: Column) -> Column:
-    return x.isNotNull() & (lo.isNull() | (x >= lo)) & (hi.isNull() | (x <= hi))
-
-
-class _Plan:
-    """Shared plumbing: literal state for a global selection, a broadcast state table
-    (size checked by ``MAX_GROUPS``) for a grouped one."""
-
-    def __init__(self, df: DataFrame, columns: list[str], by: list[str]):
-        self.spark = df.sparkSession
-        self.by = by
-        self.gcols = [f"_g{i}" for i in range(len(by))]
-        self.xcols = [f"_x{i}" for i in range(len(columns))]
-        self.data = df.select(
-            *[F.col(quote(b)).alias(g) for b, g in zip(by, self.gcols)],
-            *[nan_to_null(F.col(quote(c)).cast("double")).alias(x)
-              for c, x in zip(columns, self.xcols)])
-        self.key_types = [self.data.schema[g].dataType for g in self.gcols]
-
-    def grouped(self, frame: DataFrame):
-        return frame.groupBy(*self.gcols) if self.gcols else frame.groupBy()
-
-    def with_state(self, slots: list[_Slot], fields: dict[str, callable]):
-        """Return (frame, accessor) where accessor(slot_id, field) gives a Column."""
-        slot_ids = sorted({s.slot for s in slots})
-        types = {"on": T.BooleanType(), "k": T.LongType(), "ka": T.LongType(),
-                 "kb": T.LongType()}   # everything else (bounds, margins, fractions) is double
-        if not self.gcols:
-            by_id = {s.slot: s for s in slots}
-
-            def lit_of(slot_id: int, field: str) -> Column:
-                value = fields[field](by_id[slot_id])
-                return F.lit(value).cast(types.get(field, T.DoubleType()))
-            return self.data, lit_of
-        # grouped: one row per group, one column per (slot, field); proven small
-        table: dict[tuple, dict] = {}
-        for s in slots:
-            row = table.setdefault(s.group, {})
-            for field, fn in fields.items():
-                row[f"_{field}{s.slot}"] = fn(s)
-        schema = T.StructType(
-            [T.StructField(f"_s{g}", t, True) for g, t in zip(self.gcols, self.key_types)]
-            + [T.StructField(f"_{field}{sid}", types.get(field, T.DoubleType()), True)
-               for sid in slot_ids for field in fields])
-        rows = []
-        for group, vals in table.items():
-            rec = list(group)
-            for sid in slot_ids:
-                for field in fields:
-                    rec.append(vals.get(f"_{field}{sid}", False if field == "on" else None))
-            rows.append(tuple(rec))
-        state = self.spark.createDataFrame(rows, schema)
-        cond = None
-        for g in self.gcols:
-            c = F.col(g).eqNullSafe(F.col(f"_s{g}"))
-            cond = c if cond is None else cond & c
-        joined = self.data.join(F.broadcast(state), cond, "inner").drop(
-            *[f"_s{g}" for g in self.gcols])
-        return joined, (lambda slot_id, field: F.col(f"_{field}{slot_id}"))
-
-
-def _rank_pair(n: int, q: float) -> tuple[int, int, float]:
-    pos = q * (n - 1)
-    k_lo = int(math.floor(pos))
-    k_hi = min(int(math.ceil(pos)), n - 1)
-    return k_lo, k_hi, pos - k_lo
-
-
-def _refine(plan: _Plan, slots: list[_Slot]) -> None:
-    """One pass: exact counts below/inside each slot's interval, a distinct estimate and a
-    quantile grid of the values inside it. The grid stays on the executors: the bracket
-    around each wanted rank is picked there (``try_element_at``), so the driver receives a
-    handful of numbers per (group, slot). Slots of one column sharing an interval share
-    one sketch."""
-    grid = [i / GRID_POINTS for i in range(GRID_POINTS + 1)]
-    lead_of = _leaders(slots)
-    leads = sorted(set(lead_of.values()))
-    def sampled(s: _Slot) -> bool:
-        # sample the sketch's input while the interval is large -- but not after a miss
-        # (margin grown by a revert): then the sketch sees every row of the interval
-        return s.m > SKETCH_SAMPLE and s.margin <= 1.5
-
-    def margin_of(s: _Slot) -> float:
-        # sketch rank error, plus the sampling error when the sketch sees a sample only
-        err = s.margin / SKETCH_ACCURACY
-        if sampled(s):
-            err += s.margin * 2.0 / math.sqrt(SKETCH_SAMPLE)
-        return err
-
-    state: dict[tuple, SimpleNamespace] = {}
-    for s in slots:
-        lead = lead_of[s.slot]
-        st_ = state.setdefault((s.group, lead), SimpleNamespace(
-            group=s.group, slot=lead, lo=s.lo, hi=s.hi, ka=s.k, kb=s.k, ea=margin_of(s),
-            eb=margin_of(s),
-            sf=min(1.0, SKETCH_SAMPLE / max(float(s.m), 1.0)) if sampled(s) else 1.0))
-        if s.slot != lead:
-            st_.kb, st_.eb = s.k, margin_of(s)
-        elif s.slot % 2 == 0:
-            st_.ka, st_.ea = s.k, margin_of(s)
-    fields = {"lo": lambda v: v.lo, "hi": lambda v: v.hi, "on": lambda v: True,
-              "ka": lambda v: v.ka, "kb": lambda v: v.kb, "ea": lambda v: v.ea,
-              "eb": lambda v: v.eb, "sf": lambda v: v.sf}
-    frame, st = plan.with_state(list(state.values()), fields)
-    # the sample draw lives in a projection (aggregate arguments must be deterministic);
-    # the result never depends on it -- only the bracket proposal does
-    frame = frame.withColumn("_rnd", F.rand())
-    aggs, keep = [], []
-    for sid in leads:
-        x = F.col(plan.xcols[sid // 2])
-        lo, hi, on = st(sid, "lo"), st(sid, "hi"), st(sid, "on")
-        inside = on & _in_interval(x, lo, hi)
-        aggs += [
-            F.count(F.when(on & x.isNotNull() & lo.isNotNull() & (x < lo), 1)).alias(f"b{sid}"),
-            F.count(F.when(inside, 1)).alias(f"m{sid}"),
-            F.percentile_approx(F.when(inside & (F.col("_rnd") < st(sid, "sf")), x), grid,
-                                SKETCH_ACCURACY).alias(f"q{sid}"),
-            F.approx_count_distinct(F.when(inside, x), 0.05).alias(f"d{sid}"),
-            # the rank/margin state is constant per group; carried through for the bracket
-            F.max(st(sid, "ka")).alias(f"ka{sid}"), F.max(st(sid, "kb")).alias(f"kb{sid}"),
-            F.max(st(sid, "ea")).alias(f"ea{sid}"), F.max(st(sid, "eb")).alias(f"eb{sid}"),
-        ]
-        q, m, b = F.col(f"q{sid}"), F.col(f"m{sid}").cast("double"), F.col(f"b{sid}")
-        keep += [b, F.col(f"m{sid}"), F.col(f"d{sid}"),
-                 F.try_element_at(q, F.lit(1)).alias(f"first{sid}"),
-                 F.try_element_at(q, F.lit(GRID_POINTS + 1)).alias(f"last{sid}")]
-        for w in ("a", "b"):
-            r = (F.col(f"k{w}{sid}") - b).cast("double")
-            eps = F.col(f"e{w}{sid}")
-            i_lo = F.greatest(F.floor((F.try_divide(r, m) - eps) * GRID_POINTS), F.lit(0))
-            i_hi = F.least(F.ceil((F.try_divide(r + 1, m) + eps) * GRID_POINTS),
-                           F.lit(GRID_POINTS))
-            keep += [F.try_element_at(q, (i_lo + 1).cast("int")).alias(f"lo{w}{sid}"),
-                     F.try_element_at(q, (i_hi + 1).cast("int")).alias(f"hi{w}{sid}"),
-                     ((i_hi - i_lo) / F.lit(float(GRID_POINTS))).alias(f"span{w}{sid}")]
-    result = plan.grouped(frame).agg(*aggs).select(*plan.gcols, *keep).collect()
-    by_key = {(tuple(r[g] for g in plan.gcols)): r for r in result}
-    for s in slots:
-        row = by_key.get(s.group)
-        sid = lead_of[s.slot]
-        w = "b" if s.slot != sid else "a"
-        below = row[f"b{sid}"] if row else 0
-        m = row[f"m{sid}"] if row else 0
-        r = s.k - below
-        if not (0 <= r < m):
-            s.revert()
-            continue
-        s.m, s.below, s.checked = m, below, True
-        s.distinct = float(row[f"d{sid}"])
-        if s.lo is not None and s.lo == s.hi:
-            s.value, s.less, s.equal, s.done = s.lo, below, m, True
-            continue
-        first, last = row[f"first{sid}"], row[f"last{sid}"]
-        if first is not None and first == last:
-            # the sketch sees one value in the interval: narrow to it; the count check
-            # confirms it with exact counts (or reverts)
-            s.narrow(first, first, m, 1.0)
-            continue
-        if s.finishable or first is None:
-            continue
-        # clamped to the sketch's extremes; a wrong bracket is caught by the exact counts
-        new_lo, new_hi = row[f"lo{w}{sid}"], row[f"hi{w}{sid}"]
-        if (new_lo, new_hi) == (s.lo, s.hi):
-            s.margin = max(s.margin / 2, 0.5)
-            continue
-        span = row[f"span{w}{sid}"] + 2 * margin_of(s)
-        s.narrow(new_lo, new_hi, int(math.ceil(span * m)) + 1)
-
-
-def _leaders(slots: list[_Slot]) -> dict[int, int]:
-    """The two rank slots (2c, 2c+1) of a column usually share their interval (always at
-    first); when they do in every group, slot 2c leads both and one entry/sketch serves
-    them. Returns slot id -> leading slot id."""
-    by_column: dict[int, dict[tuple, set]] = {}
-    for s in slots:
-        by_column.setdefault(s.slot // 2, {}).setdefault(s.group, set()).add((s.lo, s.hi))
-    shared = {c for c, groups in by_column.items() if all(len(iv) == 1 for iv in groups.values())}
-    return {s.slot: (s.slot // 2) * 2 if s.slot // 2 in shared else s.slot for s in slots}
-
-
-def _count_check(plan: _Plan, slots: list[_Slot]) -> None:
-    """One plain aggregate pass: exact counts below / inside each proposed interval (and a
-    distinct estimate inside). A proposal that misses the wanted rank is reverted."""
-    fields = {"lo": lambda s: s.lo, "hi": lambda s: s.hi, "on": lambda s: True}
-    frame, st = plan.with_state(slots, fields)
-    aggs = []
-    for sid in sorted({s.slot for s in slots}):
-        x = F.col(plan.xcols[sid // 2])
-        lo, hi, on = st(sid, "lo"), st(sid, "hi"), st(sid, "on")
-        inside = on & _in_interval(x, lo, hi)
-        aggs += [F.count(F.when(on & x.isNotNull() & lo.isNotNull() & (x < lo), 1)).alias(f"b{sid}"),
-                 F.count(F.when(inside, 1)).alias(f"m{sid}"),
-                 F.approx_count_distinct(F.when(inside, x), 0.05).alias(f"d{sid}")]
-    rows = plan.grouped(frame).agg(*aggs).collect()
-    by_key = {(tuple(r[g] for g in plan.gcols)): r for r in rows}
-    for s in slots:
-        row = by_key.get(s.group)
-        below = row[f"b{s.slot}"] if row else 0
-        m = row[f"m{s.slot}"] if row else 0
-        if 0 <= s.k - below < m:
-            s.below, s.m, s.checked = below, m, True
-            s.distinct = float(row[f"d{s.slot}"])
-        else:
-            s.revert()
-
-
-def _finish(plan: _Plan, slots: list[_Slot]) -> None:
-    """One pass over the rows inside the (verified) intervals only: count each distinct value
-    (map-side combined), then the running count in value order, offset by the exact count
-    below the interval, gives global ranks. Rows outside every interval are dropped by a
-    codegen'd filter before anything is exploded."""
-    lead_of = _leaders(slots)
-    state: dict[tuple, SimpleNamespace] = {}
-    for s in slots:
-        lead = lead_of[s.slot]
-        st_ = state.setdefault((s.group, lead), SimpleNamespace(
-            group=s.group, slot=lead, lo=s.lo, hi=s.hi, ka=s.k - s.below, kb=s.k - s.below))
-        if s.slot != lead:
-            st_.kb = s.k - s.below
-        elif s.slot % 2 == 0:
-            st_.ka = s.k - s.below
-    fields = {"lo": lambda s: s.lo, "hi": lambda s: s.hi, "on": lambda s: True,
-              "ka": lambda s: s.ka, "kb": lambda s: s.kb}
-    frame, st = plan.with_state(list(state.values()), fields)
-    entries, any_inside = [], F.lit(False)
-    for sid in sorted({v.slot for v in state.values()}):
-        x = F.col(plan.xcols[sid // 2])
-        inside = st(sid, "on") & _in_interval(x, st(sid, "lo"), st(sid, "hi"))
-        any_inside = any_inside | inside
-        entries.append(F.when(inside, F.struct(F.lit(sid).alias("slot"), st(sid, "ka").alias("ka"),
-                                               st(sid, "kb").alias("kb"), x.alias("v"))))
-    stacked = (frame.filter(any_inside)
-               .select(*plan.gcols, F.explode(F.array(*entries)).alias("e"))
-               .filter(F.col("e").isNotNull()))
-    counted = stacked.groupBy(*plan.gcols, F.col("e.slot").alias("slot"), F.col("e.ka").alias("ka"),
-                              F.col("e.kb").alias("kb"), F.col("e.v").alias("v")).count()
-    w = Window.partitionBy(*plan.gcols, "slot").orderBy("v")
-    cum, start = F.col("cum"), F.col("cum") - F.col("count")
-
-    def crosses(k):
-        return (cum > F.col(k)) & (start <= F.col(k))
-
-    hits = (counted.withColumn("cum", F.sum("count").over(w))
-            .filter(crosses("ka") | crosses("kb"))
-            .select(*plan.gcols, "slot", "v", "cum", "count", crosses("ka").alias("is_a"),
-                    crosses("kb").alias("is_b")).collect())
-    found: dict[tuple, tuple] = {}
-    for r in hits:
-        key = tuple(r[g] for g in plan.gcols)
-        hit = (r["v"], r["cum"] - r["count"], r["count"])
-        if r["is_a"]:
-            found[(key, r["slot"], "a")] = hit
-        if r["is_b"]:
-            found[(key, r["slot"], "b")] = hit
-    for s in slots:
-        lead = lead_of[s.slot]
-        key = (s.group, lead, "b" if s.slot != lead else "a")
-        if key not in found:
-            raise RuntimeError("exact selection lost a rank inside a verified interval")
-        s.value, less_inside, s.equal = found[key]
-        s.less = s.below + less_inside
-        s.done = True
-
-
-def _select(plan: _Plan, slots: list[_Slot]) -> None:
-    for _ in range(MAX_ROUNDS):
-        pending = [s for s in slots if not s.done]
-        if not pending:
-            return
-        ready = [s for s in pending if s.finishable]
-        unchecked = [s for s in ready if not s.checked]
-        if unchecked:
-            _count_check(plan, unchecked)
-        ready = [s for s in ready if s.checked and s.finishable]
-        if ready:
-            _finish(plan, ready)
-        rest = [s for s in pending if not s.done and not (s.checked and s.finishable)]
-        if rest:
-            _refine(plan, rest)
-    pending = [s for s in slots if not s.done]
-    if pending:
-        raise RuntimeError("exact selection did not converge; the candidate set stays too large")
-
-
-def _interpolate(a, b, frac: float):
-    if a is None:
-        return None
-    if frac == 0.0 or a == b:
-        return a
-    if frac == 0.5:
-        return (a + b) / 2.0
-    return a + (b - a) * frac
-
-
-def _interpolate_col(a: Column, b: Column, frac: Column) -> Column:
-    return (F.when((frac == 0) | (a == b), a)
-            .when(frac == 0.5, (a + b) / F.lit(2.0))
-            .otherwise(a + (b - a) * frac))
-
-
-def _slots_for(group: tuple, i: int, n: int, d: float, q: float) -> tuple[list[_Slot], float]:
-    k_lo, k_hi, frac = _rank_pair(n, q)
-    return [_Slot(group=group, slot=2 * i, k=k_lo, m=n, distinct=d),
-            _Slot(group=group, slot=2 * i + 1, k=k_hi, m=n, distinct=d)], frac
-
-
-def _small_group_quantiles(plan: _Plan, q: float, big: list[tuple]) -> DataFrame:
-    """Exact quantiles of every (group, column) whose distinct values are few: one
-    ``groupBy(group, column, value)`` with map-side combine, then a window per
-    (group, column) -- its size is the number of distinct values, bounded by the caller."""
-    stacked = plan.data.select(*plan.gcols, F.explode(F.array(*[
-        F.struct(F.lit(i).alias("c"), F.col(x).alias("v")) for i, x in enumerate(plan.xcols)
-    ])).alias("e")).select(*plan.gcols, "e.c", "e.v").filter(F.col("v").isNotNull())
-    if big:
-        # leave the (group, column) pairs handled by the bounded refinement out
-        schema = T.StructType(
-            [T.StructField(f"_b{g}", t, True) for g, t in zip(plan.gcols, plan.key_types)]
-            + [T.StructField("_bc", T.IntegerType(), False)])
-        big_df = plan.spark.createDataFrame(big, schema)
-        cond = F.col("c") == F.col("_bc")
-        for g in plan.gcols:
-            cond = cond & F.col(g).eqNullSafe(F.col(f"_b{g}"))
-        stacked = stacked.join(F.broadcast(big_df), cond, "left_anti")
-    counted = stacked.groupBy(*plan.gcols, "c", "v").count()
-    part = Window.partitionBy(*plan.gcols, "c")
-    ranked = (counted.withColumn("cum", F.sum("count").over(part.orderBy("v")))
-              .withColumn("n", F.sum("count").over(part)))
-    pos = F.lit(float(q)) * (F.col("n") - 1).cast("double")
-    k_lo, k_hi = F.floor(pos), F.least(F.ceil(pos), F.col("n") - 1)
-    start = F.col("cum") - F.col("count")
-
-    def hit(k):
-        return F.when((F.col("cum") > k) & (start <= k), F.col("v"))
-
-    per = ranked.groupBy(*plan.gcols, "c").agg(
-        F.max(hit(k_lo)).alias("a"), F.max(hit(k_hi)).alias("b"),
-        F.max(pos - F.floor(pos)).alias("frac"))
-    return per.select(*plan.gcols, "c",
-                      _interpolate_col(F.col("a"), F.col("b"), F.col("frac")).alias("value"))
-
-
-def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5,
-                    by: list[str] | None = None,
-                    sizes: dict[str, tuple[int, float]] | None = None):
-    """Exact quantile (linear interpolation between order statistics, as numpy/DuckDB).
-
-    ``q = 0.5`` is the median: the middle value, or the mean of the two middle values.
-    NULL and NaN are ignored; a column without values gives None.
-
-    Without ``by``: returns ``{column: value}``. With ``by``: a DataFrame with the group
-    keys and one column per input column, for any number of groups. ``sizes`` (global
-    only): precomputed ``{column: (non-NULL count, approx distinct count)}`` from a pass the
-    caller runs anyway, saving the counting pass. (group, column) pairs
-    with few distinct values are solved in one windowed pass; the few with many rows and
-    many distinct values (at most n / EXACT_LIMIT of them, checked against ``MAX_GROUPS``)
-    go through the bounded refinement, so a group holding a third of the rows is fine.
-    """
-    if not 0.0 <= q <= 1.0:
-        raise ValueError("q must lie in [0, 1].")
-    by = list(by or [])
-    columns = list(columns)
-    plan = _Plan(df, columns, by)
-    known = sizes
-    sizes = plan.grouped(plan.data).agg(
-        *[F.count(x).alias(f"n{i}") for i, x in enumerate(plan.xcols)],
-        *[F.approx_count_distinct(x, 0.05).alias(f"d{i}") for i, x in enumerate(plan.xcols)])
-    if not by:
-        if known is not None:
-            row = {**{f"n{i}": known[c][0] for i, c in enumerate(columns)},
-                   **{f"d{i}": known[c][1] for i, c in enumerate(columns)}}
-        else:
-            row = sizes.collect()[0]
-        slots, fracs = [], {}
-        for i in range(len(columns)):
-            if row[f"n{i}"]:
-                pair, fracs[i] = _slots_for((), i, row[f"n{i}"], float(row[f"d{i}"]), q)
-                slots += pair
-        _select(plan, slots)
-        values = {s.slot: s.value for s in slots}
-        return {c: (_interpolate(values[2 * i], values[2 * i + 1], fracs[i]) if i in fracs else None)
-                for i, c in enumerate(columns)}
-
-    big_cond = F.lit(False)
-    for i in range(len(columns)):
-        big_cond = big_cond | ((F.col(f"n{i}") > EXACT_LIMIT)
-                               & (F.col(f"d{i}") > EXACT_LIMIT / 2))
-    big_rows = sizes.filter(big_cond).limit(MAX_BIG_GROUPS + 1).collect()
-    if len(big_rows) > MAX_BIG_GROUPS:
-        raise ValueError(f"More than {MAX_BIG_GROUPS} groups hold over {EXACT_LIMIT} distinct values.")
-    slots, fracs, big = [], {}, []
-    for row in big_rows:
-        group = tuple(row[g] for g in plan.gcols)
-        for i in range(len(columns)):
-            n, d = row[f"n{i}"], float(row[f"d{i}"])
-            if n > EXACT_LIMIT and d > EXACT_LIMIT / 2:
-                pair, fracs[(group, i)] = _slots_for(group, i, n, d, q)
-                slots += pair
-                big.append(group + (i,))
-    long = _small_group_quantiles(plan, q, big)
-    if slots:
-        # refined in batches of MAX_GROUPS groups: each batch broadcasts a bounded state table
-        order = sorted({s.group for s in slots}, key=repr)
-        for start in range(0, len(order), MAX_GROUPS):
-            batch = set(order[start:start + MAX_GROUPS])
-            _select(plan, [s for s in slots if s.group in batch])
-        values = {(s.group, s.slot): s.value for s in slots}
-        rows = [g + (i, _interpolate(values[(g, 2 * i)], values[(g, 2 * i + 1)], frac))
-                for (g, i), frac in fracs.items()]
-        schema = T.StructType(
-            [T.StructField(g, t, True) for g, t in zip(plan.gcols, plan.key_types)]
-            + [T.StructField("c", T.IntegerType(), False),
-               T.StructField("value", T.DoubleType(), True)])
-        long = long.unionByName(plan.spark.createDataFrame(rows, schema))
-    groups = sizes.select(*plan.gcols)
-    wide = long.groupBy(*plan.gcols).agg(
-        *[F.max(F.when(F.col("c") == i, F.col("value"))).alias(f"_v{i}")
-          for i in range(len(columns))])
-    cond = None
-    for g in plan.gcols:
-        c = groups[g].eqNullSafe(wide[g])
-        cond = c if cond is None else cond & c
-    out = groups.join(wide, cond, "left")
-    return out.select(*[groups[g].alias(b) for g, b in zip(plan.gcols, by)],
-                      *[F.col(f"_v{i}").alias(c) for i, c in enumerate(columns)])
-
-
-def kth_smallest(df: DataFrame, column: str, k: int,
-                 sizes: tuple[int, float] | None = None) -> float | None:
-    """Exact k-th smallest non-NULL value (0-based) of one column, or None."""
-    found = kth_smallest_with_counts(df, column, k, sizes)
-    return None if found is None else found[0]
-
-
-def kth_smallest_with_counts(df: DataFrame, column: str, k: int,
-                             sizes: tuple[int, float] | None = None):
-    """``(value, rows below it, rows equal to it)`` for the k-th smallest (0-based), or None.
-    ``sizes`` = (non-NULL count, approx distinct count) when the caller already has them."""
-    plan = _Plan(df, [column], [])
-    if sizes is None:
-        row = plan.data.agg(F.count(plan.xcols[0]).alias("n"),
-                            F.approx_count_distinct(plan.xcols[0], 0.05).alias("d")).collect()[0]
-        sizes = (row["n"], float(row["d"]))
-    n, d = sizes
-    if k < 0 or k >= n:
-        return None
-    slot = _Slot(group=(), slot=0, k=k, m=n, distinct=float(d))
-    _select(plan, [slot])
-    return slot.value, slot.less, slot.equal
+from linfold.session import materialize
+
+
+class Ranked:
+    """Counted values of ``columns`` (per group of ``by``) in range partitions, kept until
+    ``release``. NULL and NaN are left out."""
+
+    def __init__(self, df: DataFrame, columns: list[str], by: list[str] | None = None,
+                 cast: str = "double"):
+        self.columns, self.by = list(columns), list(by or [])
+        self.groups = [f"g{i}" for i in range(len(self.by))]
+        value = [F.col(quote(c)).cast(cast) for c in self.columns]
+        if cast == "double":
+            value = [nan_to_null(v) for v in value]
+        stacked = df.select(
+            *[F.col(quote(b)).alias(g) for b, g in zip(self.by, self.groups)],
+            F.explode(F.array(*[F.struct(F.lit(i).alias("c"), v.alias("v"))
+                                for i, v in enumerate(value)])).alias("e"))
+        self.keys = [*self.groups, "c"]
+        counted = (stacked.select(*self.groups, "e.c", "e.v").where("v IS NOT NULL")
+                   .groupBy(*self.keys, "v").agg(F.count(F.lit(1)).alias("n")))
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        self.counted = (counted.repartitionByRange(parts, *self.keys, "v")
+                        .withColumn("part", F.spark_partition_id())
+                        .persist(StorageLevel.MEMORY_AND_DISK))
+
+    def release(self) -> None:
+        self.counted.unpersist()
+
+    @staticmethod
+    def match(keys: list[str], left: str = "a", right: str = "b") -> Column:
+        """Equal keys (NULL equal to NULL) of two aliased sides."""
+        return functools.reduce(lambda x, y: x & y,
+                                [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys])
+
+    def at(self, low: Column, high: Column) -> DataFrame:
+        """Per (group, column): the values at two 0-based ranks, which may use ``total``, with
+        ``less`` and ``equal``, the rows below and at the low one."""
+        part = self.counted.groupBy(*self.keys, "part").agg(F.sum("n").alias("rows"))
+        ahead = W.partitionBy(*self.keys).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+        part = (part.withColumn("start", F.coalesce(F.sum("rows").over(ahead), F.lit(0)))
+                .withColumn("total", F.sum("rows").over(W.partitionBy(*self.keys)))
+                .withColumn("low", low).withColumn("high", high)
+                .where("start <= high AND start + rows > low"))
+        keys = [*self.keys, "part"]
+        hit = self.counted.alias("a").join(part.alias("b"), self.match(keys))
+        hit = hit.select(*[F.col(f"a.{k}").alias(k) for k in keys], "v", "n", "start", "low", "high", "total")
+        inside = W.partitionBy(*keys).orderBy("v").rowsBetween(W.unboundedPreceding, -1)
+        first = F.col("start") + F.coalesce(F.sum("n").over(inside), F.lit(0))
+        hit = hit.withColumn("first", first)
+
+        def holds(rank: str) -> Column:
+            return (F.col("first") <= F.col(rank)) & (F.col(rank) < F.col("first") + F.col("n"))
+
+        return hit.groupBy(*self.keys).agg(
+            F.max(F.when(holds("low"), F.col("v"))).alias("v_low"),
+            F.max(F.when(holds("high"), F.col("v"))).alias("v_high"),
+            F.max(F.when(holds("low"), F.col("first"))).alias("less"),
+            F.max(F.when(holds("low"), F.col("n"))).alias("equal"), F.max("total").alias("total"))
+
+    def quantiles(self, q: float) -> DataFrame:
+        """Per (group, column) the quantile ``q``, interpolated between the two nearest ranks."""
+        if not 0.0 <= q <= 1.0:
+            raise ValueError("q must lie between 0 and 1.")
+        place = (F.col("total") - 1).cast("double") * F.lit(float(q))
+        found = self.at(F.floor(place), F.ceil(place))
+        share = place - F.floor(place)
+        value = F.when(share == 0, F.col("v_low")).otherwise(
+            F.col("v_low") + (F.col("v_high") - F.col("v_low")) * share)
+        return found.select(*self.keys, value.alias("q"))
+
+
+def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5, by: list[str] | None = None):
+    """The exact quantile of each column: a dict (None for a column without values), or with ``by``
+    a DataFrame of one row per group (NULL is a group, too)."""
+    ranked = Ranked(df, columns, by)
+    try:
+        if not by:
+            found = {r["c"]: r["q"] for r in ranked.quantiles(q).collect()}   # a row per column
+            return {c: found.get(i) for i, c in enumerate(columns)}
+        wide = ranked.quantiles(q).groupBy(*ranked.groups).agg(
+            *[F.max(F.when(F.col("c") == i, F.col("q"))).alias(c) for i, c in enumerate(columns)])
+        groups = df.select(*[F.col(quote(b)).alias(g) for b, g in zip(by, ranked.groups)]).distinct()
+        out = groups.alias("a").join(wide.alias("b"), ranked.match(ranked.groups), "left").select(
+            *[F.col(f"a.{g}").alias(b) for b, g in zip(by, ranked.groups)], *[F.col(f"b.{quote(c)}") for c in columns])
+        return materialize(out, "checkpoint")
+    finally:
+        ranked.release()
+
+
+def kth_smallest_with_counts(df: DataFrame, column: str, k: int):
+    """(value, rows below it, rows equal to it) for the 0-based rank ``k``; NULLs are left out."""
+    kind = df.select(F.col(quote(column))).schema[0].dataType.simpleString()
+    ranked = Ranked(df, [column], cast=kind)
+    try:
+        row = ranked.at(F.lit(k), F.lit(k)).first()
+    finally:
+        ranked.release()
+    if row is None or row["v_low"] is None:
+        raise ValueError(f"rank {k} is outside the column's rows.")
+    return row["v_low"], row["less"], row["equal"]
+
+
+def kth_smallest(df: DataFrame, column: str, k: int):
+    """The value at the 0-based rank ``k``."""
+    return kth_smallest_with_counts(df, column, k)[0]

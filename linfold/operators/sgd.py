@@ -1,114 +1,60 @@
-"""Stochastic gradient descent baseline (B3), re-aimed as partition-parallel SGD.
+"""Stochastic gradient descent baseline (B3) on seeded mini-batches.
 
-Each epoch every partition runs one seeded pass of row-by-row SGD (constant step,
-squared loss, optional L2 with the library's scale) starting from the current weights,
-inside ``mapInArrow``; the partition results are averaged weighted by their row counts
-(a Spark aggregate), and the average starts the next epoch. On one partition this is
-plain sequential SGD; on many it is parameter averaging. It converges to the same
-neighbourhood as the row-sequential baseline, so it is checked with a tolerance.
+Rows are dealt to ``batches`` mini-batches by a seeded hash of their key. One grouped pass sums up
+the products of [1, x, y] per mini-batch; an epoch then takes one step per mini-batch, in order, with
+the mini-batch's mean gradient (Zw - y) Z' plus alpha * w (the intercept is not penalised). So the
+data is read once whatever the number of epochs, and the result does not depend on partitioning.
+The driver holds ``batches`` times (d + 2)^2 numbers.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linfold.functions.exprs import quote
-from linfold.operators.gd import TrainingResult, validate_training
-from linfold.operators.gram import BLOCK_SCHEMA, sum_blocks, vector_blocks
+from linfold.functions.exprs import hash52
+from linfold.operators.gd import TrainingResult, check_settings
+from linfold.operators.gram import _arrow_sum, penalty_diagonal
 
+_BATCH = "__batch"
 
-SMALL_D = 8   # below this, plain float arithmetic beats NumPy's per-call overhead (~2x at d=2)
 
+def batch_products(df: DataFrame, features: list[str], target: str, batches: int, seed: int,
+                   key: list[str] | None = None, algorithm: str = "md5") -> np.ndarray:
+    """Sums of the outer products of [1, x, y] per mini-batch (batches x (d + 2) x (d + 2))."""
+    if batches < 1:
+        raise ValueError("batches must be at least 1.")
+    k = len(features) + 2
+    dealt = F.pmod(hash52(seed, *(key or [*features, target]), algorithm=algorithm), F.lit(batches))
 
-def _local_pass_small(w: np.ndarray, x: np.ndarray, y: np.ndarray, lr: float, alpha: float,
-                      rng: np.random.Generator) -> np.ndarray:
-    b, v = float(w[0]), [float(t) for t in w[1:]]
-    decay, d = 1.0 - lr * alpha, len(v)
-    xs, ys = x.tolist(), y.tolist()
-    for i in rng.permutation(len(ys)).tolist():
-        xi = xs[i]
-        g = b - ys[i]
-        for j in range(d):
-            g += xi[j] * v[j]
-        if alpha:
-            v = [t * decay for t in v]
-        step = lr * g
-        for j in range(d):
-            v[j] -= step * xi[j]
-        b -= step
-    return np.array([b] + v)
+    def kernel(block):
+        out = np.zeros((batches, k, k))
+        own = np.column_stack([np.ones(len(block)), block[:, :-1]])
+        order = np.argsort(block[:, -1], kind="stable")
+        ids, start = np.unique(block[order, -1].astype(int), return_index=True)
+        for i, rows in zip(ids, np.split(order, start[1:])):
+            out[i] = own[rows].T @ own[rows]
+        return out.reshape(-1)
 
-
-def _local_pass(w: np.ndarray, x: np.ndarray, y: np.ndarray, lr: float, alpha: float,
-                rng: np.random.Generator) -> np.ndarray:
-    """One sequential pass over a shuffled block; a small per-row helper."""
-    if x.shape[1] <= SMALL_D:
-        return _local_pass_small(w, x, y, lr, alpha, rng)
-    b, v = float(w[0]), w[1:].copy()
-    decay = 1.0 - lr * alpha
-    for i in rng.permutation(len(y)):
-        xi = x[i]
-        g = b + float(xi @ v) - y[i]
-        if alpha:
-            v *= decay
-        v -= lr * g * xi
-        b -= lr * g
-    return np.concatenate([[b], v])
+    v = _arrow_sum(df.withColumn(_BATCH, dealt), [*features, target, _BATCH], kernel, batches * k * k)
+    return v[1:].reshape(batches, k, k)
 
 
 def fit_sgd(df: DataFrame, features: list[str], target: str, epochs: int = 1000,
             learning_rate: float = 0.01, alpha: float = 0.0, random_state: int = 42,
-            num_partitions: int | None = None, sync_every: int = 1) -> TrainingResult:
-    """``epochs`` passes over the data; the partition models are averaged every
-    ``sync_every`` passes (1 = after every pass; on one partition the value does not
-    matter). Each averaging round is one Spark job."""
-    validate_training(epochs, learning_rate, alpha)
-    if sync_every < 1:
-        raise ValueError("sync_every must be at least 1.")
-    from linfold.session import num_partitions as partitions_of, ship_package
-    ship_package(df.sparkSession)
+            batches: int = 32, key: list[str] | None = None) -> TrainingResult:
+    """``epochs`` passes over the mini-batches from zero weights. ``key``: the columns whose hash
+    deals a row to its mini-batch (default: features and target)."""
+    check_settings(epochs, learning_rate, alpha)
     features = list(features)
-    d = len(features)
-    frame = df.select(*[F.col(quote(c)).cast("double").alias(f"c{i}")
-                        for i, c in enumerate(features)],
-                      F.col(quote(target)).cast("double").alias("y"))
-    if num_partitions:
-        frame = frame.repartition(num_partitions)
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
-    partitions = partitions_of(frame)
-    w = np.zeros(d + 1)
-    try:
-        for first in range(0, epochs, sync_every):
-            local = min(sync_every, epochs - first)
-
-            def run(batches, start=w.copy(), first=first, local=local):
-                from pyspark import TaskContext
-                ctx = TaskContext.get()
-                pid = ctx.partitionId() if ctx else 0
-                xs, ys = [], []
-                for batch in batches:
-                    if batch.num_rows == 0:
-                        continue
-                    cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(d + 1)]
-                    xs.append(np.column_stack(cols[:d]) if d else np.zeros((batch.num_rows, 0)))
-                    ys.append(cols[d])
-                if not ys:
-                    return
-                x, y = np.concatenate(xs), np.concatenate(ys)
-                cur = start
-                for epoch in range(first, first + local):
-                    rng = np.random.default_rng([random_state, epoch, pid])
-                    cur = _local_pass(cur, x, y, learning_rate, alpha, rng)
-                # row-weighted: this partition contributes n * w and n
-                yield vector_blocks(np.concatenate([[len(y)], len(y) * cur]))
-
-            total = sum_blocks(frame.mapInArrow(run, BLOCK_SCHEMA), d + 2, partitions)
-            if not total[0]:
-                raise ValueError("At least one training row is required.")
-            w = total[1:] / total[0]
-    finally:
-        frame.unpersist()
+    products = batch_products(df, features, target, batches, random_state, key)
+    products = products[products[:, 0, 0] > 0]
+    size = products[:, 0, 0][:, None]
+    gram, moment = products[:, :-1, :-1] / size[:, :, None], products[:, :-1, -1] / size
+    decay = penalty_diagonal(len(features) + 1, alpha)
+    w = np.zeros(len(features) + 1)
+    for _ in range(epochs):
+        for g, r in zip(gram, moment):
+            w = w - learning_rate * (g @ w - r + decay * w)
     return TrainingResult(w, [], epochs, tuple(features), not bool(np.all(np.isfinite(w))))

@@ -6,8 +6,7 @@ row never depends on partitioning, and DuckDB computes the same set.
 
 ``mode="exact"``: test holds exactly ``ceil(test_size * n)`` rows -- the ones with the
 smallest hash (as the reference's permutation split has an exact size). The threshold
-hash is found with the bounded exact selection of ``select.py`` (no global sort, no
-unpartitioned window); rows that share the threshold hash (duplicate keys) are split by
+hash is found with the exact selection of ``select.py`` (no unpartitioned window); rows that share the threshold hash (duplicate keys) are split by
 a row id, again by exact selection.
 """
 
@@ -15,12 +14,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import TWO_POW_52, hash52, quote
 from linfold.operators.select import kth_smallest, kth_smallest_with_counts
+from linfold.session import materialize
 
 _H = "__split_hash"
 _RID = "__split_rowid"
@@ -68,21 +67,16 @@ def split_flag(df: DataFrame, test_size: float | int = 0.2, seed: int = 42,
     if mode != "exact":
         raise ValueError("mode must be 'hash' or 'exact'.")
     base = df.withColumn(_H, hash52(seed, *keys, algorithm=algorithm))
-    sizes = base.agg(F.count(F.lit(1)).alias("n"),
-                     F.approx_count_distinct(_H, 0.05).alias("d")).collect()[0]
-    n = sizes["n"]
-    n_test = _test_count(n, test_size)
-    threshold, less, equal = kth_smallest_with_counts(base, _H, n_test - 1,
-                                                      (n, float(sizes["d"])))
+    n_test = _test_count(base.count(), test_size)
+    threshold, less, equal = kth_smallest_with_counts(base, _H, n_test - 1)
     need = n_test - less
     if need == equal:
         flag = F.col(_H) <= F.lit(threshold)
         out = base
     else:
         # rows sharing the threshold hash: take `need` of them by a row id (exact selection);
-        # persisted so the selection and the final filter read the same ids
-        out = base.withColumn(_RID, F.monotonically_increasing_id()).persist(
-            StorageLevel.MEMORY_AND_DISK)
+        # checkpointed, so that the selection and every later read of the splits see the same ids
+        out = materialize(base.withColumn(_RID, F.monotonically_increasing_id()), "checkpoint")
         ties = out.filter(F.col(_H) == F.lit(threshold))
         cut = kth_smallest(ties, _RID, need - 1)
         flag = (F.col(_H) < F.lit(threshold)) | (
@@ -102,11 +96,13 @@ def train_test_split(df: DataFrame, test_size: float | int = 0.2, seed: int = 42
             flagged.filter(F.col("__split") == "test").drop("__split"))
 
 
-def chunk(df: DataFrame, num_chunks: int) -> DataFrame:
-    """The reference's data chunks are Spark partitions; results never depend on their number."""
-    if num_chunks < 1:
-        raise ValueError("num_chunks must be at least 1.")
-    return df.repartition(num_chunks)
+def chunk_of(key: str | list[str], chunks: int, seed: int = 42, algorithm: str = "xxhash64") -> Column:
+    """The chunk (0 .. chunks - 1) of a row as an expression of its key: a grouping key, so that
+    chunks are formed without moving rows."""
+    if chunks < 1:
+        raise ValueError("chunks must be at least 1.")
+    keys = [key] if isinstance(key, str) else list(key)
+    return F.pmod(hash52(seed, *keys, algorithm=algorithm), F.lit(chunks)).cast("int")
 
 
-__all__ = ["train_test_split", "split_flag", "hash_test_flag", "chunk", "quote"]
+__all__ = ["train_test_split", "split_flag", "hash_test_flag", "chunk_of", "quote"]

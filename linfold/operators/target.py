@@ -32,6 +32,18 @@ def split_target(df: DataFrame, target_column: str, target_scale: float = TARGET
     return frame, features
 
 
+def check_targets(train: DataFrame, test: DataFrame, target_column: str) -> None:
+    """Both splits hold rows, and every row has a finite target."""
+    y = F.col(quote(target_column))
+    odd = y.isNull() | F.isnan(y) | (F.abs(y) == F.lit(float("inf")))
+    for name, frame in (("train", train), ("test", test)):
+        row = frame.agg(F.count(F.lit(1)).alias("n"), F.count_if(odd).alias("bad")).first()
+        if row["n"] == 0:
+            raise ValueError(f"The {name} split is empty; use another test_size, key or split mode.")
+        if row["bad"]:
+            raise ValueError(f"{row['bad']} rows of the {name} split have a NULL, NaN or infinite target.")
+
+
 def feature_types(schema: T.StructType, features: list[str]) -> tuple[list[str], list[str]]:
     """Numeric columns (any Spark numeric type) and categorical ones (everything else,
     booleans and dates included), each in source column order."""

@@ -20,18 +20,18 @@ from pyspark.sql import functions as F
 from linfold.functions.exprs import (TWO_POW_52, line_count, line_count_sql, round_sig,
                                      round_sig_sql, word_count, word_count_sql)
 from linfold.operators.compare import compare_models
-from linfold.operators.gd import fit_gd, predict
-from linfold.operators.gram import gradient_frame, gram_sums_frame, loss_frame
+from linfold.operators.gd import fit_gd, initial_weights, predict
+from linfold.operators.gram import chunk_gradients, gradient_frame, gram_stats, gram_sums_frame, loss_frame
 from linfold.operators.linear import fit_ols, fit_ridge
 from linfold.operators.metrics import evaluate
 from linfold.operators.prepare import prepare_train_test_data
-from linfold.operators.preprocess import Preprocessor
+from linfold.operators.preprocess import Preprocessor, category_table, onehot_long
 from linfold.operators.runlog import add_speedup, report_series, run_label, run_stats
 from linfold.operators.select import exact_quantiles
 from linfold.operators.sgd import fit_sgd
-from linfold.operators.split import hash_test_flag, split_flag
+from linfold.operators.split import chunk_of, hash_test_flag, split_flag
 from linfold.operators.target import TARGET_SCALE, split_target
-from linfold.session import default_parallelism, materialize, scratch_path
+from linfold.session import materialize, scratch_path
 from linfold.sources.io import load_table, save_processed_splits, write_results, write_table
 from linfold.sources.synth import synthetic_frame
 
@@ -47,7 +47,7 @@ GRAD_WEIGHTS = (0.1, 0.01, -0.5, 0.3)
 PRED_WEIGHTS = (2.5, 3.0, 0.1)
 ES_TOL, ES_PATIENCE, ES_EPOCHS = 1e-3, 5, 3000
 SYNTH_FEATURES = 3
-SGD_EPOCHS = 20
+SGD_EPOCHS, SGD_BATCHES = 20, 16
 LI_FEATURES = ["l_quantity", "l_discount", "l_tax"]
 DOC_FEATURES = ["words", "lines"]
 RUN_BASELINE = {"implementation": "click", "processes": 1}
@@ -155,10 +155,10 @@ def _loss_sql(k: int, alpha: float, w: list[str]) -> str:
     return f"(({quad}) - 2.0 * ({lin}) + c) / n{pen}"
 
 
-def _gd_cte(features: list[str], epochs: int, lr: float, alpha: float) -> str:
+def _gd_cte(features: list[str], epochs: int, lr: float, alpha: float, start=None) -> str:
     k = len(features) + 1
     w = [f"w{i}" for i in range(k)]
-    init = ", ".join([_d(0.0)] * k)
+    init = ", ".join(_d(v) for v in (np.zeros(k) if start is None else start))
     step = ", ".join(f"{s} AS {w[i]}" for i, s in enumerate(_gd_step_sql(k, lr, alpha, w)))
     return f"""gd(epoch, {', '.join(w)}) AS (
   SELECT 0, {init}
@@ -202,22 +202,50 @@ SELECT o_orderkey, CASE WHEN rn <= ceil({_d(TEST_SIZE)} * n) THEN 'test' ELSE 't
 
 
 def q_layout(spark, sf):
-    """The gradient at 1x, 3x and 8x the session's default parallelism: identical rows.
-    (Relative counts: a fixed small count would put a whole table into a few tasks.)"""
-    li = _read(spark, sf, "lineitem")
-    y = (F.col("l_extendedprice") / F.lit(TARGET_SCALE)).alias("y")
-    base = default_parallelism(spark)
-    parts = []
-    for factor in (1, 3, 8):
-        frame = li.select(*LI_FEATURES, y).repartition(factor * base)
-        parts.append(gradient_frame(frame, LI_FEATURES, "y", GRAD_WEIGHTS)
-                     .withColumn("parallelism_factor", F.lit(factor)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """The gradient from 1, 3 and 8 chunks: identical rows. One scan sums up 24 chunks (formed by a
+    hash of the row's key, no row is moved), of which the coarser ones are unions."""
+    li = _li_frame(spark, sf, "l_orderkey")
+    fine = chunk_gradients(li, LI_FEATURES, "y", GRAD_WEIGHTS, chunk_of("l_orderkey", 24, SEED))
+    sums = ["n", *[f"g{j}" for j in range(len(GRAD_WEIGHTS))]]
+    ways = (fine.withColumn("parallelism_factor", F.explode(F.array(F.lit(1), F.lit(3), F.lit(8))))
+            .groupBy("parallelism_factor", (F.col("chunk") % F.col("parallelism_factor")).alias("chunk"))
+            .agg(*[F.sum(c).alias(c) for c in sums]))
+    total = ways.groupBy("parallelism_factor").agg(*[F.sum(c).alias(c) for c in sums])
+    names = ["intercept", *LI_FEATURES]
+    out = total.select("parallelism_factor", F.explode(F.array(*[
+        F.struct(F.lit(j).alias("idx"), F.lit(name).alias("name"), (F.col(f"g{j}") / F.col("n")).alias("gradient"))
+        for j, name in enumerate(names)])).alias("g")).select("g.*", "parallelism_factor")
     return _rounded(out, ["idx", "name", "parallelism_factor"])
 
 
+CHUNKS = 8
+
+
+def q_chunk_gradients(spark, sf):
+    """A row per chunk: its rows and gradient sums."""
+    li = _li_frame(spark, sf, "l_orderkey")
+    return _rounded(chunk_gradients(li, LI_FEATURES, "y", GRAD_WEIGHTS, chunk_of("l_orderkey", CHUNKS, SEED, "md5")),
+                    ["chunk", "n"])
+
+
+def _chunk_gradients_sql() -> str:
+    e = f"({_lincomb_sql([_d(v) for v in GRAD_WEIGHTS], LI_FEATURES)} - y)"
+    sums = [f"2.0 * sum({e})"] + [f"2.0 * sum({e} * {x})" for x in LI_FEATURES]
+    chunk = f"CAST({_h52_sql('CAST(l_orderkey AS VARCHAR)')} % {CHUNKS} AS INTEGER)"
+    return (f"SELECT {chunk} AS chunk, count(*) AS n, {', '.join(_rs(v, f'g{j}') for j, v in enumerate(sums))} FROM "
+            f"(SELECT *, l_extendedprice / {_d(TARGET_SCALE)} AS y FROM lineitem) GROUP BY 1")
+
+
+def q_gradient_null(spark, sf):
+    """Rows with NULL, NaN or infinite values left out by ``invalid="skip"``."""
+    key = F.col("l_orderkey")
+    li = _li_frame(spark, sf, "l_orderkey").withColumn("l_quantity", F.when(key % 7 == 0, F.lit(None))
+                                                       .when(key % 11 == 0, F.lit(float("nan")))
+                                                       .when(key % 13 == 0, F.lit(float("inf")))
+                                                       .otherwise(F.col("l_quantity")))
+    return _rounded(gradient_frame(li, LI_FEATURES, "y", GRAD_WEIGHTS, invalid="skip"), ["idx", "name"])
+
+
 # ----------------------------------------------------------------------------- E1-E7
 def q_impute_median(spark, sf):
     cust = _read(spark, sf, "customer").select(
@@ -342,12 +370,12 @@ SELECT p_partkey, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, featu
 
 
 # ----------------------------------------------------------------------------- G1-G11
-def _li_frame(spark, sf):
+def _li_frame(spark, sf, *keys):
     li = _read(spark, sf, "lineitem")
-    return li.select(*LI_FEATURES, (F.col("l_extendedprice") / F.lit(TARGET_SCALE)).alias("y"))
+    return li.select(*keys, *LI_FEATURES, (F.col("l_extendedprice") / F.lit(TARGET_SCALE)).alias("y"))
 
 
-_LI_CTE = f"""li AS (SELECT l_quantity, l_discount, l_tax, l_extendedprice / {_d(TARGET_SCALE)} AS y FROM lineitem)"""
+_LI_CTE = f"""li AS (SELECT l_orderkey, l_quantity, l_discount, l_tax, l_extendedprice / {_d(TARGET_SCALE)} AS y FROM lineitem)"""
 
 
 def _gram_rows(spark, st, y_name: str) -> DataFrame:
@@ -410,7 +438,7 @@ def _q_gradient(alpha):
     return run
 
 
-def _gradient_sql(alpha: float, partitions: bool = False) -> str:
+def _gradient_sql(alpha: float, partitions: bool = False, where: str = "") -> str:
     w = [_d(v) for v in GRAD_WEIGHTS]
     e = f"({_lincomb_sql(w, LI_FEATURES)} - y)"
     names = ["intercept"] + LI_FEATURES
@@ -420,7 +448,7 @@ def _gradient_sql(alpha: float, partitions: bool = False) -> str:
         s = f"sum({e})" if i == 0 else f"sum({e} * {xs[i]})"
         ridge = 0.0 if i == 0 else 2.0 * alpha * GRAD_WEIGHTS[i]
         parts.append(f"SELECT {i} AS idx, '{name}' AS name, "
-                     f"{_rs(f'2.0 * {s} / count(*) + {_d(ridge)}', 'gradient')} FROM li")
+                     f"{_rs(f'2.0 * {s} / count(*) + {_d(ridge)}', 'gradient')} FROM li{where}")
     body = "\nUNION ALL ".join(parts)
     if not partitions:
         return f"WITH {_LI_CTE}\n{body}"
@@ -467,6 +495,39 @@ def _gd_weights_sql() -> str:
             f"{_gd_cte(DOC_FEATURES, GD_EPOCHS, GD_LR, 0.0)}\n{sel}")
 
 
+PER_EPOCH_EPOCHS, SEEDED_EPOCHS = 10, 50
+
+
+def q_gd_per_epoch(spark, sf):
+    """The solver that reads the data once per epoch, with a ridge term."""
+    prep = _doc_prepared(spark, sf)
+    try:
+        res = fit_gd(prep.train, DOC_FEATURES, "n_chars", PER_EPOCH_EPOCHS, 0.1, GRAD_ALPHA, solver="per_epoch",
+                     initial=np.zeros(len(DOC_FEATURES) + 1))
+    finally:
+        prep.release()
+    return _rounded(res.weights_frame(spark), ["idx", "name"])
+
+
+def q_gd_seeded(spark, sf):
+    """From the seeded random start."""
+    prep = _doc_prepared(spark, sf)
+    try:
+        res = fit_gd(prep.train, DOC_FEATURES, "n_chars", SEEDED_EPOCHS, GD_LR, random_state=SEED)
+    finally:
+        prep.release()
+    return _rounded(res.weights_frame(spark), ["idx", "name"])
+
+
+def _gd_variant_sql(epochs: int, lr: float, alpha: float, start=None) -> str:
+    names = ["intercept", *DOC_FEATURES]
+    sel = "\nUNION ALL ".join(
+        f"SELECT {i} AS idx, '{names[i]}' AS name, {_rs(f'w{i}', 'weight')} FROM gd WHERE epoch = {epochs}"
+        for i in range(len(names)))
+    return (f"WITH RECURSIVE {_DOC_CTE},\n{_doc_train_gram_sql()},\n"
+            f"{_gd_cte(DOC_FEATURES, epochs, lr, alpha, start)}\n{sel}")
+
+
 def q_gd_history(spark, sf):
     hist = _doc_gd(spark, sf).history_frame(spark, "spark_gram")
     return _rounded(hist, ["run", "epoch"])
@@ -600,6 +661,64 @@ SQL_OLS = (f"WITH t AS (SELECT CAST(p_partkey AS DOUBLE) AS x1, CAST(p_size AS D
            + _closed_form_sql("t", "x1", "x2", "y", 0.0, ["intercept", "p_partkey", "p_size"]))
 
 
+def _scales_frame(spark, sf):
+    """Two features whose deviations differ by about 1e9, both with a real effect."""
+    li = _read(spark, sf, "lineitem").select((F.col("l_extendedprice") * 1000.0).alias("x1"),
+                                             F.col("l_discount").alias("x2"), "l_tax")
+    return li.select("x1", "x2", (F.lit(1.0) + F.col("x1") * 1e-8 + F.col("x2") * 3.0 + F.col("l_tax")).alias("y"))
+
+
+def q_ols_scales(spark, sf):
+    model = fit_ols(_scales_frame(spark, sf), ["x1", "x2"], "y")
+    return _rounded(model.weights_frame(spark), ["idx", "name"])
+
+
+SQL_OLS_SCALES = ("WITH t AS (SELECT x1, x2, 1.0::DOUBLE + x1 * 1e-8 + x2 * 3.0::DOUBLE + l_tax AS y FROM (SELECT "
+                  "l_extendedprice * 1000.0::DOUBLE AS x1, l_discount AS x2, l_tax FROM lineitem)),\n"
+                  + _closed_form_sql("t", "x1", "x2", "y", 0.0, ["intercept", "x1", "x2"]))
+
+
+def q_onehot_many(spark, sf):
+    """One-hot of a column with very many categories, as rows: train categories are a table, and
+    test rows join it."""
+    li = _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag")
+    test = hash_test_flag(SEED, ["l_orderkey"], TEST_SIZE)
+    columns = ["l_partkey", "l_returnflag"]
+    return onehot_long(li.where(test), columns, category_table(li.where(~test), columns),
+                       ["l_orderkey", "l_linenumber"])
+
+
+SQL_ONEHOT_MANY = f"""WITH l AS (SELECT *, {_test_sql('l_orderkey')} AS is_test FROM lineitem),
+e AS (SELECT l_orderkey, l_linenumber, 'l_partkey' AS "column", CAST(l_partkey AS VARCHAR) AS category, is_test FROM l
+  UNION ALL SELECT l_orderkey, l_linenumber, 'l_returnflag', l_returnflag, is_test FROM l),
+c AS (SELECT DISTINCT "column", category FROM e WHERE NOT is_test)
+SELECT l_orderkey, l_linenumber, e."column", e.category FROM e JOIN c ON e."column" = c."column" AND e.category = c.category
+WHERE is_test"""
+
+
+EMBEDDING = 64
+
+
+def q_gram_wide(spark, sf):
+    """Gram statistics of a wide design (the block product): centred co-moments and means."""
+    emb = _read(spark, sf, "embeddings")
+    names = [f"e{i}" for i in range(EMBEDDING)]
+    frame = emb.select(*[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(names)],
+                       F.col("label").cast("double").alias("y"))
+    st = gram_stats(frame, names, "y")
+    rows = [(i, j, float(st.cxx[i, j])) for i in range(EMBEDDING) for j in range(i, EMBEDDING)]
+    rows += [(i, EMBEDDING, float(st.cxy[i])) for i in range(EMBEDDING)] + [(EMBEDDING, EMBEDDING, st.cyy)]
+    rows += [(i, -1, float(st.mean_x[i])) for i in range(EMBEDDING)] + [(EMBEDDING, -1, st.mean_y)]
+    return _rounded(spark.createDataFrame(rows, "i int, j int, value double"), ["i", "j"])
+
+
+SQL_GRAM_WIDE = f"""WITH v AS (SELECT vec_id, i, CASE WHEN i = {EMBEDDING} THEN CAST(label AS DOUBLE)
+  ELSE CAST(embedding[i + 1] AS DOUBLE) END AS x FROM embeddings, (SELECT unnest(range({EMBEDDING + 1})) AS i)),
+p AS (SELECT a.i, b.i AS j, covar_pop(a.x, b.x) * count(*) AS value FROM v a JOIN v b ON a.vec_id = b.vec_id AND a.i <= b.i
+  GROUP BY a.i, b.i UNION ALL SELECT i, -1, avg(x) FROM v GROUP BY i)
+SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, {_rs('value', 'value')} FROM p"""
+
+
 def q_ridge(spark, sf):
     prep = _doc_prepared(spark, sf)
     model = fit_ridge(prep.train, DOC_FEATURES, "n_chars", RIDGE_ALPHA)
@@ -645,7 +764,8 @@ SQL_R2_CONSTANT = (f"WITH d AS (SELECT {_d(1.0)} AS y, {word_count_sql('text')}
 def q_compare(spark, sf):
     prep = _doc_prepared(spark, sf)
     out, _ = compare_models(prep.train, prep.test, DOC_FEATURES, "n_chars", GD_EPOCHS, GD_LR,
-                            COMPARE_ALPHA, include_sgd=False,
+                            COMPARE_ALPHA, random_state=SEED, sgd_epochs=SGD_EPOCHS, sgd_batches=SGD_BATCHES,
+                            sgd_key=["doc_id"],
                             initial=np.zeros(len(DOC_FEATURES) + 1))
     return _rounded(out, ["model", "implementation"])
 
@@ -664,20 +784,49 @@ def _compare_sql() -> str:
         var_pop(lines) * count(*) + {a} AS a22, covar_pop(words, n_chars) * count(*) AS r1,
         covar_pop(lines, n_chars) * count(*) AS r2 FROM prep WHERE NOT is_test)))""")
     models = [("Custom GD", "spark_gram", f"(SELECT w0, w1, w2 FROM gd WHERE epoch = {GD_EPOCHS})"),
-              ("baseline", "least_squares", "least_squares"), ("baseline", "ridge", "ridge")]
+              ("baseline", "least_squares", "least_squares"), ("baseline", "ridge", "ridge"),
+              ("baseline", "sgd_batches", f"(SELECT w0, w1, w2 FROM sgd WHERE step = {SGD_EPOCHS * SGD_BATCHES})")]
     sel = []
     for model, impl, src in models:
         pred = _lincomb_sql(["m.w0", "m.w1", "m.w2"], ["p.words", "p.lines"])
         sel.append(f"SELECT '{model}' AS model, '{impl}' AS implementation, "
                    f"{', '.join(_metrics_sql(pred, 'p.n_chars'))} FROM prep p CROSS JOIN {src} m WHERE p.is_test")
-    return (f"WITH RECURSIVE {_DOC_CTE},\n{_doc_train_gram_sql()},\n{gd},\n" + ",\n".join(pieces)
+    return (f"WITH RECURSIVE {_DOC_CTE},\n{_doc_train_gram_sql()},\n{gd},\n{_sgd_cte(COMPARE_ALPHA)},\n" + ",\n".join(pieces)
             + "\n" + "\nUNION ALL ".join(sel))
 
 
 def q_sgd(spark, sf):
     prep = _doc_prepared(spark, sf)
-    res = fit_sgd(prep.train, DOC_FEATURES, "n_chars", SGD_EPOCHS, GD_LR, 0.0, SEED)
-    return res.weights_frame(spark)
+    try:
+        res = fit_sgd(prep.train, DOC_FEATURES, "n_chars", SGD_EPOCHS, GD_LR, 0.0, SEED, SGD_BATCHES, ["doc_id"])
+    finally:
+        prep.release()
+    return _rounded(res.weights_frame(spark), ["idx", "name"])
+
+
+def _sgd_cte(alpha: float) -> str:
+    """Steps over the mini-batches in order, from each mini-batch's sums of products."""
+    z = [_d(1.0), *DOC_FEATURES]
+    k = len(z)
+    sums = [f"sum({z[i]} * {z[j]}) AS g{i}_{j}" for i in range(k) for j in range(i, k)]
+    sums += [f"sum({z[i]} * n_chars) AS b{i}" for i in range(k)]
+    steps = []
+    for i in range(k):
+        slope = f"(({' + '.join(f'{_g(i, j)} * w{j}' for j in range(k))}) - b{i}) / n"
+        steps.append(f"w{i} - {_d(GD_LR)} * ({slope}{f' + {_d(alpha)} * w{i}' if alpha and i else ''})")
+    w = ", ".join(f"w{i}" for i in range(k))
+    return f"""mb AS (SELECT CAST({_h52_sql('CAST(doc_id AS VARCHAR)')} % {SGD_BATCHES} AS INTEGER) AS batch, count(*) AS n,
+  {', '.join(sums)} FROM prep WHERE NOT is_test GROUP BY 1),
+sgd(step, {w}) AS (SELECT 0, {', '.join([_d(0.0)] * k)}
+  UNION ALL SELECT step + 1, {', '.join(steps)} FROM sgd JOIN mb ON mb.batch = step % {SGD_BATCHES}
+  WHERE step < {SGD_EPOCHS * SGD_BATCHES})"""
+
+
+def _sgd_sql() -> str:
+    names = ["intercept", *DOC_FEATURES]
+    sel = "\nUNION ALL ".join(f"SELECT {i} AS idx, '{names[i]}' AS name, {_rs(f'w{i}', 'weight')} FROM sgd "
+                              f"WHERE step = {SGD_EPOCHS * SGD_BATCHES}" for i in range(len(names)))
+    return f"WITH RECURSIVE {_DOC_CTE},\n{_sgd_cte(0.0)}\n{sel}"
 
 
 # ----------------------------------------------------------------------------- R1-R3
@@ -731,6 +880,24 @@ SQL_SPEEDUP = (f"WITH {_SPEEDUP_CTE}\nSELECT model, implementation, processes, "
                + ", ".join(_rs(c, c) for c in _TIME_COLS + ["speedup", "efficiency"]) + " FROM sp")
 
 
+SPEEDUP_BASELINE = {"implementation": "click", "processes": 4}
+
+
+def q_speedup_base(spark, sf):
+    """Against a baseline of four processes."""
+    return _rounded(add_speedup(run_stats(_run_log(spark, sf)), SPEEDUP_BASELINE),
+                    ["model", "implementation", "processes"])
+
+
+SQL_SPEEDUP_BASE = f"""WITH {_LOG_CTE},
+base AS (SELECT max(median_time) AS bt FROM st WHERE implementation = 'click' AND processes = 4),
+sp AS (SELECT st.*, median_time AS training_time, implementation = 'click' AND processes = 4 AS is_base, bt FROM st CROSS JOIN base)
+SELECT model, implementation, processes, {', '.join(_rs(c, c) for c in _TIME_COLS)},
+  {_rs("CASE WHEN is_base THEN 1.0 WHEN processes IS NULL THEN NULL ELSE bt / median_time END", 'speedup')},
+  {_rs("CASE WHEN is_base THEN 1.0 WHEN processes IS NULL THEN NULL ELSE bt / median_time * 4 / processes END", 'efficiency')}
+FROM sp"""
+
+
 def q_report_series(spark, sf):
     return _rounded(report_series(_speedup_frame(spark, sf), "speedup"),
                     ["implementation", "processes", "label", "metric"])
@@ -794,6 +961,21 @@ def _roundtrip(fmt):
     return run
 
 
+def q_csv_text(spark, sf):
+    """Texts with quotes, commas, padding and line ends, written as CSV and read back."""
+    docs = _awkward_texts(_read(spark, sf, "documents"))
+    path = write_table(docs, scratch_path(spark, "csv-text"), "csv")
+    return load_table(spark, path, "csv", multi_line=True)
+
+
+def _awkward_texts(docs):
+    text = F.concat(F.lit(' say "hi", '), F.regexp_replace("text", "\r", " "), F.lit(', ""end"" '))
+    return docs.select("doc_id", text.alias("text"), "lang")
+
+
+SQL_CSV_TEXT = """SELECT doc_id, ' say "hi", ' || replace(text, chr(13), ' ') || ', ""end"" ' AS text, lang FROM documents"""
+
+
 def q_csv_na_tokens(spark, sf):
     """S1 with pandas NA semantics: a CSV whose missing values are written as ``NA`` is read
     back with NULLs and numeric types (integers stay integers, a column with NA stays
@@ -849,6 +1031,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_split_hash": q_split_hash,
         "q_split_exact": q_split_exact,
         "q_layout": q_layout,
+        "q_chunk_gradients": q_chunk_gradients,
+        "q_gradient_null": q_gradient_null,
+        "q_onehot_many": q_onehot_many,
+        "q_gram_wide": q_gram_wide,
+        "q_gd_per_epoch": q_gd_per_epoch,
+        "q_gd_seeded": q_gd_seeded,
+        "q_ols_scales": q_ols_scales,
+        "q_speedup_base": q_speedup_base,
+        "q_csv_text": q_csv_text,
         "q_impute_median": q_impute_median,
         "q_scale": q_scale,
         "q_impute_mode": q_impute_mode,
@@ -893,6 +1084,16 @@ def oracle_sql() -> dict[str, str]:
         "q_split_hash": SQL_SPLIT_HASH,
         "q_split_exact": SQL_SPLIT_EXACT,
         "q_layout": _gradient_sql(0.0, partitions=True),
+        "q_chunk_gradients": _chunk_gradients_sql(),
+        "q_gradient_null": _gradient_sql(0.0, where=" WHERE l_orderkey % 7 > 0 AND l_orderkey % 11 > 0 AND l_orderkey % 13 > 0"),
+        "q_onehot_many": SQL_ONEHOT_MANY,
+        "q_gram_wide": SQL_GRAM_WIDE,
+        "q_gd_per_epoch": _gd_variant_sql(PER_EPOCH_EPOCHS, 0.1, GRAD_ALPHA),
+        "q_gd_seeded": _gd_variant_sql(SEEDED_EPOCHS, GD_LR, 0.0, initial_weights(len(DOC_FEATURES), SEED)),
+        "q_ols_scales": SQL_OLS_SCALES,
+        "q_speedup_base": SQL_SPEEDUP_BASE,
+        "q_csv_text": SQL_CSV_TEXT,
+        "q_sgd": _sgd_sql(),
         "q_impute_median": SQL_IMPUTE_MEDIAN,
         "q_scale": _scale_sql(),
         "q_impute_mode": SQL_IMPUTE_MODE,

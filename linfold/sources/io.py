@@ -28,41 +28,35 @@ PANDAS_TRUE_VALUES = ("True", "TRUE", "true")
 PANDAS_FALSE_VALUES = ("False", "FALSE", "false")
 
 
-def _local_path(path: str) -> str | None:
-    """The file-system path for local paths (plain or ``file:`` URIs), else None."""
-    if path.startswith("file:"):
-        rest = path[len("file:"):]
-        return "/" + rest.lstrip("/") if rest.startswith("//") else rest
-    return None if "://" in path else path
-
-
-def _check_exists(path: str) -> None:
-    local = _local_path(path)
-    if local is not None and not any(ch in local for ch in "*?[") and not os.path.exists(local):
-        raise FileNotFoundError(f"Input file not found: {path}. Pass a valid data path.")
-
-
-def _detect_format(path: str) -> str:
-    lower = path.rstrip("/").lower()
-    for ext in ("parquet", "csv", "json", "orc"):
-        if lower.endswith("." + ext):
-            return ext
-    local = _local_path(path)
-    if local is not None and os.path.isdir(local):
-        names = [n for n in os.listdir(local) if not n.startswith((".", "_"))]
-        for ext in ("parquet", "csv", "json", "orc"):
-            if any(ext in n for n in names):
-                return ext
+def _detect_format(spark: SparkSession, path: str) -> str:
+    """By the path's ending, else by those of the files in the folder, which Spark's own file system
+    client lists (the driver's disk may hold nothing of it)."""
+    known = ("parquet", "csv", "json", "orc")
+    names = [path.rstrip("/").lower()]
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        names += [f.getPath().getName().lower() for f in place.getFileSystem(conf).listStatus(place)]
+    except Exception:  # noqa: BLE001 -- no such path (the reader will say so), or a Connect session
+        pass
+    for name in names:
+        parts = name.rsplit("/", 1)[-1].split(".")[1:]
+        found = [ext for ext in known if ext in parts]
+        if found:
+            return found[0]
     return "csv"
 
 
+def _na_to_null(raw: DataFrame, na_values: tuple[str, ...]) -> DataFrame:
+    return raw.select(*[F.when(F.col(quote(c)).isin(list(na_values)), F.lit(None).cast("string"))
+                        .otherwise(F.col(quote(c))).alias(c) for c in raw.columns])
+
+
 def _type_csv_columns(raw: DataFrame, na_values: tuple[str, ...]) -> DataFrame:
     """Map NA tokens to NULL, then type every column like pandas would: integer if every
     value parses as one (and none is missing), else float if every value parses, boolean
     for True/False tokens, otherwise string. One aggregate pass decides all columns."""
-    na = list(na_values)
-    cleaned = raw.select(*[F.when(F.col(quote(c)).isin(na), F.lit(None).cast("string"))
-                           .otherwise(F.col(quote(c))).alias(c) for c in raw.columns])
+    cleaned = _na_to_null(raw, na_values)
     bools = list(PANDAS_TRUE_VALUES + PANDAS_FALSE_VALUES)
     aggs = []
     for i, c in enumerate(cleaned.columns):
@@ -91,20 +85,30 @@ def _type_csv_columns(raw: DataFrame, na_values: tuple[str, ...]) -> DataFrame:
     return cleaned.select(*exprs)
 
 
+# The CSV dialect of pandas (quotes doubled inside quotes, white space kept).
+CSV_DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "emptyValue": ""}
+
+
 def load_table(spark: SparkSession, path: str, fmt: str | None = None,
                schema: T.StructType | str | None = None,
-               na_values: tuple[str, ...] = PANDAS_NA_VALUES) -> DataFrame:
-    """Read a table. CSV needs a header; without a schema its columns are typed as pandas
-    would type them (NA tokens become NULL)."""
-    _check_exists(path)
-    fmt = fmt or _detect_format(path)
+               na_values: tuple[str, ...] = PANDAS_NA_VALUES, multi_line: bool = False) -> DataFrame:
+    """Read a table. CSV needs a header; NA tokens become NULL, and without a schema the columns are
+    typed as pandas would type them. With a schema (by position) a value that does not fit its type
+    is an error. ``multi_line``: quoted values may hold line ends; a file is then read by one task."""
+    fmt = fmt or _detect_format(spark, path)
     try:
         if fmt == "csv":
-            reader = spark.read.option("header", True).option("mode", "FAILFAST")
-            if schema is not None:
-                return reader.schema(schema).option("nullValue", "NA").csv(path)
-            raw = reader.option("inferSchema", False).csv(path)
-            return _type_csv_columns(raw, na_values)
+            raw = (spark.read.options(header=True, mode="FAILFAST", inferSchema=False, multiLine=multi_line,
+                                      **CSV_DIALECT).csv(path))
+            if schema is None:
+                return _type_csv_columns(raw, na_values)
+            wanted = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+            if len(wanted) != len(raw.columns):
+                raise ValueError(f"The schema has {len(wanted)} columns, the file {len(raw.columns)}.")
+            clean = _na_to_null(raw, na_values)
+            return clean.select(*[F.col(quote(c)).cast(f.dataType).alias(f.name)
+                                  for c, f in zip(raw.columns, wanted)])
         reader = spark.read.schema(schema) if schema is not None else spark.read
         return reader.format(fmt).load(path)
     except AnalysisException as exc:
@@ -126,7 +130,7 @@ def _nan_to_null_all(df: DataFrame) -> DataFrame:
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> str:
     writer = df.write.mode(mode)
     if fmt == "csv":
-        writer.option("header", True).csv(path)
+        writer.options(header=True, **CSV_DIALECT).csv(path)
     elif fmt == "json":
         writer.option("ignoreNullFields", False).json(path)
     else:
