@@ -127,6 +127,7 @@ def main() -> None:
 
     # --- every registered query, drained without collecting to the driver
     for name, fn in catalog.queries().items():
+        spark.catalog.clearCache()   # no query reads what an earlier one kept
         _timed(q, name, lambda fn=fn: _drain(fn(spark, sf_dir)))
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)

@@ -24,7 +24,7 @@ def test_repeats_must_be_positive(spark):
 def test_sgd_arguments(spark):
     df = spark.createDataFrame([(1.0, 2.0)], "x double, y double")
     with pytest.raises(ValueError):
-        fit_sgd(df, ["x"], "y", epochs=1, sync_every=0)
+        fit_sgd(df, ["x"], "y", epochs=1, batches=0)
     with pytest.raises(ValueError):
         fit_sgd(df, ["x"], "y", epochs=0)
 

@@ -11,6 +11,7 @@ from linfold import (add_speedup, load_table, make_synthetic_regression, report_
                      run_stats, write_results)
 from linfold.operators.runlog import loss_history_frame
 from linfold.session import scratch_path
+from linfold.sources.io import write_table
 from linfold.sources.synth import synthetic_frame, true_weights
 
 LOG = [("Custom GD", "serial", 1, 0, 2.0), ("Custom GD", "serial", 1, 1, 4.0),
@@ -36,6 +37,27 @@ def test_run_stats_and_speedup(spark):
     assert rows[("ols", None)].speedup is None and rows[("ols", None)].efficiency is None
 
 
+def test_efficiency_against_a_baseline_of_several_processes(spark):
+    log = spark.createDataFrame([("m", "a", 100, 0, 8.0), ("m", "a", 200, 0, 4.0)],
+                                "model string, implementation string, processes bigint, repeat int, seconds double")
+    rows = {r.processes: r for r in add_speedup(run_stats(log), {"implementation": "a", "processes": 100}).collect()}
+    assert (rows[200].speedup, rows[200].efficiency) == (2.0, 1.0)
+
+
+def test_csv_as_pandas_writes_it(spark, tmp_path):
+    pdf = pd.DataFrame({"i": [1, 2, 3], "s": ['say "hi", ok', " pad ", "two\nlines"], "x": [1.5, np.nan, 2.0]})
+    path = tmp_path / "p.csv"
+    pdf.to_csv(path, index=False)
+    rows = load_table(spark, str(path), multi_line=True).orderBy("i").collect()
+    assert [r.s for r in rows] == pdf["s"].tolist() and rows[1].x is None
+    typed = load_table(spark, str(path), schema="i int, s string, x double", multi_line=True).orderBy("i").collect()
+    assert [tuple(r) for r in typed] == [(1, 'say "hi", ok', 1.5), (2, " pad ", None), (3, "two\nlines", 2.0)]
+    (tmp_path / "n.csv").write_text("a,b\n1,N/A\n2,3.5\n")
+    assert [r.b for r in load_table(spark, str(tmp_path / "n.csv"), schema="a int, b double").orderBy("a").collect()] == [None, 3.5]
+    out = write_table(spark.createDataFrame(pdf.fillna(0.0)), scratch_path(spark, "csv"), "csv")
+    assert [r.s for r in load_table(spark, out, "csv", multi_line=True).orderBy("i").collect()] == pdf["s"].tolist()
+
+
 def test_report_series_drops_nulls_and_labels(spark):
     stats = add_speedup(run_stats(_log(spark)), {"implementation": "serial", "processes": 1})
     series = report_series(stats, "speedup").collect()
