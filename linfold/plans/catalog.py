@@ -105,9 +105,17 @@ def _doc_frame(spark: SparkSession, sf: str) -> DataFrame:
                        line_count("text").alias("lines"), "lang", "n_chars")
 
 
-def _doc_prepared(spark: SparkSession, sf: str):
+def _released(*args, **kwargs):
+    """A prepare whose cache is dropped once the statistics are fitted: the query that goes on from
+    it reads the table again, and leaves nothing cached."""
+    prep = prepare_train_test_data(*args, **kwargs)
+    prep.release()
+    return prep
+
+
+def _doc_prepared(spark: SparkSession, sf: str, prepare=_released):
     df = _doc_frame(spark, sf).drop("lang")
-    return prepare_train_test_data(df, "n_chars", TEST_SIZE, SEED, DOC_SCALE, id_columns=["doc_id"])
+    return prepare(df, "n_chars", TEST_SIZE, SEED, DOC_SCALE, id_columns=["doc_id"])
 
 
 _DOC_CTE = f"""docs AS (
@@ -268,7 +276,9 @@ def q_scale(spark, sf):
                                              "l_extendedprice")
     feats = LI_FEATURES + ["l_extendedprice"]
     train = li.filter(~hash_test_flag(SEED, ["l_orderkey", "l_linenumber"], TEST_SIZE))
-    model = Preprocessor(feats).fit(materialize(train.select(*feats)))
+    kept = materialize(train.select(*feats))
+    model = Preprocessor(feats).fit(kept)
+    kept.unpersist()
     return _rounded(model.transform(li, ["l_orderkey", "l_linenumber"]),
                     ["l_orderkey", "l_linenumber"])
 
@@ -317,7 +327,7 @@ def q_preprocess(spark, sf):
         "doc_id", F.when(F.col("doc_id") % 7 == 0, None).otherwise(F.col("words")).alias("words"),
         "lines", F.when(F.col("doc_id") % 5 == 0, None).otherwise(F.col("lang")).alias("lang"),
         "n_chars")
-    prep = prepare_train_test_data(df, "n_chars", TEST_SIZE, SEED, DOC_SCALE, id_columns=["doc_id"])
+    prep = _released(df, "n_chars", TEST_SIZE, SEED, DOC_SCALE, id_columns=["doc_id"])
     out = prep.train.unionByName(prep.test)
     return _rounded(out, ["doc_id"])
 
@@ -345,7 +355,7 @@ def _part_frame(spark, sf):
 
 
 def q_prepare(spark, sf):
-    prep = prepare_train_test_data(_part_frame(spark, sf), "p_retailprice", TEST_SIZE, SEED,
+    prep = _released(_part_frame(spark, sf), "p_retailprice", TEST_SIZE, SEED,
                                    DOC_SCALE, id_columns=["p_partkey"])
     both = (prep.train.withColumn("split", F.lit("train"))
             .unionByName(prep.test.withColumn("split", F.lit("test"))))
@@ -408,7 +418,7 @@ def _gram_sql() -> str:
 
 
 def q_gram_onehot(spark, sf):
-    prep = prepare_train_test_data(_doc_frame(spark, sf), "n_chars", TEST_SIZE, SEED, DOC_SCALE,
+    prep = _released(_doc_frame(spark, sf), "n_chars", TEST_SIZE, SEED, DOC_SCALE,
                                    id_columns=["doc_id"])
     return _gram_rows(spark, prep.gram_stats(), "y")
 
@@ -471,14 +481,14 @@ def _loss_query_sql() -> str:
 
 
 def _doc_gd(spark, sf, early_stopping=False):
-    prep = _doc_prepared(spark, sf)
-    train = prep.train.select(*DOC_FEATURES, "n_chars")
-    if early_stopping:
-        return fit_gd(train, DOC_FEATURES, "n_chars", ES_EPOCHS, GD_LR, 0.0,
-                      early_stopping=True, tol=ES_TOL, patience=ES_PATIENCE,
-                      initial=np.zeros(len(DOC_FEATURES) + 1))
-    return fit_gd(train, DOC_FEATURES, "n_chars", GD_EPOCHS, GD_LR,
-                  initial=np.zeros(len(DOC_FEATURES) + 1))
+    prep = _doc_prepared(spark, sf, prepare_train_test_data)
+    options = dict(epochs=ES_EPOCHS, early_stopping=True, tol=ES_TOL, patience=ES_PATIENCE) if early_stopping \
+        else dict(epochs=GD_EPOCHS)
+    try:
+        return fit_gd(prep.train, DOC_FEATURES, "n_chars", learning_rate=GD_LR,
+                      initial=np.zeros(len(DOC_FEATURES) + 1), **options)
+    finally:
+        prep.release()
 
 
 def q_gd_weights(spark, sf):
@@ -500,7 +510,7 @@ PER_EPOCH_EPOCHS, SEEDED_EPOCHS = 10, 50
 
 def q_gd_per_epoch(spark, sf):
     """The solver that reads the data once per epoch, with a ridge term."""
-    prep = _doc_prepared(spark, sf)
+    prep = _doc_prepared(spark, sf, prepare_train_test_data)
     try:
         res = fit_gd(prep.train, DOC_FEATURES, "n_chars", PER_EPOCH_EPOCHS, 0.1, GRAD_ALPHA, solver="per_epoch",
                      initial=np.zeros(len(DOC_FEATURES) + 1))
@@ -511,7 +521,7 @@ def q_gd_per_epoch(spark, sf):
 
 def q_gd_seeded(spark, sf):
     """From the seeded random start."""
-    prep = _doc_prepared(spark, sf)
+    prep = _doc_prepared(spark, sf, prepare_train_test_data)
     try:
         res = fit_gd(prep.train, DOC_FEATURES, "n_chars", SEEDED_EPOCHS, GD_LR, random_state=SEED)
     finally:
@@ -590,9 +600,8 @@ ONEHOT_FEATURES = DOC_FEATURES + [f"lang_{v}" for v in LANGS]
 ONEHOT_PRED_WEIGHTS = (2.0, 3.0, 0.1, 0.4, -0.2, 0.3, 0.05)
 
 
-def _doc_onehot_prepared(spark, sf):
-    return prepare_train_test_data(_doc_frame(spark, sf), "n_chars", TEST_SIZE, SEED, DOC_SCALE,
-                                   id_columns=["doc_id"])
+def _doc_onehot_prepared(spark, sf, prepare=_released):
+    return prepare(_doc_frame(spark, sf), "n_chars", TEST_SIZE, SEED, DOC_SCALE, id_columns=["doc_id"])
 
 
 _ONEHOT_CTE = (f"{_DOC_CTE},\nt AS (SELECT doc_id, is_test, words, lines, "
@@ -617,9 +626,11 @@ SQL_PREDICT_ONEHOT = (f"WITH {_ONEHOT_CTE}\nSELECT doc_id, "
 
 def q_gd_onehot(spark, sf):
     """GD on a one-hot design (singular with the intercept) through the grouped passes."""
-    prep = _doc_onehot_prepared(spark, sf)
-    res = prep.fit_gd(epochs=GD_EPOCHS, learning_rate=GD_LR,
-                      initial=np.zeros(len(prep.feature_names) + 1))
+    prep = _doc_onehot_prepared(spark, sf, prepare_train_test_data)
+    try:
+        res = prep.fit_gd(epochs=GD_EPOCHS, learning_rate=GD_LR, initial=np.zeros(len(prep.feature_names) + 1))
+    finally:
+        prep.release()
     return _rounded(res.weights_frame(spark), ["idx", "name"])
 
 
@@ -741,7 +752,7 @@ SQL_METRICS = (f"WITH {_DOC_CTE}\nSELECT {', '.join(_metrics_sql(_pred_sql(), 'n
 
 def q_metrics_by_lang(spark, sf):
     # lang rides along as a pass-through column: no join back to the documents table
-    prep = prepare_train_test_data(_doc_frame(spark, sf), "n_chars", TEST_SIZE, SEED, DOC_SCALE,
+    prep = _released(_doc_frame(spark, sf), "n_chars", TEST_SIZE, SEED, DOC_SCALE,
                                    id_columns=["doc_id", "lang"], split_key="doc_id")
     scored = predict(prep.test, PRED_WEIGHTS, DOC_FEATURES)
     return _rounded(evaluate(scored, "n_chars", by=["lang"]), ["lang"])
@@ -796,7 +807,7 @@ def _compare_sql() -> str:
 
 
 def q_sgd(spark, sf):
-    prep = _doc_prepared(spark, sf)
+    prep = _doc_prepared(spark, sf, prepare_train_test_data)
     try:
         res = fit_sgd(prep.train, DOC_FEATURES, "n_chars", SGD_EPOCHS, GD_LR, 0.0, SEED, SGD_BATCHES, ["doc_id"])
     finally:

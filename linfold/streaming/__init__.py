@@ -1,5 +1 @@
-"""Streaming: intentionally empty.
-
-The reference processes finite tables only (no stream source, watermark, window or state),
-so there is nothing to re-express with Structured Streaming here.
-"""
+"""No stream processing: every input is a finite table."""

@@ -22,11 +22,15 @@ from linfold.plans import catalog  # noqa: E402
 from linfold.session import get_spark  # noqa: E402
 
 
+WIDTH = 150   # the operators and the start of their arguments
+
+
 def show(title, df):
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
-    print(f"## {title}\n\n```\n{buf.getvalue().strip()}\n```\n")
+        df.explain()
+    lines = [line[:WIDTH] for line in buf.getvalue().strip().splitlines()[1:] if "Physical Plan" not in line]
+    print(f"## {title}\n\n```\n" + "\n".join(lines) + "\n```\n")
 
 
 def main():
