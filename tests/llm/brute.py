@@ -52,6 +52,29 @@ def suffix(rows, size=100):
     return out
 
 
+def suffix_texts(rows, size=100):
+    """{doc_id: text left}: code points of which every byte is repeated go; texts of which nothing
+    is left are not in it."""
+    seen, out = set(), {}
+    for i, text in order(rows):
+        b = text.encode()
+        gone = np.zeros(len(b), dtype=bool)
+        for at in range(len(b) - size + 1):
+            window = b[at:at + size]
+            if window in seen:
+                gone[at:at + size] = True
+            seen.add(window)
+        left, at = [], 0
+        for c in text:
+            n = len(c.encode())
+            if not gone[at:at + n].all():
+                left.append(c)
+            at += n
+        if left or not text:
+            out[i] = "".join(left)
+    return out
+
+
 def simhash(text):
     w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not w:
