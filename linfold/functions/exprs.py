@@ -33,12 +33,13 @@ def hash52(seed: int | str, *keys: str | Column, algorithm: str = "md5") -> Colu
     Spark's built-in 64-bit hash reduced mod 2^52: about ten times cheaper per row, for
     when cross-engine reproducibility of the membership is not needed.
     """
-    if algorithm == "xxhash64":
-        return F.pmod(F.xxhash64(F.lit(str(seed)), *[_as_col(k) for k in keys]),
-                      F.lit(2 ** 52)).cast("bigint")
+    columns = [_as_col(k) for k in keys]
+    if algorithm == "xxhash64":   # the hash passes over NULLs, so their places go in with them
+        places = [c.isNull() for c in columns]
+        return F.pmod(F.xxhash64(F.lit(str(seed)), *columns, *places), F.lit(2 ** 52)).cast("bigint")
     if algorithm != "md5":
         raise ValueError(f"algorithm must be one of {HASH_ALGORITHMS}.")
-    parts = [F.lit(str(seed))] + [_as_col(k).cast("string") for k in keys]
+    parts = [F.lit(str(seed))] + [F.coalesce(c.cast("string"), F.lit("\0")) for c in columns]
     digest = F.md5(F.concat_ws(":", *parts))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint")
 

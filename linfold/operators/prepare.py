@@ -64,14 +64,15 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
                             test_size: float = 0.2, random_state: int = 42,
                             target_scale: float = TARGET_SCALE, spark: SparkSession | None = None,
                             id_columns: tuple[str, ...] | list[str] = (),
-                            split_key: str | list[str] | None = None, split_mode: str = "hash",
+                            split_key: str | list[str] | None = None, split_mode: str = "exact",
                             max_categories: int | None = None,
                             materialize: str = "persist",
                             split_hash: str = "md5", median: str = "exact") -> PreparedData:
     """Split first, then fit the preprocessing on the train split only.
 
     ``split_key`` defaults to the id columns, or to every column when there are none. Rows without
-    a target and empty splits are errors.
+    a target and empty splits are errors. ``split_mode``: ``exact`` (test holds ceil(test_size * n)
+    rows) or ``hash`` (about as many, by one filter).
     ``materialize`` keeps the raw train split for the fit passes and the training that
     follows: ``persist`` (cache) or ``checkpoint`` (shared folder, lineage cut).
     """

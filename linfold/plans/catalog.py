@@ -108,11 +108,16 @@ def _doc_frame(spark: SparkSession, sf: str) -> DataFrame:
 def _released(*args, **kwargs):
     """A prepare whose cache is dropped once the statistics are fitted: the query that goes on from
     it reads the table again, and leaves nothing cached."""
-    prep = prepare_train_test_data(*args, **kwargs)
+    prep = _kept(*args, **kwargs)
     prep.release()
     return prep
 
 
+def _kept(*args, **kwargs):
+    """The queries split by hash, whose membership SQL computes row by row."""
+    return prepare_train_test_data(*args, split_mode="hash", **kwargs)
+
+
 def _doc_prepared(spark: SparkSession, sf: str, prepare=_released):
     df = _doc_frame(spark, sf).drop("lang")
     return prepare(df, "n_chars", TEST_SIZE, SEED, DOC_SCALE, id_columns=["doc_id"])
@@ -379,6 +384,40 @@ feats AS (
 SELECT p_partkey, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, feature, {_rs('value', 'value')} FROM feats"""
 
 
+def q_prepare_exact(spark, sf):
+    """The size-exact split inside prepare: test holds ceil(test_size * n) rows."""
+    prep = prepare_train_test_data(_part_frame(spark, sf).select("p_partkey", "p_size", "p_retailprice"),
+                                   "p_retailprice", TEST_SIZE, SEED, DOC_SCALE, id_columns=["p_partkey"])
+    prep.release()
+    both = (prep.train.withColumn("split", F.lit("train"))
+            .unionByName(prep.test.withColumn("split", F.lit("test"))))
+    return _rounded(both.select("p_partkey", "split", "p_size", "p_retailprice"), ["p_partkey", "split"])
+
+
+SQL_PREPARE_EXACT = f"""WITH h AS (SELECT p_partkey, CAST(p_size AS DOUBLE) AS size, p_retailprice / {_d(DOC_SCALE)} AS y,
+  row_number() OVER (ORDER BY {_h52_sql('CAST(p_partkey AS VARCHAR)')}, p_partkey) <= ceil({_d(TEST_SIZE)} * count(*) OVER ()) AS is_test
+  FROM part),
+st AS (SELECT avg(size) AS m, stddev_pop(size) AS s FROM h WHERE NOT is_test)
+SELECT p_partkey, CASE WHEN is_test THEN 'test' ELSE 'train' END AS split, {_rs('(size - m) / s', 'p_size')},
+  {_rs('y', 'p_retailprice')} FROM h CROSS JOIN st"""
+
+
+def q_vector(spark, sf):
+    """The prepared features as one sparse vector: its non-zero entries as rows."""
+    from pyspark.ml.functions import vector_to_array
+    prep = _doc_onehot_prepared(spark, sf)
+    both = prep.raw_test.unionByName(prep.kept)
+    vectors = prep.preprocessor.transform_vector(both, ["doc_id"])
+    long = vectors.select("doc_id", F.posexplode(vector_to_array("features")).alias("position", "value"))
+    return _rounded(long.where("value <> 0"), ["doc_id", "position"])
+
+
+def _vector_sql() -> str:
+    parts = [f"SELECT doc_id, {i} AS position, {c} AS v FROM t" for i, c in enumerate(ONEHOT_FEATURES)]
+    return (f"WITH {_ONEHOT_CTE},\nv AS ({' UNION ALL '.join(parts)})\n"
+            f"SELECT doc_id, CAST(position AS INTEGER) AS position, {_rs('v', 'value')} FROM v WHERE v <> 0")
+
+
 # ----------------------------------------------------------------------------- G1-G11
 def _li_frame(spark, sf, *keys):
     li = _read(spark, sf, "lineitem")
@@ -481,7 +520,7 @@ def _loss_query_sql() -> str:
 
 
 def _doc_gd(spark, sf, early_stopping=False):
-    prep = _doc_prepared(spark, sf, prepare_train_test_data)
+    prep = _doc_prepared(spark, sf, _kept)
     options = dict(epochs=ES_EPOCHS, early_stopping=True, tol=ES_TOL, patience=ES_PATIENCE) if early_stopping \
         else dict(epochs=GD_EPOCHS)
     try:
@@ -510,7 +549,7 @@ PER_EPOCH_EPOCHS, SEEDED_EPOCHS = 10, 50
 
 def q_gd_per_epoch(spark, sf):
     """The solver that reads the data once per epoch, with a ridge term."""
-    prep = _doc_prepared(spark, sf, prepare_train_test_data)
+    prep = _doc_prepared(spark, sf, _kept)
     try:
         res = fit_gd(prep.train, DOC_FEATURES, "n_chars", PER_EPOCH_EPOCHS, 0.1, GRAD_ALPHA, solver="per_epoch",
                      initial=np.zeros(len(DOC_FEATURES) + 1))
@@ -521,7 +560,7 @@ def q_gd_per_epoch(spark, sf):
 
 def q_gd_seeded(spark, sf):
     """From the seeded random start."""
-    prep = _doc_prepared(spark, sf, prepare_train_test_data)
+    prep = _doc_prepared(spark, sf, _kept)
     try:
         res = fit_gd(prep.train, DOC_FEATURES, "n_chars", SEEDED_EPOCHS, GD_LR, random_state=SEED)
     finally:
@@ -626,7 +665,7 @@ SQL_PREDICT_ONEHOT = (f"WITH {_ONEHOT_CTE}\nSELECT doc_id, "
 
 def q_gd_onehot(spark, sf):
     """GD on a one-hot design (singular with the intercept) through the grouped passes."""
-    prep = _doc_onehot_prepared(spark, sf, prepare_train_test_data)
+    prep = _doc_onehot_prepared(spark, sf, _kept)
     try:
         res = prep.fit_gd(epochs=GD_EPOCHS, learning_rate=GD_LR, initial=np.zeros(len(prep.feature_names) + 1))
     finally:
@@ -807,7 +846,7 @@ def _compare_sql() -> str:
 
 
 def q_sgd(spark, sf):
-    prep = _doc_prepared(spark, sf, prepare_train_test_data)
+    prep = _doc_prepared(spark, sf, _kept)
     try:
         res = fit_sgd(prep.train, DOC_FEATURES, "n_chars", SGD_EPOCHS, GD_LR, 0.0, SEED, SGD_BATCHES, ["doc_id"])
     finally:
@@ -1051,6 +1090,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_ols_scales": q_ols_scales,
         "q_speedup_base": q_speedup_base,
         "q_csv_text": q_csv_text,
+        "q_prepare_exact": q_prepare_exact,
+        "q_vector": q_vector,
         "q_impute_median": q_impute_median,
         "q_scale": q_scale,
         "q_impute_mode": q_impute_mode,
@@ -1104,6 +1145,8 @@ def oracle_sql() -> dict[str, str]:
         "q_ols_scales": SQL_OLS_SCALES,
         "q_speedup_base": SQL_SPEEDUP_BASE,
         "q_csv_text": SQL_CSV_TEXT,
+        "q_prepare_exact": SQL_PREPARE_EXACT,
+        "q_vector": _vector_sql(),
         "q_sgd": _sgd_sql(),
         "q_impute_median": SQL_IMPUTE_MEDIAN,
         "q_scale": _scale_sql(),

@@ -161,11 +161,18 @@ def test_split_errors_of_identical_rows(spark):
     from linfold import prepare_train_test_data
     same = spark.range(50).select(F.lit(1.0).alias("x"), F.lit(2.0).alias("y"))
     with pytest.raises(ValueError, match="split is empty"):
-        prepare_train_test_data(same, "y")
-    prepared = prepare_train_test_data(same, "y", split_mode="exact")
+        prepare_train_test_data(same, "y", split_mode="hash")
+    prepared = prepare_train_test_data(same, "y")
     assert (prepared.train.count(), prepared.test.count()) == (40, 10)
 
 
+@pytest.mark.parametrize("algorithm", ["md5", "xxhash64"])
+def test_nulls_have_a_place_in_the_key(spark, algorithm):
+    from linfold.functions.exprs import hash52
+    df = spark.createDataFrame([(None, "a"), ("a", None), (None, None)], "x string, y string")
+    assert df.select(hash52(1, "x", "y", algorithm=algorithm)).distinct().count() == 3
+
+
 def test_chunks_are_a_grouping_key(spark):
     df = spark.range(600).withColumn("chunk", chunk_of("id", 4))
     again = spark.range(600).repartition(7).withColumn("chunk", chunk_of("id", 4))
