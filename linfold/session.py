@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -108,13 +110,6 @@ def default_parallelism(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
 
 
-def num_partitions(df: DataFrame) -> int | None:
-    try:
-        return df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 -- no RDD view on Spark Connect
-        return None
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make ``linfold`` importable in the executors' Python workers (the Arrow kernels live
     in it): zip the package once per process and ``addPyFile`` it once per application

@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 def test_bench_prints_one_json_line():
-    env = {**os.environ, "BENCH_SF_DIR": SF, "BENCH_CPUS": "2"}
+    env = {**os.environ, "BENCH_SF_DIR": SF, "BENCH_CPUS": "2", "BENCH_REPEATS": "1"}
     out = subprocess.run([sys.executable, os.path.join(ROOT, "bench.py")], env=env,
                          capture_output=True, text=True, timeout=900, check=True)
     lines = [line for line in out.stdout.splitlines() if line.strip()]
