@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.llm import bpe, common
-from linfold.llm.textbytes import BYTE_VALUE, U64, _Powers, chunks, mix, raw_bytes
+from linfold.llm.textbytes import BYTE_VALUE, CHUNK_BYTES, U64, _Powers, chunks, mix, raw_bytes
 
 REACH, CHUNK_BITS = 32, 10         # chunks of 1 KiB on average
 TABLE_BITS = 1 << 26               # 8 MiB, whatever the size of the corpus
@@ -212,7 +212,7 @@ def coded(docs: DataFrame, path: str | None = None, values: bool = False) -> Dat
         encoder = bpe.Encoder.get(path)
         sizes = encoder.sizes()
         unpack = zstandard.ZstdDecompressor()
-        for part in chunks(batches, "z"):
+        for part in chunks(batches, "z", CHUNK_BYTES // 4):   # about CHUNK_BYTES of text
             text = pa.array([unpack.decompress(z) for z in part.column("z").to_pylist()], pa.binary())
             cut = _chunk_lists(pa.RecordBatch.from_arrays([text], ["text"]))
             result = []
