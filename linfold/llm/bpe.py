@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
@@ -40,6 +41,10 @@ def _alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def _bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class _Pieces(dict):
     """Ids (little-endian unsigned 32-bit) of pieces, each after ``before``; two generations."""
 
@@ -50,7 +55,7 @@ class _Pieces(dict):
     def __missing__(self, piece: str) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = np.array(self.encode(self.before + piece), dtype="<u4").tobytes()
+            ids = _bytes(self.encode(self.before + piece))
         if len(self) >= CACHE_PIECES:
             self.old = dict(self)
             self.clear()
@@ -94,8 +99,12 @@ class Encoder:
         self.at_start = _Pieces(self._piece, "")
 
     def _piece(self, piece: str) -> list[int]:
-        if LATIN.match(piece) and not any(s in piece for s in self.special):
-            return self.fast.encode_ordinary(piece)   # the same merges, sooner for short texts
+        for special in self.special:
+            if special in piece:
+                break
+        else:
+            if piece.isascii() or LATIN.match(piece):
+                return self.fast.encode_ordinary(piece)   # the same merges, sooner for short texts
         return self.whole.encode(piece, add_special_tokens=False).ids
 
     def encode(self, text: str) -> bytes:
@@ -103,7 +112,7 @@ class Encoder:
         if not text:
             return b""
         if RARE_SPACE.search(text):
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            return _bytes(self.whole.encode(text, add_special_tokens=False).ids)
         if SPACE_RUN.search(text):
             return b"".join(map(self.at_start.__getitem__, PIECE.findall(text)))
         first, *rest = text.split(" ")
