@@ -34,7 +34,7 @@ from linfold.llm import common
 from linfold.llm.textbytes import BYTE_VALUE, U64, Texts, _Powers, chunks, mix, raw_bytes
 
 MOST_SEGMENTS = 4096
-SEARCH_BYTES = 2 << 20        # texts searched at a time
+SEARCH_BYTES = 1 << 20        # texts searched at a time
 RESOLVE_BYTES = 1 << 20       # segments resolved at a time
 ROWS_PER_TASK = 400_000
 FOUND = ("ah", "sh", "k", "pos", "n")

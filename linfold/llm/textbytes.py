@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
 
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
