@@ -17,6 +17,8 @@ from linfold.llm import (
     op8_revisits,
     op9_bpe,
     op10_classifier,
+    op12_repair,
+    op13_negatives,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -30,8 +32,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_revisits": op8_revisits.query,
     "op9_bpe": op9_bpe.query,
     "op10_classifier": op10_classifier.query,
+    "op12_repair": op12_repair.query,
+    "op13_negatives": op13_negatives.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_revisits": op8_revisits.ORACLE_SQL,
+    "op13_negatives": op13_negatives.ORACLE_SQL,
 }
