@@ -17,6 +17,7 @@ from linfold.llm import (
     op8_revisits,
     op9_bpe,
     op10_classifier,
+    op11_lm,
     op12_repair,
     op13_negatives,
 )
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_revisits": op8_revisits.query,
     "op9_bpe": op9_bpe.query,
     "op10_classifier": op10_classifier.query,
+    "op11_lm": op11_lm.query,
     "op12_repair": op12_repair.query,
     "op13_negatives": op13_negatives.query,
 }
