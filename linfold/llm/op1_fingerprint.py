@@ -56,8 +56,8 @@ def densified(bins: np.ndarray) -> np.ndarray:
         hit = filled[row, other]
         out[row[hit], empty[hit]] = bins[row[hit], other[hit]]
         row, empty = row[~hit], empty[~hit]
-    starts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else []
-    for b, e in zip(starts, [*starts[1:], len(row)], strict=True):
+    edge = np.flatnonzero(np.diff(row, prepend=-1, append=-1)) if len(row) else row
+    for b, e in zip(edge[:-1], edge[1:], strict=True):
         have = np.flatnonzero(filled[row[b]])
         best = have[np.argmin(rank[empty[b:e]][:, have], axis=1)]
         out[row[b], empty[b:e]] = bins[row[b], best]

@@ -48,6 +48,26 @@ def test_fingerprints_of_whole_table(spark):
             assert r.near_edited == 1.0
 
 
+def test_densified_one_text_at_a_time():
+    """Every number of filled bins, alone in its chunk: each empty bin takes the first filled one of
+    its own order."""
+    rng = np.random.default_rng(0)
+    order, _ = op1_fingerprint._probe_order()
+    for filled in range(op1_fingerprint.BINS + 1):
+        for _ in range(3):
+            bins = np.full((1, op1_fingerprint.BINS), op1_fingerprint.EMPTY)
+            at = rng.permutation(op1_fingerprint.BINS)[:filled]
+            bins[0, at] = rng.integers(0, 1 << 40, filled).astype(np.uint64)
+            got = op1_fingerprint.densified(bins)[0]
+            if not filled:
+                assert (got == 0).all()
+                continue
+            have = bins[0] != op1_fingerprint.EMPTY
+            first = np.argmax(have[order], axis=1)
+            want = np.where(have, bins[0], bins[0, order[np.arange(op1_fingerprint.BINS), first]])
+            assert (got == want).all()
+
+
 def test_fingerprints_of_odd_tables(spark):
     assert op1_fingerprint.fingerprinted(brute.table(spark, [])).count() == 0
     one = op1_fingerprint.fingerprinted(brute.table(spark, [(7, "abc def")])).first()
