@@ -41,8 +41,8 @@ from linfold.llm.labels import fold
 from linfold.llm.textbytes import BASE, CHUNK_BYTES, U64, WHITE, Texts, chunks, mix
 from linfold.session import checkpoint_dir
 
-RUN_TOKENS = 4_000_000          # tokens counted together in a task
-SCORE_TOKENS = 1_000_000
+RUN_TOKENS = 2_000_000          # tokens counted together in a task
+SCORE_TOKENS = 500_000
 START, END = U64(0x243F6A8885A308D3), U64(0x13198A2E03707344)
 HELD_MODULUS, HELD_VALUE = 5, 1
 SMALL = 255                     # counts from here on are kept aside of the byte array
@@ -355,14 +355,14 @@ def fit(docs: DataFrame) -> Model:
     folder, total = _folder(spark), common.shuffle_partitions(spark)
     texts = common.documents(docs).select("text")
     stored = (texts.mapInArrow(_count_bigrams(total), "part int, keys binary, c0 binary")
-              .repartition(total, "part").sortWithinPartitions("part")
+              .repartitionById(total, "part").sortWithinPartitions("part")
               .mapInArrow(_store_bigrams(folder), "part long, n array<long>").collect())
     bigram_parts = sorted(r.part for r in stored)
     of = [sum(x) for x in zip(*[r.n for r in stored], strict=True)] or [0] * 5
     d = discounts(of)
     schema = "part int, keys binary, " + ", ".join(f"{c} binary" for c in STATISTICS)
     words = (texts.mapInArrow(_word_statistics(folder, bigram_parts, total), schema)
-             .repartition(total, "part").sortWithinPartitions("part")
+             .repartitionById(total, "part").sortWithinPartitions("part")
              .mapInArrow(_store_words(folder, d), "part long, n array<long>, different long, tokens long, kinds long")
              .collect())
     of = [sum(x) for x in zip(*[r.n for r in words], strict=True)] or [0] * 5
