@@ -12,9 +12,9 @@ is scored exactly. Wanted are scores no worse than the last of the best found so
 and within the limits of the positives.
 
 On Spark: the anchors are a stated query set against all rows. Anchors are dealt to groups of about
-``ANCHOR_BLOCK``, rows to one group per shuffle partition; a cell (anchor group, row group) streams
-its rows in blocks past its anchors and returns the best per anchor, so that a cell's memory does
-not grow with its rows. Rows are dealt by a row number, whatever their labels or vectors. The best
+``ANCHOR_BLOCK``, rows to so many groups that there is a cell (anchor group, row group) per shuffle
+partition, but ``CELL_ROWS`` rows a cell at least. A cell streams its rows in blocks past its anchors
+and returns the best per anchor, so that a cell's memory does not grow with its rows. Rows are dealt by a row number, whatever their labels or vectors. The best
 of all cells are ranked per anchor (positives first, then negatives).
 """
 
@@ -32,6 +32,7 @@ from linfold.llm import common
 POSITIVES, NEGATIVES = 5, 10
 LOW, HIGH = 30, 90             # a negative's score, in hundredths of the positive's
 ANCHOR_BLOCK = 16_384
+CELL_ROWS = 4_096
 ROW_BLOCK, ANCHOR_TILE = 2_048, 1_024
 LEVELS = (4, 8, 16)            # segments per vector
 LARGEST = (1 << 31) - 1
@@ -264,7 +265,7 @@ def _over_cells(anchors: DataFrame, rows: DataFrame, make: Callable, schema: str
     """``make`` over all cells of ``anchors`` (r, vec_id, label, q, extra) and ``rows`` (r, vec_id, label, q)."""
     spark = rows.sparkSession
     groups = common.partitions_for(anchors.count(), ANCHOR_BLOCK, 1)
-    parts = common.shuffle_partitions(spark)
+    parts = min(-(-common.shuffle_partitions(spark) // groups), common.partitions_for(rows.count(), CELL_ROWS, 1))
     at = lambda n: F.pmod(F.xxhash64("r"), F.lit(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     columns = ["r", "vec_id", "label", "q"]
@@ -273,7 +274,7 @@ def _over_cells(anchors: DataFrame, rows: DataFrame, make: Callable, schema: str
     right = (rows.select(*columns, each(groups).alias("a"), at(parts).alias("b"))
              .select((F.col("a") * parts + F.col("b")).alias("cell"), F.lit(True).alias("is_row"), *columns,
                      F.lit(None).cast(anchors.schema["extra"].dataType).alias("extra")))
-    return (left.union(right).repartition(groups * parts, "cell").sortWithinPartitions("cell", "is_row")
+    return (left.union(right).repartitionById(groups * parts, "cell").sortWithinPartitions("cell", "is_row")
             .mapInArrow(_cells(make), schema))
 
 

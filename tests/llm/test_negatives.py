@@ -56,6 +56,7 @@ def test_against_brute_force(spark, d):
 def test_many_anchor_groups_blocks_and_tiles(spark, monkeypatch):
     monkeypatch.setattr(op, "ANCHOR_BLOCK", 16)
     monkeypatch.setattr(op, "ROW_BLOCK", 8)
+    monkeypatch.setattr(op, "CELL_ROWS", 20)
     monkeypatch.setattr(op, "ANCHOR_TILE", 3)
     rows = _rows(300, 16, 1)
     assert mined(spark, rows) == brute(rows)
