@@ -1,6 +1,6 @@
 """Model comparison (B4): gradient descent against OLS, ridge and SGD on one split.
 
-One Gram pass is shared by GD, OLS and ridge; all models are scored on ``test`` in ONE
+OLS and ridge share one QR factor (given Gram statistics, these); all models are scored on ``test`` in ONE
 scan (predictions are columns of the same projection) and all metrics come from ONE
 aggregate, stacked to one row per model.
 """
@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from linfold.functions.exprs import quote
 from linfold.operators.gd import fit_gd, prediction_column
 from linfold.operators.gram import gram_stats
-from linfold.operators.linear import solve_centred
+from linfold.operators.linear import fit_ols, fit_ridge, solve_centred
 from linfold.operators.metrics import evaluate_many
+from linfold.operators.qr import r_factor
 from linfold.operators.sgd import fit_sgd
 
 GD_MODEL = ("Custom GD", "spark_gram")
@@ -38,6 +39,7 @@ def compare_models(train: DataFrame, test: DataFrame, features: list[str], targe
     kept = dict.fromkeys([*features, target, *(sgd_key or [])])
     cached = train.select(*[F.col(quote(c)) for c in kept]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        given = stats
         stats = stats or gram_stats(cached, features, target)
         models = {GD_MODEL: fit_gd(cached, features, target, epochs, learning_rate, alpha,
                                    random_state, early_stopping, tol, patience,
@@ -45,8 +47,13 @@ def compare_models(train: DataFrame, test: DataFrame, features: list[str], targe
         if include_baselines:
             # as in the reference, the ridge baseline takes the same alpha on its own
             # (SSE) scale; it equals the GD objective only at alpha_gd = alpha / n
-            models[OLS_MODEL] = solve_centred(stats, 0.0).weights
-            models[RIDGE_MODEL] = solve_centred(stats, alpha).weights
+            if given is not None:
+                models[OLS_MODEL] = solve_centred(given, 0.0).weights
+                models[RIDGE_MODEL] = solve_centred(given, alpha).weights
+            else:
+                factor = r_factor(cached, features, target)
+                models[OLS_MODEL] = fit_ols(cached, features, target, factor).weights
+                models[RIDGE_MODEL] = fit_ridge(cached, features, target, alpha, factor).weights
             if include_sgd:
                 models[SGD_MODEL] = fit_sgd(cached, features, target, sgd_epochs or epochs,
                                             learning_rate, alpha, random_state or 0, sgd_batches,

@@ -1,10 +1,11 @@
-"""Closed-form least squares (B1) and ridge (B2) from the distributed Gram statistics.
-
-Both solve the *centred* normal equations on the driver -- a (d x d) problem -- so the
-intercept is never penalised and the data is read once. Features are first brought to one scale
-(divided by the root of their own co-moment), so that the rank of a design does not depend on
-units; a design of lower rank (full one-hot plus intercept) gets the minimum-norm solution. Ridge
-minimises SSE + alpha*||w||^2 (the library scale, which equals the gradient-descent objective
+"""Least squares (B1) and ridge (B2).
+
+``fit_ols`` / ``fit_ridge`` read the data once and solve from a tree of QR factors (``qr.py``).
+``solve_centred`` solves the centred normal equations of Gram statistics that are there anyway: for
+the point around which gradient descent measures its loss (any point near the minimum will do), and
+for one-hot designs, whose statistics come from grouped counts. There features are first brought to
+one scale, and a design of lower rank (full one-hot plus intercept) gets the minimum-norm solution.
+Ridge minimises SSE + alpha*||w||^2 (the library scale, which equals the gradient-descent objective
 MSE + alpha'*||w||^2 at alpha' = alpha / n).
 """
 
@@ -15,9 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 
-from linfold.operators.gram import GramStats, gram_stats
-
-RANK_CUT = 1e-12   # of the correlation matrix's largest eigenvalue
+from linfold.operators.gram import GramStats
+from linfold.operators.qr import Factor, r_factor, solve_factor
 
 
 @dataclass(frozen=True)
@@ -37,7 +37,7 @@ class LinearModel:
         return spark.createDataFrame(rows, "idx int, name string, weight double")
 
 
-def least_squares(a: np.ndarray, b: np.ndarray, cut: float = RANK_CUT) -> np.ndarray:
+def least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Minimum-norm solution of a symmetric positive semi-definite system whose rank is judged
     after scaling its diagonal to ones."""
     if a.size == 0:
@@ -50,8 +50,10 @@ def least_squares(a: np.ndarray, b: np.ndarray, cut: float = RANK_CUT) -> np.nda
     size = size[used]
     scaled = a[np.ix_(used, used)] / np.outer(size, size)
     vals, vecs = np.linalg.eigh(scaled)
-    # A null direction of m features has an eigenvalue of rounding size, about m times 1e-16.
-    keep = vals > max(cut, 8 * len(vals) * np.finfo(float).eps) * vals.max()
+    # A null direction of m features has an eigenvalue of rounding size, about m times 1e-16. The
+    # normal equations cannot tell features from each other that differ by less than its root;
+    # fit_ols can.
+    keep = vals > 8 * len(vals) * np.finfo(float).eps * vals.max()
     solution = vecs[:, keep] @ ((vecs[:, keep].T @ (b[used] / size)) / vals[keep]) / size
     if not keep.all():
         # Any solution plus the null space; the one with the least norm is orthogonal to it.
@@ -73,11 +75,16 @@ def solve_centred(stats: GramStats, alpha: float = 0.0) -> LinearModel:
     return LinearModel(stats.features, float(intercept), np.asarray(coef, dtype=float))
 
 
-def fit_ols(df: DataFrame, features: list[str], target: str,
-            stats: GramStats | None = None) -> LinearModel:
-    return solve_centred(stats or gram_stats(df, features, target), 0.0)
+def fit_ols(df: DataFrame, features: list[str], target: str, factor: Factor | None = None) -> LinearModel:
+    """Least squares of least norm. ``factor``: an ``r_factor`` that is there already."""
+    return _from_factor(factor or r_factor(df, features, target), 0.0)
 
 
 def fit_ridge(df: DataFrame, features: list[str], target: str, alpha: float = 1.0,
-              stats: GramStats | None = None) -> LinearModel:
-    return solve_centred(stats or gram_stats(df, features, target), alpha)
+              factor: Factor | None = None) -> LinearModel:
+    return _from_factor(factor or r_factor(df, features, target), alpha)
+
+
+def _from_factor(factor: Factor, alpha: float) -> LinearModel:
+    intercept, coef = solve_factor(factor, alpha)
+    return LinearModel(factor.features, intercept, coef)

@@ -693,17 +693,18 @@ def q_ols(spark, sf):
     return _rounded(model.weights_frame(spark), ["idx", "name"])
 
 
-def _closed_form_sql(source: str, x1: str, x2: str, y: str, alpha: float, names: list[str]) -> str:
+def _closed_form_sql(source: str, x1: str, x2: str, y: str, alpha: float, names: list[str], rounded: bool = True) -> str:
     a = _d(alpha)
+    shown = round_sig_sql if rounded else str
     return f"""c AS (SELECT avg({x1}) AS m1, avg({x2}) AS m2, avg({y}) AS my,
   var_pop({x1}) * count(*) + {a} AS a11, covar_pop({x1}, {x2}) * count(*) AS a12,
   var_pop({x2}) * count(*) + {a} AS a22, covar_pop({x1}, {y}) * count(*) AS r1,
   covar_pop({x2}, {y}) * count(*) AS r2 FROM {source}),
 sol AS (SELECT (a22 * r1 - a12 * r2) / (a11 * a22 - a12 * a12) AS v1,
   (a11 * r2 - a12 * r1) / (a11 * a22 - a12 * a12) AS v2, m1, m2, my FROM c)
-SELECT 0 AS idx, '{names[0]}' AS name, {_rs('my - v1 * m1 - v2 * m2', 'weight')} FROM sol
-UNION ALL SELECT 1, '{names[1]}', {round_sig_sql('v1')} FROM sol
-UNION ALL SELECT 2, '{names[2]}', {round_sig_sql('v2')} FROM sol"""
+SELECT 0 AS idx, '{names[0]}' AS name, {shown('my - v1 * m1 - v2 * m2')} AS weight FROM sol
+UNION ALL SELECT 1, '{names[1]}', {shown('v1')} FROM sol
+UNION ALL SELECT 2, '{names[2]}', {shown('v2')} FROM sol"""
 
 
 SQL_OLS = (f"WITH t AS (SELECT CAST(p_partkey AS DOUBLE) AS x1, CAST(p_size AS DOUBLE) AS x2, "
@@ -728,6 +729,31 @@ SQL_OLS_SCALES = ("WITH t AS (SELECT x1, x2, 1.0::DOUBLE + x1 * 1e-8 + x2 * 3.0:
                   + _closed_form_sql("t", "x1", "x2", "y", 0.0, ["intercept", "x1", "x2"]))
 
 
+COLLINEAR = 2.0 ** -24   # about 6e-8 of a feature of size 1 to 50
+
+
+def _collinear_frame(spark, sf):
+    """Two features that differ by some 1e-8 of their size; both have a weight of their own."""
+    li = _read(spark, sf, "lineitem").select(F.col("l_quantity").alias("x1"), "l_linenumber", "l_extendedprice")
+    return li.select("x1", (F.col("x1") + F.col("l_linenumber") * F.lit(COLLINEAR)).alias("x2"),
+                     (F.col("l_extendedprice") / F.lit(DOC_SCALE)).alias("y"))
+
+
+def q_ols_collinear(spark, sf):
+    model = fit_ols(_collinear_frame(spark, sf), ["x1", "x2"], "y")
+    return _rounded(model.weights_frame(spark), ["idx", "name"])
+
+
+# The same design with x1 and the scaled difference as features, which are nearly orthogonal.
+SQL_OLS_COLLINEAR = (
+    f"WITH t AS (SELECT l_quantity AS x1, CAST(l_linenumber AS DOUBLE) AS x2, l_extendedprice / {_d(DOC_SCALE)} AS y FROM lineitem),\n"
+    f"f AS (SELECT * FROM (WITH {_closed_form_sql('t', 'x1', 'x2', 'y', 0.0, ['i', 'a', 'b'], rounded=False)})),\n"
+    "w AS (SELECT max(CASE WHEN name = 'i' THEN weight END) AS i, max(CASE WHEN name = 'a' THEN weight END) AS a, "
+    f"max(CASE WHEN name = 'b' THEN weight END) / {_d(COLLINEAR)} AS b FROM f)\n"
+    f"SELECT 0 AS idx, 'intercept' AS name, {_rs('i', 'weight')} FROM w UNION ALL "
+    f"SELECT 1, 'x1', {round_sig_sql('a - b')} FROM w UNION ALL SELECT 2, 'x2', {round_sig_sql('b')} FROM w")
+
+
 def q_onehot_many(spark, sf):
     """One-hot of a column with very many categories, as rows: train categories are a table, and
     test rows join it."""
@@ -1088,6 +1114,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_gd_per_epoch": q_gd_per_epoch,
         "q_gd_seeded": q_gd_seeded,
         "q_ols_scales": q_ols_scales,
+        "q_ols_collinear": q_ols_collinear,
         "q_speedup_base": q_speedup_base,
         "q_csv_text": q_csv_text,
         "q_prepare_exact": q_prepare_exact,
@@ -1143,6 +1170,7 @@ def oracle_sql() -> dict[str, str]:
         "q_gd_per_epoch": _gd_variant_sql(PER_EPOCH_EPOCHS, 0.1, GRAD_ALPHA),
         "q_gd_seeded": _gd_variant_sql(SEEDED_EPOCHS, GD_LR, 0.0, initial_weights(len(DOC_FEATURES), SEED)),
         "q_ols_scales": SQL_OLS_SCALES,
+        "q_ols_collinear": SQL_OLS_COLLINEAR,
         "q_speedup_base": SQL_SPEEDUP_BASE,
         "q_csv_text": SQL_CSV_TEXT,
         "q_prepare_exact": SQL_PREPARE_EXACT,

@@ -63,11 +63,12 @@ def make_synthetic_regression(spark: SparkSession, n_samples: int, n_features: i
                               test_size: float = 0.2, method: str = "hash",
                               num_partitions: int | None = None,
                               ids: DataFrame | None = None, id_column: str = "id",
-                              split_hash: str = "md5"):
-    """Returns ``(train, test, true_weights)``; both frames hold ``id, x1..xd, y``."""
+                              split_hash: str = "md5", split_mode: str = "hash"):
+    """Returns ``(train, test, true_weights)``; both frames hold ``id, x1..xd, y``. With
+    ``split_mode="exact"`` test holds ``ceil(test_size * n_samples)`` rows."""
     frame, w = synthetic_frame(spark, n_samples, n_features, noise, random_state, method,
                                num_partitions, ids, id_column)
     key = "id" if ids is None else id_column
-    train, test = train_test_split(frame, test_size, random_state, key=key, mode="hash",
+    train, test = train_test_split(frame, test_size, random_state, key=key, mode=split_mode,
                                    algorithm=split_hash)
     return train, test, w
