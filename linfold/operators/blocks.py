@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.functions.exprs import quote
-from linfold.operators.gram import _check_rows, _is_null, _rejected, sum_blocks, usable_rows, vector_blocks
+from linfold.operators.gram import _check_rows, _is_null, sum_blocks, usable_rows, vector_blocks
 from linfold.session import ship_package
 
 PACKED_BYTES = 4 << 20      # bytes of one packed block
@@ -65,7 +65,7 @@ class PackedTable:
 
     def __init__(self, df: DataFrame, features: list[str], target: str, invalid: str = "error"):
         ship_package(df.sparkSession)
-        self.width = len(features) + 1
+        self.width = width = len(features) + 1
         rows = usable_rows(df, features, target, invalid)
         step = max(1, PACKED_BYTES // (8 * self.width))
 
@@ -87,9 +87,8 @@ class PackedTable:
                     yield row(np.concatenate(held))
                     held, n = [], 0
             if n or counts.any():
-                yield row(np.concatenate(held) if held else np.zeros((0, self_width)))
+                yield row(np.concatenate(held) if held else np.zeros((0, width)))
 
-        self_width = self.width
         self.rows = (numeric_selection(rows, [*features, target]).mapInArrow(pack, PACKED_SCHEMA)
                      .persist(StorageLevel.MEMORY_AND_DISK))
         total = self.rows.agg(*[F.sum(c).alias(c) for c in ("n", "nulls", "odd")],
@@ -119,6 +118,3 @@ class PackedTable:
                 yield vector_blocks(acc)
 
         return sum_blocks(self.rows.select("block").mapInArrow(run, "blk int, vals array<double>"), width)
-
-
-__all__ = ["PackedTable", "numeric_selection", "row_marks", "valid_blocks", "_rejected"]

@@ -17,23 +17,24 @@ from linfold.operators.gram import gram_stats
 from linfold.operators.linear import fit_ols, fit_ridge, solve_centred
 from linfold.operators.metrics import evaluate_many
 from linfold.operators.qr import r_factor
-from linfold.operators.sgd import fit_sgd
+from linfold.operators.sgd import fit_sgd, fit_sgd_rows
 
 GD_MODEL = ("Custom GD", "spark_gram")
 OLS_MODEL = ("baseline", "least_squares")
 RIDGE_MODEL = ("baseline", "ridge")
-SGD_MODEL = ("baseline", "sgd_batches")
+SGD_MODEL = ("baseline", "sgd_rows")
+SGD_BATCH_MODEL = ("baseline", "sgd_batches")
 
 
 def compare_models(train: DataFrame, test: DataFrame, features: list[str], target: str,
                    epochs: int = 1000, learning_rate: float = 0.01, alpha: float = 0.0,
                    random_state: int | None = 42, early_stopping: bool = False,
                    tol: float = 1e-6, patience: int = 20, include_baselines: bool = True,
-                   include_sgd: bool = True, sgd_epochs: int | None = None, sgd_batches: int = 32,
+                   include_sgd: bool = True, sgd_epochs: int | None = None, sgd_batches: int | None = None,
                    sgd_key: list[str] | None = None, initial=None, stats=None):
     """Returns ``(metrics_frame, models)``; the frame has one row per model with
-    ``model, implementation, MSE, RMSE, MAE, R2``. ``sgd_key``: columns that deal rows to SGD's
-    mini-batches. ``stats``: precomputed Gram statistics
+    ``model, implementation, MSE, RMSE, MAE, R2``. ``sgd_key``: columns whose
+    hash orders the rows for SGD (with ``sgd_batches``: deals them to so many mini-batches). ``stats``: precomputed Gram statistics
     of ``train`` (e.g. ``PreparedData.gram_stats()``, one-hot aware)."""
     features = list(features)
     kept = dict.fromkeys([*features, target, *(sgd_key or [])])
@@ -55,9 +56,11 @@ def compare_models(train: DataFrame, test: DataFrame, features: list[str], targe
                 models[OLS_MODEL] = fit_ols(cached, features, target, factor).weights
                 models[RIDGE_MODEL] = fit_ridge(cached, features, target, alpha, factor).weights
             if include_sgd:
-                models[SGD_MODEL] = fit_sgd(cached, features, target, sgd_epochs or epochs,
-                                            learning_rate, alpha, random_state or 0, sgd_batches,
-                                            sgd_key).weights
+                steps = (cached, features, target, sgd_epochs or epochs, learning_rate, alpha, random_state or 0)
+                if sgd_batches is None:
+                    models[SGD_MODEL] = fit_sgd_rows(*steps, sgd_key).weights
+                else:
+                    models[SGD_BATCH_MODEL] = fit_sgd(*steps, sgd_batches, sgd_key).weights
     finally:
         cached.unpersist()
     preds = {f"{m}|{i}": prediction_column(w, features) for (m, i), w in models.items()}

@@ -70,19 +70,21 @@ BLOCK_SCHEMA = "blk int, vals array<double>"
 
 
 MERGE_WAYS = 32   # partial rows of a block are first summed in this many groups
+NARROW = 1024     # vectors up to this width need no first level: one task adds them up as they come
 
 
 def sum_blocks(parts: DataFrame, width: int) -> np.ndarray:
-    """Element-wise sum of the partial vectors of all partitions: per block and group of
-    partitions, then per block, so no task gets a block of every partition. The driver receives
-    ``width`` numbers."""
+    """Element-wise sum of the partial vectors of all partitions. Wide ones: per block and group of
+    partitions, then per block, so no task gets a wide block of every partition. The driver
+    receives ``width`` numbers."""
     from pyspark.ml.functions import array_to_vector
     from pyspark.ml.stat import Summarizer
 
-    salted = parts.select("blk", array_to_vector("vals").alias("v"),
-                          F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("way"))
-    rows = (salted.groupBy("blk", "way").agg(Summarizer.sum(F.col("v")).alias("v"))
-            .groupBy("blk").agg(Summarizer.sum(F.col("v")).alias("s")).collect())
+    vectors = parts.select("blk", array_to_vector("vals").alias("v"),
+                           F.pmod(F.spark_partition_id(), F.lit(MERGE_WAYS)).alias("way"))
+    if width > NARROW:
+        vectors = vectors.groupBy("blk", "way").agg(Summarizer.sum(F.col("v")).alias("v"))
+    rows = vectors.groupBy("blk").agg(Summarizer.sum(F.col("v")).alias("s")).collect()
     out = np.zeros(width)
     for r in rows:
         block = r["s"].toArray()
@@ -134,22 +136,20 @@ def _guarded(value: Column) -> Column:
             .otherwise(value))
 
 
-def _arrow_sum(df: DataFrame, columns: list[str], kernel, width: int) -> np.ndarray:
+def _arrow_sum(df: DataFrame, columns: list[str], kernel, width: int, adds: bool = False) -> np.ndarray:
     """n, NULL rows, NaN/infinite rows and the sum of ``kernel(block)`` (``width`` numbers) over the
-    other rows, per partition in Arrow."""
+    other rows, per partition in Arrow. With ``adds`` the kernel adds to its second argument."""
 
     def run(batches):
-        acc = np.zeros(3 + width)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            block = np.column_stack([
-                batch.column(i).to_numpy(zero_copy_only=False).astype(float)
-                for i in range(batch.num_columns)])
-            null, block = block[:, -1] > 0, block[:, :-1]
-            odd = ~null & ~np.isfinite(block).all(axis=1)
-            acc[:3] += len(block), null.sum(), odd.sum()
-            acc[3:] += kernel(block[~null & ~odd])
+        from linfold.operators.blocks import valid_blocks
+
+        acc, counts = np.zeros(3 + width), np.zeros(3, dtype=np.int64)
+        for block in valid_blocks(batches, counts):
+            if adds:
+                kernel(block, acc[3:])
+            else:
+                acc[3:] += kernel(block)
+        acc[:3] = counts
         if acc[0]:
             yield vector_blocks(acc)
 

@@ -1,10 +1,11 @@
 """Exact order statistics of any number of rows and groups (medians, quantiles, k-th values).
 
-One route for all sizes. Values are counted per (group, column), the counts are range-partitioned by
-(group, column, value), and the counts of each partition's part of a column give the rank at which
-every part starts. Only the parts that hold a wanted rank are then summed up row by row. A value
-that very many rows share is one counted row; a column or group of any size is spread over the
-partitions; the driver gets one row per column (nothing per group).
+Without groups: radix selection (``radix.py``), which shuffles counts only. With groups: values are
+counted per (group, column), the counts are range-partitioned by (group, column, value), and the
+counts of each partition's part of a column give the rank at which every part starts. Only the parts
+that hold a wanted rank are then summed up row by row. A value that very many rows share is one
+counted row; a group of any size is spread over the partitions, and the number of groups has no
+bound; the driver gets nothing per group.
 """
 
 from __future__ import annotations
@@ -15,8 +16,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linfold.functions.exprs import nan_to_null, quote
+from linfold.operators import radix
 from linfold.session import materialize
 
 
@@ -92,11 +95,12 @@ class Ranked:
 def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5, by: list[str] | None = None):
     """The exact quantile of each column: a dict (None for a column without values), or with ``by``
     a DataFrame of one row per group (NULL is a group, too)."""
+    if not 0.0 <= q <= 1.0:
+        raise ValueError("q must lie between 0 and 1.")
+    if not by:
+        return dict(zip(columns, radix.quantiles(df, list(columns), q), strict=True))
     ranked = Ranked(df, columns, by)
     try:
-        if not by:
-            found = {r["c"]: r["q"] for r in ranked.quantiles(q).collect()}   # a row per column
-            return {c: found.get(i) for i, c in enumerate(columns)}
         wide = ranked.quantiles(q).groupBy(*ranked.groups).agg(
             *[F.max(F.when(F.col("c") == i, F.col("q"))).alias(c) for i, c in enumerate(columns)])
         groups = df.select(*[F.col(quote(b)).alias(g) for b, g in zip(by, ranked.groups)]).distinct()
@@ -109,15 +113,13 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5, by: list[
 
 def kth_smallest_with_counts(df: DataFrame, column: str, k: int):
     """(value, rows below it, rows equal to it) for the 0-based rank ``k``; NULLs are left out."""
-    kind = df.select(F.col(quote(column))).schema[0].dataType.simpleString()
-    ranked = Ranked(df, [column], cast=kind)
-    try:
-        row = ranked.at(F.lit(k), F.lit(k)).first()
-    finally:
-        ranked.release()
-    if row is None or row["v_low"] is None:
+    kind = df.select(F.col(quote(column))).schema[0].dataType
+    if not isinstance(kind, (T.IntegralType, T.FractionalType)):
+        raise TypeError(f"column {column} must be numeric.")
+    found = radix.select_ranks(df, [column], lambda total: [k], isinstance(kind, T.IntegralType))[0].get(k)
+    if found is None:
         raise ValueError(f"rank {k} is outside the column's rows.")
-    return row["v_low"], row["less"], row["equal"]
+    return found.value, found.less, found.equal
 
 
 def kth_smallest(df: DataFrame, column: str, k: int):

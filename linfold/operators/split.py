@@ -6,14 +6,15 @@ row never depends on partitioning, and DuckDB computes the same set.
 
 ``mode="exact"``: test holds exactly ``ceil(test_size * n)`` rows -- the ones with the
 smallest hash (as the reference's permutation split has an exact size). The threshold
-hash is found with the exact selection of ``select.py`` (no unpartitioned window); rows that share the threshold hash (duplicate keys) are split by
-a row id, again by exact selection.
+hash is found by radix selection (``radix.py``: counts cross the shuffle, no hash does); rows that
+share the threshold hash (duplicate keys) are split by a row id, again by radix selection.
 """
 
 from __future__ import annotations
 
 import math
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,8 +68,12 @@ def split_flag(df: DataFrame, test_size: float | int = 0.2, seed: int = 42,
     if mode != "exact":
         raise ValueError("mode must be 'hash' or 'exact'.")
     base = df.withColumn(_H, hash52(seed, *keys, algorithm=algorithm))
-    n_test = _test_count(base.count(), test_size)
-    threshold, less, equal = kth_smallest_with_counts(base, _H, n_test - 1)
+    n_test = _test_count(df.count(), test_size)
+    hashes = base.select(_H).persist(StorageLevel.MEMORY_AND_DISK)   # read by every pass of the selection
+    try:
+        threshold, less, equal = kth_smallest_with_counts(hashes, _H, n_test - 1)
+    finally:
+        hashes.unpersist()
     need = n_test - less
     if need == equal:
         flag = F.col(_H) <= F.lit(threshold)

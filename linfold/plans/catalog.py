@@ -28,7 +28,7 @@ from linfold.operators.prepare import prepare_train_test_data
 from linfold.operators.preprocess import Preprocessor, category_table, onehot_long
 from linfold.operators.runlog import add_speedup, report_series, run_label, run_stats
 from linfold.operators.select import exact_quantiles
-from linfold.operators.sgd import fit_sgd
+from linfold.operators.sgd import fit_sgd, fit_sgd_rows
 from linfold.operators.split import chunk_of, hash_test_flag, split_flag
 from linfold.operators.target import TARGET_SCALE, split_target
 from linfold.session import materialize, scratch_path
@@ -736,7 +736,7 @@ def _collinear_frame(spark, sf):
     """Two features that differ by some 1e-8 of their size; both have a weight of their own."""
     li = _read(spark, sf, "lineitem").select(F.col("l_quantity").alias("x1"), "l_linenumber", "l_extendedprice")
     return li.select("x1", (F.col("x1") + F.col("l_linenumber") * F.lit(COLLINEAR)).alias("x2"),
-                     (F.col("l_extendedprice") / F.lit(DOC_SCALE)).alias("y"))
+                     (F.col("l_extendedprice") / F.lit(DOC_SCALE) + F.lit(8.0) * F.col("l_linenumber")).alias("y"))
 
 
 def q_ols_collinear(spark, sf):
@@ -746,7 +746,7 @@ def q_ols_collinear(spark, sf):
 
 # The same design with x1 and the scaled difference as features, which are nearly orthogonal.
 SQL_OLS_COLLINEAR = (
-    f"WITH t AS (SELECT l_quantity AS x1, CAST(l_linenumber AS DOUBLE) AS x2, l_extendedprice / {_d(DOC_SCALE)} AS y FROM lineitem),\n"
+    f"WITH t AS (SELECT l_quantity AS x1, CAST(l_linenumber AS DOUBLE) AS x2, l_extendedprice / {_d(DOC_SCALE)} + 8.0::DOUBLE * l_linenumber AS y FROM lineitem),\n"
     f"f AS (SELECT * FROM (WITH {_closed_form_sql('t', 'x1', 'x2', 'y', 0.0, ['i', 'a', 'b'], rounded=False)})),\n"
     "w AS (SELECT max(CASE WHEN name = 'i' THEN weight END) AS i, max(CASE WHEN name = 'a' THEN weight END) AS a, "
     f"max(CASE WHEN name = 'b' THEN weight END) / {_d(COLLINEAR)} AS b FROM f)\n"
@@ -905,6 +905,34 @@ def _sgd_sql() -> str:
     return f"WITH RECURSIVE {_DOC_CTE},\n{_sgd_cte(0.0)}\n{sel}"
 
 
+SGD_ROW_EPOCHS, SGD_ROW_ALPHA = 2, 0.01
+
+
+def q_sgd_rows(spark, sf):
+    """A step per row, in the order of the key's hash."""
+    prep = _doc_prepared(spark, sf, _kept)
+    try:
+        res = fit_sgd_rows(prep.train, DOC_FEATURES, "n_chars", SGD_ROW_EPOCHS, GD_LR, SGD_ROW_ALPHA, SEED, ["doc_id"])
+    finally:
+        prep.release()
+    return _rounded(res.weights_frame(spark), ["idx", "name"])
+
+
+def _sgd_rows_sql() -> str:
+    e = _lincomb_sql(["w0", "w1", "w2"], DOC_FEATURES) + " - n_chars"
+    steps = [f"w0 - {_d(GD_LR)} * ({e})"] + [f"w{j + 1} - {_d(GD_LR)} * (({e}) * {x} + {_d(SGD_ROW_ALPHA)} * w{j + 1})"
+                                             for j, x in enumerate(DOC_FEATURES)]
+    names = ["intercept", *DOC_FEATURES]
+    sel = "\nUNION ALL ".join(f"SELECT {i} AS idx, '{names[i]}' AS name, {_rs(f'w{i}', 'weight')} FROM sgd "
+                              "WHERE step = (SELECT max(step) FROM sgd)" for i in range(len(names)))
+    return f"""WITH RECURSIVE {_DOC_CTE},
+o AS (SELECT row_number() OVER (ORDER BY {_h52_sql('CAST(doc_id AS VARCHAR)')}) - 1 AS place, count(*) OVER () AS n,
+  words, lines, n_chars FROM prep WHERE NOT is_test),
+sgd(step, w0, w1, w2) AS (SELECT 0::BIGINT, {', '.join([_d(0.0)] * 3)}
+  UNION ALL SELECT step + 1, {', '.join(steps)} FROM sgd JOIN o ON o.place = step % o.n WHERE step < {SGD_ROW_EPOCHS} * o.n)
+{sel}"""
+
+
 # ----------------------------------------------------------------------------- R1-R3
 def _run_log(spark, sf):
     ev = _read(spark, sf, "events")
@@ -1143,6 +1171,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_r2_constant": q_r2_constant,
         "q_compare": q_compare,
         "q_sgd": q_sgd,
+        "q_sgd_rows": q_sgd_rows,
         "q_run_stats": q_run_stats,
         "q_speedup": q_speedup,
         "q_report_series": q_report_series,
@@ -1176,6 +1205,7 @@ def oracle_sql() -> dict[str, str]:
         "q_prepare_exact": SQL_PREPARE_EXACT,
         "q_vector": _vector_sql(),
         "q_sgd": _sgd_sql(),
+        "q_sgd_rows": _sgd_rows_sql(),
         "q_impute_median": SQL_IMPUTE_MEDIAN,
         "q_scale": _scale_sql(),
         "q_impute_mode": SQL_IMPUTE_MODE,
