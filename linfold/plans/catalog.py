@@ -729,7 +729,8 @@ SQL_OLS_SCALES = ("WITH t AS (SELECT x1, x2, 1.0::DOUBLE + x1 * 1e-8 + x2 * 3.0:
                   + _closed_form_sql("t", "x1", "x2", "y", 0.0, ["intercept", "x1", "x2"]))
 
 
-COLLINEAR = 2.0 ** -24   # about 6e-8 of a feature of size 1 to 50
+COLLINEAR = 2.0 ** -22   # about 2e-7 beside a feature of size 1 to 50
+COLLINEAR_DIGITS = 4     # a condition of 10**8 leaves that many digits for certain
 
 
 def _collinear_frame(spark, sf):
@@ -741,7 +742,7 @@ def _collinear_frame(spark, sf):
 
 def q_ols_collinear(spark, sf):
     model = fit_ols(_collinear_frame(spark, sf), ["x1", "x2"], "y")
-    return _rounded(model.weights_frame(spark), ["idx", "name"])
+    return model.weights_frame(spark).select("idx", "name", round_sig("weight", COLLINEAR_DIGITS).alias("weight"))
 
 
 # The same design with x1 and the scaled difference as features, which are nearly orthogonal.
@@ -750,8 +751,9 @@ SQL_OLS_COLLINEAR = (
     f"f AS (SELECT * FROM (WITH {_closed_form_sql('t', 'x1', 'x2', 'y', 0.0, ['i', 'a', 'b'], rounded=False)})),\n"
     "w AS (SELECT max(CASE WHEN name = 'i' THEN weight END) AS i, max(CASE WHEN name = 'a' THEN weight END) AS a, "
     f"max(CASE WHEN name = 'b' THEN weight END) / {_d(COLLINEAR)} AS b FROM f)\n"
-    f"SELECT 0 AS idx, 'intercept' AS name, {_rs('i', 'weight')} FROM w UNION ALL "
-    f"SELECT 1, 'x1', {round_sig_sql('a - b')} FROM w UNION ALL SELECT 2, 'x2', {round_sig_sql('b')} FROM w")
+    f"SELECT 0 AS idx, 'intercept' AS name, {round_sig_sql('i', COLLINEAR_DIGITS)} AS weight FROM w UNION ALL "
+    f"SELECT 1, 'x1', {round_sig_sql('a - b', COLLINEAR_DIGITS)} FROM w UNION ALL "
+    f"SELECT 2, 'x2', {round_sig_sql('b', COLLINEAR_DIGITS)} FROM w")
 
 
 def q_onehot_many(spark, sf):
