@@ -730,7 +730,7 @@ SQL_OLS_SCALES = ("WITH t AS (SELECT x1, x2, 1.0::DOUBLE + x1 * 1e-8 + x2 * 3.0:
 
 
 COLLINEAR = 2.0 ** -22   # about 2e-7 beside a feature of size 1 to 50
-COLLINEAR_DIGITS = 4     # a condition of 10**8 leaves that many digits for certain
+COLLINEAR_DIGITS = 5     # a condition of 10**8 leaves that many digits for certain
 
 
 def _collinear_frame(spark, sf):
