@@ -4,6 +4,7 @@ Read -> split -> leakage-safe preprocessing -> gradient descent on distributed s
 statistics -> OLS / ridge / SGD baselines -> metrics -> run reports.
 """
 
+from linfold.operators.categories import CategoryModel, CategoryWeights, NormalEquations
 from linfold.operators.compare import compare_models
 from linfold.operators.gd import TrainingResult, fit_gd, initial_weights, predict
 from linfold.operators.gram import (GramStats, chunk_gradients, combine_chunks, compute_gradient, compute_loss, gradient_frame,
@@ -22,7 +23,7 @@ from linfold.sources.io import load_table, save_processed_splits, write_results
 from linfold.sources.synth import make_synthetic_regression
 
 __all__ = [
-    "TARGET_SCALE", "GramStats", "LinearModel", "PreparedData", "Preprocessor",
+    "TARGET_SCALE", "CategoryModel", "CategoryWeights", "GramStats", "NormalEquations", "LinearModel", "PreparedData", "Preprocessor",
     "PreprocessorModel", "TrainingResult", "add_speedup", "build_preprocessor", "checkpoint_dir",
     "chunk_gradients", "chunk_of", "combine_chunks", "compare_models", "compute_gradient", "compute_loss", "evaluate", "evaluate_many",
     "evaluate_model", "exact_quantiles", "feature_types", "fit_gd", "fit_ols", "fit_ridge",

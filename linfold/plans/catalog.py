@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from linfold.functions.exprs import (TWO_POW_52, line_count, line_count_sql, round_sig,
                                      round_sig_sql, word_count, word_count_sql)
+from linfold.operators.categories import CategoryModel, NormalEquations
 from linfold.operators.compare import compare_models
 from linfold.operators.gd import fit_gd, initial_weights, predict
 from linfold.operators.gram import chunk_gradients, gradient_frame, gram_stats, gram_sums_frame, loss_frame
@@ -774,6 +775,64 @@ SELECT l_orderkey, l_linenumber, e."column", e.category FROM e JOIN c ON e."colu
 WHERE is_test"""
 
 
+CATEGORY_ALPHA = 2.0
+
+
+def _category_frames(spark, sf):
+    """Rows of lineitem with their order's key as a category: about a category for four rows."""
+    li = _read(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_orderkey").cast("string").alias("order"),
+                                             "l_quantity", "l_returnflag",
+                                             (F.col("l_extendedprice") / F.lit(DOC_SCALE)).alias("y"))
+    test = hash_test_flag(SEED, ["l_orderkey", "l_linenumber"], TEST_SIZE)
+    return li.where(~test), li.where(test)
+
+
+def q_category_transform(spark, sf):
+    """The ones of the design as rows; orders without a train row have none."""
+    train, test = _category_frames(spark, sf)
+    return CategoryModel.fit(train, ["l_returnflag", "order"]).transform(test, ["l_orderkey", "l_linenumber"])
+
+
+def q_category_ridge(spark, sf):
+    """Ridge on a numeric column and a category for every order, by conjugate gradients on
+    co-occurrence rows; predictions of test rows by a join."""
+    train, test = _category_frames(spark, sf)
+    model = CategoryModel.fit(train, ["l_quantity", "order"])
+    equations = NormalEquations(train, model, "y")
+    try:
+        weights = equations.solve(CATEGORY_ALPHA)
+    finally:
+        equations.release()
+    out = model.predict(test, weights).select("l_orderkey", "l_linenumber", "prediction")
+    return _rounded(out, ["l_orderkey", "l_linenumber"])
+
+
+_CATEGORY_CTE = f"""t AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_quantity, l_extendedprice / {_d(DOC_SCALE)} AS y,
+  (CAST({_h52_sql('CAST(l_orderkey AS VARCHAR)', 'CAST(l_linenumber AS VARCHAR)')} AS DOUBLE)
+   < {_d(TEST_SIZE * TWO_POW_52)}) AS is_test FROM lineitem)"""
+
+SQL_CATEGORY_TRANSFORM = f"""WITH {_CATEGORY_CTE},
+e AS (SELECT l_orderkey, l_linenumber, is_test, 'l_returnflag' AS "column", l_returnflag AS category FROM t
+  UNION ALL SELECT l_orderkey, l_linenumber, is_test, 'order', CAST(l_orderkey AS VARCHAR) FROM t),
+c AS (SELECT "column", category, row_number() OVER (ORDER BY "column", category) - 1 AS id
+  FROM (SELECT DISTINCT "column", category FROM e WHERE NOT is_test))
+SELECT l_orderkey, l_linenumber, e."column", e.category, id FROM e JOIN c ON e."column" = c."column" AND e.category = c.category
+WHERE is_test"""
+
+# The categories' weights eliminated: each order's block shrinks its sums by n / (n + alpha).
+SQL_CATEGORY_RIDGE = f"""WITH {_CATEGORY_CTE},
+s AS (SELECT avg(l_quantity) AS m, stddev_pop(l_quantity) AS sd FROM t WHERE NOT is_test),
+p AS (SELECT l_orderkey, l_linenumber, is_test, (l_quantity - m) / sd AS x, y FROM t CROSS JOIN s),
+g AS (SELECT l_orderkey AS k, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy
+  FROM p WHERE NOT is_test GROUP BY 1),
+e AS (SELECT sum(n - n * n / (n + {_d(CATEGORY_ALPHA)})) AS a00, sum(sx - n * sx / (n + {_d(CATEGORY_ALPHA)})) AS a01,
+  sum(sxx - sx * sx / (n + {_d(CATEGORY_ALPHA)})) + {_d(CATEGORY_ALPHA)} AS a11,
+  sum(sy - n * sy / (n + {_d(CATEGORY_ALPHA)})) AS b0, sum(sxy - sx * sy / (n + {_d(CATEGORY_ALPHA)})) AS b1 FROM g),
+w AS (SELECT (b0 * a11 - a01 * b1) / (a00 * a11 - a01 * a01) AS i, (a00 * b1 - a01 * b0) / (a00 * a11 - a01 * a01) AS b FROM e)
+SELECT l_orderkey, l_linenumber,
+  {_rs(f'i + b * x + coalesce((sy - n * i - b * sx) / (n + {_d(CATEGORY_ALPHA)}), 0.0)', 'prediction')}
+FROM p CROSS JOIN w LEFT JOIN g ON g.k = p.l_orderkey WHERE is_test"""
+
 EMBEDDING = 64
 
 
@@ -1145,6 +1204,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_gd_seeded": q_gd_seeded,
         "q_ols_scales": q_ols_scales,
         "q_ols_collinear": q_ols_collinear,
+        "q_category_transform": q_category_transform,
+        "q_category_ridge": q_category_ridge,
         "q_speedup_base": q_speedup_base,
         "q_csv_text": q_csv_text,
         "q_prepare_exact": q_prepare_exact,
@@ -1202,6 +1263,8 @@ def oracle_sql() -> dict[str, str]:
         "q_gd_seeded": _gd_variant_sql(SEEDED_EPOCHS, GD_LR, 0.0, initial_weights(len(DOC_FEATURES), SEED)),
         "q_ols_scales": SQL_OLS_SCALES,
         "q_ols_collinear": SQL_OLS_COLLINEAR,
+        "q_category_transform": SQL_CATEGORY_TRANSFORM,
+        "q_category_ridge": SQL_CATEGORY_RIDGE,
         "q_speedup_base": SQL_SPEEDUP_BASE,
         "q_csv_text": SQL_CSV_TEXT,
         "q_prepare_exact": SQL_PREPARE_EXACT,
