@@ -13,6 +13,8 @@ curve fitted on the same sample.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 import unicodedata
 from collections import Counter
@@ -112,9 +114,14 @@ class Matcher:
             elif key in self.harmless:
                 spans.append((begin, end))
             hits += [(begin, end, i) for i in (whole, start) if i >= 0 and (i == whole or end < len(folded) and folded[end].isalnum())]
+        # An exception phrase holds a hit if, of the phrases that begin no later, one ends no earlier.
+        spans.sort()
+        starts = [b for b, _ in spans]
+        farthest = list(itertools.accumulate((e for _, e in spans), max))
         out: dict[int, int] = {}
         for begin, end, i in hits:
-            if not any(b <= begin and end <= e for b, e in spans):
+            before = bisect.bisect_right(starts, begin)
+            if not before or farthest[before - 1] < end:
                 out[i] = out.get(i, 0) + 1
         return out
 
