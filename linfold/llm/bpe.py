@@ -64,6 +64,24 @@ class _Pieces(dict):
         return ids
 
 
+def plain_byte_level(spec: dict) -> bool:
+    """Whether a vocabulary file is byte-level BPE as this module cuts and merges it: no normalizer,
+    the public byte-level pre-tokenizer with its own pattern and no added space, and merges in the
+    order of the ids they make."""
+    before, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    if (spec.get("normalizer") is not None or before.get("type") != "ByteLevel" or before.get("add_prefix_space", True)
+            or not before.get("use_regex", True) or model.get("type") != "BPE" or model.get("ignore_merges")
+            or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix")):
+        return False
+    vocabulary = model["vocab"]
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [vocabulary.get(a + b, -1) for a, b in pairs]
+    single = [vocabulary.get(c, -1) for c in _alphabet()]
+    words = len(single) + len(set(made)) + sum(t["content"] in vocabulary for t in spec.get("added_tokens", []))
+    return (min(single) >= 0 and all(x < y for x, y in zip([max(single), *made], made, strict=False))
+            and len(vocabulary) == words)
+
+
 class Encoder:
     """Ids as the tokenizers library gives them, without special tokens added; strings of special
     tokens in a text are these tokens."""
@@ -89,12 +107,15 @@ class Encoder:
         alphabet = _alphabet()
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         vocabulary = {w: i for w, i in spec["model"]["vocab"].items() if w not in self.special}
-        self.token_bytes: dict[int, bytes] = {i: bytes(alphabet[c] for c in w) for w, i in vocabulary.items()}
+        self.token_bytes: dict[int, bytes] = {
+            i: bytes(alphabet[c] for c in w) if all(c in alphabet for c in w) else w.encode() for w, i in vocabulary.items()}
         self.token_bytes |= {i: w.encode() for w, i in self.special.items()}
         # Fixed value: the public pattern of this pre-tokenizer.
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+        self.known = plain_byte_level(spec)
         plain = {self.token_bytes[i]: i for i in vocabulary.values()}
-        self.fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=plain, special_tokens={})
+        self.fast = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=plain,
+                                      special_tokens={}) if self.known else None
         self.after_space = _Pieces(self._piece, " ")
         self.at_start = _Pieces(self._piece, "")
 
@@ -111,7 +132,7 @@ class Encoder:
         """Ids of a text as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if RARE_SPACE.search(text):
+        if not self.known or RARE_SPACE.search(text):
             return _bytes(self.whole.encode(text, add_special_tokens=False).ids)
         if SPACE_RUN.search(text):
             return b"".join(map(self.at_start.__getitem__, PIECE.findall(text)))

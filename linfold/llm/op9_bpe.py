@@ -149,8 +149,15 @@ def first_start(text: str) -> int | None:
     return None
 
 
-def joined(parts: list[tuple[str, bytes]], encode, sizes: np.ndarray) -> bytes:
-    """Ids of the text that ``parts`` (text, ids) make up. ``sizes``: bytes of each token."""
+def joined(parts: list[tuple[str, bytes]], encode, sizes: np.ndarray, restarts: bool = True) -> bytes:
+    """Ids of the text that ``parts`` (text, ids) make up. ``sizes``: bytes of each token. With
+    ``restarts`` false no place is known where the pre-tokenizer starts anew, and the text is
+    encoded as one.
+
+    Parts without a place of agreement wait, and are encoded once, together, when one is met: every
+    byte is encoded twice at most, however long a text without spaces is."""
+    if not restarts:
+        return encode("".join(text for text, _ in parts))
 
     def cut(ids: bytes, n_bytes: int) -> int | None:
         """Offset in ``ids`` of the token that starts after ``n_bytes``, if one does."""
@@ -159,22 +166,23 @@ def joined(parts: list[tuple[str, bytes]], encode, sizes: np.ndarray) -> bytes:
         return 4 * (at + 1) if at < len(total) and total[at] == n_bytes else None
 
     out: list[bytes] = []
+    waiting: list[str] = []             # text whose ids are not known; what follows it is ``text``
     text, ids = parts[0]
     for following, own in parts[1:]:
-        i, j = last_start(text), first_start(following)
-        left = cut(ids, len(text[:i].encode())) if i else None
+        if not waiting:
+            i = last_start(text)
+            left = cut(ids, len(text[:i].encode())) if i else None
+            if left is not None:
+                out.append(ids[:left])
+            waiting = [text if left is None else text[i:]]
+        j = first_start(following)
         right = cut(own, len(following[:j].encode())) if j else None
-        if left is None:                    # no agreement before the join: the range grows to the left
-            text += following
-            ids = encode(text)
-        elif right is None:                 # nor behind it: to the right
-            out.append(ids[:left])
-            text = text[i:] + following
-            ids = encode(text)
+        if right is None:               # no agreement behind the join: the range grows to the right
+            waiting.append(following)
         else:
-            out += [ids[:left], encode(text[i:] + following[:j])]
-            text, ids = following[j:], own[right:]
-    return b"".join(out) + ids
+            out.append(encode("".join(waiting) + following[:j]))
+            waiting, text, ids = [], following[j:], own[right:]
+    return b"".join(out) + (encode("".join(waiting)) if waiting else ids)
 
 
 def coded(docs: DataFrame, path: str | None = None, values: bool = False) -> DataFrame:
@@ -183,7 +191,8 @@ def coded(docs: DataFrame, path: str | None = None, values: bool = False) -> Dat
 
     Nulls: a null text is an empty one, without ids; a null doc_id stays null. Repeated rows and
     ties are coded one by one. Empty table: no rows. Other columns are ignored. Texts of any length
-    are taken whole.
+    are taken whole. A vocabulary file with another pre-tokenizer, a normalizer or merges out of the
+    order of their ids is coded by the library alone, text by text.
     """
     spark = docs.sparkSession
     common.prepare(spark)
@@ -220,7 +229,7 @@ def coded(docs: DataFrame, path: str | None = None, values: bool = False) -> Dat
                 have = {x["seq"]: x["ids"] for x in known or ()}
                 parts = [(c.decode(), _wide(have[i]) if i in have else encoder.encode(c.decode()))
                          for i, c in enumerate(one)]
-                result.append(joined(parts, encoder.encode, sizes) if parts else b"")
+                result.append(joined(parts, encoder.encode, sizes, encoder.known) if parts else b"")
             plain = [encoder.decode(x) for x in result]
             out = [part.column("doc_id"), pa.array([len(x) // 4 for x in result], pa.int64()),
                    pa.array([hashlib.sha256(x).hexdigest() for x in result]),
