@@ -160,3 +160,25 @@ def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 160)] + [(200, 200), (301, 300), (300, 301)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {300: 300, 301: 300}
+
+
+def test_links_under_hot_keys_are_complete(spark, monkeypatch):
+    """Fingerprints that share 32 bits and drift in the others: the same links by either way."""
+    rng = np.random.default_rng(12)
+    base = int(rng.integers(0, 1 << 62))
+    values = {base}
+    for shared in (0x00000000FFFFFFFF, 0x0000FFFFFFFF0000, 0xFFFF00000000FFFF):   # neighbours on the ring, too
+        free = [b for b in range(64) if not shared >> b & 1]
+        walk = base
+        for _ in range(150):
+            for b in rng.choice(free, int(rng.integers(1, 5)), replace=False):
+                walk ^= 1 << int(b)
+            values.add(walk)
+    signed = np.array(sorted(values), dtype=np.uint64).view(np.int64).tolist()
+    nodes = spark.createDataFrame([(v,) for v in signed], "fp long")
+    want = {(min(a, b), max(a, b)) for x, a in enumerate(signed) for b in signed[:x]
+            if ((a ^ b) & (2**64 - 1)).bit_count() <= 3}
+    assert len(want) > 50
+    for hot in (op3_simhash.HOT_KEY, 2):
+        monkeypatch.setattr(op3_simhash, "HOT_KEY", hot)
+        assert {(r.a, r.b) for r in op3_simhash.link_pairs(nodes).collect()} == want

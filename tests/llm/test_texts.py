@@ -1,4 +1,7 @@
 import hashlib
+import json
+import re
+import time
 import zlib
 
 import numpy as np
@@ -290,3 +293,68 @@ def test_canonical_urls(spark):
     from pyspark.sql import functions as F
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     assert {r.u: r.c for r in df.select("u", op8_revisits.canonical_url(F.col("u")).alias("c")).collect()} == urls
+
+
+def test_long_texts_without_spaces_are_joined_in_linear_time(tokenizer):
+    rng = np.random.default_rng(4)
+    text = "".join(map(chr, rng.integers(0x4E00, 0x9FA5, 700_000)))   # 2 MB, no place to start anew
+    encoder = bpe.Encoder.get(bpe.default_path())
+    parts = [(text[i:i + 350], b"") for i in range(0, len(text), 350)]
+    began = time.perf_counter()
+    got = op9_bpe.joined(parts, encoder.encode, encoder.sizes())
+    assert time.perf_counter() - began < 30
+    assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_vocabularies_of_another_kind_are_left_to_the_library(tmp_path, tokenizer):
+    with open(bpe.default_path(), encoding="utf-8") as f:
+        spec = json.load(f)
+    assert bpe.plain_byte_level(spec)
+    for change in ({"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {**spec["pre_tokenizer"], "add_prefix_space": True}},
+                   {"model": {**spec["model"], "merges": spec["model"]["merges"][::-1]}}):
+        assert not bpe.plain_byte_level({**spec, **change})
+    path = tmp_path / "lower.json"
+    path.write_text(json.dumps({**spec, "normalizer": {"type": "Lowercase"}}), encoding="utf-8")
+    from tokenizers import Tokenizer
+    encoder, library = bpe.Encoder.get(str(path)), Tokenizer.from_file(str(path))
+    text = "The Quick  BROWN fox's É"
+    want = library.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == want != tokenizer.encode(text, add_special_tokens=False).ids
+    parts = [(text[i:i + 3], b"") for i in range(0, len(text), 3)]
+    assert np.frombuffer(op9_bpe.joined(parts, encoder.encode, encoder.sizes(), encoder.known), "<u4").tolist() == want
+
+
+def test_phrases_hide_their_hits_in_any_number():
+    phrase = sorted(op7_toxicity.EXCEPTIONS)[0]
+    word = phrase.split()[0]
+    matcher = op7_toxicity.Matcher((word, "idiot"))
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        text = " ".join(rng.choice([phrase, word, "idiot", "calm"], 12))
+        spans = [m.span() for m in re.finditer(rf"(?=\b({phrase})\b)", text) for m in [re.compile(phrase).match(text, m.start())]]
+        want = {}
+        for i, term in enumerate((word, "idiot")):
+            n = sum(not any(b <= m.start() and m.end() <= e for b, e in spans) for m in re.finditer(rf"\b{term}\b", text))
+            if n:
+                want[i] = n
+        assert matcher.count(text) == want
+    began = time.perf_counter()
+    assert matcher.count(f"{phrase} idiot " * 100_000) == {1: 100_000}
+    assert time.perf_counter() - began < 10
+
+
+def test_texts_of_megabytes(spark):
+    """One text of 3 MB beside short ones: fingerprints and rules read it whole."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(3000)]
+    long = " ".join(words[i] for i in rng.integers(0, 3000, 500_000))
+    rows = [(1, "short text"), (2, long), (3, None)]
+    got = {r.doc_id: r for r in op1_fingerprint.fingerprinted(brute.table(spark, rows)).collect()}
+    assert got[2].n_chars == len(long) and abs(got[2].near_edited - 2 / 3) < 0.1   # the last third is cut
+    counts = op4_rules.rule_counts(pa.array([long, None, "a b"], pa.large_string()))
+    want = [brute.rules(t) for t in (long, None, "a b")]
+    assert [tuple(int(counts[c][i]) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
+            for i in range(3)] == [w[:5] for w in want]
+    pieces = op2_packing.packed(brute.table(spark, rows), sequence=2048).where("doc_id = 2").orderBy("piece").collect()
+    assert [p.start for p in pieces] == [0, *np.cumsum([p.length for p in pieces])[:-1].tolist()]
+    assert all(p.length == 2048 for p in pieces[1:])
