@@ -68,7 +68,7 @@ def prepare_train_test_data(source: str | DataFrame, target_column: str = "media
                             max_categories: int | None = None,
                             materialize: str = "persist",
                             split_hash: str = "md5", median: str = "exact") -> PreparedData:
-    """Split first, then fit the preprocessing on the train split only.
+    """A table read, split and preprocessed; every fitted statistic comes from train rows alone.
 
     ``split_key`` defaults to the id columns, or to every column when there are none. Rows without
     a target and empty splits are errors. ``split_mode``: ``exact`` (test holds ceil(test_size * n)

@@ -1114,6 +1114,48 @@ def _synth_sql() -> str:
             f"SELECT o_orderkey, {sel}, {_rs(y, 'y')} FROM s")
 
 
+def q_synth_counter(spark, sf):
+    """The same shape of data from the keyed counter."""
+    orders = _read(spark, sf, "orders")
+    frame, _ = synthetic_frame(spark, None, SYNTH_FEATURES, 0.1, SEED, "counter", ids=orders, id_column="o_orderkey")
+    return _rounded(frame, ["o_orderkey"])
+
+
+def _synth_counter_sql() -> str:
+    from linfold.sources.synth import GOLDEN, MIX1, MIX2, true_weights
+    w = true_weights(SYNTH_FEATURES, SEED)
+    whole = "18446744073709551616::UHUGEINT"
+
+    def wrap(expr: str) -> str:
+        return f"(({expr}) % {whole})::UBIGINT"
+
+    def times(x: str, by: int) -> str:
+        return wrap(f"{x}::UHUGEINT * {by}::UHUGEINT")
+
+    numbers = SYNTH_FEATURES + 1
+    units = range(1, 2 * ((numbers + 1) // 2) + 1)
+    key = wrap(f"(o_orderkey::UHUGEINT * {GOLDEN}::UHUGEINT) % {whole} + {SEED}::UHUGEINT")
+    names = [f"r{u}" for u in units]
+    # Three rounds of the mix, for the row and then for each of its numbers.
+    stages = [f"k0 AS (SELECT o_orderkey, {key} AS r FROM orders)"]
+    stages += [f"k1 AS (SELECT o_orderkey, {times('xor(r, r >> 30)', MIX1)} AS r FROM k0)",
+               f"k2 AS (SELECT o_orderkey, {times('xor(r, r >> 27)', MIX2)} AS r FROM k1)",
+               "k3 AS (SELECT o_orderkey, xor(r, r >> 31) AS r FROM k2)"]
+    starts = ", ".join(f"{wrap(f'r::UHUGEINT + {u * GOLDEN % 2**64}::UHUGEINT')} AS r{u}" for u in units)
+    stages.append(f"n0 AS (SELECT o_orderkey, {starts} FROM k3)")
+    for at, (shift, by) in enumerate(((30, MIX1), (27, MIX2))):
+        parts = ", ".join(f"{times(f'xor({r}, {r} >> {shift})', by)} AS {r}" for r in names)
+        stages.append(f"n{at + 1} AS (SELECT o_orderkey, {parts} FROM n{at})")
+    parts = ", ".join(f"((xor({r}, {r} >> 31) >> 12)::DOUBLE + {_d(0.5)}) / {_d(TWO_POW_52)} AS {r}" for r in names)
+    stages.append(f"u AS (SELECT o_orderkey, {parts} FROM n2)")
+    normal = [f"sqrt({_d(-2.0)} * ln(r{2 * (j // 2) + 1})) * {'cos' if j % 2 == 0 else 'sin'}({_d(2.0 * math.pi)} * r{2 * (j // 2) + 2})"
+              for j in range(numbers)]
+    xs = [f"x{j + 1}" for j in range(SYNTH_FEATURES)]
+    stages.append(f"s AS (SELECT o_orderkey, {', '.join(f'{v} AS {x}' for v, x in zip(normal, [*xs, 'e']))} FROM u)")
+    y = f"({_lincomb_sql([_d(v) for v in w], xs)} + e * {_d(0.1)})"
+    return "WITH " + ",\n".join(stages) + f"\nSELECT o_orderkey, {', '.join(_rs(x, x) for x in xs)}, {_rs(y, 'y')} FROM s"
+
+
 def _roundtrip(fmt):
     def run(spark, sf):
         part = _read(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type",
@@ -1240,6 +1282,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q_report_series": q_report_series,
         "q_report_labels": q_report_labels,
         "q_synth": q_synth,
+        "q_synth_counter": q_synth_counter,
         "q_roundtrip_csv": _roundtrip("csv"),
         "q_roundtrip_json": _roundtrip("json"),
         "q_csv_na_tokens": q_csv_na_tokens,
@@ -1299,6 +1342,7 @@ def oracle_sql() -> dict[str, str]:
         "q_report_series": SQL_REPORT_SERIES,
         "q_report_labels": SQL_REPORT_LABELS,
         "q_synth": _synth_sql(),
+        "q_synth_counter": _synth_counter_sql(),
         "q_roundtrip_csv": SQL_ROUNDTRIP,
         "q_roundtrip_json": SQL_ROUNDTRIP,
         "q_csv_na_tokens": SQL_CSV_NA_TOKENS,

@@ -143,13 +143,55 @@ def write_results(results: DataFrame, path: str, fmt: str = "csv") -> str:
     return write_table(_nan_to_null_all(results), path, fmt)
 
 
+SPLITS_MANIFEST = "splits_manifest"
+MANIFEST_SCHEMA = "split string, row_count long, complete boolean"
+
+
 def save_processed_splits(prepared, output_dir: str, fmt: str = "parquet",
                           train_name: str = "train_processed",
                           test_name: str = "test_processed") -> tuple[str, str]:
-    """Write both prepared splits: feature columns in order, then the (scaled) target."""
+    """Write both prepared splits: feature columns in order, then the (scaled) target.
+
+    The two belong together: a manifest beside them says that they are being written, and after
+    both are, how many rows each has. ``load_processed_splits`` refuses a pair without it."""
+    spark = prepared.train.sparkSession
     cols = [quote(c) for c in prepared.feature_names] + [quote(prepared.target_column)]
-    train_path = os.path.join(output_dir, train_name)
-    test_path = os.path.join(output_dir, test_name)
-    write_table(prepared.train.select(*cols), train_path, fmt)
-    write_table(prepared.test.select(*cols), test_path, fmt)
-    return train_path, test_path
+    paths = {name: os.path.join(output_dir, name) for name in (train_name, test_name)}
+
+    def manifest(rows: list[tuple]) -> None:
+        write_table(spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1),
+                    os.path.join(output_dir, SPLITS_MANIFEST), "json")
+
+    manifest([(name, None, False) for name in paths])
+    for (name, path), split in zip(paths.items(), (prepared.train, prepared.test), strict=True):
+        write_table(split.select(*cols), path, fmt)
+    manifest([(name, _written_rows(spark, path, fmt), True) for name, path in paths.items()])
+    return paths[train_name], paths[test_name]
+
+
+def _written_rows(spark: SparkSession, path: str, fmt: str) -> int:
+    reader = spark.read.option("header", True).option("multiLine", True) if fmt == "csv" else spark.read
+    return reader.format(fmt).load(path).count()
+
+
+def load_processed_splits(spark: SparkSession, output_dir: str, fmt: str = "parquet",
+                          train_name: str = "train_processed",
+                          test_name: str = "test_processed") -> tuple[DataFrame, DataFrame]:
+    """Both splits of ``save_processed_splits``; an error if they were not written to the end
+    together or hold other numbers of rows."""
+    path = os.path.join(output_dir, SPLITS_MANIFEST)
+    try:
+        rows = {r["split"]: r for r in spark.read.schema(MANIFEST_SCHEMA).json(path).collect()}
+    except AnalysisException:
+        rows = {}
+    out = []
+    for name in (train_name, test_name):
+        row = rows.get(name)
+        if row is None or not row["complete"]:
+            raise ValueError(f"{name} in {output_dir} is not part of a complete pair of splits.")
+        split = os.path.join(output_dir, name)
+        found = _written_rows(spark, split, fmt)
+        if found != row["row_count"]:
+            raise ValueError(f"{name} in {output_dir} holds {found} rows, not {row['row_count']}.")
+        out.append(load_table(spark, split, fmt))
+    return out[0], out[1]

@@ -181,3 +181,85 @@ def test_mini_batch_products_add_up_in_place(spark):
     total = batch_products(df, ["a", "b", "c"], "y", 7, 1).sum(axis=0)
     z = df.select(F.lit(1.0), "a", "b", "c", "y").toPandas().to_numpy()
     np.testing.assert_allclose(total, z.T @ z, rtol=1e-10)
+
+
+@pytest.mark.parametrize("alpha", [0.0, 0.1])
+@pytest.mark.parametrize("rank", [6, 4])
+def test_spectral_epochs_equal_the_loop(alpha, rank):
+    """Full and short rank, with and without a penalty, over several blocks of epochs."""
+    from linfold.operators import gd
+    from linfold.operators.gram import GradientPartial, GramStats, penalty_diagonal
+    rng = np.random.default_rng(rank)
+    x = rng.normal(size=(200, rank)) @ rng.normal(size=(rank, 6)) + 3
+    y = x @ rng.normal(size=6) + rng.normal(size=200)
+    z = np.column_stack([np.ones(200), x])
+    xc, yc = x - x.mean(0), y - y.mean()
+    stats = GramStats(tuple("abcdef"), 200, x.mean(0), y.mean(), xc.T @ xc, xc.T @ yc, float(yc @ yc))
+    star = rng.normal(size=7) * 0.1 + np.linalg.lstsq(z, y, rcond=None)[0]   # any point will do
+    e = z @ star - y
+    objective = gd._GramObjective(stats, star, GradientPartial(200, e.sum(), x.T @ e, float(e @ e)))
+    diagonal, w0 = penalty_diagonal(7, alpha), rng.normal(size=7)
+    w, trace = gd._spectral_descend(objective, w0, 1300, 0.002, diagonal, None)
+    own, losses = w0, []
+    for _ in range(1300):
+        own = own - 0.002 * (2 * z.T @ (z @ own - y) / 200 + 2 * diagonal * own)
+        losses.append(np.mean((z @ own - y) ** 2) + diagonal @ own ** 2)
+    np.testing.assert_allclose(w, own, rtol=1e-8, atol=1e-9)
+    np.testing.assert_allclose(trace, losses, rtol=1e-9)
+    stop, plain = gd.Plateau(1e-4, 7), gd.Plateau(1e-4, 7)
+    w, trace = gd._spectral_descend(objective, w0, 1300, 0.002, diagonal, stop)
+    want = next((i + 1 for i, loss in enumerate(losses) if plain.full(loss)), 1300)
+    assert len(trace) == want
+
+
+def test_many_spectral_epochs_take_no_loop():
+    import time
+
+    from linfold.operators import gd
+    from linfold.operators.gram import GradientPartial, GramStats, penalty_diagonal
+    rng = np.random.default_rng(1)
+    a = rng.normal(size=(900, 500))
+    stats = GramStats(tuple(map(str, range(500))), 900, np.zeros(500), 0.0, a.T @ a, np.zeros(500), 1.0)
+    objective = gd._GramObjective(stats, np.zeros(501), GradientPartial(900, 0.0, np.zeros(500), 0.0))
+    began = time.perf_counter()
+    _, trace = gd._spectral_descend(objective, np.ones(501), 100_000, 0.01, penalty_diagonal(501, 0.0), None)
+    assert len(trace) == 100_000 and time.perf_counter() - began < 5
+
+
+def test_counter_numbers_are_normal_and_do_not_depend_on_the_layout(spark):
+    from linfold.sources.synth import counter_normals, synthetic_frame
+    z = counter_normals(np.arange(-50_000, 50_000), 5, 42)
+    assert np.abs(z.mean(0)).max() < 0.02 and np.abs(z.std(0) - 1).max() < 0.02
+    assert np.abs(np.corrcoef(z.T) - np.eye(5)).max() < 0.02
+    assert np.abs(np.corrcoef(z[1:, 0], z[:-1, 0])[0, 1]) < 0.02
+    assert not np.array_equal(z, counter_normals(np.arange(-50_000, 50_000), 5, 43))
+    rows = [sorted(map(tuple, synthetic_frame(spark, 200, 4, 0.1, 7, "counter", num_partitions=n)[0].collect()))
+            for n in (1, 3, 8)]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 200
+
+
+def test_half_a_pair_of_splits_is_refused(spark, tmp_path):
+    from linfold import prepare_train_test_data
+    from linfold.sources import io
+    df = _linear(spark).drop("k")
+    prep = prepare_train_test_data(df, "y", 0.25, 1, 1.0)
+    io.save_processed_splits(prep, str(tmp_path / "a"))
+    train, test = io.load_processed_splits(spark, str(tmp_path / "a"))
+    assert (train.count(), test.count()) == (300, 100)
+
+    class Broken:
+        train, feature_names, target_column = prep.train, prep.feature_names, prep.target_column
+
+        @property
+        def test(self):
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        io.save_processed_splits(Broken(), str(tmp_path / "b"))
+    io.write_table(prep.train, str(tmp_path / "b" / "train_processed"), "parquet")
+    with pytest.raises(ValueError, match="complete pair"):
+        io.load_processed_splits(spark, str(tmp_path / "b"))
+    io.write_table(prep.test.limit(3), str(tmp_path / "a" / "test_processed"), "parquet")
+    with pytest.raises(ValueError, match="3 rows, not 100"):
+        io.load_processed_splits(spark, str(tmp_path / "a"))
+    prep.release()
