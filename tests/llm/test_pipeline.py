@@ -11,7 +11,7 @@ def test_every_operator_is_registered():
 
     found = entry.queries()
     assert "pipeline" in found and QUERIES.items() <= found.items()
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14))
 
 
 def test_stages_hand_on_documents(spark):
