@@ -6,9 +6,13 @@ Terms count as whole words. A term inside an exception phrase ("trash can") does
 
 The lexicon is learned from a bounded sample of labelled documents: words, and beginnings of words
 (four to eight letters), that are surely more frequent in toxic ones. A term's weight is the lower
-bound of its log-odds. A short fixed lexicon adds words that the sample does not hold at all. The
-greatest weight in a document, the sum of its weights, and that sum by length go into a logistic
-curve fitted on the same sample.
+bound of its log-odds. A short fixed lexicon adds words that the sample does not hold at all.
+Exception phrases are learned too: a term with the word before or after it, where the documents that
+hold this pair are toxic no more often than documents are at large; a few fixed ones are added.
+
+The greatest weight in a document, the sum of its weights, and that sum by length go into a logistic
+curve. It is fitted on inputs that no document had a part in: the sample has two halves, and each
+half's inputs come from the lexicon and exceptions of the other one.
 """
 
 from __future__ import annotations
@@ -51,6 +55,8 @@ MIXED = re.compile(r"(?<![a-z0-9@$!|])[a-z0-9@$!|]*(?:[a-z][0-9@$!|]+|(?<![a-z0-
 SIGN_IN_WORD = re.compile(r"[0-9@$!|][a-z]")
 TAIL = re.compile(r"[@$!|]+$")
 WORD = re.compile(r"[^\W\d_]+")
+LAST_WORD = re.compile(r"(?<![^\W_])([^\W\d_]+) \Z")
+LONGEST_BEFORE = 40   # letters looked back for the word before a term; a longer one makes no phrase
 
 
 def _fold_word(match: re.Match) -> str:
@@ -78,25 +84,28 @@ def terms_of(folded: str) -> set[str]:
 class Matcher:
     """Occurrences of a lexicon's terms in folded texts. A term with a star is a beginning."""
 
-    _made: dict[int, Matcher] = {}
+    MOST_KEPT = 3
+    _made: dict[tuple, Matcher] = {}
 
     @classmethod
-    def get(cls, lexicon: tuple[str, ...]) -> Matcher:
-        """One automaton per worker and lexicon."""
-        if hash(lexicon) not in cls._made:
-            cls._made.clear()
-            cls._made[hash(lexicon)] = cls(lexicon)
-        return cls._made[hash(lexicon)]
-
-    def __init__(self, lexicon: tuple[str, ...]):
+    def get(cls, lexicon: tuple[str, ...], exceptions: tuple[str, ...] = EXCEPTIONS) -> Matcher:
+        """The automata of the last lexicons of a worker."""
+        key = lexicon, exceptions
+        if key not in cls._made:
+            if len(cls._made) == cls.MOST_KEPT:
+                cls._made.clear()
+            cls._made[key] = cls(lexicon, exceptions)
+        return cls._made[key]
+
+    def __init__(self, lexicon: tuple[str, ...], exceptions: tuple[str, ...] = EXCEPTIONS):
         import ahocorasick
 
         found: dict[str, list[int]] = {}
         for i, term in enumerate(lexicon):
             found.setdefault(term.rstrip("*"), [-1, -1])[term.endswith("*")] = i
-        for phrase in EXCEPTIONS:
+        for phrase in exceptions:
             found.setdefault(phrase, [-1, -1])
-        self.harmless = set(EXCEPTIONS)
+        self.harmless = set(exceptions)
         self.automaton = ahocorasick.Automaton()
         for key, (whole, start) in found.items():
             self.automaton.add_word(key, (key, whole, start))
@@ -104,6 +113,29 @@ class Matcher:
 
     def count(self, folded: str) -> dict[int, int]:
         """Number of occurrences of each term, outside exception phrases."""
+        out: dict[int, int] = {}
+        for _, i in self.hits(folded):
+            out[i] = out.get(i, 0) + 1
+        return out
+
+    def phrases(self, folded: str) -> set[str]:
+        """The words that hold a term outside exception phrases, each with the word one space before
+        it and with the word one space after it."""
+        found = set()
+        for begin in {begin for begin, _ in self.hits(folded)}:
+            word = WORD.match(folded, begin)
+            if word is None:
+                continue
+            after = WORD.match(folded, word.end() + 1) if folded[word.end():word.end() + 1] == " " else None
+            if after:
+                found.add(f"{word[0]} {after[0]}")
+            before = LAST_WORD.search(folded, max(0, begin - LONGEST_BEFORE), begin)
+            if before:
+                found.add(f"{before[1]} {word[0]}")
+        return found
+
+    def hits(self, folded: str) -> list[tuple[int, int]]:
+        """Place and term of each occurrence outside exception phrases."""
         hits, spans = [], []
         for last, (key, whole, start) in self.automaton.iter(folded):
             begin, end = last - len(key) + 1, last + 1
@@ -118,11 +150,11 @@ class Matcher:
         spans.sort()
         starts = [b for b, _ in spans]
         farthest = list(itertools.accumulate((e for _, e in spans), max))
-        out: dict[int, int] = {}
+        out = []
         for begin, end, i in hits:
             before = bisect.bisect_right(starts, begin)
             if not before or farthest[before - 1] < end:
-                out[i] = out.get(i, 0) + 1
+                out.append((begin, i))
         return out
 
 
@@ -158,6 +190,7 @@ class Toxicity:
     """A lexicon with weights, and the logistic curve over a document's inputs."""
 
     lexicon: tuple[str, ...] = tuple(LEXICON)
+    exceptions: tuple[str, ...] = EXCEPTIONS
     weights: np.ndarray = field(default_factory=lambda: np.full(len(LEXICON), 5.0))
     curve: np.ndarray = field(default_factory=lambda: np.array([-3.0, 1.0, 0.5, 0.5]))
 
@@ -172,7 +205,7 @@ class Toxicity:
 
     def counted(self, part: pa.RecordBatch) -> tuple[list[dict[int, int]], np.ndarray]:
         """Counts of the terms and inputs of each text of a batch."""
-        matcher = Matcher.get(self.lexicon)
+        matcher = Matcher.get(self.lexicon, self.exceptions)
         counts = [matcher.count(fold(t)) if t else {} for t in part.column("text").to_pylist()]
         return counts, self.inputs(counts, Texts(part.column("text")).n_words)
 
@@ -186,57 +219,97 @@ class Toxicity:
         self.curve = curve
 
 
-def _term_counts(only: frozenset[str] | None):
-    """Documents of each term (of ``only`` these, if given), summed within a task."""
+def _counted(keys_of):
+    """Documents of each (model, key), clean and toxic ones, summed within a task. ``keys_of(folded,
+    half)`` gives the pairs of a document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter[str] = Counter()
+        total: dict[bool, Counter[tuple[int, str]]] = {False: Counter(), True: Counter()}
         for part in chunks(batches):
-            for text in part.column("text").to_pylist():
-                terms = terms_of(fold(text))
-                total.update(terms if only is None else terms & only)
-        yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())],
-                                         ["term", "n"])
+            for text, toxic, half in zip(*[part.column(c).to_pylist() for c in ("text", "toxic", "half")], strict=True):
+                total[toxic].update(keys_of(fold(text), half))
+        keys = list(total[False] | total[True])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([m for m, _ in keys], pa.int32()), pa.array([k for _, k in keys], pa.string()),
+             pa.array([total[False][k] for k in keys], pa.int64()), pa.array([total[True][k] for k in keys], pa.int64())],
+            ["model", "key", "clean", "toxic"])
     return run
 
 
+def _documents_of(known: DataFrame, keys_of, kept: Column) -> list[dict[str, tuple[int, int]]]:
+    """For each model its keys with their clean and toxic documents, as far as ``kept`` holds."""
+    rows = (known.mapInArrow(_counted(keys_of), "model int, key string, clean long, toxic long")
+            .groupBy("model", "key").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+            .where(kept).collect())   # terms of the sample
+    out: list[dict[str, tuple[int, int]]] = [{}, {}, {}]
+    for r in rows:
+        out[r.model][r.key] = (r.clean, r.toxic)
+    return out
+
+
+def _with_lexicon(counts: dict[str, tuple[int, int]], clean: int, toxic: int) -> Toxicity | None:
+    """The model of these counts of terms; None where no term is surely toxic."""
+    weights = learned_lexicon({t: c for t, c in counts.items() if c[1] >= MIN_DOCS}, clean, toxic)
+    if not weights:
+        return None
+    usual = 0.5 * float(np.median(list(weights.values())))
+    weights |= {t: usual for t in sorted(set(LEXICON) - counts.keys())}
+    return Toxicity(tuple(weights), weights=np.array(list(weights.values())))
+
+
+def learned_exceptions(counts: dict[str, tuple[int, int]], clean: int, toxic: int) -> tuple[str, ...]:
+    """Of phrases with their (clean, toxic) documents those whose documents, ``MIN_DOCS`` clean ones
+    at least, are toxic no more often than all are."""
+    return tuple(sorted(p for p, (c0, c1) in counts.items() if c0 >= MIN_DOCS and c1 * clean <= c0 * toxic))
+
+
 def learn(docs: DataFrame, labels: DataFrame, train: Column | None = None,
           sample_rows: int = lab.SAMPLE_ROWS) -> Toxicity:
-    """Lexicon and curve from ``sample_rows`` labelled documents at most, of those rows of
-    ``labels`` for which ``train`` holds. Without both labels: the fixed lexicon, equal weights."""
+    """Lexicon, exceptions and curve from ``sample_rows`` labelled documents at most, of those rows
+    of ``labels`` for which ``train`` holds. Without both labels: the fixed lexicon, equal weights.
+    A half of the sample that makes no lexicon lends the whole sample's."""
     common.prepare(docs.sparkSession)
-    model = Toxicity()
     chosen = lab.sample(labels, "toxic", sample_rows, train)
+    half = F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(2)).cast("int").alias("half")
     known = common.saved(common.documents(docs).join(F.broadcast(chosen), "doc_id")
-                         .select("text", (F.col("label") == 1).alias("toxic")), "toxic")
-    rows = dict(known.groupBy("toxic").count().collect())
-    if len(rows) < 2:
-        return model
-
-    def counted(toxic: bool, only: frozenset[str] | None, least: int) -> dict[str, int]:
-        return dict(known.where(F.col("toxic") == toxic).select("text")
-                    .mapInArrow(_term_counts(only), "term string, n long").groupBy("term")
-                    .agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect())   # terms of the sample
-
-    in_toxic = counted(True, None, MIN_DOCS)
-    in_clean = counted(False, frozenset(in_toxic), 1)
-    weights = learned_lexicon({t: (in_clean.get(t, 0), n) for t, n in in_toxic.items()}, rows[False], rows[True])
-    fixed = frozenset(LEXICON) - in_toxic.keys()
-    unseen = fixed - counted(False, fixed, 1).keys() - counted(True, fixed, 1).keys()
-    if weights:
-        usual = 0.5 * float(np.median(list(weights.values())))
-        weights |= {t: usual for t in sorted(unseen)}
-        model = Toxicity(tuple(weights), np.array(list(weights.values())))
+                         .select("text", (F.col("label") == 1).alias("toxic"), half), "toxic")
+    size = {(r.half, r.toxic): r["count"] for r in known.groupBy("half", "toxic").count().collect()}
+    rows = [(size.get((h, False), 0), size.get((h, True), 0)) for h in (0, 1)]
+    rows.append((rows[0][0] + rows[1][0], rows[0][1] + rows[1][1]))   # the third model: both halves
+    if 0 in rows[2]:
+        return Toxicity()
+
+    def terms(folded: str, half: int) -> list[tuple[int, str]]:
+        return [(m, t) for t in terms_of(folded) for m in (half, 2)]
+
+    counts = _documents_of(known, terms, (F.col("toxic") >= MIN_DOCS) | F.col("key").isin(LEXICON))
+    whole = _with_lexicon(counts[2], *rows[2]) or Toxicity()
+    models = [*[_with_lexicon(counts[h], *rows[h]) for h in (0, 1)], whole]
+
+    def phrases(folded: str, half: int) -> list[tuple[int, str]]:
+        return [(m, p) for m in (half, 2) if models[m]
+                for p in Matcher.get(models[m].lexicon, models[m].exceptions).phrases(folded)]
+
+    pairs = _documents_of(known, phrases, F.col("clean") >= MIN_DOCS)
+    for model, found, of in zip(models, pairs, rows, strict=True):
+        if model:
+            model.exceptions = tuple(sorted({*EXCEPTIONS, *learned_exceptions(found, *of)}))
+    others = [models[1] or whole, models[0] or whole]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches):
-            x = model.counted(part)[1]
-            yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(list(x), pa.list_(pa.float64()))], ["toxic", "x"])
+            of = part.column("half").to_numpy()
+            for h in (0, 1):
+                rows = part.filter(pa.array(of == h))
+                if rows.num_rows:
+                    x = others[h].counted(rows)[1]
+                    yield pa.RecordBatch.from_arrays([rows.column("toxic"), pa.array(list(x), pa.list_(pa.float64()))],
+                                                     ["toxic", "x"])
 
     seen = known.mapInArrow(run, "toxic boolean, x array<double>").toPandas()
     x, y = np.stack(seen["x"].to_numpy()), seen["toxic"].to_numpy().astype(np.float64)
     order = np.lexsort(np.column_stack((x, y)).T)   # the same curve whatever the order of arrival
-    model.fit_curve(x[order], y[order])
-    return model
+    whole.fit_curve(x[order], y[order])
+    return whole
 
 
 def scored(docs: DataFrame, labels: DataFrame, train: Column | None = None,

@@ -238,6 +238,38 @@ def test_toxicity(spark):
     assert op7_toxicity.scored(brute.table(spark, []), labels).count() == 0
 
 
+def test_exception_phrases_are_learned(spark):
+    """A term that is harmless beside one word, in clean documents only."""
+    rng = np.random.default_rng(12)
+    rows, marks = [], []
+    for i in range(600):
+        toxic, words = i % 3 == 0, [f"w{x}" for x in rng.integers(0, 400, 20)]
+        words[7] = "grubble" if toxic else "grubble hook" if i % 9 == 1 else words[7]
+        rows.append((i, " ".join(words)))
+        marks.append((i, int(toxic)))
+    docs, labels = brute.table(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = op7_toxicity.learn(docs, labels)
+    assert "grubble hook" in model.exceptions and "grub*" in model.lexicon
+    assert not any(p.startswith("grubble w") or p.endswith(" grubble") for p in model.exceptions)
+    again = op7_toxicity.learn(docs.repartition(7), labels.repartition(3))
+    assert again.lexicon == model.lexicon and again.exceptions == model.exceptions
+    assert np.allclose(again.curve, model.curve)
+    extra = brute.table(spark, [(1, "a grubble hook " * 9), (2, "a grubble hook, you grubble"), (3, "a hook")])
+    score = {r.doc_id: r.score for r in op7_toxicity.scored(docs.limit(0).union(extra), labels.limit(0)).collect()}
+    assert score[1] == score[3]   # nothing learned: the fixed lexicon has no such term
+    counts, x = model.counted(pa.RecordBatch.from_pydict({"text": [r.text for r in extra.orderBy("doc_id").collect()]}))
+    assert [sum(c.values()) for c in counts] == [0, 1, 0]
+    p = model.probability(x)
+    assert p[1] > 0.5 > p[0] == p[2]
+
+
+def test_phrases_around_terms():
+    matcher = op7_toxicity.Matcher(("idiot", "trash", "moro*"))
+    assert matcher.phrases("an idiot box; trash can idiot, (moronic) x morons 9") == {
+        "an idiot", "idiot box", "x morons", "can idiot"}
+    assert matcher.phrases("a" * 50 + " idiot") == set() == matcher.phrases("")
+
+
 def test_folding():
     assert op7_toxicity.fold("ІDIOT m0r0n trash### $cum st00pid.") == "idiot moron trash### scum stoopid."
     assert op7_toxicity.fold("trash$$$ 1234 don't").startswith("trash$$$ 1234")
