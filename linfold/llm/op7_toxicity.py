@@ -278,10 +278,17 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column | None = None,
     if 0 in rows[2]:
         return Toxicity()
 
-    def terms(folded: str, half: int) -> list[tuple[int, str]]:
-        return [(m, t) for t in terms_of(folded) for m in (half, 2)]
-
-    counts = _documents_of(known, terms, (F.col("toxic") >= MIN_DOCS) | F.col("key").isin(LEXICON))
+    def terms(only: frozenset[str] | None):
+        def of(folded: str, half: int) -> list[tuple[int, str]]:
+            found = terms_of(folded)
+            return [(m, t) for t in (found if only is None else found & only) for m in (half, 2)]
+        return of
+
+    # Few documents are toxic; of the others only the terms of these, and fixed ones, are counted.
+    in_toxic = _documents_of(known.where("toxic"), terms(None), (F.col("toxic") >= MIN_DOCS) | F.col("key").isin(LEXICON))
+    in_clean = _documents_of(known.where("NOT toxic"), terms(frozenset(LEXICON).union(*in_toxic)), F.lit(True))
+    counts = [{t: (c.get(t, (0, 0))[0], n.get(t, (0, 0))[1]) for t in c.keys() | n.keys()}
+              for c, n in zip(in_clean, in_toxic, strict=True)]
     whole = _with_lexicon(counts[2], *rows[2]) or Toxicity()
     models = [*[_with_lexicon(counts[h], *rows[h]) for h in (0, 1)], whole]
 
