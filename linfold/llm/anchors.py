@@ -1,6 +1,6 @@
-"""Candidate search for exact repeats of a fixed length (bytes or words) over a whole corpus.
+"""Candidate search for exact repeats of a fixed length over a whole corpus.
 
-A window is ``size`` consecutive units (bytes or words) of one text. Of the ``gram``-unit grams in a
+A window is ``size`` consecutive units (bytes) of one text. Of the ``gram``-unit grams in a
 window the one with the smallest hash is its anchor; equal windows have equal anchors at the same
 place. Consecutive windows with the same anchor make a segment. Only segments whose anchor gram
 occurs elsewhere too can hold a repeated window, and all windows equal to one another lie in
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linfold.llm import common
-from linfold.llm.textbytes import BYTE_VALUE, U64, Texts, _Powers, chunks, mix, raw_bytes
+from linfold.llm.textbytes import BYTE_VALUE, U64, _Powers, chunks, mix, raw_bytes
 
 MOST_SEGMENTS = 4096
 SEARCH_BYTES = 1 << 20        # texts searched at a time
@@ -44,23 +44,16 @@ FOUND_SCHEMA = "kind byte, ah long, sh long, k long, pos int, n int"
 @dataclass
 class Units:
     """The units of a batch of texts: a 64-bit value each, ``first`` (n + 1) each text's first, and
-    the bytes of unit i at ``begin[i]:stop[i]`` of ``data``."""
+    their bytes."""
 
     value: np.ndarray
     first: np.ndarray
-    begin: np.ndarray | None
-    stop: np.ndarray | None
     data: np.ndarray
 
 
 def byte_units(texts: pa.Array) -> Units:
     data, bounds = raw_bytes(texts)
-    return Units(BYTE_VALUE[data], bounds, None, None, data)
-
-
-def word_units(texts: pa.Array) -> Units:
-    t = Texts(texts)
-    return Units(t.word_hash(), t.first, t.start, t.end, t.buf)
+    return Units(BYTE_VALUE[data], bounds, data)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -223,10 +216,9 @@ def cut_segments(unit: Callable[[pa.Array], Units], size: int):
             k = part.column("_k").to_numpy()[row]
             at = units.first[row] + pos
             end = at + n + (size - 1)
-            begin, stop = (at, end) if units.begin is None else (units.begin[at], units.stop[end - 1])
             plain = np.flatnonzero(kind == 0)
             raw = units.data.tobytes()
-            data = [raw[b:e] for b, e in zip(begin[plain], stop[plain], strict=True)]
+            data = [raw[b:e] for b, e in zip(at[plain], end[plain], strict=True)]
             none = np.zeros(len(plain), dtype=np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(plain), np.int8)), pa.array(ah[plain]), pa.array(none), pa.array(k[plain]),

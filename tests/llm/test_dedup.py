@@ -59,9 +59,7 @@ def test_very_common_anchors(monkeypatch, most):
     rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 900, 30)) + " " + passage + " "
              + " ".join(f"w{x}" for x in rng.integers(0, 900, 30))) for i in range(40)]
     batch = pa.RecordBatch.from_pydict({"_k": [i for i, _ in rows], "text": [t for _, t in rows]})
-    for unit, size, gram, method, oracle in (
-            (anchors.word_units, 20, 5, op5_substring.doubled, brute.substring),
-            (anchors.byte_units, 100, 24, op6_suffix._method(100), brute.suffix)):
+    for unit, size, gram, method, oracle in ((anchors.byte_units, 100, 24, op6_suffix._method(100), brute.suffix),):
         found = pa.Table.from_batches(list(anchors.search(unit, size, gram)(batch.slice(i, 1) for i in range(40))))
         found = found.sort_by([(c, "ascending") for c in ("kind", "ah", "sh", "k", "pos")])
         found = pa.Table.from_batches(list(anchors.gather(iter(found.to_batches(max_chunksize=7))))).to_pylist()
@@ -86,6 +84,77 @@ def test_very_common_anchors(monkeypatch, most):
         assert [len(gone[i]) for i, _ in rows] == [x[2] for x in oracle(rows)]
 
 
+def in_process(rows, size, ranges, seed):
+    """The three levels of op5 in one process, each text a slice, with batches of a few rows.
+    Returns the rows after each of the first two levels and the marked windows."""
+    rng = np.random.default_rng(seed)
+
+    def dealt(table, key):
+        table = table.take(pa.array(rng.permutation(table.num_rows))).sort_by(key)
+        return iter(table.to_batches(max_chunksize=int(rng.integers(1, 6))))
+
+    batch = pa.RecordBatch.from_pydict({"_k": [i for i, _ in rows], "text": [t for _, t in rows]})
+    found = pa.Table.from_batches(list(op5_substring.candidates(size)(batch.slice(i, 1) for i in range(len(rows)))))
+    after = []
+    for key, bit in (("short", op5_substring.SHORT), ("half", op5_substring.HALF)):
+        found = pa.Table.from_batches(list(op5_substring.repeated(key, bit)(dealt(found, key))), found.schema)
+        after.append(found)
+    if not found.num_rows:
+        return after, []
+    runs = found.select(["k", "pos", "n"]).to_pylist()
+    listed = [[{"pos": r["pos"], "n": r["n"]} for r in runs if r["k"] == i] for i, _ in rows]
+    kind = pa.list_(pa.struct([("pos", pa.int32()), ("n", pa.int32())]))
+    whole = pa.RecordBatch.from_arrays([*batch.columns, pa.array(listed, kind)], ["_k", "text", "found"])
+    whole = whole.filter(pa.array([len(x) > 0 for x in listed]))
+    packed = pa.Table.from_batches(list(op5_substring.packed_windows(size, ranges)(whole.slice(i, 1) for i in range(whole.num_rows))))
+    marks = [(r["k"], r["pos"] + j) for b in op5_substring.settled(dealt(packed, "range"))
+             for r in b.to_pylist() for j in range(r["n"])]
+    return after, marks
+
+
+@pytest.mark.parametrize("size", [4, 8, 20, 40])
+def test_levels_in_any_order_and_batches(size):
+    """A passage in every text, texts of few different words, copies and overlaps."""
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        passage = " ".join(f"p{i}" for i in range(60))
+        rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 2 if i % 3 == 0 else 900, 30 + 40 * (i % 2))) + " "
+                 + passage * (i % 5 > 0) + " " + " ".join(f"w{x}" for x in rng.integers(0, 900, 30))) for i in range(30)]
+        rows += [(30 + i, rows[3 * i][1]) for i in range(8)]
+        rows = [(int(k), t) for k, (_, t) in zip(rng.permutation(1000)[:len(rows)] - 500, rows, strict=True)]
+        _, marks = in_process(rows, size, 3, seed)
+        assert len(marks) == len(set(marks))
+        want = {i: set() for i, _ in rows}
+        seen = set()
+        for i, text in brute.order(rows):
+            w = text.split()
+            for at in range(len(w) - size + 1):
+                window = tuple(w[at:at + size])
+                if window in seen:
+                    want[i].add(at)
+                seen.add(window)
+        got = {i: set() for i, _ in rows}
+        for i, at in marks:
+            got[i].add(at)
+        assert got == want
+
+
+def test_only_repeated_windows_go_on():
+    """Repeats of 7 and of 14 words stop at the first and at the second level."""
+    rng = np.random.default_rng(9)
+    def fresh(n):
+        return [f"w{x}" for x in rng.integers(0, 10**9, n)]
+    seven, fourteen = fresh(7), fresh(14)
+    rows = [(i, " ".join(fresh(40) + (seven if i % 2 else fourteen) + fresh(40))) for i in range(40)]
+    (short, half), marks = in_process(rows, 20, 2, 1)
+    assert not marks and 0 < half.num_rows < short.num_rows
+    odd = [k % 2 for k in half["k"].to_pylist()]
+    assert not any(odd) and any(k % 2 for k in short["k"].to_pylist())
+    # A row is one occurrence: nothing that occurs once goes on.
+    (short, half), marks = in_process([(i, " ".join(fresh(200))) for i in range(40)], 20, 2, 1)
+    assert short.num_rows == half.num_rows == 0 and not marks
+
+
 def test_run_index_matches_direct_search():
     rng = np.random.default_rng(5)
     for case in range(6):
