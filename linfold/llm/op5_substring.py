@@ -29,22 +29,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.llm import common
 from linfold.llm.anchors import _merge_runs, marked_units, sliding_min
-from linfold.llm.textbytes import BASE, U64, Texts, chunks, mix, window_hash, windows
+from linfold.llm.textbytes import BASE, CHUNK_BYTES, U64, Texts, chunks, mix, window_hash, windows
 
 SIZE = 20
 SLICE_BYTES = 1 << 20         # texts searched at a time
 RANGE_WINDOWS = 500_000       # 20-word windows compared at a time
 SHORT, HALF = 1, 2            # a row's 5-word (10-word) window occurs twice or more in its slice
-LEVEL_ROW = "short long, half long, known byte, k long, pos int, n int"
+HALF_ROW = "half long, known byte, k long, pos int, n int"
+LEVEL_ROW = "short long, " + HALF_ROW
 LOW = U64((1 << 32) - 1)
 OTHER = 0xD6E8FEB86659FD93    # a second multiplier, so that the last 32 bits are independent of the rest
 
 
+def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed (column z), for the way through a shuffle."""
+    press = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        i = batch.schema.get_field_index("text")
+        z = pa.array([press.compress(t.encode()) for t in batch.column(i).to_pylist()], pa.binary())
+        yield batch.set_column(i, "z", z)
+
+
+def unpressed(batches: Iterator[pa.RecordBatch], max_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The texts again, in slices of about ``max_bytes``."""
+    unpack = zstandard.ZstdDecompressor()
+    for part in chunks(batches, "z", max_bytes // 2):
+        i = part.schema.get_field_index("z")
+        text = pa.array([unpack.decompress(z) for z in part.column(i).to_pylist()], pa.binary())
+        yield from chunks(iter([part.set_column(i, "text", text)]), max_bytes=max_bytes)
+
+
 def _dealt(hashes: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each row of a slice is dealt to, and whether its hash occurs again in the slice: one row
     of each hash goes by the hash, others of the same hash by their place."""
@@ -144,7 +164,7 @@ def packed_windows(size: int, ranges: int):
     """The last level within a slice of texts with their runs (``found``): marks, and the earliest of
     each window, packed field by field for each range of hashes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, max_bytes=SLICE_BYTES):
+        for part in unpressed(batches, SLICE_BYTES):
             t = Texts(part.column("text"))
             lists = part.column("found")
             row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
@@ -213,12 +233,15 @@ def marked(rows: DataFrame, size: int = SIZE) -> DataFrame:
     common.prepare(spark)
     least = common.shuffle_partitions(spark)
     found = rows.select("_k", "text").mapInArrow(candidates(size), LEVEL_ROW)
-    for key, bit in (("short", SHORT), ("half", HALF)):
-        found = found.repartition(least, key).sortWithinPartitions(key).mapInArrow(repeated(key, bit), LEVEL_ROW)
-    found = common.saved(found.select("k", "pos", "n"), "substring-found")
+    found = (found.repartition(least, "short").sortWithinPartitions("short")
+             .mapInArrow(repeated("short", SHORT), LEVEL_ROW).drop("short"))
+    found = (found.repartition(least, "half").sortWithinPartitions("half")
+             .mapInArrow(repeated("half", HALF), HALF_ROW).drop("half", "known"))
+    found = common.saved(found, "substring-found")
     ranges = common.partitions_for(found.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0], RANGE_WINDOWS, least)
     listed = found.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("pos", "n")).alias("found"))
-    packed = (rows.select("_k", "text").join(listed.hint("shuffle_hash"), "_k").select("_k", "text", "found")
+    packed = (rows.select("_k", "text").mapInArrow(pressed, "_k long, z binary")
+              .join(listed.hint("shuffle_hash"), "_k").select("_k", "z", "found")
               .mapInArrow(packed_windows(size, ranges), "range long, k long, pos int, n int, data binary"))
     marks = (packed.repartition(least, "range").sortWithinPartitions("range")
              .mapInArrow(settled, "k long, pos int, n int"))
@@ -234,7 +257,7 @@ def removed(docs: DataFrame, size: int = SIZE, texts: bool = False) -> DataFrame
     Empty table: no rows. Other columns are ignored. Texts of any length are taken whole.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches):
+        for part in unpressed(batches, CHUNK_BYTES):
             t = Texts(part.column("text"))
             gone = marked_units(part.column("marks"), t.first[:-1], t.n_words, size)
             left = np.flatnonzero(~gone)
@@ -262,7 +285,8 @@ def removed(docs: DataFrame, size: int = SIZE, texts: bool = False) -> DataFrame
         raise ValueError("size must be a multiple of four words.")
     rows = common.keyed(docs)
     marks = marked(rows, size)
-    return (rows.join(marks.hint("shuffle_hash"), "_k", "left").select("doc_id", "text", "marks")
+    return (rows.select("_k", "doc_id", "text").mapInArrow(pressed, "_k long, doc_id long, z binary")
+            .join(marks.hint("shuffle_hash"), "_k", "left").select("doc_id", "z", "marks")
             .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string"
                              + ", kept string" * texts))
 

@@ -106,6 +106,7 @@ def in_process(rows, size, ranges, seed):
     kind = pa.list_(pa.struct([("pos", pa.int32()), ("n", pa.int32())]))
     whole = pa.RecordBatch.from_arrays([*batch.columns, pa.array(listed, kind)], ["_k", "text", "found"])
     whole = whole.filter(pa.array([len(x) > 0 for x in listed]))
+    whole = next(op5_substring.pressed(iter([whole])))
     packed = pa.Table.from_batches(list(op5_substring.packed_windows(size, ranges)(whole.slice(i, 1) for i in range(whole.num_rows))))
     marks = [(r["k"], r["pos"] + j) for b in op5_substring.settled(dealt(packed, "range"))
              for r in b.to_pylist() for j in range(r["n"])]
