@@ -38,8 +38,8 @@ from linfold.llm.anchors import _merge_runs, marked_units, sliding_min
 from linfold.llm.textbytes import BASE, CHUNK_BYTES, U64, Texts, chunks, mix, window_hash, windows
 
 SIZE = 20
-SLICE_BYTES = 1 << 20         # texts searched at a time
-RANGE_WINDOWS = 500_000       # 20-word windows compared at a time
+SLICE_BYTES = 768 << 10       # texts searched at a time
+RANGE_WINDOWS = 200_000       # 20-word windows compared at a time
 SHORT, HALF = 1, 2            # a row's 5-word (10-word) window occurs twice or more in its slice
 HALF_ROW = "half long, known byte, k long, pos int, n int"
 LEVEL_ROW = "short long, " + HALF_ROW
@@ -50,7 +50,7 @@ OTHER = 0xD6E8FEB86659FD93    # a second multiplier, so that the last 32 bits ar
 def pressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts compressed (column z), for the way through a shuffle."""
     press = zstandard.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in chunks(batches, max_bytes=4 * SLICE_BYTES):
         i = batch.schema.get_field_index("text")
         z = pa.array([press.compress(t.encode()) for t in batch.column(i).to_pylist()], pa.binary())
         yield batch.set_column(i, "z", z)
