@@ -18,8 +18,9 @@ and one row of it goes to the others' task, so a passage that very many texts sh
 slice. The last pass meets the texts again: each slice marks its own repeats and sends the earliest
 of each window, packed by ranges of the hash.
 
-Windows are equal if their hashes are: 96 bits in the last pass. Two windows that differ agree in
-them with a chance of 2**-96, over 10**13 windows of one corpus of 10**-3.
+Windows are equal if their hashes are, 96 bits in the last pass; texts are not compared. Both hashes
+are made of 64-bit hashes of the words, so windows that differ in one word alone agree with a chance of
+2**-64 (where the two words have one hash), others with about 2**-96.
 """
 
 from __future__ import annotations
