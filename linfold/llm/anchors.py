@@ -1,50 +1,24 @@
-"""Candidate search for exact repeats of a fixed length over a whole corpus.
+"""Anchors: places of byte strings that do not depend on the text around them.
 
-A window is ``size`` consecutive units (bytes) of one text. Of the ``gram``-unit grams in a
-window the one with the smallest hash is its anchor; equal windows have equal anchors at the same
-place. Consecutive windows with the same anchor make a segment. Only segments whose anchor gram
-occurs elsewhere too can hold a repeated window, and all windows equal to one another lie in
-segments of the same anchor. So the corpus is searched in these steps:
-
-1. each task finds the segments of its texts (anchor hash, segment hash, place). Segments with the
-   same content in one slice of texts are collapsed to the earliest before the shuffle;
-2. the segments are dealt out by anchor hash and sorted. Of equal segments the earliest stays;
-   windows of the others all start earlier elsewhere. Anchors with two or more different segments
-   go on;
-3. the segments' units are cut from the texts and handed to the operator's own method, which
-   resolves the windows of different segments, some megabytes at a time;
-4. the repeated windows of each text come together and are cut out of it.
-
-An anchor with more than ``MOST_SEGMENTS`` different segments (the edges of a passage that very many
-texts share) does not go to one task: its windows are compared one by one, each by its hash, with
-the earliest found by an aggregate that is summed up map-side.
+A window is ``size`` consecutive bytes of one text. Of the ``gram``-byte grams in a window the one
+with the smallest hash is its anchor, so equal windows have equal anchors. Consecutive windows whose
+anchors have the same hash make a segment (of ``4 * size`` windows at most; longer ones, in texts of
+one repeated phrase, are cut). A window can occur twice only if its anchor's hash does.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from linfold.llm import common
-from linfold.llm.textbytes import BYTE_VALUE, U64, _Powers, chunks, mix, raw_bytes
-
-MOST_SEGMENTS = 4096
-SEARCH_BYTES = 1 << 20        # texts searched at a time
-RESOLVE_BYTES = 1 << 20       # segments resolved at a time
-ROWS_PER_TASK = 400_000
-FOUND = ("ah", "sh", "k", "pos", "n")
-FOUND_SCHEMA = "kind byte, ah long, sh long, k long, pos int, n int"
+from linfold.llm.textbytes import BYTE_VALUE, U64, _Powers, mix, raw_bytes
 
 
 @dataclass
 class Units:
-    """The units of a batch of texts: a 64-bit value each, ``first`` (n + 1) each text's first, and
-    their bytes."""
+    """The bytes of a batch of texts, a 64-bit value for each, and ``first`` (n + 1), each text's first."""
 
     value: np.ndarray
     first: np.ndarray
@@ -71,40 +45,33 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:out], ahead[width - 1:width - 1 + out])
 
 
-def segments(units: Units, size: int, gram: int) -> dict[str, np.ndarray]:
-    """row, at (unit index), n (windows), ah, sh of each segment of a batch."""
+def segments(units: Units, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place (in the batch), number of windows and anchor hash of each segment of a batch."""
     value, first = units.value, units.first
     total = len(value)
-    empty = np.zeros(0, dtype=np.int64)
-    if total < size:
-        return {"row": empty, "at": empty, "n": empty, "ah": empty.astype(U64), "sh": empty.astype(U64)}
+    counts = np.maximum(np.diff(first) - size + 1, 0)
+    if not counts.any():
+        none = np.zeros(0, dtype=np.int64)
+        return none, none, none, none.astype(U64)
     up, down = _Powers.get(total + 1)
     prefix = np.empty(total + 1, dtype=U64)
     prefix[0] = 0
     np.cumsum(value * up[:total], out=prefix[1:])
     grams = mix((prefix[gram:] - prefix[:-gram]) * down[:total - gram + 1])
-    place_bits = U64(int(total).bit_length())
-    place_mask = (U64(1) << place_bits) - U64(1)
-    ranked = (grams & ~place_mask) | np.arange(len(grams), dtype=U64)
-    anchor = (sliding_min(ranked, size - gram + 1) & place_mask).astype(np.int64)
-    counts = np.maximum(np.diff(first) - size + 1, 0)
+    anchor = sliding_min(grams, size - gram + 1)
     valid = np.zeros(total + 1, dtype=np.int8)
     has = counts > 0
     valid[first[:-1][has]] = 1
     valid[first[:-1][has] + counts[has]] -= 1   # texts are adjacent: an end may be the next one's start
-    inside = np.cumsum(valid[:len(anchor)]) > 0
-    start = np.flatnonzero(inside)
-    if not len(start):
-        return {"row": empty, "at": empty, "n": empty, "ah": empty.astype(U64), "sh": empty.astype(U64)}
+    start = np.flatnonzero(np.cumsum(valid[:len(anchor)]) > 0)
     at_anchor = anchor[start]
+    row = np.searchsorted(first, start, "right") - 1
     new = np.ones(len(start), dtype=bool)
-    new[1:] = (at_anchor[1:] != at_anchor[:-1]) | (start[1:] != start[:-1] + 1)
+    new[1:] = (at_anchor[1:] != at_anchor[:-1]) | (start[1:] != start[:-1] + 1) | (row[1:] != row[:-1])
+    nth = np.arange(len(start))
+    new |= (nth - np.maximum.accumulate(np.where(new, nth, 0))) % (4 * size) == 0
     lead = np.flatnonzero(new)
-    n = np.diff(np.append(lead, len(start)))
-    at = start[lead]
-    end = at + n + (size - 1)
-    sh = mix((prefix[end] - prefix[at]) * down[at] + n.astype(U64))
-    return {"row": np.searchsorted(first, at, "right") - 1, "at": at, "n": n, "ah": grams[at_anchor[lead]], "sh": sh}
+    return row[lead], start[lead], np.diff(np.append(lead, len(start))), at_anchor[lead]
 
 
 def _merge_runs(k: np.ndarray, pos: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -117,209 +84,6 @@ def _merge_runs(k: np.ndarray, pos: np.ndarray, n: np.ndarray) -> tuple[np.ndarr
     return k[lead], pos[lead], np.add.reduceat(n, lead) if len(lead) else n
 
 
-def _batch(kind: int, ah: np.ndarray, sh: np.ndarray, k: np.ndarray, pos: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(k), kind, np.int8)), pa.array(ah.view(np.int64)), pa.array(sh.view(np.int64)),
-         pa.array(k), pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], ["kind", *FOUND])
-
-
-def search(unit: Callable[[pa.Array], Units], size: int, gram: int):
-    """Step 1. kind 0: a segment; kind 1: windows that start earlier in the same slice of texts,
-    spread by a hash of their place."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, max_bytes=SEARCH_BYTES):
-            units = unit(part.column("text"))
-            s = segments(units, size, gram)
-            k = part.column("_k").to_numpy()[s["row"]]
-            pos = s["at"] - units.first[s["row"]]
-            content = s["ah"] ^ mix(s["sh"])
-            order = np.lexsort((pos, k, content))
-            again = np.zeros(len(order), dtype=bool)
-            again[1:] = content[order][1:] == content[order][:-1]
-            one, more = order[~again], order[again]
-            yield _batch(0, s["ah"][one], s["sh"][one], k[one], pos[one], s["n"][one])
-            if len(more):
-                rk, rp, rn = _merge_runs(k[more], pos[more], s["n"][more])
-                spread = mix(rk.astype(U64) + rp.astype(U64))
-                yield _batch(1, spread, spread, rk, rp, rn)
-
-    return run
-
-
-def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 2, over rows sorted by (kind, ah, sh, k, pos). Out: kind 1 windows that start earlier
-    elsewhere, kind 0 a segment to resolve, kind 2 a segment of a very common anchor."""
-    held = None       # different segments of the anchor that may go on in the next batch
-    common_anchor = None
-
-    def columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-        return {c: batch.column(c).to_numpy() for c in FOUND}
-
-    def out(kind: int, c: dict[str, np.ndarray], which: np.ndarray) -> pa.RecordBatch:
-        return _batch(kind, *[c[name][which] for name in FOUND])
-
-    for batch in batches:
-        kinds = batch.column("kind").to_numpy()
-        if (kinds == 1).any():
-            c = columns(batch.filter(pa.array(kinds == 1)))
-            yield out(1, c, np.arange(len(c["k"])))
-            batch = batch.filter(pa.array(kinds == 0))
-        if not batch.num_rows:
-            continue
-        c = columns(batch)
-        old = len(held["ah"]) if held else 0
-        if held:
-            c = {name: np.concatenate((held[name], c[name])) for name in FOUND}
-        ah, sh = c["ah"], c["sh"]
-        fresh = np.ones(len(ah), dtype=bool)
-        fresh[1:] = (ah[1:] != ah[:-1]) | (sh[1:] != sh[:-1])
-        yield out(1, c, np.flatnonzero(~fresh))
-        c = {name: c[name][fresh] for name in FOUND}
-        old = int(fresh[:old].sum())
-        ah = c["ah"]
-        lead = np.flatnonzero(np.concatenate(([True], ah[1:] != ah[:-1])))
-        sizes = np.diff(np.append(lead, len(ah)))
-        size_of = np.repeat(sizes, sizes)
-        done = np.arange(len(ah)) < lead[-1]
-        is_common = np.zeros(len(ah), dtype=bool)
-        if common_anchor is not None:   # its first rows have gone out already but for the held one's twin
-            is_common = ah == common_anchor
-            yield out(2, c, np.flatnonzero(is_common & (np.arange(len(ah)) >= old)))
-        yield out(2, c, np.flatnonzero(done & ~is_common & (size_of > MOST_SEGMENTS)))
-        yield out(0, c, np.flatnonzero(done & ~is_common & (size_of > 1) & (size_of <= MOST_SEGMENTS)))
-        rest = np.arange(lead[-1], len(ah))
-        if common_anchor is not None and ah[-1] == common_anchor:
-            rest = rest[-1:]
-        elif len(rest) > MOST_SEGMENTS:
-            yield out(2, c, rest)
-            common_anchor, rest = ah[-1], rest[-1:]
-        else:
-            common_anchor = None
-        held = {name: c[name][rest] for name in FOUND}
-    if held and common_anchor is None and len(held["ah"]) > 1:
-        yield out(0, held, np.arange(len(held["ah"])))
-
-
-def cut_segments(unit: Callable[[pa.Array], Units], size: int):
-    """Step 3a, over texts with their lists of segments: the segments' bytes, and for very common
-    anchors (kind 2) the hashes of their windows, one row a window."""
-    schema = ["kind", "ah", "wh", "k", "pos", "n", "data"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, max_bytes=SEARCH_BYTES):
-            units = unit(part.column("text"))
-            lists = part.column("found")
-            row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
-            found = lists.flatten()
-            kind, ah, pos, n = (found.field(c).to_numpy() for c in ("kind", "ah", "pos", "n"))
-            k = part.column("_k").to_numpy()[row]
-            at = units.first[row] + pos
-            end = at + n + (size - 1)
-            plain = np.flatnonzero(kind == 0)
-            raw = units.data.tobytes()
-            data = [raw[b:e] for b, e in zip(at[plain], end[plain], strict=True)]
-            none = np.zeros(len(plain), dtype=np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(len(plain), np.int8)), pa.array(ah[plain]), pa.array(none), pa.array(k[plain]),
-                 pa.array(pos[plain]), pa.array(n[plain]), pa.array(data, pa.binary())], schema)
-            very = np.flatnonzero(kind == 2)
-            if len(very):
-                total = len(units.value)
-                up, down = _Powers.get(total + 1)
-                prefix = np.concatenate((np.zeros(1, U64), np.cumsum(units.value * up[:total])))
-                which = np.repeat(very, n[very])
-                nth = np.arange(len(which)) - np.repeat(np.cumsum(n[very]) - n[very], n[very])
-                w = at[which] + nth
-                wh = mix((prefix[w + size] - prefix[w]) * down[w]).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(w), 2, np.int8)), pa.array(ah[which]), pa.array(wh), pa.array(k[which]),
-                     pa.array((pos[which] + nth).astype(np.int32)), pa.array(np.ones(len(w), np.int32)),
-                     pa.nulls(len(w), pa.binary())], schema)
-
-    return run
-
-
-Resolver = Callable[[list[bytes], np.ndarray, np.ndarray, np.ndarray], np.ndarray]
-
-
-def resolve(method: Resolver):
-    """Step 3b, over segments sorted by anchor hash: whole anchors, about ``RESOLVE_BYTES`` at a
-    time, go to ``method(data, k, pos, n)``, which says for every window (segment by segment)
-    whether it also starts earlier."""
-
-    def finish(ah: np.ndarray, k: np.ndarray, pos: np.ndarray, n: np.ndarray, data: list[bytes]) -> pa.RecordBatch:
-        later = method(data, k, pos, n)
-        which = np.repeat(np.arange(len(k)), n)
-        nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        rk, rp, rn = _merge_runs(k[which[later]], (pos[which] + nth)[later], np.ones(int(later.sum()), np.int64))
-        return pa.RecordBatch.from_arrays([pa.array(rk), pa.array(rp.astype(np.int32)), pa.array(rn.astype(np.int32))],
-                                          ["k", "pos", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32), []]
-
-        def ready(last: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal held
-            ah, k, pos, n, data = held
-            if not len(ah):
-                return
-            size = np.cumsum([len(d) for d in data])
-            ends = np.append(np.flatnonzero(ah[1:] != ah[:-1]) + 1, len(ah) if last else 0)
-            ends = ends[ends > 0]
-            done = 0
-            while True:
-                full = ends[ends > done]
-                if not len(full):
-                    break
-                base = size[done - 1] if done else 0
-                over = np.searchsorted(size[full - 1], base + RESOLVE_BYTES)
-                if over >= len(full) and not last:
-                    break
-                stop = int(full[min(over, len(full) - 1)])
-                yield finish(ah[done:stop], k[done:stop], pos[done:stop], n[done:stop], data[done:stop])
-                done = stop
-            held = [ah[done:], k[done:], pos[done:], n[done:], data[done:]]
-
-        for batch in batches:
-            new = [batch.column(c).to_numpy() for c in ("ah", "k", "pos", "n")]
-            held = [*[np.concatenate((a, b)) for a, b in zip(held, new, strict=False)],
-                    held[4] + batch.column("data").to_pylist()]
-            if sum(map(len, held[4])) > RESOLVE_BYTES:
-                yield from ready(False)
-        yield from ready(True)
-
-    return run
-
-
-def repeats(docs: DataFrame, unit: Callable[[pa.Array], Units], size: int, gram: int, method: Resolver,
-            name: str) -> DataFrame:
-    """_k, marks: for each text with windows that also start earlier, the list of (pos, n) of their
-    runs. ``docs``: _k (unique, ordered), text."""
-    spark = docs.sparkSession
-    common.prepare(spark)
-    least = common.shuffle_partitions(spark)
-    found = docs.select("_k", "text").mapInArrow(search(unit, size, gram), FOUND_SCHEMA)
-    found = common.saved(found.repartition(least, "ah").sortWithinPartitions("kind", "ah", "sh", "k", "pos")
-                         .mapInArrow(gather, FOUND_SCHEMA), f"{name}-found")
-    marks = found.where("kind = 1").select(F.col("k").alias("_k"), "pos", "n")
-    listed = (found.where("kind <> 1").groupBy(F.col("k").alias("_k"))
-              .agg(F.collect_list(F.struct("kind", "ah", "pos", "n")).alias("found")))
-    schema = "kind byte, ah long, wh long, k long, pos int, n int, data binary"
-    cut = common.saved(docs.select("_k", "text").join(listed.hint("shuffle_hash"), "_k")
-                       .select("_k", "text", "found").mapInArrow(cut_segments(unit, size), schema), f"{name}-cut")
-    solved = (cut.where("kind = 0").select("ah", "k", "pos", "n", "data").repartition(least, "ah")
-              .sortWithinPartitions("ah").mapInArrow(resolve(method), "k long, pos int, n int"))
-    marks = marks.union(solved.select("k", "pos", "n"))
-    if found.where("kind = 2").limit(1).collect():
-        single = cut.where("kind = 2").select("ah", "wh", "k", "pos")
-        earliest = single.groupBy("ah", "wh").agg(F.min(F.struct("k", "pos")).alias("e"), F.count(F.lit(1)).alias("c"))
-        later = (single.join(earliest.where("c > 1"), ["ah", "wh"])
-                 .where(F.struct("k", "pos") > F.col("e")).select("k", "pos", F.lit(1).alias("n")))
-        marks = marks.union(later)
-    return marks.groupBy("_k").agg(F.collect_list(F.struct("pos", "n")).alias("marks"))
-
-
 def marked_units(marks: pa.Array, row_first: np.ndarray, row_units: np.ndarray, size: int) -> np.ndarray:
     """Which units the marked windows cover. ``marks``: the batch's lists (null: none)."""
     total = int(row_first[-1] + row_units[-1]) if len(row_first) else 0

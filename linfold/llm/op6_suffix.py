@@ -4,18 +4,27 @@ Removes each byte covered by a string of ``size`` (100) bytes that also starts e
 with a smaller doc_id, or earlier in the same text. Matches never cross texts; overlaps count;
 strings are judged on the input.
 
-Candidates are found by anchors over the whole corpus (see ``anchors``). The segments that share an
-anchor, a repetitive collection, are indexed by a run-compressed Burrows-Wheeler transform with
-samples at its run ends, and matching statistics are streamed over them (see ``rindex``): a match of
-``size`` bytes or more is a repeat, and of each class of equal strings the earliest stays. A
-segment that occurs again byte for byte is not indexed twice: what holds for its first text holds
-for its copies, whose windows all start earlier elsewhere.
+1. Each text is cut into segments by its anchors (see ``anchors``); a segment whose anchor occurs
+   nowhere else in the corpus holds no repeat and goes. Rows are dealt by the anchor's hash and
+   sorted, nothing is gathered; of the rows of one anchor in a slice of texts one goes to the others.
+2. The bytes of the other segments are cut from the texts. Segments that share an anchor, a
+   repetitive collection, are indexed by a run-compressed Burrows-Wheeler transform with samples at
+   its run ends, and matching statistics are streamed over them (see ``rindex``): rows that match for
+   ``size`` bytes or more are equal strings, of which the earliest stays and the others are marked.
+   This is done first within a slice of texts, for anchors that it holds often, then by ranges of
+   anchors over all that is left.
+3. An anchor with more than ``HOT_ROWS`` segments after the first of these (the edges of a passage in
+   very many texts) is dealt anew by the hashes of its single windows; windows whose hash occurs once
+   go, the others come to the index as strings of ``size`` bytes.
+
+Every marked string is a match in the index. Hashes deal the strings out and drop those that occur once.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,22 +32,197 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linfold.llm import common
-from linfold.llm.anchors import byte_units, marked_units, repeats
+from linfold.llm.anchors import _merge_runs, byte_units, marked_units, segments
+from linfold.llm.op5_substring import _dealt, pressed, repeated, unpressed
 from linfold.llm.rindex import repeated_windows
-from linfold.llm.textbytes import chunks, raw_bytes
+from linfold.llm.textbytes import BASE, U64, _Powers, chunks, mix, raw_bytes
 
 SIZE, GRAM = 100, 24
+SLICE_BYTES = 1 << 20     # texts searched at a time
+INDEX_BYTES = 1 << 20     # strings indexed at a time
+OFTEN = 8                 # segments of an anchor in a slice that are indexed there first
+HOT_ROWS = 4096
+FOUND = "key long, known byte, anchor long, k long, pos int, n int"
+STRINGS = "key long, k long, pos int, n int, data binary"
+
+
+@dataclass
+class Strings:
+    """Byte strings that hold the ``n`` windows from ``pos`` of text ``k`` on, with the key they are dealt by."""
+
+    key: np.ndarray
+    k: np.ndarray
+    pos: np.ndarray
+    n: np.ndarray
+    data: list[bytes]
+
+    def take(self, which: np.ndarray) -> Strings:
+        return Strings(self.key[which], self.k[which], self.pos[which], self.n[which], [self.data[i] for i in which.tolist()])
+
+    def cut(self, begin: int, end: int | None = None) -> Strings:
+        of = slice(begin, end)
+        return Strings(self.key[of], self.k[of], self.pos[of], self.n[of], self.data[of])
+
+    def joined(self, other: Strings) -> Strings:
+        return Strings(*(np.concatenate((getattr(self, c), getattr(other, c))) for c in ("key", "k", "pos", "n")),
+                       self.data + other.data)
+
+    def batch(self) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.key), pa.array(self.k), pa.array(self.pos.astype(np.int32)), pa.array(self.n.astype(np.int32)),
+             pa.array(self.data, pa.binary())], ["key", "k", "pos", "n", "data"])
+
 
+def _found(hashes: np.ndarray, k: np.ndarray, pos: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    key, known = _dealt(hashes, mix(k.astype(U64) * U64(BASE) + pos.astype(U64)))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key.view(np.int64)), pa.array(known.astype(np.int8)), pa.array(hashes.view(np.int64)), pa.array(k),
+         pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], ["key", "known", "anchor", "k", "pos", "n"])
+
+
+def candidates(size: int, gram: int):
+    """Segments, dealt by their anchors."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, max_bytes=SLICE_BYTES):
+            units = byte_units(part.column("text"))
+            row, at, n, anchor = segments(units, size, gram)
+            yield _found(anchor, part.column("_k").to_numpy()[row], at - units.first[row], n)
+
+    return run
+
+
+def single_windows(size: int):
+    """The windows of strings, dealt by their own hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "data", SLICE_BYTES // 4):
+            units = byte_units(part.column("data"))
+            k, pos, n = (part.column(c).to_numpy() for c in ("k", "pos", "n"))
+            row = np.repeat(np.arange(len(k)), n)
+            nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            at = units.first[row] + nth
+            up, down = _Powers.get(len(units.value) + 1)
+            prefix = np.concatenate((np.zeros(1, U64), np.cumsum(units.value * up[:len(units.value)])))
+            yield _found(mix((prefix[at + size] - prefix[at]) * down[at]), k[row], pos[row] + nth, np.ones(len(row), np.int64))
+
+    return run
+
+
+def settle(s: Strings, size: int) -> tuple[pa.RecordBatch, Strings]:
+    """Marks, as rows without data, of the windows that the index finds earlier in ``s``; the others."""
+    later = repeated_windows(s.data, s.k, s.pos, s.n, size)
+    which = np.repeat(np.arange(len(s.k)), s.n)
+    nth = np.arange(len(which)) - np.repeat(np.cumsum(s.n) - s.n, s.n)
+    gone = which[later]
+    k, pos, n = _merge_runs(s.k[gone], s.pos[gone] + nth[later], np.ones(len(gone), np.int64))
+    marks = pa.RecordBatch.from_arrays(
+        [pa.array((mix(k.astype(U64)) >> U64(1)).view(np.int64)), pa.array(k), pa.array(pos.astype(np.int32)),
+         pa.array(n.astype(np.int32)), pa.nulls(len(k), pa.binary())], ["key", "k", "pos", "n", "data"])
+    stay = np.flatnonzero(~later)
+    new = np.ones(len(stay), dtype=bool)
+    new[1:] = (which[stay][1:] != which[stay][:-1]) | (stay[1:] != stay[:-1] + 1)
+    lead = np.flatnonzero(new)
+    of, into = which[stay[lead]], nth[stay[lead]]
+    n = np.diff(np.append(lead, len(stay)))
+    data = [s.data[i][b:b + m + size - 1] for i, b, m in zip(of.tolist(), into.tolist(), n.tolist(), strict=True)]
+    return marks, Strings(s.key[of], s.k[of], s.pos[of] + into, n, data)
+
+
+def _whole_keys(s: Strings, last: bool) -> list[tuple[int, int]]:
+    """Ranges of strings sorted by key: whole keys, about ``INDEX_BYTES`` each. Unless ``last``, the last
+    key may go on and the last range must be full."""
+    total = np.cumsum([0, *map(len, s.data)])
+    ends = np.flatnonzero(s.key[1:] != s.key[:-1]) + 1
+    if last:
+        ends = np.append(ends, len(s.key))
+    out, begin = [], 0
+    while len(ends) and begin < ends[-1]:
+        over = int(np.searchsorted(total[ends], total[begin] + INDEX_BYTES))
+        if over >= len(ends) and not last:
+            break
+        out.append((begin, int(ends[min(over, len(ends) - 1)])))
+        begin = out[-1][1]
+    return out
+
+
+def cut_strings(size: int, often: int = OFTEN):
+    """Over texts with their lists of segments: the segments' bytes. Anchors with ``often`` segments or
+    more in a slice of texts are settled in it, and the earliest windows go on."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in unpressed(batches, SLICE_BYTES):
+            data, bounds = raw_bytes(part.column("text"))
+            lists = part.column("found")
+            row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+            anchor, pos, n = (lists.flatten().field(c).to_numpy() for c in ("anchor", "pos", "n"))
+            pos, n = pos.astype(np.int64), n.astype(np.int64)
+            at, raw = bounds[row] + pos, data.tobytes()
+            cut = [raw[b:e] for b, e in zip(at.tolist(), (at + n + (size - 1)).tolist(), strict=True)]
+            s = Strings(anchor, part.column("_k").to_numpy()[row], pos, n, cut)
+            _, place, count = np.unique(anchor, return_inverse=True, return_counts=True)
+            many = count[place] >= often
+            yield s.take(np.flatnonzero(~many)).batch()
+            s = s.take(np.flatnonzero(many)[np.argsort(anchor[many], kind="stable")])
+            for b, e in _whole_keys(s, True):
+                marks, left = settle(s.cut(b, e), size)
+                yield marks
+                yield left.batch()
+
+    return run
+
+
+def resolved(size: int):
+    """Over rows sorted by key: all marks."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        held, held_bytes, most = Strings(none, none, none, none, []), 0, 4 * INDEX_BYTES
+        for batch in batches:
+            yield batch.filter(batch.column("data").is_null()).select(["k", "pos", "n"])
+            batch = batch.filter(batch.column("data").is_valid())
+            key, k, pos, n = (batch.column(c).to_numpy().astype(np.int64) for c in ("key", "k", "pos", "n"))
+            new = batch.column("data").to_pylist()
+            held = held.joined(Strings(key, k, pos, n, new))
+            held_bytes += sum(map(len, new))
+            if held_bytes <= INDEX_BYTES:
+                continue
+            ranges = _whole_keys(held, False)
+            for b, e in ranges:
+                yield settle(held.cut(b, e), size)[0].select(["k", "pos", "n"])
+            if ranges:
+                held = held.cut(ranges[-1][1])
+            held_bytes = sum(map(len, held.data))
+            if held_bytes > most:   # one key beyond what is indexed at a time: its earliest windows go on
+                marks, held = settle(held, size)
+                yield marks.select(["k", "pos", "n"])
+                held = held.take(np.argsort(held.key, kind="stable"))
+                held_bytes = sum(map(len, held.data))
+                most = max(4 * INDEX_BYTES, 2 * held_bytes)
+        for b, e in _whole_keys(held, True):
+            yield settle(held.cut(b, e), size)[0].select(["k", "pos", "n"])
 
-def _method(size: int):
-    def run(data: list[bytes], k: np.ndarray, pos: np.ndarray, n: np.ndarray) -> np.ndarray:
-        return repeated_windows(data, k, pos, n, size)
     return run
 
 
 def _marks(rows: DataFrame, size: int, gram: int) -> DataFrame:
     """_k, marks: the runs of ``size``-byte strings of each text that also start earlier."""
-    return repeats(rows, byte_units, size, gram, _method(size), "suffix")
+    spark = rows.sparkSession
+    common.prepare(spark)
+    least = common.shuffle_partitions(spark)
+
+    def cut(rows_found: DataFrame) -> DataFrame:
+        """The bytes of what occurs again."""
+        found = (rows_found.repartition(least, "key").sortWithinPartitions("key").mapInArrow(repeated("key", 1), FOUND)
+                 .groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("anchor", "pos", "n")).alias("found")))
+        return (rows.select("_k", "text").mapInArrow(pressed, "_k long, z binary").join(found.hint("shuffle_hash"), "_k")
+                .select("_k", "z", "found").mapInArrow(cut_strings(size), STRINGS))
+
+    strings = common.saved(cut(rows.select("_k", "text").mapInArrow(candidates(size, gram), FOUND)), "suffix-strings")
+    hot = common.saved(strings.where("data is not null").groupBy("key").count().where(F.col("count") > HOT_ROWS)
+                       .select("key"), "suffix-hot")
+    if hot.limit(1).collect():
+        single = (strings.where("data is not null").join(hot, "key", "left_semi").select("k", "pos", "n", "data")
+                  .mapInArrow(single_windows(size), FOUND))
+        strings = strings.join(hot, "key", "left_anti").select("key", "k", "pos", "n", "data").union(cut(single))
+    marks = strings.repartition(least, "key").sortWithinPartitions("key").mapInArrow(resolved(size), "k long, pos int, n int")
+    return marks.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("pos", "n")).alias("marks"))
 
 
 def _removed(part: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -148,19 +148,26 @@ def repeated_windows(data: list[bytes], k: np.ndarray, pos: np.ndarray, n: np.nd
     string): does an equal window start earlier, in the order of (k, pos)?
 
     Rows whose match with the row above reaches ``size`` form one class of equal windows; the
-    earliest of a class stays."""
-    index = RunIndex.build(data)
+    earliest of a class stays. The rows of a string's copies (equal byte for byte) would follow its
+    own, in the same runs, and match the row above to the string's end: they are not built anew."""
+    number: dict[bytes, int] = {}
+    of = np.array([number.setdefault(d, len(number)) for d in data], dtype=np.int64)
+    index = RunIndex.build(list(number))
     row_of, match_of = index.stream()
     begin = np.cumsum(index.length + 1) - (index.length + 1)
+    turn = np.empty(len(data), dtype=np.int64)
+    by_place = np.lexsort((pos, k))
+    turn[by_place] = np.arange(len(data))
+    own = np.zeros(len(data), dtype=bool)   # the first of its copies
+    own[by_place[np.unique(of[by_place], return_index=True)[1]]] = True
     which = np.repeat(np.arange(len(data)), n)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-    at = begin[which] + nth
-    turn = np.empty(len(data), dtype=np.int64)
-    turn[np.lexsort((pos, k))] = np.arange(len(data))
+    at = begin[of[which]] + nth
     # Windows of different strings are different places, and strings of one text do not overlap.
     when = (turn[which] << 32) + nth
-    order = np.argsort(row_of[at])
-    new = match_of[at][order] < size
+    order = np.lexsort((when, row_of[at]))
+    match = np.where(own[which], match_of[at], index.length[of[which]] - nth)
+    new = match[order] < size
     # A class starts where the match is short; the row above then is another window or none.
     if len(new):
         new[0] = True

@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from linfold.llm import anchors, op3_simhash, op5_substring, op6_suffix, rindex
+from linfold.llm import op3_simhash, op5_substring, op6_suffix, rindex
 from linfold.llm.components import components
 from linfold.llm.xxh import xxh64
 from tests.llm import brute
@@ -50,38 +50,73 @@ def test_suffix_keep_cuts_whole_code_points(spark):
     assert op6_suffix.keep(docs).columns == docs.columns
 
 
-@pytest.mark.parametrize("most", [2, 4096])
-def test_very_common_anchors(monkeypatch, most):
-    """The steps in one process, with a low bound on the segments of an anchor."""
-    monkeypatch.setattr(anchors, "MOST_SEGMENTS", most)
+@pytest.mark.parametrize("hot", [1, 20, 4096])
+def test_suffix_hot_anchors(spark, monkeypatch, hot):
+    """A passage in every text, with a low bound on the rows of an anchor: the same result."""
+    monkeypatch.setattr(op6_suffix, "HOT_ROWS", hot)
     rng = np.random.default_rng(3)
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 900, 30)) + " " + passage + " "
              + " ".join(f"w{x}" for x in rng.integers(0, 900, 30))) for i in range(40)]
+    rows += [(40 + i, rows[i][1]) for i in range(9)]
+    got = rows_of(op6_suffix.removed(brute.table(spark, rows)), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == sorted(brute.suffix(rows), key=repr)
+
+
+def suffix_in_process(rows, often, seed):
+    """op6's steps in one process, each text a slice of its own or all in one, with batches of a few rows."""
+    rng = np.random.default_rng(seed)
     batch = pa.RecordBatch.from_pydict({"_k": [i for i, _ in rows], "text": [t for _, t in rows]})
-    for unit, size, gram, method, oracle in ((anchors.byte_units, 100, 24, op6_suffix._method(100), brute.suffix),):
-        found = pa.Table.from_batches(list(anchors.search(unit, size, gram)(batch.slice(i, 1) for i in range(40))))
-        found = found.sort_by([(c, "ascending") for c in ("kind", "ah", "sh", "k", "pos")])
-        found = pa.Table.from_batches(list(anchors.gather(iter(found.to_batches(max_chunksize=7))))).to_pylist()
-        assert any(f["kind"] == 2 for f in found) == (most == 2)
-        marks = [(f["k"], f["pos"], f["n"]) for f in found if f["kind"] == 1]
-        listed = [[{c: f[c] for c in ("kind", "ah", "pos", "n")} for f in found if f["kind"] != 1 and f["k"] == i]
-                  for i, _ in rows]
-        kind = pa.list_(pa.struct([("kind", pa.int8()), ("ah", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())]))
-        whole = pa.RecordBatch.from_arrays([*batch.columns, pa.array(listed, kind)], ["_k", "text", "found"])
-        cut = pa.Table.from_batches(list(anchors.cut_segments(unit, size)(iter([whole]))))
-        plain = cut.filter(pa.array(np.equal(cut["kind"].to_numpy(), 0))).sort_by("ah")
-        if plain.num_rows:
-            for b in anchors.resolve(method)(iter(plain.to_batches(max_chunksize=50))):
-                marks += [(r["k"], r["pos"], r["n"]) for r in b.to_pylist()]
-        first = {}
-        for r in sorted((r for r in cut.to_pylist() if r["kind"] == 2), key=lambda r: (r["k"], r["pos"])):
-            if first.setdefault((r["ah"], r["wh"]), r) is not r:
-                marks.append((r["k"], r["pos"], 1))
-        gone = {i: set() for i, _ in rows}
-        for k, pos, n in marks:
-            gone[k] |= set(range(pos, pos + n + size - 1))
-        assert [len(gone[i]) for i, _ in rows] == [x[2] for x in oracle(rows)]
+    found = pa.Table.from_batches(list(op6_suffix.candidates(100, 24)(batch.slice(i, 1) for i in range(len(rows)))))
+    found = found.take(pa.array(rng.permutation(found.num_rows))).sort_by("key")
+    found = pa.Table.from_batches(list(op5_substring.repeated("key", 1)(iter(found.to_batches(max_chunksize=5)))), found.schema)
+    runs = found.to_pylist()
+    listed = [[{c: r[c] for c in ("anchor", "pos", "n")} for r in runs if r["k"] == i] for i, _ in rows]
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())]))
+    whole = pa.RecordBatch.from_arrays([*batch.columns, pa.array(listed, kind)], ["_k", "text", "found"])
+    whole = next(op5_substring.pressed(iter([whole])))
+    cut = pa.Table.from_batches(list(op6_suffix.cut_strings(100, often)(iter([whole]))))
+    cut = cut.take(pa.array(rng.permutation(cut.num_rows))).sort_by("key")
+    out = op6_suffix.resolved(100)(iter(cut.to_batches(max_chunksize=int(rng.integers(1, 9)))))
+    return [(r["k"], r["pos"] + j) for b in out for r in b.to_pylist() for j in range(r["n"])]
+
+
+@pytest.mark.parametrize("index_bytes", [500, 1 << 20])
+@pytest.mark.parametrize("often", [2, 8, 1000])
+def test_suffix_steps_in_any_order_and_batches(monkeypatch, often, index_bytes):
+    """Also with one anchor beyond what is indexed at a time, and texts of one repeated phrase."""
+    monkeypatch.setattr(op6_suffix, "INDEX_BYTES", index_bytes)
+    rng = np.random.default_rng(often)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 900, 20)) + " " + passage * (i % 4 > 0)) for i in range(24)]
+    rows += [(30, rows[1][1]), (31, rows[2][1]), (32, "a" * 2500), (33, "ab" * 300 + "a" * 300), (34, ""), (35, "é" * 700)]
+    rows = [(int(k), t) for k, (_, t) in zip(rng.permutation(1000)[:len(rows)] - 500, rows, strict=True)]
+    marks = suffix_in_process(rows, often, often)
+    seen, want = set(), set()
+    for i, text in brute.order(rows):
+        raw = text.encode()
+        for at in range(len(raw) - 99):
+            if raw[at:at + 100] in seen:
+                want.add((i, at))
+            seen.add(raw[at:at + 100])
+    assert len(marks) == len(set(marks)) and set(marks) == want
+
+
+def test_every_suffix_mark_comes_from_the_index(monkeypatch):
+    """An index that finds nothing: nothing is marked, whatever the hashes say."""
+    rows = [(i, " ".join(f"w{x}" for x in range(80))) for i in range(30)]
+    count = []
+
+    def index(data, k, pos, n, size):
+        later = rindex.repeated_windows(data, k, pos, n, size)
+        count.append(int(later.sum()))
+        return later
+
+    monkeypatch.setattr(op6_suffix, "repeated_windows", index)
+    marks = suffix_in_process(rows, 8, 1)
+    assert len(marks) == sum(count) > 0
+    monkeypatch.setattr(op6_suffix, "repeated_windows", lambda data, k, pos, n, size: np.zeros(int(n.sum()), dtype=bool))
+    assert not suffix_in_process(rows, 8, 1)
 
 
 def in_process(rows, size, ranges, seed):
