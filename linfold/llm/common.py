@@ -20,12 +20,12 @@ def prepare(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """``df`` written below the shared folder of ``spark.checkpoint.dir`` and read again: it is
-    computed once, and a lost executor loses nothing of it."""
+    computed once, and a lost executor loses nothing of it. ``codec``: the session's if None."""
     spark = df.sparkSession
     path = posixpath.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.parquet(path, compression=codec)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -35,7 +35,7 @@ from linfold.llm import common
 from linfold.llm.anchors import _merge_runs, byte_units, marked_units, segments
 from linfold.llm.op5_substring import _dealt, pressed, repeated, unpressed
 from linfold.llm.rindex import repeated_windows
-from linfold.llm.textbytes import BASE, U64, _Powers, chunks, mix, raw_bytes
+from linfold.llm.textbytes import BASE, CHUNK_BYTES, U64, _Powers, chunks, mix, raw_bytes
 
 SIZE, GRAM = 100, 24
 SLICE_BYTES = 1 << 20     # texts searched at a time
@@ -92,7 +92,7 @@ def candidates(size: int, gram: int):
 
 
 def single_windows(size: int):
-    """The windows of strings, dealt by their own hashes."""
+    """The windows of strings, dealt by their own hashes; ``n`` is a window's place in its string."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "data", SLICE_BYTES // 4):
             units = byte_units(part.column("data"))
@@ -102,27 +102,31 @@ def single_windows(size: int):
             at = units.first[row] + nth
             up, down = _Powers.get(len(units.value) + 1)
             prefix = np.concatenate((np.zeros(1, U64), np.cumsum(units.value * up[:len(units.value)])))
-            yield _found(mix((prefix[at + size] - prefix[at]) * down[at]), k[row], pos[row] + nth, np.ones(len(row), np.int64))
+            batch = _found(mix((prefix[at + size] - prefix[at]) * down[at]), k[row], pos[row] + nth, nth)
+            yield batch.set_column(4, "pos", pa.array(pos[row].astype(np.int32)))
 
     return run
 
 
+def _runs(which: np.ndarray, nth: np.ndarray, some: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """String, place and number of the ``some`` windows that follow one another in a string."""
+    new = np.ones(len(some), dtype=bool)
+    new[1:] = (which[some][1:] != which[some][:-1]) | (some[1:] != some[:-1] + 1)
+    lead = np.flatnonzero(new)
+    return which[some[lead]], nth[some[lead]], np.diff(np.append(lead, len(some)))
+
+
 def settle(s: Strings, size: int) -> tuple[pa.RecordBatch, Strings]:
     """Marks, as rows without data, of the windows that the index finds earlier in ``s``; the others."""
     later = repeated_windows(s.data, s.k, s.pos, s.n, size)
     which = np.repeat(np.arange(len(s.k)), s.n)
     nth = np.arange(len(which)) - np.repeat(np.cumsum(s.n) - s.n, s.n)
-    gone = which[later]
-    k, pos, n = _merge_runs(s.k[gone], s.pos[gone] + nth[later], np.ones(len(gone), np.int64))
+    of, into, n = _runs(which, nth, np.flatnonzero(later))
+    k, pos, n = _merge_runs(s.k[of], s.pos[of] + into, n)
     marks = pa.RecordBatch.from_arrays(
         [pa.array((mix(k.astype(U64)) >> U64(1)).view(np.int64)), pa.array(k), pa.array(pos.astype(np.int32)),
          pa.array(n.astype(np.int32)), pa.nulls(len(k), pa.binary())], ["key", "k", "pos", "n", "data"])
-    stay = np.flatnonzero(~later)
-    new = np.ones(len(stay), dtype=bool)
-    new[1:] = (which[stay][1:] != which[stay][:-1]) | (stay[1:] != stay[:-1] + 1)
-    lead = np.flatnonzero(new)
-    of, into = which[stay[lead]], nth[stay[lead]]
-    n = np.diff(np.append(lead, len(stay)))
+    of, into, n = _runs(which, nth, np.flatnonzero(~later))
     data = [s.data[i][b:b + m + size - 1] for i, b, m in zip(of.tolist(), into.tolist(), n.tolist(), strict=True)]
     return marks, Strings(s.key[of], s.k[of], s.pos[of] + into, n, data)
 
@@ -144,9 +148,21 @@ def _whole_keys(s: Strings, last: bool) -> list[tuple[int, int]]:
     return out
 
 
+def _sent(s: Strings, size: int, often: int) -> Iterator[pa.RecordBatch]:
+    """The strings of a slice of texts. Keys with ``often`` strings or more are settled in it, and their
+    earliest windows go on."""
+    _, place, count = np.unique(s.key, return_inverse=True, return_counts=True)
+    many = count[place] >= often
+    yield s.take(np.flatnonzero(~many)).batch()
+    s = s.take(np.flatnonzero(many)[np.argsort(s.key[many], kind="stable")])
+    for b, e in _whole_keys(s, True):
+        marks, left = settle(s.cut(b, e), size)
+        yield marks
+        yield left.batch()
+
+
 def cut_strings(size: int, often: int = OFTEN):
-    """Over texts with their lists of segments: the segments' bytes. Anchors with ``often`` segments or
-    more in a slice of texts are settled in it, and the earliest windows go on."""
+    """Over texts with their lists of segments: the segments' bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in unpressed(batches, SLICE_BYTES):
             data, bounds = raw_bytes(part.column("text"))
@@ -156,15 +172,22 @@ def cut_strings(size: int, often: int = OFTEN):
             pos, n = pos.astype(np.int64), n.astype(np.int64)
             at, raw = bounds[row] + pos, data.tobytes()
             cut = [raw[b:e] for b, e in zip(at.tolist(), (at + n + (size - 1)).tolist(), strict=True)]
-            s = Strings(anchor, part.column("_k").to_numpy()[row], pos, n, cut)
-            _, place, count = np.unique(anchor, return_inverse=True, return_counts=True)
-            many = count[place] >= often
-            yield s.take(np.flatnonzero(~many)).batch()
-            s = s.take(np.flatnonzero(many)[np.argsort(anchor[many], kind="stable")])
-            for b, e in _whole_keys(s, True):
-                marks, left = settle(s.cut(b, e), size)
-                yield marks
-                yield left.batch()
+            yield from _sent(Strings(anchor, part.column("_k").to_numpy()[row], pos, n, cut), size, often)
+
+    return run
+
+
+def cut_windows(size: int, often: int = OFTEN):
+    """Over strings with their lists of windows: each window as a string."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "data", SLICE_BYTES // 4):
+            lists = part.column("found")
+            row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+            anchor, nth = (lists.flatten().field(c).to_numpy() for c in ("anchor", "n"))
+            k, pos = (part.column(c).to_numpy().astype(np.int64)[row] for c in ("k", "pos"))
+            data = part.column("data").to_pylist()
+            cut = [data[i][b:b + size] for i, b in zip(row.tolist(), nth.tolist(), strict=True)]
+            yield from _sent(Strings(anchor, k, pos + nth, np.ones(len(row), np.int64), cut), size, often)
 
     return run
 
@@ -207,20 +230,24 @@ def _marks(rows: DataFrame, size: int, gram: int) -> DataFrame:
     common.prepare(spark)
     least = common.shuffle_partitions(spark)
 
-    def cut(rows_found: DataFrame) -> DataFrame:
-        """The bytes of what occurs again."""
-        found = (rows_found.repartition(least, "key").sortWithinPartitions("key").mapInArrow(repeated("key", 1), FOUND)
-                 .groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("anchor", "pos", "n")).alias("found")))
-        return (rows.select("_k", "text").mapInArrow(pressed, "_k long, z binary").join(found.hint("shuffle_hash"), "_k")
-                .select("_k", "z", "found").mapInArrow(cut_strings(size), STRINGS))
+    def again(found: DataFrame) -> DataFrame:
+        """Rows whose key occurs again."""
+        return found.repartition(least, "key").sortWithinPartitions("key").mapInArrow(repeated("key", 1), FOUND)
 
-    strings = common.saved(cut(rows.select("_k", "text").mapInArrow(candidates(size, gram), FOUND)), "suffix-strings")
+    found = (again(rows.select("_k", "text").mapInArrow(candidates(size, gram), FOUND)).groupBy(F.col("k").alias("_k"))
+             .agg(F.collect_list(F.struct("anchor", "pos", "n")).alias("found")))
+    strings = (rows.select("_k", "text").mapInArrow(pressed, "_k long, z binary").join(found.hint("shuffle_hash"), "_k")
+               .select("_k", "z", "found").mapInArrow(cut_strings(size), STRINGS))
+    strings = common.saved(strings, "suffix-strings", "zstd")
     hot = common.saved(strings.where("data is not null").groupBy("key").count().where(F.col("count") > HOT_ROWS)
                        .select("key"), "suffix-hot")
     if hot.limit(1).collect():
-        single = (strings.where("data is not null").join(hot, "key", "left_semi").select("k", "pos", "n", "data")
-                  .mapInArrow(single_windows(size), FOUND))
-        strings = strings.join(hot, "key", "left_anti").select("key", "k", "pos", "n", "data").union(cut(single))
+        whole = strings.where("data is not null").join(hot, "key", "left_semi").select("k", "pos", "n", "data")
+        found = (again(whole.mapInArrow(single_windows(size), FOUND)).groupBy("k", "pos")
+                 .agg(F.collect_list(F.struct("anchor", "n")).alias("found")))
+        single = (whole.join(found.hint("shuffle_hash"), ["k", "pos"]).select("k", "pos", "data", "found")
+                  .mapInArrow(cut_windows(size), STRINGS))
+        strings = strings.join(hot, "key", "left_anti").select("key", "k", "pos", "n", "data").union(single)
     marks = strings.repartition(least, "key").sortWithinPartitions("key").mapInArrow(resolved(size), "k long, pos int, n int")
     return marks.groupBy(F.col("k").alias("_k")).agg(F.collect_list(F.struct("pos", "n")).alias("marks"))
 
@@ -238,7 +265,7 @@ def removed(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
     Empty table: no rows. Other columns are ignored. Texts of any length are taken whole.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches):
+        for part in unpressed(batches, CHUNK_BYTES):
             data, bounds, gone = _removed(part, size)
             total = np.concatenate(([0], np.cumsum(gone, dtype=np.int64)))
             starts = gone.copy()
@@ -257,7 +284,8 @@ def removed(docs: DataFrame, size: int = SIZE, gram: int = GRAM) -> DataFrame:
 
     rows = common.keyed(docs)
     marks = _marks(rows, size, gram)
-    return (rows.join(marks.hint("shuffle_hash"), "_k", "left").select("doc_id", "text", "marks")
+    return (rows.select("_k", "doc_id", "text").mapInArrow(pressed, "_k long, doc_id long, z binary")
+            .join(marks.hint("shuffle_hash"), "_k", "left").select("doc_id", "z", "marks")
             .mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"))
 
 

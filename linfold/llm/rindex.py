@@ -40,9 +40,11 @@ class RunIndex:
         key = symbol.copy()
         for j in range(1, PACK):
             key = (key << 9) | np.where(rest >= j, padded[j:j + n], 0)
-        # Suffixes whose mark is in the key differ by it: ties are in string order.
-        tie = np.where(rest < PACK, string, 0)
-        order = np.lexsort((tie, key))
+        # Suffixes whose mark is in the key differ by it: ties are in string order, which is theirs here.
+        tie = np.where(rest < PACK, string + 1, 0)
+        order = np.argsort(key)
+        short = np.flatnonzero(tie[order])
+        order[short] = order[short][np.lexsort((order[short], key[order[short]]))]
         # A rank is the first row of its group of equal suffixes; only groups of several go on.
         ranks, width = [], PACK
         rank = _ranks(key, tie, order)
@@ -165,7 +167,7 @@ def repeated_windows(data: list[bytes], k: np.ndarray, pos: np.ndarray, n: np.nd
     at = begin[of[which]] + nth
     # Windows of different strings are different places, and strings of one text do not overlap.
     when = (turn[which] << 32) + nth
-    order = np.lexsort((when, row_of[at]))
+    order = np.argsort((row_of[at] << 32) + turn[which])
     match = np.where(own[which], match_of[at], index.length[of[which]] - nth)
     new = match[order] < size
     # A class starts where the match is short; the row above then is another window or none.
