@@ -3,7 +3,8 @@
 A window is ``size`` consecutive bytes of one text. Of the ``gram``-byte grams in a window the one
 with the smallest hash is its anchor, so equal windows have equal anchors. Consecutive windows whose
 anchors have the same hash make a segment (of ``4 * size`` windows at most; longer ones, in texts of
-one repeated phrase, are cut). A window can occur twice only if its anchor's hash does.
+one repeated phrase, are cut). A window can occur twice only if its anchor does: in two segments, or
+at two places of one.
 """
 
 from __future__ import annotations
@@ -16,6 +17,9 @@ import pyarrow as pa
 from linfold.llm.textbytes import BYTE_VALUE, U64, _Powers, mix, raw_bytes
 
 
+LOW = U64((1 << 32) - 1)
+
+
 @dataclass
 class Units:
     """The bytes of a batch of texts, a 64-bit value for each, and ``first`` (n + 1), each text's first."""
@@ -45,33 +49,39 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:out], ahead[width - 1:width - 1 + out])
 
 
-def segments(units: Units, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, place (in the batch), number of windows and anchor hash of each segment of a batch."""
+def segments(units: Units, size: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Text, place (in the batch), number of windows and anchor hash of each segment of a batch, and
+    whether its windows have their anchors at more than one place."""
     value, first = units.value, units.first
     total = len(value)
     counts = np.maximum(np.diff(first) - size + 1, 0)
     if not counts.any():
         none = np.zeros(0, dtype=np.int64)
-        return none, none, none, none.astype(U64)
+        return none, none, none, none.astype(U64), none.astype(bool)
     up, down = _Powers.get(total + 1)
     prefix = np.empty(total + 1, dtype=U64)
     prefix[0] = 0
     np.cumsum(value * up[:total], out=prefix[1:])
     grams = mix((prefix[gram:] - prefix[:-gram]) * down[:total - gram + 1])
-    anchor = sliding_min(grams, size - gram + 1)
+    # The smallest by its upper 32 bits, the first of equal ones: a rule of the bytes alone.
+    ranked = (grams & ~LOW) | np.arange(len(grams), dtype=U64)
+    anchor = (sliding_min(ranked, size - gram + 1) & LOW).astype(np.int64)
     valid = np.zeros(total + 1, dtype=np.int8)
     has = counts > 0
     valid[first[:-1][has]] = 1
     valid[first[:-1][has] + counts[has]] -= 1   # texts are adjacent: an end may be the next one's start
     start = np.flatnonzero(np.cumsum(valid[:len(anchor)]) > 0)
-    at_anchor = anchor[start]
+    place = anchor[start]
+    at_anchor = grams[place]
     row = np.searchsorted(first, start, "right") - 1
     new = np.ones(len(start), dtype=bool)
     new[1:] = (at_anchor[1:] != at_anchor[:-1]) | (start[1:] != start[:-1] + 1) | (row[1:] != row[:-1])
     nth = np.arange(len(start))
     new |= (nth - np.maximum.accumulate(np.where(new, nth, 0))) % (4 * size) == 0
     lead = np.flatnonzero(new)
-    return row[lead], start[lead], np.diff(np.append(lead, len(start))), at_anchor[lead]
+    moved = np.zeros(len(start), dtype=bool)
+    moved[1:] = (place[1:] != place[:-1]) & ~new[1:]
+    return row[lead], start[lead], np.diff(np.append(lead, len(start))), at_anchor[lead], np.logical_or.reduceat(moved, lead)
 
 
 def _merge_runs(k: np.ndarray, pos: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

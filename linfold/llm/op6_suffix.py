@@ -73,10 +73,11 @@ class Strings:
              pa.array(self.data, pa.binary())], ["key", "k", "pos", "n", "data"])
 
 
-def _found(hashes: np.ndarray, k: np.ndarray, pos: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+def _found(hashes: np.ndarray, k: np.ndarray, pos: np.ndarray, n: np.ndarray, twice: np.ndarray | bool = False) -> pa.RecordBatch:
+    """``twice``: rows that hold their anchor twice, so that they go on whatever the others are."""
     key, known = _dealt(hashes, mix(k.astype(U64) * U64(BASE) + pos.astype(U64)))
     return pa.RecordBatch.from_arrays(
-        [pa.array(key.view(np.int64)), pa.array(known.astype(np.int8)), pa.array(hashes.view(np.int64)), pa.array(k),
+        [pa.array(key.view(np.int64)), pa.array((known | twice).astype(np.int8)), pa.array(hashes.view(np.int64)), pa.array(k),
          pa.array(pos.astype(np.int32)), pa.array(n.astype(np.int32))], ["key", "known", "anchor", "k", "pos", "n"])
 
 
@@ -85,8 +86,8 @@ def candidates(size: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, max_bytes=SLICE_BYTES):
             units = byte_units(part.column("text"))
-            row, at, n, anchor = segments(units, size, gram)
-            yield _found(anchor, part.column("_k").to_numpy()[row], at - units.first[row], n)
+            row, at, n, anchor, twice = segments(units, size, gram)
+            yield _found(anchor, part.column("_k").to_numpy()[row], at - units.first[row], n, twice)
 
     return run
 

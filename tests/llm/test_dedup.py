@@ -89,7 +89,8 @@ def test_suffix_steps_in_any_order_and_batches(monkeypatch, often, index_bytes):
     rng = np.random.default_rng(often)
     passage = " ".join(f"p{i}" for i in range(60))
     rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 900, 20)) + " " + passage * (i % 4 > 0)) for i in range(24)]
-    rows += [(30, rows[1][1]), (31, rows[2][1]), (32, "a" * 2500), (33, "ab" * 300 + "a" * 300), (34, ""), (35, "é" * 700)]
+    rows += [(30, rows[1][1]), (31, rows[2][1]), (32, "a" * 2500), (33, "ab" * 300 + "a" * 300), (34, ""), (35, "é" * 700),
+             (36, "x " + "nd " * 45), (37, "is, " * 27 + "end"), (38, "0123456789" * 11)]   # repeats within one segment
     rows = [(int(k), t) for k, (_, t) in zip(rng.permutation(1000)[:len(rows)] - 500, rows, strict=True)]
     marks = suffix_in_process(rows, often, often)
     seen, want = set(), set()
