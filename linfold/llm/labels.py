@@ -13,13 +13,16 @@ def fold(modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-def sample(labels: DataFrame, label: str, rows: int, keep: Column | None = None) -> DataFrame:
-    """doc_id, label: ``rows`` labelled documents at most, those with the smallest hash of
-    doc_id. Rows without doc_id or label are left out; of several labels for a doc_id the smallest
-    counts."""
-    known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
+def known(labels: DataFrame, label: str, keep: Column | None = None) -> DataFrame:
+    """doc_id, label of every labelled document. Rows without doc_id or label are left out; of several
+    labels for a doc_id the smallest counts."""
+    found = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
              .where("doc_id IS NOT NULL AND label IS NOT NULL"))
     if keep is not None:
-        known = known.where(keep)
-    return (known.groupBy("doc_id").agg(F.min("label").alias("label"))
-            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+        found = found.where(keep)
+    return found.groupBy("doc_id").agg(F.min("label").alias("label"))
+
+
+def sample(labels: DataFrame, label: str, rows: int, keep: Column | None = None) -> DataFrame:
+    """``known``: ``rows`` documents at most, those with the smallest hash of doc_id."""
+    return known(labels, label, keep).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)

@@ -7,6 +7,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from linfold.llm import bpe, op1_fingerprint, op2_packing, op4_rules, op7_toxicity, op8_revisits, op9_bpe, op10_classifier
 from tests.llm import brute
@@ -390,3 +391,52 @@ def test_texts_of_megabytes(spark):
     pieces = op2_packing.packed(brute.table(spark, rows), sequence=2048).where("doc_id = 2").orderBy("piece").collect()
     assert [p.start for p in pieces] == [0, *np.cumsum([p.length for p in pieces])[:-1].tolist()]
     assert all(p.length == 2048 for p in pieces[1:])
+
+
+def test_rules_learn_from_every_labelled_document(spark):
+    """20,300 labelled documents: bad ones that come last in the order of hashed ids count as any other."""
+    ids = spark.range(20_300).select(F.col("id").alias("doc_id"))
+    last = [r.doc_id for r in ids.orderBy(F.xxhash64("doc_id").desc()).limit(200).collect()]
+    bad = F.col("doc_id").isin(last)
+    word = F.concat(F.lit("w"), F.conv(F.col("doc_id") * 31 + F.col("i"), 10, 36))
+    docs = (ids.select("doc_id", F.explode(F.sequence(F.lit(1), F.lit(24))).alias("i"))
+            .select("doc_id", F.when(bad, F.concat(word, F.lit("$$$"))).otherwise(word).alias("w"))
+            .groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list("w")).alias("text")))
+    labels = ids.select("doc_id", F.when(bad, 0).otherwise(1).alias("quality"))
+    rules, scored = op4_rules._taught(docs, labels)
+    assert rules.forest.rows == 20_100
+    rejected = scored.where(F.col("anomaly") >= rules.cut)
+    assert {r.doc_id for r in rejected.collect()} == set(last)
+
+
+def test_forest_counts_and_threshold(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 3))
+    x[:, 2] = 1.0
+    splits = op4_rules.Forest.splits(x.min(axis=0), x.max(axis=0), trees=4, depth=5)
+    size = splits.feature.shape[1]
+    counts = np.bincount(splits.nodes(x).ravel(), minlength=4 * size).reshape(4, size)
+    grown = splits.grown(counts, 500)
+    for tree in range(4):
+        def walk(node, rows, level):
+            f = splits.feature[tree, node]
+            assert f in (0, 1) if level < 5 else f == -1
+            if len(rows) <= 1 or level == 5:
+                assert grown.feature[tree, node] == -1
+                assert grown.length[tree, node] == pytest.approx(level + float(op4_rules.expected_path(len(rows))))
+                return
+            first = x[rows, f] <= splits.value[tree, node]
+            walk(2 * node + 1, rows[first], level + 1)
+            walk(2 * node + 2, rows[~first], level + 1)
+
+        walk(0, np.arange(500), 0)
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        score, cost = rng.integers(0, 60, 200) / 64, rng.choice([10, -1], 200, p=[0.08, 0.92])
+        df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(score, cost)], "score double, cost int")
+        values = np.unique(score)[::-1]
+        total = [int(cost[score >= v].sum()) for v in values]
+        best = int(np.argmin(total))
+        want = (values[best] + values[min(best + 1, len(values) - 1)]) / 2 if total[best] < 0 else float("inf")
+        assert op4_rules.threshold(df) == want
+    assert op4_rules.threshold(df.where("cost > 0")) == float("inf")
