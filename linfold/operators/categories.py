@@ -5,19 +5,17 @@ keeps the categories as a DataFrame (c, category, n, id): a one-hot design witho
 literal or a driver object per category. ``transform`` gives the ones of the design as rows;
 ``predict`` adds the weights of the categories by joins. An unseen category has no row and adds 0.
 
-``NormalEquations`` holds the centred normal matrix of that design as packed rows of co-occurrence
-counts, dealt by ranges of (row, column): a matrix-vector product reads them where they are and
-returns one number per category; nothing is shuffled and no matrix is gathered. ``solve`` finds
-least-squares or ridge weights by conjugate gradients; the driver holds vectors only.
+``NormalEquations`` holds the centred normal matrix of that design as rows: per category its count
+and the sums of the numeric columns, per pair of categories of different columns how often they meet.
+``solve`` finds least-squares or ridge weights by conjugate gradients. The vectors are columns of the
+table of categories; a product joins them to the pairs, and the driver gets one row of sums per pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +24,11 @@ from linfold.functions.exprs import quote
 from linfold.operators.gram import gram_stats
 from linfold.operators.preprocess import Preprocessor, PreprocessorModel, category_value
 from linfold.operators.target import feature_types
-from linfold.session import materialize, ship_package
+from linfold.session import materialize
 
 BROADCAST_BYTES = 8 << 20    # a column's categories up to this measured size are sent to every task
 SALTS = 16                   # beyond it, rows of a hot category are dealt over so many tasks
-ENTRY_ROWS = 1 << 18         # entries of one packed block
+LINEAGE = 8                  # iterations without pairs after which the vectors go to the shared folder
 
 
 def _partitions(df: DataFrame) -> int:
@@ -172,7 +170,6 @@ class NormalEquations:
     ``release``. Rows with a NULL, NaN or infinite target are an error."""
 
     def __init__(self, raw: DataFrame, model: CategoryModel, target: str):
-        ship_package(raw.sparkSession)
         self.model, self.spark = model, raw.sparkSession
         numeric = model.numeric_names
         u = [f"_u{j}" for j in range(len(numeric))]
@@ -181,96 +178,72 @@ class NormalEquations:
                            F.col(quote(target)).cast("double").alias("_y"))
         base = gram_stats(frame, u, "_y")
         self.n, self.m, self.size = base.n, len(numeric), model.size
-        self.mean_y, self.mean_u, self.cuu = base.mean_y, base.mean_x, base.cxx
-        ids = model.table.select("c", "category", "id")
+        self.mean_y, self.mean_u, self.cuu, self.cuy = base.mean_y, base.mean_x, base.cxx, base.cxy
+        parts = _partitions(raw)
         # Per category: rows, sums of the numeric columns and of the target.
         single = (frame.select(*u, "_y", F.explode(F.array(*[
             F.struct(F.lit(i).alias("c"), F.col(f"_c{i}").alias("category")) for i in range(len(model.columns))])).alias("e"))
-            .groupBy("e.c", "e.category").agg(F.count(F.lit(1)).cast("double").alias("cnt"),
-                                              F.array(*[F.sum(x) for x in (*u, "_y")]).alias("sums")))
-        single = single.join(ids, ["c", "category"]).select(
-            F.col("id").alias("i"), F.lit(-1).cast("long").alias("j"), "cnt", "sums")
+            .groupBy("e.c", "e.category").agg(F.count(F.lit(1)).cast("double").alias("cnt"), F.sum("_y").alias("_y"),
+                                              *[F.sum(x).alias(x) for x in u]))
+        self.table = (model.table.select("c", "category", "n", "id").join(single, ["c", "category"], "left")
+                      .na.fill(0.0, ["cnt", "_y", *u])
+                      .select("c", "category", "n", "id", "cnt", *u, (F.col("_y") - F.col("cnt") * F.lit(self.mean_y)).alias("right"))
+                      .repartition(parts, "id").persist(StorageLevel.MEMORY_AND_DISK))
+        self.sums = u
         pairs = [(a, b) for a in range(len(model.columns)) for b in range(a + 1, len(model.columns))]
-        entries = single
+        self.hot, self.pairs = [], []
         if pairs:
+            ids = model.table.select("c", "category", "id")
             both = (frame.select(F.explode(F.array(*[
                 F.struct(F.lit(a).alias("a"), F.col(f"_c{a}").alias("v"), F.lit(b).alias("b"), F.col(f"_c{b}").alias("w"))
                 for a, b in pairs])).alias("e")).select("e.*")
-                .groupBy("a", "v", "b", "w").agg(F.count(F.lit(1)).cast("double").alias("cnt")))
+                .groupBy("a", "v", "b", "w").agg(F.count(F.lit(1)).cast("double").alias("met")))
             both = (both.join(ids.toDF("a", "v", "i"), ["a", "v"]).join(ids.toDF("b", "w", "j"), ["b", "w"])
-                    .select("i", "j", "cnt", F.lit(None).cast("array<double>").alias("sums")))
-            entries = entries.union(both).union(both.select(F.col("j").alias("i"), F.col("i").alias("j"), "cnt", "sums"))
-        width = self.m + 1
-        parts = _partitions(raw)
-
-        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for at in range(0, batch.num_rows, ENTRY_ROWS):
-                    piece = batch.slice(at, ENTRY_ROWS)
-                    i, j, cnt = (piece.column(c).to_numpy(zero_copy_only=False) for c in ("i", "j", "cnt"))
-                    own = j < 0
-                    sums = np.array(piece.column("sums").filter(pa.array(own)).to_pylist(), dtype=float).reshape(-1, width)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([x.astype(t).tobytes()], pa.binary()) for x, t in
-                         ((i, np.int64), (j, np.int64), (cnt, np.float64), (sums, np.float64))], ["i", "j", "cnt", "sums"])
-
-        self.blocks = (entries.repartitionByRange(parts, "i", "j").sortWithinPartitions("i", "j")
-                       .mapInArrow(pack, "i binary, j binary, cnt binary, sums binary")
-                       .persist(StorageLevel.MEMORY_AND_DISK))
-        self.count, self.diagonal, right = np.zeros(self.size), np.zeros(self.size), np.zeros(self.size)
-        for ids_, values in self._over(lambda i, j, cnt, sums: (i[j < 0], np.column_stack([cnt[j < 0], sums[:, -1]]))):
-            self.count[ids_], right[ids_] = values[:, 0], values[:, 1]
-        self.right = np.concatenate([base.cxy, right - self.count * base.mean_y])
-        self.mean = np.concatenate([base.mean_x, self.count / self.n])
+                    .select("i", "j", "met"))
+            both = both.union(both.select(F.col("j").alias("i"), F.col("i").alias("j"), "met"))
+            # Categories with very many rows meet very many others: they are sent to the pairs.
+            self.hot = [r["id"] for r in self.table.where(F.col("cnt") * (4 * parts) > self.n).select("id").collect()]
+            self.pairs = [p.persist(StorageLevel.MEMORY_AND_DISK) for p in (
+                both.where(F.col("j").isin(self.hot)).repartition(parts, "i"),
+                both.where(~F.col("j").isin(self.hot)).repartition(parts, "j"))]
 
     def release(self) -> None:
-        self.blocks.unpersist()
-
-    def _over(self, kernel) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(ids, values) that ``kernel`` returns for every block: some numbers per category."""
-        width = self.m + 1
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for i, j, cnt, sums in zip(*[batch.column(c).to_pylist() for c in ("i", "j", "cnt", "sums")], strict=True):
-                    ids, values = kernel(np.frombuffer(i, np.int64), np.frombuffer(j, np.int64), np.frombuffer(cnt),
-                                         np.frombuffer(sums).reshape(-1, width))
-                    if len(ids):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([x.tobytes()], pa.binary()) for x in (ids, np.ascontiguousarray(values))],
-                            ["ids", "values"])
-
-        for row in self.blocks.mapInArrow(run, "ids binary, values binary").collect():   # numbers per category
-            ids = np.frombuffer(row["ids"], np.int64)
-            yield ids, np.frombuffer(row["values"]).reshape(len(ids), -1)
+        for df in (self.table, *self.pairs):
+            df.unpersist()
+
+    def _product(self, table: DataFrame, numeric: np.ndarray) -> DataFrame:
+        """``table`` with ``_a``: the categories' rows of the matrix, not centred, times the vector of
+        ``numeric`` and column ``p``."""
+        own = F.col("cnt") * F.col("p")
+        for x, v in zip(self.sums, numeric, strict=True):
+            own = own + F.col(x) * F.lit(float(v))
+        if not self.pairs:
+            return table.withColumn("_a", own)
+        vector = table.select(F.col("id").alias("j"), "p")
+        hot, others = self.pairs
+        met = (hot.join(F.broadcast(vector.where(F.col("j").isin(self.hot))), "j").select("i", "met", "p")
+               .union(others.join(vector, "j").select("i", "met", "p"))
+               .groupBy(F.col("i").alias("id")).agg(F.sum(F.col("met") * F.col("p")).alias("_b")))
+        return table.join(met, "id", "left").withColumn("_a", own + F.coalesce("_b", F.lit(0.0))).drop("_b")
+
+    def _centred(self, table: DataFrame, numeric: np.ndarray) -> tuple[np.ndarray, float, float, float]:
+        """From ``_product``: the numeric part of the centred product, the vector's mean over the
+        rows, and the sums of p * _a and p * p over the categories. One row reaches the driver."""
+        p = F.col("p")
+        row = table.agg(*[F.coalesce(F.sum(e), F.lit(0.0)) for e in
+                          (F.col("cnt") * p, p * F.col("_a"), p * p, *[F.col(x) * p for x in self.sums])]).first()
+        # Numeric x numeric is centred already; the rest is raw sums.
+        out = self.cuu @ numeric + np.array(row[3:], dtype=float) - self.mean_u * row[0]
+        return out, float(self.mean_u @ numeric) + row[0] / self.n, row[1], row[2]
 
     def times(self, vector: np.ndarray) -> np.ndarray:
-        """The centred normal matrix times a vector (numeric part first)."""
-        m = self.m
-        shared = self.spark.sparkContext.broadcast(vector)   # one number per feature
-
-        def kernel(i, j, cnt, sums):
-            v = shared.value
-            own = j < 0
-            ids, place = np.unique(i, return_inverse=True)
-            out = np.zeros((len(ids), 1 + m))
-            # cnt * v[j] of co-occurring categories; of the category itself its rows and numeric sums
-            weight = np.where(own, v[m + i], v[m + np.maximum(j, 0)])
-            out[:, 0] = np.bincount(place, weights=cnt * weight, minlength=len(ids))
-            np.add.at(out[:, 0], place[own], sums[:, :m] @ v[:m])
-            np.add.at(out[:, 1:], place[own], sums[:, :m] * v[m + i[own], None])
-            return ids, out
-
-        total = np.zeros(m + self.size)
-        for ids, values in self._over(kernel):
-            np.add.at(total, m + ids, values[:, 0])
-            total[:m] += values[:, 1:].sum(axis=0)
-        shared.unpersist()
-        # Numeric x numeric is centred already; the rest is raw sums.
-        total[:m] += self.cuu @ vector[:m]
-        total[m:] -= self.n * self.mean[m:] * (self.mean @ vector)
-        total[:m] -= self.n * self.mean[:m] * (self.mean[m:] @ vector[m:])
-        return total
+        """The centred normal matrix times a vector that the driver holds (numeric part first)."""
+        numeric, own = vector[:self.m], vector[self.m:]
+        given = self.spark.createDataFrame([(i, float(v)) for i, v in enumerate(own)], "id long, p double")
+        table = self._product(self.table.join(given, "id"), numeric)
+        first, mean, _, _ = self._centred(table, numeric)
+        rest = {r["id"]: r["q"] for r in table.select("id", (F.col("_a") - F.col("cnt") * F.lit(mean)).alias("q")).collect()}
+        return np.concatenate([first, [rest[i] for i in range(self.size)]])
 
     def solve(self, alpha: float = 0.0, tol: float = 1e-13, max_iterations: int = 500) -> CategoryWeights:
         """Weights that minimise SSE + alpha * ||weights||^2 (intercept free), by conjugate gradients
@@ -279,34 +252,51 @@ class NormalEquations:
         prediction and is the least norm where nothing else is dependent."""
         if alpha < 0:
             raise ValueError("alpha must not be negative.")
-        diagonal = np.concatenate([np.diag(self.cuu) if self.m else np.zeros(0),
-                                   self.count - self.count ** 2 / self.n]) + alpha
+        alpha = float(alpha)
+        diagonal = (np.diag(self.cuu) if self.m else np.zeros(0)) + alpha
         inverse = np.where(diagonal > 0, 1 / np.where(diagonal > 0, diagonal, 1), 0.0)
-        w, r = np.zeros(len(diagonal)), self.right.copy()
-        z = inverse * r
-        p, rho, done = z, float(r @ z), 0
+        cnt, inv, w, r, p = (F.col(x) for x in ("cnt", "inv", "w", "r", "p"))
+        fixed = ["c", "category", "n", "id", "cnt", *self.sums]
+        spread = cnt - cnt * cnt / F.lit(float(self.n)) + F.lit(alpha)
+        state = (self.table.withColumn("inv", F.when(spread > 0, 1 / spread).otherwise(F.lit(0.0)))
+                 .select(*fixed, "inv", F.lit(0.0).alias("w"), F.col("right").alias("r"), F.lit(0.0).alias("p"))
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+
+        def residual() -> float:
+            return float(r_num @ (inverse * r_num)) + (state.agg(F.sum(inv * r * r)).first()[0] or 0.0)
+
+        w_num, r_num, p_num = np.zeros(self.m), self.cuy.copy(), np.zeros(self.m)
+        rho, ratio, done = residual(), 0.0, 0
         goal = tol * tol * rho
         while rho > goal and done < max_iterations:
-            q = self.times(p) + alpha * p
-            step = rho / float(p @ q)
-            w, r = w + step * p, r - step * q
-            z = inverse * r
-            before, rho = rho, float(r @ z)
-            p, done = z + (rho / before) * p, done + 1
+            p_num = inverse * r_num + ratio * p_num
+            table = self._product(state.withColumn("p", inv * r + F.lit(ratio) * p), p_num)
+            if self.pairs:
+                table = table.persist(StorageLevel.MEMORY_AND_DISK)
+            q_num, mean, pa, pp = self._centred(table, p_num)
+            q_num = q_num + alpha * p_num
+            # p . q; n * (mean of the categories' part) is the sum of cnt * p
+            of_cnt = self.n * (mean - float(self.mean_u @ p_num))
+            step = rho / (float(p_num @ q_num) + pa - of_cnt * mean + alpha * pp)
+            w_num, r_num = w_num + step * p_num, r_num - step * q_num
+            q = F.col("_a") - cnt * F.lit(mean) + F.lit(alpha) * p
+            before, state = state, table.select(*fixed, "inv", (w + F.lit(step) * p).alias("w"),
+                                                (r - F.lit(step) * q).alias("r"), "p").persist(StorageLevel.MEMORY_AND_DISK)
+            last, rho = rho, residual()
+            ratio, done = rho / last, done + 1
+            before.unpersist()
+            if self.pairs:
+                table.unpersist()
+            if self.pairs or done % LINEAGE == 0:   # a join with the pairs takes the lineage in twice
+                held, state = state, materialize(state, "checkpoint")
+                held.unpersist()
         if alpha == 0:
-            begin = self.m
-            for c in self.model.columns:
-                end = begin + self.model.sizes[c]
-                w[begin:end] -= w[begin:end].mean()
-                begin = end
-        intercept = self.mean_y - float(self.mean @ w)
-        values = w[self.m:]
-
-        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                own = values[batch.column("id").to_numpy()]
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own)], [*batch.schema.names, "weight"])
-
-        table = self.model.table.select("c", "category", "n", "id").mapInArrow(
-            add, "c int, category string, n long, id long, weight double")
-        return CategoryWeights(intercept, w[:self.m], table, done)
+            shift = {x["c"]: x["m"] for x in state.groupBy("c").agg(F.avg("w").alias("m")).collect()}   # a row per column
+            mean_w = F.coalesce(*[F.when(F.col("c") == i, F.lit(m)) for i, m in shift.items()], F.lit(0.0))
+        else:
+            mean_w = F.lit(0.0)
+        found = materialize(state.select("c", "category", "n", "id", "cnt", (w - mean_w).alias("weight")), "checkpoint")
+        of_cnt = found.agg(F.sum(cnt * F.col("weight"))).first()[0] or 0.0
+        state.unpersist()
+        intercept = self.mean_y - float(self.mean_u @ w_num) - of_cnt / self.n
+        return CategoryWeights(intercept, w_num, found.drop("cnt"), done)

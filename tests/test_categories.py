@@ -1,5 +1,7 @@
 """Categories as a table: fit, transform, predict and normal equations, against the wide form."""
 
+import pickle
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -114,3 +116,31 @@ def test_edges(spark):
     with pytest.raises(ValueError, match="no categorical"):
         only.transform(df, ["y"])
     assert [r.id for r in numbered(df.select("d").distinct(), ["d"]).orderBy("d").collect()] == list(range(df.select("d").distinct().count()))
+
+
+def test_the_driver_gets_no_number_per_category(spark, monkeypatch):
+    df = spark.range(20_000).select((F.col("id") % 10_000).cast("string").alias("k"), (F.col("id") % 3).cast("string").alias("g"),
+                                    (F.col("id") % 11).cast("double").alias("x"), (F.col("id") % 7).cast("double").alias("y"))
+    plain, got = type(df).collect, []
+
+    def collect(self):
+        rows = plain(self)
+        got.append(len(pickle.dumps([tuple(r) for r in rows])))
+        return rows
+
+    model = CategoryModel.fit(df, ["x", "k", "g"])
+    monkeypatch.setattr(type(df), "collect", collect)
+    equations = NormalEquations(df, model, "y")
+    weights = equations.solve(1.0)
+    equations.release()
+    assert sum(got) < 20_000   # bytes, over all products
+    monkeypatch.undo()
+    train = df.toPandas()
+    k, g = train["k"].astype(int).to_numpy(), train["g"].astype(int).to_numpy()
+    w = {(model.columns[r.c], r.category): r.weight for r in weights.table.collect()}
+    x = (train["x"].to_numpy() - model.numeric.means["x"]) / model.numeric.scales["x"]
+    own = np.array([w["k", str(i)] for i in range(10_000)])
+    rest = train["y"].to_numpy() - weights.intercept - weights.numeric[0] * x - np.array([w["g", str(i)] for i in range(3)])[g]
+    # Ridge: the residuals of a category's rows sum to its weight; all of them to zero.
+    np.testing.assert_allclose(np.bincount(k, rest) - np.bincount(k) * own, own, atol=1e-8)
+    assert abs((rest - own[k]).sum()) < 1e-6 and weights.table.count() == 10_003
