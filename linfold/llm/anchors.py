@@ -35,18 +35,15 @@ def byte_units(texts: pa.Array) -> Units:
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
-    """Minimum of each ``width`` consecutive values (block prefix and suffix minima)."""
-    n = len(values)
-    out = n - width + 1
+    """Minimum of each ``width`` consecutive values (of two ranges of a power of two that cover them)."""
+    out = len(values) - width + 1
     if out <= 0:
         return values[:0]
-    blocks = -(-n // width)
-    padded = np.full(blocks * width, np.iinfo(values.dtype).max, dtype=values.dtype)
-    padded[:n] = values
-    grid = padded.reshape(blocks, width)
-    ahead = np.minimum.accumulate(grid, axis=1).ravel()
-    behind = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[:out], ahead[width - 1:width - 1 + out])
+    low, have = values, 1
+    while 2 * have <= width:
+        low = np.minimum(low[:-have], low[have:])
+        have *= 2
+    return np.minimum(low[:out], low[width - have:width - have + out])
 
 
 def segments(units: Units, size: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -66,19 +63,17 @@ def segments(units: Units, size: int, gram: int) -> tuple[np.ndarray, ...]:
     # The smallest by its upper 32 bits, the first of equal ones: a rule of the bytes alone.
     ranked = (grams & ~LOW) | np.arange(len(grams), dtype=U64)
     anchor = (sliding_min(ranked, size - gram + 1) & LOW).astype(np.int64)
-    valid = np.zeros(total + 1, dtype=np.int8)
-    has = counts > 0
-    valid[first[:-1][has]] = 1
-    valid[first[:-1][has] + counts[has]] -= 1   # texts are adjacent: an end may be the next one's start
-    start = np.flatnonzero(np.cumsum(valid[:len(anchor)]) > 0)
+    row = np.repeat(np.arange(len(counts)), counts)
+    start = np.arange(len(row)) + np.repeat(first[:-1] - (np.cumsum(counts) - counts), counts)
     place = anchor[start]
     at_anchor = grams[place]
-    row = np.searchsorted(first, start, "right") - 1
     new = np.ones(len(start), dtype=bool)
     new[1:] = (at_anchor[1:] != at_anchor[:-1]) | (start[1:] != start[:-1] + 1) | (row[1:] != row[:-1])
-    nth = np.arange(len(start))
-    new |= (nth - np.maximum.accumulate(np.where(new, nth, 0))) % (4 * size) == 0
     lead = np.flatnonzero(new)
+    if np.diff(np.append(lead, len(start))).max() > 4 * size:
+        nth = np.arange(len(start))
+        new |= (nth - np.maximum.accumulate(np.where(new, nth, 0))) % (4 * size) == 0
+        lead = np.flatnonzero(new)
     moved = np.zeros(len(start), dtype=bool)
     moved[1:] = (place[1:] != place[:-1]) & ~new[1:]
     return row[lead], start[lead], np.diff(np.append(lead, len(start))), at_anchor[lead], np.logical_or.reduceat(moved, lead)

@@ -2,7 +2,7 @@
 
 Strings end in a mark of their own, and marks sort before bytes, in string order. The transform is
 kept as runs: for each run its start row, its byte and the row to which its first row steps back.
-Sampled at the run ends: the length of the match between the row that a run's first row steps to
+A directory gives each row's run. Sampled at the run ends: the length of the match between the row that a run's first row steps to
 and the row above that, and where the string above starts. Inside a run both follow from the step
 before: rows that are neighbours step to neighbours, and the match grows by one.
 """
@@ -18,6 +18,7 @@ PACK = 7   # symbols of 9 bits in a 63-bit key
 
 @dataclass
 class RunIndex:
+    run_of: np.ndarray        # of each row
     run_start: np.ndarray
     run_symbol: np.ndarray
     run_step: np.ndarray
@@ -32,16 +33,20 @@ class RunIndex:
         flat = np.frombuffer(b"\0".join(data) + b"\0", dtype=np.uint8)
         end = np.cumsum(length + 1) - 1
         n = len(flat)
-        symbol = flat.astype(np.int64) + 1
+        symbol = np.zeros(n + PACK, dtype=np.int64)
+        symbol[:n] = flat
+        symbol[:n] += 1
         symbol[end] = 0
-        string = np.repeat(np.arange(len(data)), length + 1)
-        rest = end[string] - np.arange(n)   # bytes before the mark
-        padded = np.concatenate((symbol, np.zeros(PACK, np.int64)))
-        key = symbol.copy()
-        for j in range(1, PACK):
-            key = (key << 9) | np.where(rest >= j, padded[j:j + n], 0)
+        string = np.repeat(np.arange(len(data), dtype=np.int32), length + 1)
+        rest = np.repeat(end, length + 1) - np.arange(n)   # bytes before the mark
+        two = (symbol[:-1] << 9) | symbol[1:]
+        key = (two[:n] << 45) | (two[2:n + 2] << 27) | (two[4:n + 4] << 9) | symbol[6:n + 6]
+        short = np.flatnonzero(rest < PACK)                # nothing of the key is behind the mark
+        behind = 9 * (PACK - 1 - rest[short])
+        key[short] = (key[short] >> behind) << behind
         # Suffixes whose mark is in the key differ by it: ties are in string order, which is theirs here.
-        tie = np.where(rest < PACK, string + 1, 0)
+        tie = np.zeros(n, dtype=np.int32)
+        tie[short] = string[short] + 1
         order = np.argsort(key)
         short = np.flatnonzero(tie[order])
         order[short] = order[short][np.lexsort((order[short], key[order[short]]))]
@@ -61,11 +66,11 @@ class RunIndex:
             rank[place] = tied[np.maximum.accumulate(np.where(lead, np.arange(len(tied)), 0))]
             tied = tied[_several(rank, place)]
             width *= 2
-        before = np.where((order > 0) & (symbol[order - 1] > 0), symbol[order - 1], 0)
+        before = np.concatenate((np.zeros(1, np.int16), symbol[:n - 1].astype(np.int16)))[order]
         head = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
         run_symbol = before[head]
         size = np.diff(np.append(head, n))
-        total = np.bincount(symbol, minlength=257)
+        total = np.bincount(symbol[:n], minlength=257)
         first = np.cumsum(total) - total
         by_symbol = np.argsort(run_symbol, kind="stable")
         ahead = np.cumsum(size[by_symbol]) - size[by_symbol]
@@ -75,10 +80,12 @@ class RunIndex:
         base[by_symbol] = ahead - group_start
         step = first[run_symbol] + base
         above = np.maximum(step - 1, 0)
-        here_at, above_at = order[np.minimum(step, n - 1)], order[above]
-        match = _match(ranks, symbol, rest, here_at, above_at)
-        match[(step == 0) | (run_symbol == 0)] = 0
-        return RunIndex(head, run_symbol, step, match, above_at, length, n)
+        above_at = order[above]
+        match = np.zeros(len(head), dtype=np.int64)
+        some = np.flatnonzero((step > 0) & (run_symbol > 0))
+        match[some] = _match(ranks, key, rest, order[step[some]], above_at[some])
+        run_of = np.repeat(np.arange(len(head), dtype=np.int32), size)
+        return RunIndex(run_of, head, run_symbol, step, match, above_at, length, n)
 
     def stream(self) -> tuple[np.ndarray, np.ndarray]:
         """Matching statistics of the indexed strings, each read backwards from its mark, all at
@@ -95,7 +102,7 @@ class RunIndex:
         for t in range(1, int(steps[0]) + 1 if len(steps) else 0):
             active = int(np.searchsorted(-steps, -t, "right"))
             r = row[:active]
-            run = np.searchsorted(self.run_start, r, "right") - 1
+            run = self.run_of[r]
             into = r - self.run_start[run]
             match[:active] = np.where(into == 0, self.sample_match[run], match[:active] + 1)
             row[:active] = self.run_step[run] + into
@@ -124,25 +131,21 @@ def _several(rank: np.ndarray, place: np.ndarray) -> np.ndarray:
     return out
 
 
-def _match(ranks: list[tuple[int, np.ndarray]], symbol: np.ndarray, rest: np.ndarray, a: np.ndarray,
+def _match(ranks: list[tuple[int, np.ndarray]], key: np.ndarray, rest: np.ndarray, a: np.ndarray,
            b: np.ndarray) -> np.ndarray:
     """Length of the match between the suffixes at a and b, which are not the same."""
     a, b = a.copy(), b.copy()
     out = np.zeros(len(a), dtype=np.int64)
-    most = len(symbol) - 1
     for width, rank in reversed(ranks):
-        same = (rank[a] == rank[b]) & (a != b)
+        same = np.flatnonzero(rank[a] == rank[b])
         out[same] += width
         a[same] += width
         b[same] += width
-    for _ in range(PACK):
-        same = (symbol[a] == symbol[b]) & (symbol[a] > 0) & (a != b)
-        if not same.any():
-            break
-        out[same] += 1
-        a[same] = np.minimum(a[same] + 1, most)
-        b[same] = np.minimum(b[same] + 1, most)
-    return out
+    differ = key[a] ^ key[b]
+    last = np.zeros(len(a), dtype=np.int64)   # of the key's symbols, up to a mark
+    for j in range(PACK):
+        last += differ < 1 << 9 * j
+    return out + np.minimum(last, np.minimum(rest[a], rest[b]))
 
 
 def repeated_windows(data: list[bytes], k: np.ndarray, pos: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:

@@ -288,3 +288,25 @@ def test_links_under_hot_keys_are_complete(spark, monkeypatch):
     for hot in (op3_simhash.HOT_KEY, 2):
         monkeypatch.setattr(op3_simhash, "HOT_KEY", hot)
         assert {(r.a, r.b) for r in op3_simhash.link_pairs(nodes).collect()} == want
+
+
+def test_run_index_rows_and_matches():
+    """Rows and matches of the streamed index against sorted suffixes; each row's run from the directory."""
+    from linfold.llm.rindex import RunIndex
+    rng = np.random.default_rng(3)
+    for trial in range(30):
+        part = bytes(rng.integers(97, 100, 40).astype(np.uint8))
+        data = list({part[int(rng.integers(0, 20)):] + bytes(rng.choice([0, 97, 255], int(rng.integers(0, 12))).astype(np.uint8))
+                     for _ in range(int(rng.integers(1, 9)))} | {b"", b"a", bytes([0] * trial)})
+        index = RunIndex.build(data)
+        row_of, match_of = index.stream()
+        assert index.run_of.tolist() == (np.searchsorted(index.run_start, np.arange(index.rows), "right") - 1).tolist()
+        places = [(s, i) for s, d in enumerate(data) for i in range(len(d) + 1)]
+        keys = [[b + len(data) for b in data[s][i:]] + [s] for s, i in places]   # marks before bytes, in string order
+        order = sorted(range(len(places)), key=lambda x: keys[x])
+        assert [row_of[x] for x in order] == list(range(len(places)))
+        for above, here in zip(order, order[1:]):
+            a, b = keys[above], keys[here]
+            same = next(i for i in range(len(b)) if a[i] != b[i])
+            if places[here][1] < len(data[places[here][0]]):
+                assert match_of[here] == same
